@@ -2,7 +2,8 @@
 
 A matrix product finds candidates; their scores are then summed left to right, element by element, so a score
 does not depend on how rows were grouped into blocks, files or tasks. The product may differ from that sum by
-rounding, so it only prunes, with a margin above its error bound.
+rounding, so it only prunes, with a margin above its error bound. It is taken in single precision first, and
+again in double precision where single leaves too many candidates.
 """
 
 from __future__ import annotations
@@ -13,9 +14,9 @@ import pyarrow as pa
 METRICS = ("dot", "cosine", "euclidean")
 ROW_BLOCK = 4096
 QUERY_BLOCK = 1024
-PAIR_BLOCK = 2048
+PAIR_BLOCK = 256
 FLUSH_ENTRIES = 1_000_000
-ROUNDOFF = 2.0 ** -53
+SINGLE, DOUBLE = np.float32, np.float64
 
 
 def as_matrix(column: pa.ChunkedArray | pa.Array, dimension: int) -> tuple[np.ndarray, np.ndarray]:
@@ -35,18 +36,38 @@ def as_matrix(column: pa.ChunkedArray | pa.Array, dimension: int) -> tuple[np.nd
     return (matrix, rows) if good.all() else (matrix[good], rows[good])
 
 
-def exact_scores(x: np.ndarray, q: np.ndarray, metric: str) -> np.ndarray:
-    """Score of each row pair; sums run from the first element to the last."""
-    def fold(terms: np.ndarray) -> np.ndarray:
-        return np.add.accumulate(terms, axis=1)[:, -1]
+def fold(terms: np.ndarray) -> np.ndarray:
+    """Sum of each row from the first element to the last; uses ``terms`` as scratch space."""
+    return np.add.accumulate(terms, axis=1, out=terms)[:, -1]
 
-    if metric == "euclidean":
-        d = x - q
-        return -np.sqrt(fold(d * d))
-    dot = fold(x * q)
-    if metric == "dot":
-        return dot
-    return dot / np.sqrt(fold(x * x) * fold(q * q))
+
+def blocked_fold(make_terms, n: int) -> np.ndarray:
+    """``fold`` over n rows, a few at a time so that they stay in cache; ``make_terms`` gives a slice of them."""
+    out = np.empty(n)
+    for start in range(0, n, PAIR_BLOCK):
+        part = slice(start, min(start + PAIR_BLOCK, n))
+        out[part] = fold(make_terms(part))
+    return out
+
+
+def within_single(norms: np.ndarray) -> bool:
+    """Whether products of such vectors stay clear of the limits of single precision."""
+    return len(norms) == 0 or bool(norms.max() < 1e15 and norms.min() > 1e-15)
+
+
+class Rows:
+    """Rows of one namespace with their lengths, converted once."""
+
+    def __init__(self, v: np.ndarray, norm: np.ndarray):
+        self.v, self.norm, self.safe = v, norm, within_single(norm)
+        self._single = None
+
+    def of(self, kind: type) -> np.ndarray:
+        if kind is DOUBLE:
+            return self.v
+        if self._single is None:
+            self._single = self.v.astype(SINGLE)
+        return self._single
 
 
 class LocalTopK:
@@ -59,7 +80,10 @@ class LocalTopK:
         self.q_norm = np.sqrt((queries * queries).sum(axis=1))
         self.usable = self.q_norm > 0 if metric == "cosine" else np.ones(len(queries), bool)
         with np.errstate(divide="ignore", invalid="ignore"):
-            self.q_pruned = queries / self.q_norm[:, None] if metric == "cosine" else queries
+            scaled = queries / self.q_norm[:, None] if metric == "cosine" else queries
+        self.single_safe = within_single(self.q_norm[self.usable])
+        self.q_squares = blocked_fold(lambda p: np.square(queries[p]), len(queries))
+        self.pruning = {DOUBLE: scaled, SINGLE: scaled.astype(SINGLE) if self.single_safe else None}
         self._clear()
 
     def _clear(self) -> None:
@@ -70,70 +94,95 @@ class LocalTopK:
         self.score = np.empty(0)
         self.ids = np.empty(0, object)
 
-    def add(self, matrix: np.ndarray, ids: np.ndarray, namespaces: np.ndarray):
-        """Take in rows; yields results early when many small namespaces have filled the state."""
+    def add(self, matrix: np.ndarray, ids: np.ndarray, names: list[str], which: np.ndarray):
+        """Take in rows, with the namespace of row i in ``names[which[i]]``; yields results early when many small
+        namespaces have filled the state."""
         for start in range(0, len(matrix), ROW_BLOCK):
             part = slice(start, start + ROW_BLOCK)
-            self._add_block(matrix[part], ids[part], namespaces[part])
+            self._add_block(matrix[part], ids[part], names, which[part])
             if len(self.score) > FLUSH_ENTRIES:
                 yield self.drain()
 
-    def _add_block(self, x: np.ndarray, ids: np.ndarray, namespaces: np.ndarray) -> None:
-        names, local = np.unique(namespaces, return_inverse=True)
-        for name in names:
-            if name not in self.codes:
-                self.codes[name] = len(self.codes)
-        if len(self.codes) > len(self.kth):
-            fresh = np.full((len(self.codes) - len(self.kth), len(self.q)), -np.inf)
-            self.kth = np.concatenate([self.kth, fresh])
-        code = np.array([self.codes[n] for n in names], np.int64)[local]
+    def _add_block(self, x: np.ndarray, ids: np.ndarray, names: list[str], which: np.ndarray) -> None:
         found = []
-        for c in np.unique(code):
-            rows = np.flatnonzero(code == c)
-            for start in range(0, len(self.q), QUERY_BLOCK):
-                found.append(self._candidates(x, ids, rows, c, start))
+        norm = np.sqrt(np.einsum("ij,ij->i", x, x))
+        code = np.empty(len(x), np.int64)
+        for local in np.unique(which):
+            rows = np.flatnonzero(which == local)
+            code[rows] = c = self._code(names[local])
+            found.extend(self._candidates(x, norm, ids, rows, c))
+        if not found:
+            return
         row = np.concatenate([f[0] for f in found])
         qi = np.concatenate([f[1] for f in found])
-        if len(row) == 0:
-            return
-        score = np.empty(len(row))
-        with np.errstate(divide="ignore", invalid="ignore"):
-            for start in range(0, len(row), PAIR_BLOCK):
-                part = slice(start, start + PAIR_BLOCK)
-                score[part] = exact_scores(x[row[part]], self.q[qi[part]], self.metric)
+        score = self._exact(x, row, qi)
         keep = ~np.isnan(score)
         self._merge(code[row[keep]], qi[keep], score[keep], ids[row[keep]])
 
-    def _candidates(self, x, ids, rows, code, q_start):
-        """Pairs of one namespace and one block of queries that can still enter the top k."""
-        q_part = slice(q_start, q_start + QUERY_BLOCK)
-        q, q_norm = self.q_pruned[q_part], self.q_norm[q_part]
-        v = x[rows]
-        v_norm = np.sqrt((v * v).sum(axis=1))
-        unit = 8 * (x.shape[1] + 8) * ROUNDOFF
+    def _exact(self, x: np.ndarray, row: np.ndarray, qi: np.ndarray) -> np.ndarray:
+        """Score of each pair, from sums in element order."""
+        if self.metric == "euclidean":
+            return -np.sqrt(blocked_fold(lambda p: np.square(x[row[p]] - self.q[qi[p]]), len(row)))
+        dot = blocked_fold(lambda p: x[row[p]] * self.q[qi[p]], len(row))
+        if self.metric == "dot":
+            return dot
+        used, at = np.unique(row, return_inverse=True)
+        squares = blocked_fold(lambda p: np.square(x[used[p]]), len(used))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return dot / np.sqrt(squares[at] * self.q_squares[qi])
+
+    def _code(self, name: str) -> int:
+        if name not in self.codes:
+            self.codes[name] = len(self.codes)
+            if len(self.codes) > len(self.kth):
+                more = np.full((max(8, len(self.kth)), len(self.q)), -np.inf)
+                self.kth = np.concatenate([self.kth, more])
+        return self.codes[name]
+
+    def _candidates(self, x: np.ndarray, norm: np.ndarray, ids: np.ndarray, rows: np.ndarray, code: int):
+        """Pairs of rows of one namespace and queries that can still enter the top k, by block of queries."""
+        if self.metric == "cosine":
+            rows = rows[norm[rows] > 0]
+        if len(rows) == 0:
+            return
+        norm = norm[rows]
+        v = x if len(rows) == len(x) else x[rows]
+        if self.metric == "cosine":
+            v = v / norm[:, None]
+        blocks = Rows(v, norm)
+        few = None
+        for start in range(0, len(self.q), QUERY_BLOCK):
+            part = slice(start, start + QUERY_BLOCK)
+            enough = 4 * self.k * (min(start + QUERY_BLOCK, len(self.q)) - start)
+            hit = None
+            if blocks.safe and self.single_safe:
+                hit = self._hits(blocks, code, part, SINGLE)
+            if hit is None or np.count_nonzero(hit) > enough:
+                hit = self._hits(blocks, code, part, DOUBLE)
+                if np.count_nonzero(hit) > enough and len(rows) > self.k:
+                    few = self._few_copies(v, ids[rows]) if few is None else few
+                    hit &= few[:, None]
+            r, j = np.nonzero(hit)
+            yield rows[r], j + start
+
+    def _hits(self, rows: Rows, code: int, part: slice, kind: type) -> np.ndarray:
+        q, q_norm = self.pruning[kind][part], self.q_norm[part]
+        approx = rows.of(kind) @ q.T
+        unit = 2 * (q.shape[1] + 8) * np.finfo(kind).eps / 2
+        bar = self.kth[code, part]
         if self.metric == "cosine":
-            positive = v_norm > 0
-            rows, v, v_norm = rows[positive], v[positive], v_norm[positive]
-            approx = (v / v_norm[:, None]) @ q.T
             margin = np.full(len(q), unit)
         else:
-            approx = v @ q.T
-            biggest = v_norm.max(initial=0.0)
-            margin = unit * biggest * q_norm
+            margin = unit * rows.norm.max() * q_norm
             if self.metric == "euclidean":
-                approx = 2 * approx - (v_norm ** 2)[:, None] - (q_norm ** 2)[None, :]
-                margin = unit * (biggest + q_norm) ** 2
-        bar = self.kth[code, q_part]
-        if self.metric == "euclidean":
-            bar = np.where(np.isfinite(bar), -bar * bar, bar)
-        if len(rows) > self.k and np.isneginf(bar).any():
-            place = len(rows) - self.k
+                approx = 2 * approx.astype(DOUBLE, copy=False) - (rows.norm ** 2)[:, None] - (q_norm ** 2)[None, :]
+                slack = 4 * (q.shape[1] + 8) * np.finfo(DOUBLE).eps
+                margin = 2 * margin + slack * (rows.norm.max() + q_norm) ** 2
+                bar = np.where(np.isfinite(bar), -bar * bar, bar)
+        if len(approx) > self.k and np.isneginf(bar).any():
+            place = len(approx) - self.k
             bar = np.maximum(bar, np.partition(approx, place, axis=0)[place])
-        hit = (approx >= bar - 2 * margin) & self.usable[q_part]
-        if hit.sum() > 16 * self.k * len(q) and len(rows) > self.k:
-            hit &= self._few_copies(v, ids[rows])[:, None]
-        r, j = np.nonzero(hit)
-        return rows[r], j + q_start
+        return (approx >= (bar - 2 * margin).astype(approx.dtype)) & self.usable[part]
 
     def _few_copies(self, v: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Of equal vectors only the k smallest ids can be in any result; true for these and for all others."""
@@ -148,7 +197,13 @@ class LocalTopK:
         ns, qi = np.concatenate([self.ns, ns]), np.concatenate([self.qi, qi])
         score, ids = np.concatenate([self.score, score]), np.concatenate([self.ids, ids])
         group = ns * len(self.q) + qi
-        order = np.lexsort((rank_of(ids), -score, group))
+        order = np.lexsort((-score, group))
+        tied = (group[order][1:] == group[order][:-1]) & (score[order][1:] == score[order][:-1])
+        if tied.any():
+            at = order[np.r_[tied, False] | np.r_[False, tied]]
+            rank = np.zeros(len(ids), np.int64)
+            rank[at] = rank_of(ids[at])
+            order = np.lexsort((rank, -score, group))
         place = run_position(group[order])
         order, place = order[place < self.k], place[place < self.k]
         self.ns, self.qi, self.score, self.ids = ns[order], qi[order], score[order], ids[order]

@@ -77,9 +77,12 @@ def _result(found: dict[str, np.ndarray], qids: pa.Array) -> pa.RecordBatch:
 
 def _feed(top: LocalTopK, batch: pa.RecordBatch | pa.Table, dimension: int):
     matrix, rows = as_matrix(batch.column("values"), dimension)
-    at = pa.array(rows)
-    ids, names = (np.array(batch.column(c).take(at).to_pylist(), dtype=object) for c in ("id", "namespace"))
-    return top.add(matrix, ids, names)
+    ids, names = (batch.column(c).take(pa.array(rows)) for c in ("id", "namespace"))
+    if isinstance(batch, pa.Table):
+        names = names.combine_chunks()
+    coded = names.dictionary_encode()
+    return top.add(matrix, np.array(ids.to_pylist(), dtype=object), coded.dictionary.to_pylist(),
+                   coded.indices.to_numpy(zero_copy_only=False))
 
 
 def _candidates(vectors: DataFrame) -> DataFrame:
