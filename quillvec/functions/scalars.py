@@ -7,6 +7,7 @@ import datetime as dt
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillvec import model as M
 
@@ -16,7 +17,9 @@ def namespace_label(namespace: Column) -> Column:
 
 
 def to_token(namespace: Column) -> Column:
-    return F.when(namespace == M.DEFAULT_NAMESPACE, M.DEFAULT_TOKEN).otherwise(namespace)
+    taken = F.raise_error(F.lit(f"the namespace name {M.DEFAULT_TOKEN} is reserved")).cast("string")
+    return F.when(namespace == M.DEFAULT_NAMESPACE, M.DEFAULT_TOKEN) \
+        .when(namespace == M.DEFAULT_TOKEN, taken).otherwise(namespace)
 
 
 def from_token(token: Column) -> Column:
@@ -63,7 +66,7 @@ def whole_seconds(micros_: Column) -> Column:
     return F.floor(micros_ / 1_000_000)
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def _float_reprs(values: pd.Series) -> pd.Series:
     """Shortest decimal text of each number; Java 17 does not always print the shortest."""
     return values.map(lambda row: None if row is None else ["None" if x is None else repr(float(x)) for x in row])
