@@ -11,7 +11,7 @@ from quillvec import model as M
 
 def path_part(path: Column, from_end: int) -> Column:
     """A decoded component of a file path, counted from the end (1 = the file name)."""
-    raw = F.element_at(F.split(path, "/"), -from_end)
+    raw = F.try_element_at(F.split(path, "/"), F.lit(-from_end))
     # url_decode reads "+" as a blank, which is right for forms and wrong for paths.
     return F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))
 
