@@ -3,13 +3,13 @@
 The values of a group are counted in coarse buckets with a hash aggregate, which combines before the shuffle.
 The bucket that holds a wanted rank is found from the counts and divided again, until it is small or holds a
 single value; only then are its distinct values ordered. Buckets are closed ranges of actual values.
+
+Ranks are 0-based SQL expressions of the number of values ``n_all``, by name.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillvec.storage import BROADCAST_ROWS, checkpointed
@@ -18,115 +18,88 @@ LOG_STEPS = 256
 LINEAR_STEPS = 4096
 SORT_ROWS = 2_000_000
 
+MEDIAN = {"mid_low": "(n_all - 1) DIV 2", "mid_high": "n_all DIV 2"}
 
-@dataclass(frozen=True)
-class Rank:
-    """A 0-based rank in the ascending order of n values."""
-
-    name: str
-    of: object  # Column -> Column
-
-    def rank(self, n: Column) -> Column:
-        return self.of(n).cast("long")
-
-
-def fraction(name: str, p: float) -> Rank:
-    """Element ``int(n * p)`` of the sorted list, with the product taken in doubles."""
-    return Rank(name, lambda n: F.floor(n.cast("double") * F.lit(p)))
 
+def fraction(p: float) -> str:
+    """Rank ``int(n * p)``, with the product taken in doubles."""
+    return f"CAST(floor(CAST(n_all AS DOUBLE) * {p}D) AS BIGINT)"
 
-def median_ranks() -> list[Rank]:
-    return [Rank("mid_low", lambda n: F.floor((n - 1) / 2)), Rank("mid_high", lambda n: F.floor(n / 2))]
 
-
-def coarse_bucket(value: Column) -> Column:
+def coarse_bucket(value: str) -> str:
     """A non-decreasing whole number of the value: steps of 0.4 % of its size."""
-    return F.floor(F.signum(value) * F.log1p(F.abs(value)) * LOG_STEPS)
+    return f"floor(signum({value}) * log1p(abs({value})) * {LOG_STEPS})"
 
 
-def first_brackets(hist: DataFrame, keys: list[str], ranks: list[Rank], *more: Column) -> DataFrame:
+def first_brackets(hist: DataFrame, keys: list[str], ranks: dict[str, str], *more: str) -> DataFrame:
     """For each key and rank: bounds and size of the bucket that holds it, and the rank inside; and ``more``.
 
     ``hist`` has ``n, lo, hi`` per key and ``bucket``. Both windows run over buckets, whose number is bounded.
     """
-    all_of = Window.partitionBy(*keys)
-    earlier = all_of.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    placed = hist.withColumns({"below": F.coalesce(F.sum("n").over(earlier), F.lit(0)),
-                               "n_all": F.sum("n").over(all_of)})
+    by = ", ".join(keys)
+    placed = hist.selectExpr(
+        "*", f"sum(n) OVER (PARTITION BY {by}) AS n_all",
+        f"coalesce(sum(n) OVER (PARTITION BY {by} ORDER BY bucket "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below")
     columns = []
-    for r in ranks:
-        target = r.rank(F.col("n_all"))
-        here = (target >= F.col("below")) & (target < F.col("below") + F.col("n"))
-        columns += [
-            F.max(F.when(here, F.col("lo"))).alias(f"lo_{r.name}"),
-            F.max(F.when(here, F.col("hi"))).alias(f"hi_{r.name}"),
-            F.max(F.when(here, F.col("n"))).alias(f"n_{r.name}"),
-            F.max(F.when(here, target - F.col("below"))).alias(f"rank_{r.name}"),
-        ]
-    return placed.groupBy(*keys).agg(*columns, *more)
-
-
-def _bracket_rows(values: DataFrame, keys: list[str], value: str, brackets: DataFrame, ranks: list[Rank],
+    for name, rank in ranks.items():
+        here = f"{rank} >= below AND {rank} < below + n"
+        columns += [f"max(CASE WHEN {here} THEN {what} END) AS {column}_{name}"
+                    for column, what in (("lo", "lo"), ("hi", "hi"), ("n", "n"), ("rank", f"{rank} - below"))]
+    return placed.groupBy(*keys).agg(*map(F.expr, [*columns, *more]))
+
+
+def _inside(name: str, value: str) -> str:
+    return f"lo_{name} < hi_{name} AND {value} BETWEEN lo_{name} AND hi_{name}"
+
+
+def _bracket_rows(values: DataFrame, keys: list[str], value: str, brackets: DataFrame, ranks: dict[str, str],
                   small: bool) -> DataFrame:
     """Values inside an open bracket, one row per bracket they fall in."""
-    v = F.col(value)
-
-    def inside(r: Rank) -> Column:
-        lo, hi = F.col(f"lo_{r.name}"), F.col(f"hi_{r.name}")
-        return (lo < hi) & v.between(lo, hi)
-
-    per_rank = F.array_compact(F.array(*[
-        F.when(inside(r), F.struct(F.lit(r.name).alias("target"), F.col(f"lo_{r.name}").alias("lo"),
-                                   F.col(f"hi_{r.name}").alias("hi"), F.col(f"rank_{r.name}").alias("want")))
-        for r in ranks]))
-    any_inside = inside(ranks[0])
-    for r in ranks[1:]:
-        any_inside = any_inside | inside(r)
-    open_brackets = brackets.select(*keys, *[f"{c}_{r.name}" for r in ranks for c in ("lo", "hi", "rank")])
+    open_brackets = brackets.select(*keys, *[f"{c}_{r}" for r in ranks for c in ("lo", "hi", "rank")])
     if small:
         open_brackets = F.broadcast(open_brackets)
-    return values.select(*keys, value).join(open_brackets, keys).filter(any_inside) \
-        .select(*keys, value, F.explode(per_rank).alias("b")).select(*keys, value, "b.*")
+    found = ", ".join(f"CASE WHEN {_inside(r, value)} THEN "
+                      f"struct('{r}' AS target, lo_{r} AS lo, hi_{r} AS hi, rank_{r} AS want) END" for r in ranks)
+    return values.select(*keys, value).join(open_brackets, keys) \
+        .filter(" OR ".join(f"({_inside(r, value)})" for r in ranks)) \
+        .selectExpr(*keys, value, f"explode(array_compact(array({found}))) AS b").select(*keys, value, "b.*")
 
 
-def resolve(values: DataFrame, keys: list[str], value: str, brackets: DataFrame, ranks: list[Rank],
+def resolve(values: DataFrame, keys: list[str], value: str, brackets: DataFrame, ranks: dict[str, str],
             carry: list[str], sort_rows: int = SORT_ROWS) -> DataFrame:
     """Values at the wanted ranks: ``keys``, ``carry`` and one column per rank. ``brackets`` must be checkpointed."""
     kept = [*keys, *carry]
+    unit = [*keys, "target", "lo", "hi", "want"]
     while True:
-        open_size = [F.when(F.col(f"lo_{r.name}") < F.col(f"hi_{r.name}"), F.col(f"n_{r.name}")) for r in ranks]
-        largest, groups = brackets.agg(F.max(F.greatest(*open_size)), F.count("*")).first()
+        sizes = ", ".join(f"CASE WHEN lo_{r} < hi_{r} THEN n_{r} END" for r in ranks)
+        largest, groups = brackets.selectExpr(f"max(greatest({sizes}))", "count(*)").first()
         if largest is None:
-            return brackets.select(*kept, *[F.col(f"lo_{r.name}").alias(r.name) for r in ranks])
+            return brackets.selectExpr(*kept, *[f"lo_{r} AS {r}" for r in ranks])
         rows = _bracket_rows(values, keys, value, brackets, ranks, groups <= BROADCAST_ROWS)
-        unit = [*keys, "target", "lo", "hi", "want"]
         if largest <= sort_rows:
             break
-        step = F.floor((F.col(value) - F.col("lo")) / (F.col("hi") - F.col("lo")) * LINEAR_STEPS)
-        finer = rows.withColumn("step", step).groupBy(*unit, "step").agg(
-            F.count("*").alias("n"), F.min(value).alias("new_lo"), F.max(value).alias("new_hi"))
+        finer = rows.withColumn("step", F.expr(f"floor(({value} - lo) / (hi - lo) * {LINEAR_STEPS})")) \
+            .groupBy(*unit, "step").agg(F.expr("count(*) AS n"), F.expr(f"min({value}) AS new_lo"),
+                                        F.expr(f"max({value}) AS new_hi"))
         brackets = checkpointed(_narrowed(finer, keys, kept, brackets, ranks))
-    counted = rows.groupBy(*unit, value).agg(F.count("*").alias("n"))
     running = F.sum("n").over(Window.partitionBy(*keys, "target").orderBy(value)
                               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    found = counted.withColumn("upto", running).filter(F.col("upto") > F.col("want")) \
-        .groupBy(*keys).agg(*[F.min(F.when(F.col("target") == r.name, F.col(value))).alias(f"at_{r.name}")
-                              for r in ranks])
-    return brackets.join(found, keys, "left").select(
-        *kept, *[F.coalesce(f"at_{r.name}", f"lo_{r.name}").alias(r.name) for r in ranks])
+    found = rows.groupBy(*unit, value).agg(F.expr("count(*) AS n")).withColumn("upto", running) \
+        .filter("upto > want").groupBy(*keys) \
+        .agg(*[F.expr(f"min(CASE WHEN target = '{r}' THEN {value} END) AS at_{r}") for r in ranks])
+    return brackets.join(found, keys, "left").selectExpr(
+        *kept, *[f"coalesce(at_{r}, lo_{r}) AS {r}" for r in ranks])
 
 
 def _narrowed(finer: DataFrame, keys: list[str], kept: list[str], brackets: DataFrame,
-              ranks: list[Rank]) -> DataFrame:
-    w = Window.partitionBy(*keys, "target").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
-    below = F.coalesce(F.sum("n").over(w), F.lit(0))
-    hit = finer.withColumn("below", below).filter(
-        (F.col("want") >= F.col("below")) & (F.col("want") < F.col("below") + F.col("n")))
-    columns = {"lo": "new_lo", "hi": "new_hi", "n": "n", "rank": "rank"}
-    hit = hit.withColumn("rank", F.col("want") - F.col("below"))
+              ranks: dict[str, str]) -> DataFrame:
+    below = (f"coalesce(sum(n) OVER (PARTITION BY {', '.join(keys)}, target ORDER BY step "
+             "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below")
+    hit = finer.selectExpr("*", below).filter("want >= below AND want < below + n")
+    columns = {"lo": "new_lo", "hi": "new_hi", "n": "n", "rank": "want - below"}
     wide = hit.groupBy(*keys).agg(*[
-        F.max(F.when(F.col("target") == r.name, F.col(source))).alias(f"new_{name}_{r.name}")
+        F.expr(f"max(CASE WHEN target = '{r}' THEN {source} END) AS new_{name}_{r}")
         for r in ranks for name, source in columns.items()])
-    return brackets.join(wide, keys, "left").select(*kept, *[
-        F.coalesce(f"new_{name}_{r.name}", f"{name}_{r.name}").alias(f"{name}_{r.name}")
-        for r in ranks for name in columns])
+    return brackets.join(wide, keys, "left").selectExpr(
+        *kept, *[f"coalesce(new_{name}_{r}, {name}_{r}) AS {name}_{r}" for r in ranks for name in columns])

@@ -12,26 +12,22 @@ from quillvec.sources.manifest import under_prefix
 
 def classify(manifest: DataFrame, prefix: str) -> DataFrame:
     """One class per object: ``valid``, ``bad_structure``, ``ignored`` (not parquet) or ``skipped`` (markers)."""
-    rel = F.substring(F.col("key"), F.lit(len(prefix) + 2 if prefix else 1), F.length("key"))
-    parts = F.split("rel", "/")
-    parquet = F.col("rel").endswith(".parquet")
-    kind = F.when((F.col("rel") == "") | F.col("rel").endswith("/"), "skipped") \
-        .when(~parquet, "ignored").when(F.size(parts) == 2, "valid").otherwise("bad_structure")
-    return under_prefix(manifest, prefix).withColumn("rel", rel).withColumn("class", kind).select(
-        "key", "size", "rel", "class",
-        F.when(F.col("class") == "valid", parts[0]).alias("namespace"),
-        F.when(F.col("class") == "valid", parts[1]).alias("file"),
-    )
+    start = len(prefix) + 2 if prefix else 1
+    return under_prefix(manifest, prefix).selectExpr("key", "size", f"substring(key, {start}) AS rel").selectExpr(
+        "*", """CASE WHEN rel = '' OR endswith(rel, '/') THEN 'skipped'
+                     WHEN NOT endswith(rel, '.parquet') THEN 'ignored'
+                     WHEN size(split(rel, '/')) = 2 THEN 'valid' ELSE 'bad_structure' END AS class""").selectExpr(
+        "*", "CASE WHEN class = 'valid' THEN split(rel, '/')[0] END AS namespace",
+        "CASE WHEN class = 'valid' THEN split(rel, '/')[1] END AS file")
 
 
 def verdict(classes: DataFrame) -> DataFrame:
     """One row: object counts by class, and whether an import may go on."""
-    counts = classes.agg(
-        F.count("*").alias("objects"),
-        *[F.count_if(F.col("class") == c).alias(c) for c in ("valid", "bad_structure", "ignored", "skipped")],
-    )
-    state = F.when(F.col("valid") == 0, "FAIL").when(F.col("bad_structure") > 0, "WARN").otherwise("PASS")
-    return counts.withColumn("verdict", state).withColumn("accepted", F.col("verdict") != "FAIL")
+    kinds = ("valid", "bad_structure", "ignored", "skipped")
+    counts = classes.agg(F.expr("count(*) AS objects"), *[F.expr(f"count_if(class = '{c}') AS {c}") for c in kinds])
+    return counts.selectExpr(
+        "*", "CASE WHEN valid = 0 THEN 'FAIL' WHEN bad_structure > 0 THEN 'WARN' ELSE 'PASS' END AS verdict",
+        "valid > 0 AS accepted")
 
 
 def totals(classes: DataFrame) -> DataFrame:

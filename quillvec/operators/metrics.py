@@ -2,21 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillvec import model as M
-from quillvec.functions.ranks import SORT_ROWS, coarse_bucket, first_brackets, fraction, median_ranks, resolve
-from quillvec.functions.scalars import micros, namespace_label, whole_seconds
+from quillvec.functions.ranks import MEDIAN, SORT_ROWS, coarse_bucket, first_brackets, fraction, resolve
+from quillvec.functions.scalars import micros, namespace_label
 from quillvec.storage import checkpointed, sized
 
 TICKS_PER_CHUNK = 3600
 
 
-def rate(amount: Column, seconds: Column) -> Column:
-    return F.when(seconds > 0, amount / seconds)
-
-
 def run_times(log: DataFrame) -> DataFrame:
     """Runs as the log shows them, for logs that come without a table of runs."""
     return log.groupBy("run_id").agg(F.min("ts").alias("started_at"), F.max("ts").alias("ended_at"))
@@ -34,31 +30,30 @@ def latency_summary(log: DataFrame, keys: list[str] | None = None, runs: DataFra
     by = list(keys or [])
     if not by:
         log, by = log.withColumn("all_rows", F.lit(True)), ["all_rows"]
-    ok = F.col("success")
-    wins = log.select(*by, "success", F.when(ok, F.col("latency_ms")).alias("latency_ms"), micros(F.col("ts")).alias("us"))
+    wins = log.withColumn("us", micros(F.col("ts"))).selectExpr(
+        *by, "us", "success", "CASE WHEN success THEN latency_ms END AS latency_ms")
     # Sums of multiples of 1/1024 are exact in any order, and the small rest adds no error that counts.
-    coarse = F.rint(F.col("latency_ms") * 1024) / 1024
-    hist = wins.groupBy(*by, coarse_bucket(F.col("latency_ms")).alias("bucket")).agg(
-        F.count_if(ok).alias("n"), F.count_if(~ok).alias("errors"),
-        F.min("latency_ms").alias("lo"), F.max("latency_ms").alias("hi"),
-        F.sum(coarse).alias("coarse_ms"), F.sum(F.col("latency_ms") - coarse).alias("rest_ms"),
-        F.min("us").alias("first_us"), F.max("us").alias("last_us"))
-    ranks = [*median_ranks(), fraction("p95_ms", 0.95), fraction("p99_ms", 0.99)]
+    coarse = "rint(latency_ms * 1024) / 1024"
+    hist = wins.groupBy(*by, F.expr(coarse_bucket("latency_ms")).alias("bucket")).agg(*map(F.expr, (
+        "count_if(success) AS n", "count_if(NOT success) AS errors", "min(latency_ms) AS lo", "max(latency_ms) AS hi",
+        f"sum({coarse}) AS coarse_ms", f"sum(latency_ms - {coarse}) AS rest_ms",
+        "min(us) AS first_us", "max(us) AS last_us")))
+    ranks = {**MEDIAN, "p95_ms": fraction(0.95), "p99_ms": fraction(0.99)}
     stats = {
-        "operations": F.sum("n"), "errors": F.sum("errors"), "first_us": F.min("first_us"),
-        "last_us": F.max("last_us"),
-        "total_ms": F.sum("coarse_ms") + F.sum("rest_ms"), "min_ms": F.min("lo"), "max_ms": F.max("hi")}
-    brackets = checkpointed(first_brackets(hist, by, ranks, *[c.alias(name) for name, c in stats.items()]))
-    joined = resolve(wins.filter(ok), by, "latency_ms", brackets, ranks, list(stats), sort_rows)
-    elapsed = (F.col("last_us") - F.col("first_us")) / 1e6
+        "operations": "sum(n)", "errors": "sum(errors)", "first_us": "min(first_us)", "last_us": "max(last_us)",
+        "total_ms": "sum(coarse_ms) + sum(rest_ms)", "min_ms": "min(lo)", "max_ms": "max(hi)"}
+    brackets = checkpointed(first_brackets(hist, by, ranks, *[f"{sql} AS {name}" for name, sql in stats.items()]))
+    found = resolve(wins.filter("success"), by, "latency_ms", brackets, ranks, list(stats), sort_rows)
     if runs is not None:
-        joined = joined.join(runs.select("run_id", "started_at", "ended_at"), "run_id", "left")
-        elapsed = (micros(F.col("ended_at")) - micros(F.col("started_at"))) / 1e6
-    return joined.select(
-        *(keys or []), "operations", "errors", elapsed.alias("elapsed_sec"),
-        rate(F.col("operations"), elapsed).alias("ops_per_sec"),
-        F.when(F.col("operations") > 0, F.col("total_ms") / F.col("operations")).alias("avg_ms"),
-        ((F.col("mid_low") + F.col("mid_high")) / 2).alias("p50_ms"), "p95_ms", "p99_ms", "min_ms", "max_ms")
+        times = runs.select("run_id", micros(F.col("started_at")).alias("from_us"),
+                            micros(F.col("ended_at")).alias("to_us"))
+        found = found.drop("first_us", "last_us").join(times, "run_id", "left") \
+            .withColumnsRenamed({"from_us": "first_us", "to_us": "last_us"})
+    return found.selectExpr("*", "(last_us - first_us) / 1e6D AS elapsed_sec").selectExpr(
+        *(keys or []), "operations", "errors", "elapsed_sec",
+        "CASE WHEN elapsed_sec > 0 THEN operations / elapsed_sec END AS ops_per_sec",
+        "CASE WHEN operations > 0 THEN total_ms / operations END AS avg_ms",
+        "(mid_low + mid_high) / 2 AS p50_ms", "p95_ms", "p99_ms", "min_ms", "max_ms")
 
 
 def latency_by_namespace(log: DataFrame, sort_rows: int = SORT_ROWS) -> DataFrame:
@@ -91,19 +86,17 @@ def latency_extremes(by_namespace: DataFrame) -> DataFrame:
 
 def write_throughput(log: DataFrame, runs: DataFrame | None = None) -> DataFrame:
     """Rows and batches per second of each run; only successful batches count."""
-    us = micros(F.col("ts"))
-    sums = log.groupBy("run_id").agg(
-        F.coalesce(F.sum(F.when(F.col("success"), F.col("n_rows"))), F.lit(0)).alias("rows_written"),
-        F.count_if("success").alias("batches"), F.count_if(~F.col("success")).alias("errors"),
-        F.min(us).alias("first_us"), F.max(us).alias("last_us"))
+    sums = log.withColumn("us", micros(F.col("ts"))).groupBy("run_id").agg(*map(F.expr, (
+        "coalesce(sum(CASE WHEN success THEN n_rows END), 0) AS rows_written", "count_if(success) AS batches",
+        "count_if(NOT success) AS errors", "min(us) AS first_us", "max(us) AS last_us")))
     if runs is not None:
-        sums = sums.join(runs.select("run_id", micros(F.col("started_at")).alias("first"),
-                                     micros(F.col("ended_at")).alias("last")), "run_id", "left") \
-            .withColumns({"first_us": F.col("first"), "last_us": F.col("last")})
-    elapsed = (F.col("last_us") - F.col("first_us")) / 1e6
-    return sums.select("run_id", "rows_written", "batches", "errors", elapsed.alias("elapsed_sec"),
-                       rate(F.col("rows_written"), elapsed).alias("rows_per_sec"),
-                       rate(F.col("batches"), elapsed).alias("batches_per_sec"))
+        times = runs.select("run_id", micros(F.col("started_at")).alias("first_us"),
+                            micros(F.col("ended_at")).alias("last_us"))
+        sums = sums.drop("first_us", "last_us").join(times, "run_id", "left")
+    return sums.selectExpr("*", "(last_us - first_us) / 1e6D AS elapsed_sec").selectExpr(
+        "run_id", "rows_written", "batches", "errors", "elapsed_sec",
+        "CASE WHEN elapsed_sec > 0 THEN rows_written / elapsed_sec END AS rows_per_sec",
+        "CASE WHEN elapsed_sec > 0 THEN batches / elapsed_sec END AS batches_per_sec")
 
 
 def throughput_ticks(log: DataFrame, runs: DataFrame | None = None, tick_seconds: int = 1,
@@ -114,28 +107,23 @@ def throughput_ticks(log: DataFrame, runs: DataFrame | None = None, tick_seconds
     so a long run is spread over many tasks.
     """
     runs = run_times(log) if runs is None else runs
-    spans = runs.select("run_id", micros(F.col("started_at")).alias("start_us"),
-                        whole_seconds(micros(F.col("ended_at")) - micros(F.col("started_at"))).alias("seconds"))
-    us = micros(F.col("ts"))
-    tick = F.floor((F.col("us") - F.col("start_us")) / (1_000_000 * tick_seconds))
-    spans = checkpointed(spans)
-    counts = log.select("run_id", us.alias("us"), "success").join(sized(spans), "run_id") \
-        .withColumn("tick", tick).groupBy("run_id", "tick").agg(
-            F.count_if("success").alias("queries"), F.count_if(~F.col("success")).alias("failed"))
-    spine = spans.select("run_id", "seconds", F.explode(
-        F.sequence(F.lit(0).cast("long"), F.floor(F.col("seconds") / tick_seconds))).alias("tick"))
-    full = spine.join(counts, ["run_id", "tick"], "left").fillna(0, ["queries", "failed"]) \
-        .withColumn("chunk", F.floor(F.col("tick") / ticks_per_chunk))
-    before = Window.partitionBy("run_id").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    chunks = counts.groupBy("run_id", F.floor(F.col("tick") / ticks_per_chunk).alias("chunk")).agg(
-        F.sum("queries").alias("q"), F.sum("failed").alias("e"))
-    every_chunk = spans.select("run_id", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(
-        F.floor(F.col("seconds") / tick_seconds) / ticks_per_chunk))).alias("chunk"))
-    offsets = every_chunk.join(chunks, ["run_id", "chunk"], "left").select(
-        "run_id", "chunk", F.coalesce(F.sum("q").over(before), F.lit(0)).alias("q0"),
-        F.coalesce(F.sum("e").over(before), F.lit(0)).alias("e0"))
-    inside = Window.partitionBy("run_id", "chunk").orderBy("tick").rowsBetween(Window.unboundedPreceding, 0)
-    return full.join(offsets, ["run_id", "chunk"]).select(
-        "run_id", "tick", (F.col("seconds") - F.col("tick") * tick_seconds).cast("long").alias("remaining_sec"),
-        (F.sum("queries").over(inside) + F.col("q0")).alias("total_queries"), "queries",
-        (F.sum("failed").over(inside) + F.col("e0")).alias("total_errors"))
+    spans = checkpointed(runs.select("run_id", micros(F.col("started_at")).alias("start_us"),
+                                     micros(F.col("ended_at")).alias("end_us"))
+                         .selectExpr("run_id", "start_us", "(end_us - start_us) DIV 1000000 AS seconds"))
+    counts = log.select("run_id", micros(F.col("ts")).alias("us"), "success").join(sized(spans), "run_id") \
+        .groupBy("run_id", F.expr(f"(us - start_us) DIV {1_000_000 * tick_seconds} AS tick")).agg(
+            F.expr("count_if(success) AS ok"), F.expr("count_if(NOT success) AS bad"))
+    last = f"seconds DIV {tick_seconds}"
+    spine = spans.selectExpr("run_id", "seconds", f"explode(sequence(0L, {last})) AS tick")
+    full = spine.join(counts, ["run_id", "tick"], "left").selectExpr(
+        "*", f"tick DIV {ticks_per_chunk} AS chunk", "coalesce(ok, 0L) AS queries", "coalesce(bad, 0L) AS failed")
+    chunks = counts.groupBy("run_id", F.expr(f"tick DIV {ticks_per_chunk} AS chunk")).agg(
+        F.expr("sum(ok) AS q"), F.expr("sum(bad) AS e"))
+    before = "OVER (PARTITION BY run_id ORDER BY chunk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    offsets = spans.selectExpr("run_id", f"explode(sequence(0L, {last} DIV {ticks_per_chunk})) AS chunk") \
+        .join(chunks, ["run_id", "chunk"], "left").selectExpr(
+            "run_id", "chunk", f"coalesce(sum(q) {before}, 0L) AS q0", f"coalesce(sum(e) {before}, 0L) AS e0")
+    upto = "OVER (PARTITION BY run_id, chunk ORDER BY tick ROWS UNBOUNDED PRECEDING)"
+    return full.join(offsets, ["run_id", "chunk"]).selectExpr(
+        "run_id", "tick", f"seconds - tick * {tick_seconds} AS remaining_sec",
+        f"sum(queries) {upto} + q0 AS total_queries", "queries", f"sum(failed) {upto} + e0 AS total_errors")

@@ -44,12 +44,12 @@ def rounded(df: DataFrame) -> DataFrame:
 @query
 def topk_all_namespaces(spark, sf):
     """Every vector as a query, the ten best of each namespace by inner product."""
-    return rounded(search.search(V.vectors(spark, sf), V.queries(spark, sf)))
+    return rounded(search.search(V.search_vectors(spark, sf), V.queries(spark, sf)))
 
 
 @query
 def topk_one_namespace(spark, sf):
-    return rounded(search.search_namespace(V.vectors(spark, sf), V.queries(spark, sf), "ns-3", metric="cosine")) \
+    return rounded(search.search_namespace(V.search_vectors(spark, sf), V.queries(spark, sf), "ns-3", metric="cosine")) \
         .drop("namespace")
 
 
@@ -57,7 +57,7 @@ def topk_one_namespace(spark, sf):
 def topk_default_namespace(spark, sf):
     """One synthetic query vector on the default namespace, by distance."""
     q = generate.uniform_block([0], V.DIMENSION, 1)[0] / 8
-    return rounded(search.top_k(V.vectors(spark, sf), q.tolist(), metric="euclidean"))
+    return rounded(search.top_k(V.search_vectors(spark, sf), q.tolist(), metric="euclidean"))
 
 
 # -- collection ---------------------------------------------------------------------------------------------------
@@ -122,7 +122,7 @@ def _stored(spark, sf):
 def upsert_result(spark, sf):
     """A collection written by one upsert and changed by another."""
     target = _stored(spark, sf)
-    target.upsert(V.full_changes(spark, sf))
+    target.upsert(V.changes(spark, sf))
     return target.read().select("namespace", "id", "values")
 
 
@@ -130,7 +130,7 @@ def upsert_result(spark, sf):
 def upsert_plan(spark, sf):
     """The same changes as a plain table operation."""
     return collection.upserted(V.vectors(spark, sf).withColumn("metadata", F.lit(None).cast("string")),
-                               V.full_changes(spark, sf)).select("namespace", "id", "values")
+                               V.changes(spark, sf)).select("namespace", "id", "values")
 
 
 @query
@@ -344,7 +344,7 @@ def stream_status_changes(spark, sf):
 @query
 def stream_upsert(spark, sf):
     source = new_dir(spark, "changes")
-    V.full_changes(spark, sf).write.parquet(source)
+    V.changes(spark, sf).write.parquet(source)
     target = _stored(spark, sf)
     stream = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
     _finish(monitors.continuous_upsert(stream, target, "changes"), spark, "upsert")

@@ -16,26 +16,27 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def _namespace(number, prefix: str = "ns-"):
-    return F.when(number == 0, M.DEFAULT_NAMESPACE).otherwise(F.concat(F.lit(prefix), number.cast("string")))
+def _namespace(number: str) -> str:
+    return f"CASE WHEN {number} = 0 THEN '{M.DEFAULT_NAMESPACE}' ELSE concat('ns-', {number}) END AS namespace"
 
 
 def vectors(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "embeddings").select(
-        _namespace(F.col("label")).alias("namespace"), F.col("vec_id").cast("string").alias("id"),
-        F.col("embedding").cast("array<double>").alias("values"))
+    return table(spark, sf, "embeddings").selectExpr(
+        _namespace("label"), "string(vec_id) AS id", "CAST(embedding AS array<double>) AS values")
+
+
+def search_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """The vectors as stored: a search widens the elements itself."""
+    return table(spark, sf, "embeddings").selectExpr(_namespace("label"), "string(vec_id) AS id", "embedding AS values")
 
 
 def records(spark: SparkSession, sf: str) -> DataFrame:
     """The vectors as complete collection records."""
-    sparse = F.when(F.col("vec_id") % 3 == 0, F.struct(
-        F.array(F.col("vec_id"), F.col("vec_id") + 1).alias("indices"),
-        F.array(F.lit(0.5), F.lit(0.25)).alias("values")))
-    meta = F.concat(F.lit('{"batch_id": '), F.floor(F.col("vec_id") / 100).cast("string"), F.lit("}"))
-    return table(spark, sf, "embeddings").select(
-        _namespace(F.col("label")).alias("namespace"), F.col("vec_id").cast("string").alias("id"),
-        F.col("embedding").cast("array<double>").alias("values"), sparse.cast(M.SPARSE).alias("sparse_values"),
-        meta.alias("metadata"), F.col("vec_id").alias("number"))
+    return table(spark, sf, "embeddings").selectExpr(
+        _namespace("label"), "string(vec_id) AS id", "CAST(embedding AS array<double>) AS values",
+        "CASE WHEN vec_id % 3 = 0 THEN named_struct('indices', array(vec_id, vec_id + 1), "
+        "'values', array(0.5D, 0.25D)) END AS sparse_values",
+        """concat('{"batch_id": ', vec_id DIV 100, '}') AS metadata""", "vec_id AS number")
 
 
 def raw_records(spark: SparkSession, sf: str) -> DataFrame:
@@ -43,64 +44,48 @@ def raw_records(spark: SparkSession, sf: str) -> DataFrame:
 
     A directory needs a name, so the default namespace goes by ``ns-0`` here.
     """
-    fault = F.col("number") % 25
-    v = F.col("values")
-    faulty = records(spark, sf).withColumns({
-        "namespace": F.when(F.col("namespace") == "", "ns-0").otherwise(F.col("namespace")),
-        "id": F.when(fault != 0, F.col("id")),
-        "values": F.when(fault == 1, F.lit(None).cast("array<double>"))
-        .when(fault == 2, F.slice(v, 1, DIMENSION - 1))
-        .when(fault == 3, F.concat(F.array(F.lit(float("nan"))), F.slice(v, 2, DIMENSION - 1)))
-        .when(fault == 4, F.concat(F.array(F.lit(None).cast("double")), F.slice(v, 2, DIMENSION - 1)))
-        .otherwise(v)})
-    return faulty.unionByName(faulty.filter(F.col("number") % 25 == 5)).drop("number")
+    rest = f"slice(values, 2, {DIMENSION - 1})"
+    faulty = records(spark, sf).selectExpr(
+        "CASE WHEN namespace = '' THEN 'ns-0' ELSE namespace END AS namespace",
+        "CASE WHEN number % 25 <> 0 THEN id END AS id",
+        f"""CASE number % 25 WHEN 1 THEN NULL WHEN 2 THEN slice(values, 1, {DIMENSION - 1})
+            WHEN 3 THEN concat(array(double('NaN')), {rest})
+            WHEN 4 THEN concat(array(CAST(NULL AS double)), {rest}) ELSE values END AS values""",
+        "sparse_values", "metadata", "number")
+    return faulty.unionByName(faulty.filter("number % 25 = 5")).drop("number")
 
 
 def queries(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "embeddings").select(
-        F.col("vec_id").alias("qid"), F.col("embedding").cast("array<double>").alias("qv"))
+    return table(spark, sf, "embeddings").selectExpr("vec_id AS qid", "embedding AS qv")
 
 
 def changes(spark: SparkSession, sf: str) -> DataFrame:
-    """Every third vector negated, an older change to each of them, and as many new ids."""
-    third = vectors(spark, sf).filter(F.col("id").cast("long") % 3 == 0)
-    negated = F.transform("values", lambda x: -x)
-    doubled = F.transform("values", lambda x: x * 2)
-    return third.select("namespace", "id", negated.alias("values"), F.lit(2).cast("long").alias("seq")) \
-        .unionByName(third.select("namespace", "id", doubled.alias("values"), F.lit(1).cast("long").alias("seq"))) \
-        .unionByName(third.select("namespace", F.concat(F.lit("new-"), F.col("id")).alias("id"),
-                                  F.col("values"), F.lit(1).cast("long").alias("seq")))
-
-
-def full_changes(spark: SparkSession, sf: str) -> DataFrame:
-    return _as_records(changes(spark, sf), "seq")
-
-
-def _as_records(df: DataFrame, *more: str) -> DataFrame:
-    return df.select("namespace", "id", "values", F.lit(None).cast(M.SPARSE).alias("sparse_values"),
-                     F.lit(None).cast("string").alias("metadata"), *more)
+    """Every third vector negated, an older change to each of them, and as many new ids; as complete records."""
+    third = vectors(spark, sf).filter("bigint(id) % 3 = 0")
+    nothing = [f"CAST(NULL AS {M.SPARSE.simpleString()}) AS sparse_values", "CAST(NULL AS string) AS metadata"]
+    return third.selectExpr("namespace", "id", "transform(values, x -> -x) AS values", *nothing, "2L AS seq") \
+        .unionByName(third.selectExpr("namespace", "id", "transform(values, x -> x * 2) AS values", *nothing,
+                                      "1L AS seq")) \
+        .unionByName(third.selectExpr("namespace", "concat('new-', id) AS id", "values", *nothing, "1L AS seq"))
 
 
 def op_log(events: DataFrame) -> DataFrame:
     """Events as operations: one run per day, 24 namespaces, ``error`` events as failed operations."""
-    return events.select(
-        F.concat(F.lit("run-"), F.date_format("ts", "yyyy-MM-dd")).alias("run_id"),
-        F.col("event_id").alias("op_id"), "ts", F.lit("query").alias("op"),
-        _namespace(F.col("user_id") % 24).alias("namespace"), F.lit(100).cast("long").alias("n_rows"),
-        (F.col("event_type") != "error").alias("success"), F.col("value").alias("latency_ms"))
+    return events.selectExpr(
+        "concat('run-', date_format(ts, 'yyyy-MM-dd')) AS run_id", "event_id AS op_id", "ts", "'query' AS op",
+        _namespace("(user_id % 24)"), "100L AS n_rows", "event_type <> 'error' AS success", "value AS latency_ms")
 
 
 def status_events(events: DataFrame) -> DataFrame:
     """Events as states of one job per user: purchases complete a job, errors fail it."""
-    kind = F.col("event_type")
-    status = F.when(kind == "purchase", "Completed").when(kind == "error", "Failed") \
-        .when(kind == "signup", "Pending").otherwise("InProgress")
-    return events.select(
-        F.concat(F.lit("job-"), F.col("user_id").cast("string")).alias("job_id"), "ts", F.col("event_id").alias("seq"),
-        status.alias("status"), F.concat(F.lit("s3://bucket/"), F.col("user_id").cast("string")).alias("uri"),
-        F.when(kind == "purchase", 100.0).when(kind == "view", 50.0).alias("percent_complete"),
-        F.when(kind != "error", F.floor(F.col("value") / 50)).cast("long").alias("records_imported"),
-        F.when(kind == "error", F.col("props")).alias("error"))
+    return events.selectExpr(
+        "concat('job-', user_id) AS job_id", "ts", "event_id AS seq",
+        """CASE event_type WHEN 'purchase' THEN 'Completed' WHEN 'error' THEN 'Failed'
+           WHEN 'signup' THEN 'Pending' ELSE 'InProgress' END AS status""",
+        "concat('s3://bucket/', user_id) AS uri",
+        "CASE event_type WHEN 'purchase' THEN 100D WHEN 'view' THEN 50D END AS percent_complete",
+        "CASE WHEN event_type <> 'error' THEN floor(value / 50) END AS records_imported",
+        "CASE WHEN event_type = 'error' THEN props END AS error")
 
 
 def events(spark: SparkSession, sf: str) -> DataFrame:
@@ -109,38 +94,34 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
 
 def manifest(spark: SparkSession, sf: str) -> DataFrame:
     """One object per document; the last digit of the id decides the shape of its key."""
-    digit = F.col("doc_id") % 10
-    name = F.concat(F.lit("f"), F.col("doc_id").cast("string"))
-    folder = F.concat(F.lit(f"{PREFIX}/"), F.col("source"))
-    key = F.when(digit == 0, F.concat(F.lit(f"{PREFIX}/"), name, F.lit(".parquet"))) \
-        .when(digit == 1, F.concat(folder, F.lit("/x/"), name, F.lit(".parquet"))) \
-        .when(digit == 2, F.concat(folder, F.lit("/"), name, F.lit(".txt"))) \
-        .when(digit == 3, F.concat(folder, F.lit("/"))) \
-        .when(digit == 4, F.concat(F.lit(f"{PREFIX}//"), name, F.lit(".parquet"))) \
-        .otherwise(F.concat(folder, F.lit("/"), name, F.lit(".parquet")))
-    return table(spark, sf, "documents").select(key.alias("key"), F.col("n_chars").alias("size"))
+    return table(spark, sf, "documents").selectExpr(
+        f"""CASE doc_id % 10
+              WHEN 0 THEN concat('{PREFIX}/f', doc_id, '.parquet')
+              WHEN 1 THEN concat('{PREFIX}/', source, '/x/f', doc_id, '.parquet')
+              WHEN 2 THEN concat('{PREFIX}/', source, '/f', doc_id, '.txt')
+              WHEN 3 THEN concat('{PREFIX}/', source, '/')
+              WHEN 4 THEN concat('{PREFIX}//f', doc_id, '.parquet')
+              ELSE concat('{PREFIX}/', source, '/f', doc_id, '.parquet') END AS key""",
+        "n_chars AS size")
 
 
 def import_requests(spark: SparkSession, sf: str) -> DataFrame:
     """One import request per page, in every address shape for every environment."""
-    number = F.col("page_id").cast("string")
-    host = F.regexp_extract("url", r"^https?://([^/]+)", 1)
-    path = F.regexp_extract("url", r"^https?://[^/]+/([^?#]*)", 1)
-    shape = F.col("page_id") % 8
-    uri = F.when(shape == 0, F.concat(F.lit("s3://"), host, F.lit("/"), path)) \
-        .when(shape == 1, F.concat(F.lit("s3://arn:aws:s3:us-east-1:"), number, F.lit(":accesspoint/"), host,
-                                   F.lit("/"), path)) \
-        .when(shape == 2, F.concat(F.lit("gs://"), host, F.lit("/"), path, F.lit("//"))) \
-        .when(shape == 3, F.concat(F.lit("azure://"), host, F.lit("/"), path)) \
-        .when(shape == 4, F.concat(F.lit("https://acct"), number, F.lit(".blob.core.windows.net/c"), number,
-                                   F.lit("/"), path)) \
-        .when(shape == 5, F.col("url")) \
-        .when(shape == 6, F.concat(F.lit("s3://"), host)).otherwise("s3://")
-    env = F.element_at(F.array(*[F.lit(e) for e in M.ENVIRONMENTS]),
-                       (F.floor(F.col("page_id") / 8) % len(M.ENVIRONMENTS) + 1).cast("int"))
-    mode = F.element_at(F.array(*[F.lit(m) for m in ("c", "Abort", " a", "")]), (F.col("page_id") % 4 + 1).cast("int"))
-    return table(spark, sf, "pages").select(
-        F.col("page_id").alias("request_id"), env.alias("env"), uri.alias("uri"), mode.alias("error_mode"))
+    environments = ", ".join(f"'{e}'" for e in M.ENVIRONMENTS)
+    parts = table(spark, sf, "pages").selectExpr(
+        "page_id", "url", "regexp_extract(url, '^https?://([^/]+)', 1) AS host",
+        "regexp_extract(url, '^https?://[^/]+/([^?#]*)', 1) AS path")
+    return parts.selectExpr(
+        "page_id AS request_id",
+        f"element_at(array({environments}), int(page_id DIV 8 % {len(M.ENVIRONMENTS)} + 1)) AS env",
+        """CASE page_id % 8
+             WHEN 0 THEN concat('s3://', host, '/', path)
+             WHEN 1 THEN concat('s3://arn:aws:s3:us-east-1:', page_id, ':accesspoint/', host, '/', path)
+             WHEN 2 THEN concat('gs://', host, '/', path, '//')
+             WHEN 3 THEN concat('azure://', host, '/', path)
+             WHEN 4 THEN concat('https://acct', page_id, '.blob.core.windows.net/c', page_id, '/', path)
+             WHEN 5 THEN url WHEN 6 THEN concat('s3://', host) ELSE 's3://' END AS uri""",
+        "element_at(array('c', 'Abort', ' a', ''), int(page_id % 4 + 1)) AS error_mode")
 
 
 def numbered(spark: SparkSession, sf: str) -> DataFrame:
