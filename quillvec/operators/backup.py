@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quillvec import model as M
 from quillvec.functions.scalars import backup_description, backup_name, from_token, megabytes, to_token
-from quillvec.operators.collection import STORED, Collection
+from quillvec.operators.collection import Collection
 from quillvec.sources.logs import read_backups
 from quillvec.sources.manifest import EmptyListing, list_directory
 
@@ -45,7 +45,7 @@ def create_backup(collection: Collection, root: str, index: str, name: str | Non
 
 
 def read_backup(collection: Collection, root: str, backup_id: str) -> DataFrame:
-    rows = collection.spark.read.schema(STORED).parquet(f"{root.rstrip('/')}/{backup_id}")
+    rows = collection.spark.read.schema(M.VECTOR_SCHEMA).parquet(f"{root.rstrip('/')}/{backup_id}")
     return rows.withColumn("namespace", from_token(F.col("namespace"))).select(*M.RECORD_COLUMNS)
 
 

@@ -10,20 +10,28 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections import Counter
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillvec import model as M
 from quillvec.functions.scalars import from_token, to_token
 from quillvec.storage import child_names, hadoop_path, read_text, sized, write_text_once
 
-LIVE = "kept=true"
-REJECTED = "kept=false"
-STORED = ", ".join(["id string", "values array<double>",
-                    "sparse_values struct<indices: array<bigint>, values: array<double>>",
-                    "metadata string", "file string", "reasons array<string>", "namespace string"])
+STORED = T.StructType([
+    *M.RECORD_FIELDS,
+    T.StructField("file", T.StringType()),
+    T.StructField("reasons", T.ArrayType(T.StringType())),
+])
+PLACED = T.StructType([
+    *STORED, T.StructField("segment", T.StringType()), T.StructField("kept", T.BooleanType()),
+    T.StructField("namespace", T.StringType()),
+])
+MOST_PIECES = 32
 
 
 class CommitConflict(RuntimeError):
@@ -73,8 +81,9 @@ class Collection:
 
     # -- segments ---------------------------------------------------------------------------------------------
 
-    def segment_path(self, segment: str) -> str:
-        return f"{self.root}/segments/{segment}"
+    def segment_path(self, segment: str, kept: bool | None = None) -> str:
+        path = f"{self.root}/segments/segment={segment}"
+        return path if kept is None else f"{path}/kept={str(kept).lower()}"
 
     def new_segment(self) -> str:
         return uuid.uuid4().hex[:16]
@@ -101,49 +110,47 @@ class Collection:
         fs.delete(jpath, True)
 
     def segment_tokens(self, segment: str) -> list[str]:
-        folder = f"{self.segment_path(segment)}/{LIVE}"
+        folder = self.segment_path(segment, True)
         names = [n.split("=", 1)[1] for n in child_names(self.spark, folder) if n.startswith("namespace=")]
         unescape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
         return [unescape(n) for n in names]
 
-    def _segment(self, segment: str, part: str = LIVE) -> DataFrame:
-        path = f"{self.segment_path(segment)}/{part}"
-        return self.spark.read.schema(STORED).option("basePath", path).parquet(path)
+    def _scan(self, paths: list[str]) -> DataFrame:
+        """Segment directories as one scan, with segment, kept and namespace token from the path."""
+        if not paths:
+            return self.spark.createDataFrame([], PLACED)
+        return self.spark.read.schema(PLACED).option("basePath", f"{self.root}/segments").parquet(*paths)
+
+    def segment_files(self, segment: str) -> DataFrame:
+        """Source files of a segment, one row per record."""
+        return self._scan([self.segment_path(segment)]).select("file")
 
     # -- reading ----------------------------------------------------------------------------------------------
 
-    def _live_rows(self, version: Version, only: dict[str, list[str]] | None = None) -> DataFrame:
-        """Live rows with ``segment`` and ``token``; the token filter prunes directories."""
-        parts = []
-        for segment, tokens in (version.live if only is None else only).items():
-            rows = self._segment(segment)
+    def _live_rows(self, live: dict[str, list[str]]) -> DataFrame:
+        """Rows of the given namespaces of segments; the filter is on directory names and prunes them."""
+        rows = self._scan([self.segment_path(s, True) for s in live])
+        partial = []
+        for segment, tokens in live.items():
+            wanted = F.col("segment") == segment
             if set(tokens) != set(self.segment_tokens(segment)):
-                rows = rows.filter(F.col("namespace").isin(tokens))
-            parts.append(rows.withColumnRenamed("namespace", "token").withColumn("segment", F.lit(segment)))
-        if not parts:
-            empty = self.spark.createDataFrame([], STORED)
-            return empty.withColumnRenamed("namespace", "token").withColumn("segment", F.lit(""))
-        out = parts[0]
-        for part in parts[1:]:
-            out = out.unionByName(part)
-        return out
+                wanted = wanted & F.col("namespace").isin(tokens)
+            partial.append(wanted)
+        rows = rows.filter(reduce(Column.__or__, partial)) if partial else rows
+        return rows.withColumnRenamed("namespace", "token")
 
     def read(self, namespace: str | None = None, number: int | None = None) -> DataFrame:
-        """Records of a version; with a namespace, only its directories are listed in the plan."""
-        version = self.version(number)
-        only = None
+        """Records of a version; with a namespace, only its directories are in the plan."""
+        live = self.version(number).live
         if namespace is not None:
             token = M.DEFAULT_TOKEN if namespace == M.DEFAULT_NAMESPACE else namespace
-            only = {s: [token] for s, tokens in version.live.items() if token in tokens}
-        rows = self._live_rows(version, only)
-        return rows.select(from_token(F.col("token")).alias("namespace"), "id", "values", "sparse_values", "metadata")
+            live = {s: [token] for s, tokens in live.items() if token in tokens}
+        return self._live_rows(live).withColumn("namespace", from_token(F.col("token"))).select(*M.RECORD_COLUMNS)
 
     def rejected(self, segment: str) -> DataFrame:
-        path = f"{self.segment_path(segment)}/{REJECTED}"
-        if not child_names(self.spark, path):
-            return self.spark.createDataFrame([], STORED).select("namespace", "id", "file", "reasons")
-        return self._segment(segment, REJECTED).select(
-            from_token(F.col("namespace")).alias("namespace"), "id", "file", "reasons")
+        path = self.segment_path(segment, False)
+        rows = self._scan([path] if child_names(self.spark, path) else [])
+        return rows.select(from_token(F.col("namespace")).alias("namespace"), "id", "file", "reasons")
 
     # -- changes ----------------------------------------------------------------------------------------------
 
@@ -151,22 +158,28 @@ class Collection:
               applied: dict[str, int] | None = None) -> Version:
         """Commit a written segment over ``base``: its records replace those with the same namespace and id.
 
-        Only ids are compared to find what is replaced. A namespace of an older segment is rewritten only if it
-        holds a replaced record; else both segments stay side by side.
+        Only ids are compared to find what is replaced. A namespace of an older segment is rewritten if it holds
+        a replaced record, or if the namespace has come to lie in very many segments; else the segments stay
+        side by side.
         """
         touched = {s: sorted(set(t) & set(tokens)) for s, t in base.live.items()}
         touched = {s: t for s, t in touched.items() if t}
         live = {s: list(t) for s, t in base.live.items()}
         if touched:
-            keys = sized(self._segment(segment).select(F.col("namespace").alias("token"), "id"))
-            rows = self._live_rows(base, touched)
+            keys = sized(self._live_rows({segment: tokens}).select("token", "id"))
+            rows = self._live_rows(touched)
             hits = rows.select("segment", "token", "id").join(keys, ["token", "id"], "left_semi") \
                 .select("segment", "token").distinct().collect()
-            replaced: dict[str, list[str]] = {}
+            replaced: dict[str, set[str]] = {}
             for hit in hits:
-                replaced.setdefault(hit.segment, []).append(hit.token)
+                replaced.setdefault(hit.segment, set()).add(hit.token)
+            pieces = Counter(t for found in touched.values() for t in found)
+            for old, found in touched.items():
+                replaced.setdefault(old, set()).update(t for t in found if pieces[t] >= MOST_PIECES)
+            replaced = {s: t for s, t in replaced.items() if t}
             if replaced:
-                rest = self._live_rows(base, replaced).join(keys, ["token", "id"], "left_anti") \
+                rest = self._live_rows({s: sorted(t) for s, t in replaced.items()}) \
+                    .join(keys, ["token", "id"], "left_anti") \
                     .withColumn("namespace", from_token(F.col("token"))).select(*M.RECORD_COLUMNS, "file")
                 kept = self.new_segment()
                 live[kept] = self.write_segment(rest, kept)

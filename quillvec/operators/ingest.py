@@ -85,25 +85,29 @@ def import_check(spark: SparkSession, prefix: str) -> DataFrame:
     return layout.verdict(layout.classify(list_directory(spark, prefix), ""))
 
 
-def _repeats(records: DataFrame) -> DataFrame:
-    """Ids that occur more than once in a namespace, with the occurrence that counts: the last by file and row.
+def _last_good(records: DataFrame, rules: DataFrame) -> DataFrame | None:
+    """For ids that occur more than once in a namespace, the good occurrence that counts: the last by file and row.
 
-    Only ids and positions move; vectors stay where they are.
+    The search for such ids reads no vectors. Only if there are any are their records read and judged.
     """
-    at = F.struct("file", "row_index")
-    return records.filter(F.col("id").isNotNull()).groupBy("namespace", "id") \
-        .agg(F.count("*").alias("copies"), F.max(at).alias("last")).filter(F.col("copies") > 1).drop("copies")
+    repeated = records.filter("id IS NOT NULL").groupBy("namespace", "id").agg(F.count("*").alias("copies")) \
+        .filter("copies > 1").drop("copies")
+    repeated = checkpointed(repeated)
+    if repeated.isEmpty():
+        return None
+    good = rules.join(sized(repeated), ["namespace", "id"], "left_semi").filter("size(reasons) = 0")
+    return good.groupBy("namespace", "id").agg(F.expr("max(struct(file, row_index)) AS last"))
 
 
 def judged(records: DataFrame, dimension: int) -> DataFrame:
     """Records with ``reasons`` and ``kept``. Of good records with one id the last counts, the others are rejected."""
     rules = records.withColumn("reasons", reject_reasons(dimension))
-    good = F.size("reasons") == 0
-    repeats = sized(checkpointed(_repeats(rules.filter(good))))
-    superseded = good & F.col("last").isNotNull() & (F.struct("file", "row_index") != F.col("last"))
-    return rules.join(repeats, ["namespace", "id"], "left") \
-        .withColumn("reasons", F.when(superseded, F.array(F.lit("repeated_id"))).otherwise(F.col("reasons"))) \
-        .withColumn("kept", good).drop("last", "row_index")
+    last = _last_good(records, rules)
+    if last is not None:
+        superseded = "size(reasons) = 0 AND last IS NOT NULL AND struct(file, row_index) <> last"
+        rules = rules.join(sized(checkpointed(last)), ["namespace", "id"], "left").withColumn(
+            "reasons", F.expr(f"CASE WHEN {superseded} THEN array('repeated_id') ELSE reasons END")).drop("last")
+    return rules.withColumn("kept", F.expr("size(reasons) = 0")).drop("row_index")
 
 
 def import_vectors(collection: Collection, prefix: str, dimension: int, error_mode: str = M.CONTINUE) -> ImportResult:
@@ -143,8 +147,7 @@ def rejected_files(collection: Collection, result: ImportResult) -> DataFrame:
     spark = collection.spark
     listed = layout.classify(list_directory(spark, result.prefix), "").filter(F.col("class") == "valid") \
         .select("namespace", F.col("rel").alias("file"), F.col("file").alias("name"), "size")
-    segment = spark.read.schema("file string").parquet(collection.segment_path(result.segment))
-    loaded = segment.groupBy("file").agg(F.count("*").alias("loaded"))
+    loaded = collection.segment_files(result.segment).groupBy("file").agg(F.count("*").alias("loaded"))
     known = listed.join(footer_row_counts(spark, result.prefix), "file", "left").join(loaded, "file", "left") \
         .fillna(0, ["n_rows", "loaded"])
     hidden = F.col("name").startswith("_") | F.col("name").startswith(".")

@@ -56,6 +56,17 @@ def test_only_replaced_namespaces_are_rewritten(spark, target, rows):
     assert content(rows, target) == [("a", "1", 1.0), ("a", "2", 4.0), ("b", "1", 5.0), ("c", "1", 3.0)]
 
 
+def test_pieces_of_a_namespace_stay_few(spark, target, rows, monkeypatch):
+    monkeypatch.setattr(C, "MOST_PIECES", 3)
+    most = 0
+    for i in range(8):
+        target.upsert(records(spark, ("a", str(i), i, 1), *([("b", "x", i, 1)] if i in (0, 5) else [])))
+        live = target.version().live
+        most = max(most, sum("a" in tokens for tokens in live.values()))
+    assert most == 3
+    assert content(rows, target) == [("a", str(i), float(i)) for i in range(8)] + [("b", "x", 5.0)]
+
+
 def test_hot_id(spark, target, rows):
     target.upsert(records(spark, *[("n", "hot", i, i) for i in range(500)], ("n", "x", 1, 1)).repartition(8))
     assert content(rows, target) == [("n", "hot", 499.0), ("n", "x", 1.0)]
