@@ -6,13 +6,13 @@ by its own task; what a slice needs from earlier ones is carried over in one row
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillvec import model as M
-from quillvec.functions.scalars import is_import_done, micros, percent_text, whole_seconds
+from quillvec.functions.scalars import is_import_done, micros, percent_text
 from quillvec.storage import checkpointed, sized
 
 SLICE_ROWS = 1_000_000
@@ -23,77 +23,65 @@ def _sliced(events: DataFrame, slice_rows: int) -> tuple[DataFrame, bool]:
     """Add ``us`` and ``slice``. Only jobs above ``slice_rows`` events are cut, so the table of cuts is short:
     it has at most one row per ``slice_rows`` events."""
     events = events.withColumn("us", micros(F.col("ts")))
-    big = checkpointed(events.groupBy("job_id").agg(
-        F.count("*").alias("n"), F.min("us").alias("from_us"), F.max("us").alias("to_us"))
-        .filter(F.col("n") > slice_rows).select(
-            "job_id", "from_us", (F.col("to_us") - F.col("from_us") + 1).alias("width"),
-            F.ceil(F.lit(4) * F.col("n") / slice_rows).alias("cuts")))
+    big = events.groupBy("job_id").agg(F.expr("count(*) AS n"), F.expr("min(us) AS from_us"), F.expr("max(us) AS to_us")) \
+        .filter(F.col("n") > slice_rows).selectExpr(
+            "job_id", "from_us", "to_us - from_us + 1 AS width", f"ceil(4 * n / {slice_rows}) AS cuts")
+    big = checkpointed(big)
     if big.isEmpty():
         return events.withColumn("slice", F.lit(0).cast("long")), False
-    cut = F.floor((F.col("us") - F.col("from_us")).cast("double") / F.col("width") * F.col("cuts"))
-    return events.join(sized(big), "job_id", "left").withColumn("slice", F.coalesce(cut, F.lit(0))) \
-        .drop("from_us", "width", "cuts"), True
+    slice_ = "coalesce(floor(CAST(us - from_us AS DOUBLE) / width * cuts), 0L) AS slice"
+    return events.join(sized(big), "job_id", "left").selectExpr(*events.columns, slice_), True
 
 
 def annotate(events: DataFrame, is_done: Callable[[Column], Column] = is_import_done,
-             slice_rows: int = SLICE_ROWS) -> DataFrame:
-    """Add to each event: the record before it (``prev``), seconds since the job's first event (``elapsed``),
-    and whether a terminal event came before (``over``)."""
+             slice_rows: int = SLICE_ROWS, fields: Sequence[str] = RECORD_FIELDS) -> DataFrame:
+    """Add to each event: the ``fields`` of the one before it (``prev``), seconds since the job's first event
+    (``elapsed``), and whether a terminal event came before (``over``). Only the columns in use are moved."""
     rows, cut = _sliced(events, slice_rows)
-    w = Window.partitionBy("job_id", "slice").orderBy("ts", "seq")
-    earlier = w.rowsBetween(Window.unboundedPreceding, -1)
-    record = F.struct(*RECORD_FIELDS)
-    done = is_done(F.col("status"))
-    rows = rows.withColumns({
-        "prev": F.lag(record).over(w),
-        "first_us": F.first("us").over(w.rowsBetween(Window.unboundedPreceding, 0)),
-        "over": F.coalesce(F.max(done).over(earlier), F.lit(False)),
-    })
+    record = F.struct(*fields).alias("record")
+    rows = rows.select("job_id", "slice", "ts", "us", "seq", record, is_done(F.col("status")).alias("done"))
+    w = "OVER (PARTITION BY job_id, slice ORDER BY ts, seq{})"
+    before = w.format(" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING")
+    upto = w.format(" ROWS UNBOUNDED PRECEDING")
+    rows = rows.selectExpr("*", f"lag(record) {w.format('')} AS prev", f"first(us) {upto} AS first_us",
+                           f"coalesce(max(done) {before}, false) AS over")
     if cut:
-        rows = _carried(rows, w, record, done)
-    return rows.withColumn("elapsed", whole_seconds(F.col("us") - F.col("first_us"))).drop("us", "slice", "first_us")
-
-
-def _carried(rows: DataFrame, w, record: Column, done: Column) -> DataFrame:
-    last = rows.withColumns({"next": F.lead("seq").over(w), "record": record, "any_done": F.col("over") | done}) \
-        .filter(F.col("next").isNull())
-    across = Window.partitionBy("job_id").orderBy("slice")
-    before = across.rowsBetween(Window.unboundedPreceding, -1)
-    carry = last.select("job_id", "slice", F.lag("record").over(across).alias("prev_before"),
-                        F.min("first_us").over(before).alias("first_before"),
-                        F.max("any_done").over(before).alias("over_before")).filter(F.col("first_before").isNotNull())
-    carry = sized(checkpointed(carry))
-    first = F.col("prev").isNull()
-    return rows.join(carry, ["job_id", "slice"], "left").withColumns({
-        "prev": F.when(first, F.col("prev_before")).otherwise(F.col("prev")),
-        "first_us": F.coalesce("first_before", "first_us"),
-        "over": F.col("over") | F.coalesce("over_before", F.lit(False)),
-    }).drop("prev_before", "first_before", "over_before")
+        rows = _carried(rows, w.format(""))
+    return rows.selectExpr("job_id", "seq", "record.*", "prev", "(us - first_us) DIV 1000000 AS elapsed", "over")
 
 
-def watched(events: DataFrame, is_done: Callable[[Column], Column] = is_import_done,
-            slice_rows: int = SLICE_ROWS) -> DataFrame:
-    """Events up to and with the first terminal one of each job, annotated."""
-    return annotate(events, is_done, slice_rows).filter(~F.col("over")).drop("over")
+def _carried(rows: DataFrame, w: str) -> DataFrame:
+    """Bring into each slice what the earlier slices of its job leave behind."""
+    last = rows.selectExpr("*", f"lead(seq) {w} AS next").filter("next IS NULL")
+    before = "OVER (PARTITION BY job_id ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    carry = last.selectExpr(
+        "job_id", "slice", "lag(record) OVER (PARTITION BY job_id ORDER BY slice) AS prev_before",
+        f"min(first_us) {before} AS first_before", f"max(over OR done) {before} AS over_before") \
+        .filter("first_before IS NOT NULL")
+    return rows.join(sized(checkpointed(carry)), ["job_id", "slice"], "left").selectExpr(
+        "job_id", "us", "seq", "record", "coalesce(prev, prev_before) AS prev",
+        "coalesce(first_before, first_us) AS first_us", "over OR coalesce(over_before, false) AS over")
 
 
-def is_reported(status: Column, previous: Column, elapsed: Column) -> Column:
-    """A status is reported when it changes and at every half minute."""
-    return ~status.eqNullSafe(previous) | (F.pmod(elapsed, F.lit(M.REPRINT_SECONDS)) == 0)
+def watched(events: DataFrame, is_done: Callable[[Column], Column] = is_import_done,
+            slice_rows: int = SLICE_ROWS, fields: Sequence[str] = RECORD_FIELDS) -> DataFrame:
+    """Events up to and with the first terminal one of each job, annotated."""
+    return annotate(events, is_done, slice_rows, fields).filter("NOT over").drop("over")
 
 
 def status_changes(events: DataFrame, is_done: Callable[[Column], Column] = is_import_done,
                    slice_rows: int = SLICE_ROWS) -> DataFrame:
-    """Reported states of each job until its first terminal one."""
-    shown = is_reported(F.col("status"), F.col("prev.status"), F.col("elapsed"))
-    return watched(events, is_done, slice_rows).filter(shown).select("job_id", "seq", "status", "elapsed")
+    """States of each job that are reported, until its first terminal one: changes, and those at every half minute."""
+    return watched(events, is_done, slice_rows, ["status"]).filter(
+        f"NOT (status <=> prev.status) OR elapsed % {M.REPRINT_SECONDS} = 0").select("job_id", "seq", "status", "elapsed")
 
 
 def record_changes(events: DataFrame, is_done: Callable[[Column], Column] = is_import_done,
                    slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Events in which any field differs from the event before, until the first terminal one."""
-    same = F.struct(*RECORD_FIELDS).eqNullSafe(F.col("prev"))
-    return watched(events, is_done, slice_rows).filter(~same).select("job_id", "seq", "elapsed", *RECORD_FIELDS)
+    fields = ", ".join(RECORD_FIELDS)
+    return watched(events, is_done, slice_rows).filter(f"NOT (struct({fields}) <=> prev)") \
+        .select("job_id", "seq", "elapsed", *RECORD_FIELDS)
 
 
 def job_outcomes(events: DataFrame, is_done: Callable[[Column], Column] = is_import_done) -> DataFrame:
@@ -101,21 +89,18 @@ def job_outcomes(events: DataFrame, is_done: Callable[[Column], Column] = is_imp
 
     Plain aggregates, combined before the shuffle, so a job with very many events needs no slices.
     """
-    order = F.struct(micros(F.col("ts")).alias("us"), "seq")
-    record = F.struct(order.alias("at"), *RECORD_FIELDS)
-    done = is_done(F.col("status"))
-    ends = events.groupBy("job_id").agg(
-        F.min(micros(F.col("ts"))).alias("first_us"),
-        F.min_by(F.when(done, record), F.when(done, order)).alias("ended"),
-        F.max_by(record, order).alias("latest"))
-    last = F.coalesce("ended", "latest")
-    return ends.withColumn("r", last).select(
-        "job_id", F.col("r.status").alias("status"), F.col("ended").isNotNull().alias("done"),
-        whole_seconds(F.col("r.at.us") - F.col("first_us")).alias("elapsed"),
-        F.coalesce("r.uri", F.lit("N/A")).alias("uri"), percent_text(F.col("r.percent_complete")).alias("progress"),
-        F.coalesce("r.records_imported", F.lit(0)).alias("records_imported"), F.col("r.error").alias("error"),
-        F.col("first_us").alias("created_us"),
-        F.when(F.col("ended").isNotNull(), F.col("r.at.us")).alias("finished_us"))
+    timed = events.select("job_id", micros(F.col("ts")).alias("us"), "seq", *RECORD_FIELDS,
+                          is_done(F.col("status")).alias("done"))
+    record = f"struct(us, {', '.join(RECORD_FIELDS)})"
+    ends = timed.groupBy("job_id").agg(
+        F.expr("min(us) AS first_us"),
+        F.expr(f"min_by(CASE WHEN done THEN {record} END, CASE WHEN done THEN struct(us, seq) END) AS ended"),
+        F.expr(f"max_by({record}, struct(us, seq)) AS latest"))
+    return ends.selectExpr("*", "ended IS NOT NULL AS done", "coalesce(ended, latest) AS r") \
+        .withColumn("progress", percent_text(F.col("r.percent_complete"))).selectExpr(
+            "job_id", "r.status", "done", "(r.us - first_us) DIV 1000000 AS elapsed",
+            "coalesce(r.uri, 'N/A') AS uri", "progress", "coalesce(r.records_imported, 0) AS records_imported",
+            "r.error", "first_us AS created_us", "CASE WHEN done THEN r.us END AS finished_us")
 
 
 def job_history(outcomes: DataFrame) -> DataFrame:

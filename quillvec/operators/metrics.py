@@ -110,9 +110,10 @@ def throughput_ticks(log: DataFrame, runs: DataFrame | None = None, tick_seconds
     spans = checkpointed(runs.select("run_id", micros(F.col("started_at")).alias("start_us"),
                                      micros(F.col("ended_at")).alias("end_us"))
                          .selectExpr("run_id", "start_us", "(end_us - start_us) DIV 1000000 AS seconds"))
-    counts = log.select("run_id", micros(F.col("ts")).alias("us"), "success").join(sized(spans), "run_id") \
-        .groupBy("run_id", F.expr(f"(us - start_us) DIV {1_000_000 * tick_seconds} AS tick")).agg(
-            F.expr("count_if(success) AS ok"), F.expr("count_if(NOT success) AS bad"))
+    counts = checkpointed(
+        log.select("run_id", micros(F.col("ts")).alias("us"), "success").join(sized(spans), "run_id")
+        .groupBy("run_id", F.expr(f"(us - start_us) DIV {1_000_000 * tick_seconds} AS tick"))
+        .agg(F.expr("count_if(success) AS ok"), F.expr("count_if(NOT success) AS bad")))
     last = f"seconds DIV {tick_seconds}"
     spine = spans.selectExpr("run_id", "seconds", f"explode(sequence(0L, {last})) AS tick")
     full = spine.join(counts, ["run_id", "tick"], "left").selectExpr(
