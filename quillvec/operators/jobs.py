@@ -19,50 +19,53 @@ SLICE_ROWS = 1_000_000
 RECORD_FIELDS = ("status", "uri", "percent_complete", "records_imported", "error")
 
 
-def _sliced(events: DataFrame, slice_rows: int) -> tuple[DataFrame, bool]:
-    """Add ``us`` and ``slice``. Only jobs above ``slice_rows`` events are cut, so the table of cuts is short:
-    it has at most one row per ``slice_rows`` events."""
-    events = events.withColumn("us", micros(F.col("ts")))
-    big = events.groupBy("job_id").agg(F.expr("count(*) AS n"), F.expr("min(us) AS from_us"), F.expr("max(us) AS to_us")) \
+def _big_jobs(events: DataFrame, slice_rows: int) -> DataFrame:
+    """Jobs above ``slice_rows`` events and how to cut them; at most one row per ``slice_rows`` events."""
+    return checkpointed(events.groupBy("job_id").agg(
+        F.expr("count(*) AS n"), F.expr("min(us) AS from_us"), F.expr("max(us) AS to_us"))
         .filter(F.col("n") > slice_rows).selectExpr(
-            "job_id", "from_us", "to_us - from_us + 1 AS width", f"ceil(4 * n / {slice_rows}) AS cuts")
-    big = checkpointed(big)
-    if big.isEmpty():
-        return events.withColumn("slice", F.lit(0).cast("long")), False
-    slice_ = "coalesce(floor(CAST(us - from_us AS DOUBLE) / width * cuts), 0L) AS slice"
-    return events.join(sized(big), "job_id", "left").selectExpr(*events.columns, slice_), True
+            "job_id", "from_us", "to_us - from_us + 1 AS width", f"ceil(4 * n / {slice_rows}) AS cuts"))
+
+
+def _carry(events: DataFrame) -> DataFrame:
+    """What the earlier slices of a job leave to each slice: the last record, the first time, a terminal state."""
+    ends = events.groupBy("job_id", "slice").agg(
+        F.expr("max_by(record, struct(ts, seq)) AS record"), F.expr("min(us) AS first_us"),
+        F.expr("max(done) AS done"))
+    before = "OVER (PARTITION BY job_id ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    return ends.selectExpr(
+        "job_id", "slice", "lag(record) OVER (PARTITION BY job_id ORDER BY slice) AS prev_before",
+        f"min(first_us) {before} AS first_before", f"max(done) {before} AS over_before") \
+        .filter("first_before IS NOT NULL")
 
 
 def annotate(events: DataFrame, is_done: Callable[[Column], Column] = is_import_done,
              slice_rows: int = SLICE_ROWS, fields: Sequence[str] = RECORD_FIELDS) -> DataFrame:
     """Add to each event: the ``fields`` of the one before it (``prev``), seconds since the job's first event
     (``elapsed``), and whether a terminal event came before (``over``). Only the columns in use are moved."""
-    rows, cut = _sliced(events, slice_rows)
-    record = F.struct(*fields).alias("record")
-    rows = rows.select("job_id", "slice", "ts", "us", "seq", record, is_done(F.col("status")).alias("done"))
+    rows = events.select("job_id", "ts", micros(F.col("ts")).alias("us"), "seq", F.struct(*fields).alias("record"),
+                         is_done(F.col("status")).alias("done"))
+    big = _big_jobs(rows, slice_rows)
+    carry = None
+    if big.isEmpty():
+        rows = rows.selectExpr("*", "0L AS slice")
+    else:
+        slice_ = "floor(CAST(us - from_us AS DOUBLE) / width * cuts)"
+        cuts = sized(big)
+        carry = checkpointed(_carry(rows.join(cuts, "job_id").selectExpr(*rows.columns, f"{slice_} AS slice")))
+        rows = rows.join(cuts, "job_id", "left").selectExpr(*rows.columns, f"coalesce({slice_}, 0L) AS slice")
     w = "OVER (PARTITION BY job_id, slice ORDER BY ts, seq{})"
     before = w.format(" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING")
     upto = w.format(" ROWS UNBOUNDED PRECEDING")
     rows = rows.selectExpr("*", f"lag(record) {w.format('')} AS prev", f"first(us) {upto} AS first_us",
                            f"coalesce(max(done) {before}, false) AS over")
-    if cut:
-        rows = _carried(rows, w.format(""))
+    if carry is not None:
+        rows = rows.join(sized(carry), ["job_id", "slice"], "left").selectExpr(
+            "job_id", "us", "seq", "record", "coalesce(prev, prev_before) AS prev",
+            "coalesce(first_before, first_us) AS first_us", "over OR coalesce(over_before, false) AS over")
     return rows.selectExpr("job_id", "seq", "record.*", "prev", "(us - first_us) DIV 1000000 AS elapsed", "over")
 
 
-def _carried(rows: DataFrame, w: str) -> DataFrame:
-    """Bring into each slice what the earlier slices of its job leave behind."""
-    last = rows.selectExpr("*", f"lead(seq) {w} AS next").filter("next IS NULL")
-    before = "OVER (PARTITION BY job_id ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    carry = last.selectExpr(
-        "job_id", "slice", "lag(record) OVER (PARTITION BY job_id ORDER BY slice) AS prev_before",
-        f"min(first_us) {before} AS first_before", f"max(over OR done) {before} AS over_before") \
-        .filter("first_before IS NOT NULL")
-    return rows.join(sized(checkpointed(carry)), ["job_id", "slice"], "left").selectExpr(
-        "job_id", "us", "seq", "record", "coalesce(prev, prev_before) AS prev",
-        "coalesce(first_before, first_us) AS first_us", "over OR coalesce(over_before, false) AS over")
-
-
 def watched(events: DataFrame, is_done: Callable[[Column], Column] = is_import_done,
             slice_rows: int = SLICE_ROWS, fields: Sequence[str] = RECORD_FIELDS) -> DataFrame:
     """Events up to and with the first terminal one of each job, annotated."""
