@@ -1,8 +1,8 @@
 """Block scoring of vectors against queries inside a task, with numpy.
 
-A matrix product finds candidates; their scores are then summed left to right, element by element, so a score
-does not depend on how rows were grouped into blocks, files or tasks. The product may differ from that sum by
-rounding, so it only prunes, with a margin above its error bound. It is taken in single precision first, and
+A matrix product finds candidates; the score of each is then summed by itself, in a fixed order, so that it does
+not depend on how rows were grouped into blocks, files or tasks. The product may differ from that sum by rounding,
+so it only prunes, with a margin above its error bound. It is taken in single precision first, and
 again in double precision where single leaves too many candidates.
 """
 
@@ -12,9 +12,10 @@ import numpy as np
 import pyarrow as pa
 
 METRICS = ("dot", "cosine", "euclidean")
-ROW_BLOCK = 4096
+ROW_BLOCK = 8192
 QUERY_BLOCK = 1024
-PAIR_BLOCK = 256
+BLOCK_PAIRS = 8_000_000
+PAIR_BLOCK = 128
 FLUSH_ENTRIES = 1_000_000
 SINGLE, DOUBLE = np.float32, np.float64
 
@@ -36,17 +37,15 @@ def as_matrix(column: pa.ChunkedArray | pa.Array, dimension: int) -> tuple[np.nd
     return (matrix, rows) if good.all() else (matrix[good], rows[good])
 
 
-def fold(terms: np.ndarray) -> np.ndarray:
-    """Sum of each row from the first element to the last; uses ``terms`` as scratch space."""
-    return np.add.accumulate(terms, axis=1, out=terms)[:, -1]
+def row_sums(make_terms, n: int) -> np.ndarray:
+    """Sums of n rows of terms, a few rows at a time so that they stay in cache; ``make_terms`` gives a slice.
 
-
-def blocked_fold(make_terms, n: int) -> np.ndarray:
-    """``fold`` over n rows, a few at a time so that they stay in cache; ``make_terms`` gives a slice of them."""
+    Each row is added up by itself, pairwise, in an order that follows from its length alone.
+    """
     out = np.empty(n)
     for start in range(0, n, PAIR_BLOCK):
         part = slice(start, min(start + PAIR_BLOCK, n))
-        out[part] = fold(make_terms(part))
+        np.add.reduce(make_terms(part), axis=1, out=out[part])
     return out
 
 
@@ -77,12 +76,14 @@ class LocalTopK:
         if metric not in METRICS:
             raise ValueError(f"metric must be one of {METRICS}")
         self.q, self.k, self.metric = queries, k, metric
+        # Every pair of a block can survive where namespaces are tiny.
+        self.row_block = max(1, min(ROW_BLOCK, BLOCK_PAIRS // max(1, len(queries))))
         self.q_norm = np.sqrt((queries * queries).sum(axis=1))
         self.usable = self.q_norm > 0 if metric == "cosine" else np.ones(len(queries), bool)
         with np.errstate(divide="ignore", invalid="ignore"):
             scaled = queries / self.q_norm[:, None] if metric == "cosine" else queries
         self.single_safe = within_single(self.q_norm[self.usable])
-        self.q_squares = blocked_fold(lambda p: np.square(queries[p]), len(queries))
+        self.q_squares = row_sums(lambda p: np.square(queries[p]), len(queries))
         self.pruning = {DOUBLE: scaled, SINGLE: scaled.astype(SINGLE) if self.single_safe else None}
         self._clear()
 
@@ -97,8 +98,8 @@ class LocalTopK:
     def add(self, matrix: np.ndarray, ids: np.ndarray, names: list[str], which: np.ndarray):
         """Take in rows, with the namespace of row i in ``names[which[i]]``; yields results early when many small
         namespaces have filled the state."""
-        for start in range(0, len(matrix), ROW_BLOCK):
-            part = slice(start, start + ROW_BLOCK)
+        for start in range(0, len(matrix), self.row_block):
+            part = slice(start, start + self.row_block)
             self._add_block(matrix[part], ids[part], names, which[part])
             if len(self.score) > FLUSH_ENTRIES:
                 yield self.drain()
@@ -120,14 +121,14 @@ class LocalTopK:
         self._merge(code[row[keep]], qi[keep], score[keep], ids[row[keep]])
 
     def _exact(self, x: np.ndarray, row: np.ndarray, qi: np.ndarray) -> np.ndarray:
-        """Score of each pair, from sums in element order."""
+        """Score of each pair, from sums of its own."""
         if self.metric == "euclidean":
-            return -np.sqrt(blocked_fold(lambda p: np.square(x[row[p]] - self.q[qi[p]]), len(row)))
-        dot = blocked_fold(lambda p: x[row[p]] * self.q[qi[p]], len(row))
+            return -np.sqrt(row_sums(lambda p: np.square(x[row[p]] - self.q[qi[p]]), len(row)))
+        dot = row_sums(lambda p: x[row[p]] * self.q[qi[p]], len(row))
         if self.metric == "dot":
             return dot
         used, at = np.unique(row, return_inverse=True)
-        squares = blocked_fold(lambda p: np.square(x[used[p]]), len(used))
+        squares = row_sums(lambda p: np.square(x[used[p]]), len(used))
         with np.errstate(divide="ignore", invalid="ignore"):
             return dot / np.sqrt(squares[at] * self.q_squares[qi])
 
@@ -194,8 +195,13 @@ class LocalTopK:
         return keep
 
     def _merge(self, ns, qi, score, ids) -> None:
-        ns, qi = np.concatenate([self.ns, ns]), np.concatenate([self.qi, qi])
-        score, ids = np.concatenate([self.score, score]), np.concatenate([self.ids, ids])
+        """Put new entries in place; only the namespaces that have any are sorted again."""
+        codes = np.zeros(len(self.kth), bool)
+        codes[ns] = True
+        old = codes[self.ns]
+        rest = (self.ns[~old], self.qi[~old], self.score[~old], self.ids[~old])
+        ns, qi = np.concatenate([self.ns[old], ns]), np.concatenate([self.qi[old], qi])
+        score, ids = np.concatenate([self.score[old], score]), np.concatenate([self.ids[old], ids])
         group = ns * len(self.q) + qi
         order = np.lexsort((-score, group))
         tied = (group[order][1:] == group[order][:-1]) & (score[order][1:] == score[order][:-1])
@@ -206,9 +212,11 @@ class LocalTopK:
             order = np.lexsort((rank, -score, group))
         place = run_position(group[order])
         order, place = order[place < self.k], place[place < self.k]
-        self.ns, self.qi, self.score, self.ids = ns[order], qi[order], score[order], ids[order]
+        ns, qi, score, ids = ns[order], qi[order], score[order], ids[order]
         last = place == self.k - 1
-        self.kth[self.ns[last], self.qi[last]] = self.score[last]
+        self.kth[ns[last], qi[last]] = score[last]
+        self.ns, self.qi, self.score, self.ids = (
+            np.concatenate(pair) for pair in zip(rest, (ns, qi, score, ids)))
 
     def drain(self) -> dict[str, np.ndarray]:
         names = np.array(list(self.codes), object)

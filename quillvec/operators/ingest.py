@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import re
 from dataclasses import dataclass
+from itertools import islice
 
 import pandas as pd
 import pyarrow as pa
@@ -19,7 +20,12 @@ from quillvec.operators import layout
 from quillvec.operators.collection import Collection, Version
 from quillvec.sources.imports import footer_row_counts, path_part, read_import
 from quillvec.sources.manifest import list_directory
-from quillvec.storage import checkpointed, sized
+from quillvec.storage import checkpointed, exists, new_dir, sized
+
+
+OPENED = "file string, sound boolean"
+OPENED_AT_ONCE = 10_000
+FOOTER_ONLY_BYTES = 16 * 1024 * 1024
 
 
 class ImportAborted(ValueError):
@@ -142,7 +148,8 @@ def rejects(collection: Collection, result: ImportResult) -> DataFrame:
 def rejected_files(collection: Collection, result: ImportResult) -> DataFrame:
     """Files of the layout that gave fewer rows than their footer says, or no rows without being empty.
 
-    Only files without any row are opened once more; their number is small in a sound import.
+    Only files without any row are opened once more, and only if they are small: a file without rows holds
+    nothing but its footer.
     """
     spark = collection.spark
     listed = layout.classify(list_directory(spark, result.prefix), "").filter(F.col("class") == "valid") \
@@ -154,32 +161,34 @@ def rejected_files(collection: Collection, result: ImportResult) -> DataFrame:
     reason = F.when(hidden, "hidden_name").when(F.col("size") == 0, "empty_file") \
         .when(F.col("loaded") < F.col("n_rows"), "cut_short").when(F.col("n_rows") == 0, "unread")
     suspects = checkpointed(known.withColumn("reason", reason).filter(F.col("reason").isNotNull()))
-    unread = suspects.filter(F.col("reason") == "unread")
-    broken = F.lit(None).cast("string")
-    if not unread.isEmpty():
-        paths = [f"{result.prefix.rstrip('/')}/{r.file}" for r in unread.select("file").toLocalIterator()]
-        suspects = suspects.join(_unreadable(spark, paths), "file", "left")
-        broken = F.col("problem")
-    final = F.when(F.col("reason") == "unread", broken).otherwise(F.col("reason"))
-    return suspects.withColumn("final", final).filter(F.col("final").isNotNull()).select(
-        "namespace", "file", F.lit(None).cast("string").alias("id"), F.array("final").alias("reasons"))
-
-
-def _unreadable(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Open files whole: ``problem`` is NULL for a valid file without rows."""
+    unread = suspects.filter((F.col("reason") == "unread") & (F.col("size") <= FOOTER_ONLY_BYTES))
+    out = new_dir(spark, "opened")
+    files = (f"{result.prefix.rstrip('/')}/{r.file}" for r in unread.select("file").toLocalIterator())
+    while paths := list(islice(files, OPENED_AT_ONCE)):
+        _opened(spark, paths).write.mode("append").parquet(out)
+    if exists(spark, out):
+        valid = spark.read.schema(OPENED).parquet(out).filter("sound").select("file")
+        suspects = suspects.join(valid, "file", "left_anti")
+    return suspects.selectExpr(
+        "namespace", "file", "CAST(NULL AS string) AS id",
+        "array(CASE WHEN reason = 'unread' THEN 'corrupt_file' ELSE reason END) AS reasons")
+
+
+def _opened(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Read files whole: ``sound`` is true for a valid file without rows."""
     def look(batches):
         for batch in batches:
-            yield pd.DataFrame({"file": batch["file"], "problem": [_problem(c) for c in batch["content"]]})
+            yield pd.DataFrame({"file": batch["file"], "sound": [_is_empty_table(c) for c in batch["content"]]})
 
     escaped = [re.sub(r"([\[\]{}*?\\])", r"\\\1", p) for p in paths]
     path = F.col("_metadata.file_path")
     return spark.read.format("binaryFile").load(escaped).select(
         F.concat(path_part(path, 2), F.lit("/"), path_part(path, 1)).alias("file"), "content") \
-        .mapInPandas(look, "file string, problem string")
+        .mapInPandas(look, OPENED)
 
 
-def _problem(content: bytes) -> str | None:
+def _is_empty_table(content: bytes) -> bool:
     try:
-        return "unread" if pq.ParquetFile(io.BytesIO(content)).metadata.num_rows else None
+        return pq.ParquetFile(io.BytesIO(content)).metadata.num_rows == 0
     except (pa.ArrowException, OSError):
-        return "corrupt_file"
+        return False

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillvec import model as M
-from quillvec.functions.scoring import METRICS, LocalTopK, as_matrix
+from quillvec.functions.scoring import METRICS, ROW_BLOCK, LocalTopK, as_matrix
 
 BROADCAST_BYTES = 256 * 1024 * 1024
 CELL_BYTES = 256 * 1024 * 1024
@@ -75,12 +75,23 @@ def _result(found: dict[str, np.ndarray], qids: pa.Array) -> pa.RecordBatch:
         names=["qid", "namespace", "id", "score"])
 
 
-def _feed(top: LocalTopK, batch: pa.RecordBatch | pa.Table, dimension: int):
-    matrix, rows = as_matrix(batch.column("values"), dimension)
-    ids, names = (batch.column(c).take(pa.array(rows)) for c in ("id", "namespace"))
-    if isinstance(batch, pa.Table):
-        names = names.combine_chunks()
-    coded = names.dictionary_encode()
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Batches put together up to the size of a scoring block."""
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= ROW_BLOCK:
+            yield pa.Table.from_batches(held)
+            held, rows = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _feed(top: LocalTopK, table: pa.Table, dimension: int):
+    matrix, rows = as_matrix(table.column("values"), dimension)
+    ids, names = (table.column(c).take(pa.array(rows)) for c in ("id", "namespace"))
+    coded = names.combine_chunks().dictionary_encode()
     return top.add(matrix, np.array(ids.to_pylist(), dtype=object), coded.dictionary.to_pylist(),
                    coded.indices.to_numpy(zero_copy_only=False))
 
@@ -99,8 +110,8 @@ def _local(vectors: DataFrame, matrix: np.ndarray, qids: pa.Array, qid_type: str
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         q, names = shared.value
         top = LocalTopK(q, k, metric)
-        for batch in batches:
-            for full in _feed(top, batch, q.shape[1]):
+        for table in _gathered(batches):
+            for full in _feed(top, table, q.shape[1]):
                 yield _result(full, names)
         yield _result(top.drain(), names)
 

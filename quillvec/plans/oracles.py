@@ -235,6 +235,9 @@ SELECT CAST(doc_id AS VARCHAR) AS doc_id,
        CASE WHEN length(text) > 200 THEN substring(text, 1, 200) || '...' ELSE text END AS text, lang
 FROM documents""",
 
+    "import_layout_check": """
+SELECT DISTINCT 'ns-' || label AS namespace, 'PASS' AS verdict, true AS accepted FROM embeddings""",
+
     "import_accepted": f"""
 WITH {RAW}
 SELECT DISTINCT namespace, id, "values", sparse_indices, metadata FROM checked WHERE reasons = ''""",
@@ -253,12 +256,15 @@ WITH {VECTORS} {stats("SELECT * FROM vectors WHERE namespace NOT IN ('', 'ns-4')
     "delete_all_result": """
 SELECT 1::BIGINT AS version, count(*) AS vector_count FROM embeddings UNION ALL SELECT 2::BIGINT, 0::BIGINT""",
 
+    "delete_default_result": """
+SELECT count(*) AS before, count(*) FILTER (label <> 0) AS after FROM embeddings""",
+
     "backup_manifest": """
 SELECT 'nightly' AS name, 'Backup of vectors' AS description, 'Ready' AS status, 'vectors' AS source_index_name,
        count(*) AS record_count, 'aws' AS cloud, 'us-east-1' AS region, count(*) > 0 AS has_size
 FROM embeddings""",
 
-    "backup_restored_rows": f"""
+    "backup_rows": f"""
 WITH {VECTORS}
 SELECT namespace, id, "values", '{{"batch_id": ' || (number // 100) || '}}' AS metadata FROM vectors""",
 

@@ -8,13 +8,13 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillvec import model as M
 from quillvec.functions import scalars, uris
 from quillvec.operators import backup, collection, generate, ingest, jobs, layout, metrics, search
 from quillvec.operators.collection import Collection
 from quillvec.plans import views as V
 from quillvec.plans.shipping import ship_package
-from quillvec.storage import new_dir
+from quillvec.sources.manifest import list_directory
+from quillvec.storage import checkpointed, new_dir
 from quillvec.streaming import monitors
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,6 +99,17 @@ def _loaded(spark, sf):
     return target, ingest.import_vectors(target, prefix, V.DIMENSION)
 
 
+@query
+def import_layout_check(spark, sf):
+    """The verdict on a directory as it lies there, and its namespaces."""
+    prefix = new_dir(spark, "layout")
+    V.write_import_layout(V.raw_records(spark, sf), prefix)
+    classes = checkpointed(layout.classify(list_directory(spark, prefix), ""))
+    found = classes.filter("class = 'valid'").select("namespace").distinct()
+    return found.select("namespace", *[layout.verdict(classes).select(c).scalar().alias(c)
+                                       for c in ("verdict", "accepted")])
+
+
 @query
 def import_accepted(spark, sf):
     target, _ = _loaded(spark, sf)
@@ -152,6 +163,13 @@ def delete_all_result(spark, sf):
         .select(F.col("version").cast("long").alias("version"), "vector_count")
 
 
+@query
+def delete_default_result(spark, sf):
+    """Records before and after the default namespace is dropped, as the operator reports them."""
+    before, after = _stored(spark, sf).delete_default_counted()
+    return spark.createDataFrame([(before, after)], "before long, after long")
+
+
 @query
 def backup_manifest(spark, sf):
     root = new_dir(spark, "backups")
@@ -163,7 +181,7 @@ def backup_manifest(spark, sf):
 
 
 @query
-def backup_restored_rows(spark, sf):
+def backup_rows(spark, sf):
     """Rows of a snapshot taken before a delete."""
     root = new_dir(spark, "backups")
     target = _stored(spark, sf)
