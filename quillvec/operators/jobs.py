@@ -16,15 +16,43 @@ from quillvec.functions.scalars import is_import_done, micros, percent_text
 from quillvec.storage import checkpointed, sized
 
 SLICE_ROWS = 1_000_000
+FINER = 1_000_000_000
 RECORD_FIELDS = ("status", "uri", "percent_complete", "records_imported", "error")
 
 
-def _big_jobs(events: DataFrame, slice_rows: int) -> DataFrame:
-    """Jobs above ``slice_rows`` events and how to cut them; at most one row per ``slice_rows`` events."""
-    return checkpointed(events.groupBy("job_id").agg(
-        F.expr("count(*) AS n"), F.expr("min(us) AS from_us"), F.expr("max(us) AS to_us"))
+def _crowded(rows: DataFrame, by: list[str], slice_rows: int) -> DataFrame | None:
+    """Groups above ``slice_rows`` events and how to cut them: by time, or by ``seq`` where the time is one.
+
+    There is at most one such group per ``slice_rows`` events.
+    """
+    found = checkpointed(rows.groupBy(*by).agg(*map(F.expr, (
+        "count(*) AS n", "min(us) AS from_us", "max(us) AS to_us", "min(seq) AS from_seq", "max(seq) AS to_seq")))
         .filter(F.col("n") > slice_rows).selectExpr(
-            "job_id", "from_us", "to_us - from_us + 1 AS width", f"ceil(4 * n / {slice_rows}) AS cuts"))
+            *by, "from_us", "to_us - from_us + 1 AS us_width", "from_seq", "to_seq - from_seq + 1 AS seq_width",
+            f"ceil(4 * n / {slice_rows}) AS cuts"))
+    return None if found.isEmpty() else sized(found)
+
+
+def _cut(rows: DataFrame, by: list[str], crowded: DataFrame, how: str, base: str) -> DataFrame:
+    """Set ``slice`` to ``base`` plus the number of the cut; the order of slices is that of events."""
+    columns = [c for c in rows.columns if c != "slice"]
+    share = ("CASE WHEN us_width > 1 THEN CAST(us - from_us AS DOUBLE) / us_width "
+             "ELSE CAST(seq - from_seq AS DOUBLE) / seq_width END")
+    return rows.join(crowded, by, how).selectExpr(*columns, f"{base} + coalesce(floor({share} * cuts), 0L) AS slice")
+
+
+def _sliced(rows: DataFrame, slice_rows: int) -> tuple[DataFrame, DataFrame | None]:
+    """Rows with their ``slice``, and those of cut jobs alone, if there are any. Slices that are still crowded,
+    since events came in bursts, are cut once more."""
+    jobs = _crowded(rows, ["job_id"], slice_rows)
+    if jobs is None:
+        return rows.selectExpr("*", "0L AS slice"), None
+    cut, alone = (_cut(rows, ["job_id"], jobs, how, "0L") for how in ("left", "inner"))
+    bursts = _crowded(alone, ["job_id", "slice"], slice_rows)
+    base = f"slice * {FINER}"
+    if bursts is None:
+        return cut, alone
+    return tuple(_cut(df, ["job_id", "slice"], bursts, "left", base) for df in (cut, alone))
 
 
 def _carry(events: DataFrame) -> DataFrame:
@@ -45,15 +73,8 @@ def annotate(events: DataFrame, is_done: Callable[[Column], Column] = is_import_
     (``elapsed``), and whether a terminal event came before (``over``). Only the columns in use are moved."""
     rows = events.select("job_id", "ts", micros(F.col("ts")).alias("us"), "seq", F.struct(*fields).alias("record"),
                          is_done(F.col("status")).alias("done"))
-    big = _big_jobs(rows, slice_rows)
-    carry = None
-    if big.isEmpty():
-        rows = rows.selectExpr("*", "0L AS slice")
-    else:
-        slice_ = "floor(CAST(us - from_us AS DOUBLE) / width * cuts)"
-        cuts = sized(big)
-        carry = checkpointed(_carry(rows.join(cuts, "job_id").selectExpr(*rows.columns, f"{slice_} AS slice")))
-        rows = rows.join(cuts, "job_id", "left").selectExpr(*rows.columns, f"coalesce({slice_}, 0L) AS slice")
+    rows, cut = _sliced(rows, slice_rows)
+    carry = None if cut is None else checkpointed(_carry(cut))
     w = "OVER (PARTITION BY job_id, slice ORDER BY ts, seq{})"
     before = w.format(" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING")
     upto = w.format(" ROWS UNBOUNDED PRECEDING")

@@ -50,15 +50,17 @@ def test_backup_states(spark, rows):
     assert [r[0] for r in rows(jobs.status_changes(frame, is_backup_done), "seq")] == [1, 2]
 
 
+@pytest.mark.parametrize("times", ["spread", "bursts", "one"])
 @pytest.mark.parametrize("slice_rows", [1, 5, 40])
-def test_slices_do_not_change_results(spark, rows, slice_rows):
-    """One job holds most events, some at equal times; another ends half-way."""
+def test_slices_do_not_change_results(spark, rows, slice_rows, times):
+    """One job holds most events, many at equal times; another ends half-way."""
     rnd = random.Random(slice_rows)
     spec = []
     for seq in range(300):
         job = "hot" if rnd.random() < 0.7 else rnd.choice(["ended", "x", "y"])
         status = rnd.choice(["Pending", "Running", None]) if job != "ended" or seq < 150 else "Completed"
-        spec.append((job, rnd.randrange(0, 90) if job == "hot" else seq, seq, status, float(rnd.randrange(2))))
+        hot = {"spread": rnd.randrange(0, 90), "bursts": rnd.choice([0, 50, 50, 50, 5000]), "one": 7}[times]
+        spec.append((job, hot if job == "hot" else seq, seq, status, float(rnd.randrange(2))))
     frame = events(spark, spec)
     for operator in (jobs.status_changes, jobs.record_changes):
         assert rows(operator(frame, slice_rows=slice_rows)) == rows(operator(frame))
