@@ -141,6 +141,15 @@ def uniform(number: str, dimension: int, salt: int) -> str:
     return f"list_transform({mixed}, lambda h: h / 1073741823.5::DOUBLE - 1.0::DOUBLE)"
 
 
+def flat(sql: str, others: str, vector: str = '"values"') -> str:
+    """The numbers that stand for a vector column, see ``registry.flat``."""
+    return f"""
+SELECT {others}, CAST(len({vector}) AS BIGINT) AS dimension, {vector}[1] AS first_value,
+       {vector}[len({vector})] AS last_value, round(list_sum({vector}), 6) AS total,
+       round(list_inner_product({vector}, list_transform(range(1, len({vector}) + 1), lambda i: i::DOUBLE)), 6) AS weighted
+FROM ({sql})"""
+
+
 def stats(rows: str) -> str:
     return f"""
 SELECT namespace, grouping(namespace) = 1 AS is_total, count(*) AS vector_count,
@@ -167,7 +176,7 @@ placed AS (
          row_number() OVER (ORDER BY substring(md5(doc_id::VARCHAR), 1, 4), doc_id::VARCHAR) - 1 AS position
   FROM documents)"""
 
-UPSERTED = f'WITH {VECTORS}, {CHANGED} SELECT namespace, id, "values" FROM changed'
+UPSERTED = f"WITH {VECTORS}, {CHANGED} {flat('SELECT * FROM changed', 'namespace, id')}"
 
 STATUS_CHANGES = f"""
 WITH {EVENTS}
@@ -239,8 +248,10 @@ FROM documents""",
 SELECT DISTINCT 'ns-' || label AS namespace, 'PASS' AS verdict, true AS accepted FROM embeddings""",
 
     "import_accepted": f"""
-WITH {RAW}
-SELECT DISTINCT namespace, id, "values", sparse_indices, metadata FROM checked WHERE reasons = ''""",
+WITH {RAW}, accepted AS (
+  SELECT DISTINCT namespace, id, "values", array_to_string(sparse_indices, ',') AS sparse_indices, metadata
+  FROM checked WHERE reasons = '')
+{flat('SELECT * FROM accepted', 'namespace, id, metadata, sparse_indices')}""",
 
     "import_rejected": f"""
 WITH {RAW}
@@ -265,8 +276,8 @@ SELECT 'nightly' AS name, 'Backup of vectors' AS description, 'Ready' AS status,
 FROM embeddings""",
 
     "backup_rows": f"""
-WITH {VECTORS}
-SELECT namespace, id, "values", '{{"batch_id": ' || (number // 100) || '}}' AS metadata FROM vectors""",
+WITH {VECTORS}, copied AS (SELECT *, '{{"batch_id": ' || (number // 100) || '}}' AS metadata FROM vectors)
+{flat('SELECT * FROM copied', 'namespace, id, metadata')}""",
 
     "layout_classes": f"WITH {MANIFEST} SELECT * FROM named",
 
@@ -376,18 +387,23 @@ WITH {OUTCOMES}
 SELECT job_id, status, uri, progress, records_imported, created_us, finished_us, error FROM outcomes""",
 
     "synthetic_vectors": f"""
-SELECT 'vec-' || doc_id AS id, {uniform('doc_id', M.VECTOR_DIMENSION, 0)} AS "values",
-       '{{"batch_id": ' || (doc_id // {M.BATCH_SIZE}) || '}}' AS metadata
-FROM documents""",
+WITH made AS (
+  SELECT 'vec-' || doc_id AS id, {uniform('doc_id', M.VECTOR_DIMENSION, 0)} AS "values",
+         '{{"batch_id": ' || (doc_id // {M.BATCH_SIZE}) || '}}' AS metadata
+  FROM documents)
+{flat('SELECT * FROM made', 'id, metadata')}""",
 
-    "synthetic_queries": f"SELECT doc_id AS qid, {uniform('doc_id', DIMENSION, 1)} AS qv FROM documents",
+    "synthetic_queries": f"""
+WITH made AS (SELECT doc_id AS qid, {uniform('doc_id', DIMENSION, 1)} AS qv FROM documents)
+{flat('SELECT * FROM made', 'qid', 'qv')}""",
 
     "constant_record": f"""
-WITH {VECTORS}
-SELECT DISTINCT namespace, 'test-vector-1' AS id,
-       list_transform(range({M.VECTOR_DIMENSION}), lambda x: 0.1::DOUBLE) AS "values",
-       '{{"description": "Test vector for demonstration"}}' AS metadata
-FROM vectors""",
+WITH {VECTORS}, made AS (
+  SELECT DISTINCT namespace, 'test-vector-1' AS id,
+         list_transform(range({M.VECTOR_DIMENSION}), lambda x: 0.1::DOUBLE) AS "values",
+         '{{"description": "Test vector for demonstration"}}' AS metadata
+  FROM vectors)
+{flat('SELECT * FROM made', 'namespace, id, metadata')}""",
 
     "write_batches": f"WITH {BATCHES} SELECT number, position, position // {M.BATCH_SIZE} AS batch FROM placed",
 

@@ -39,6 +39,17 @@ def rounded(df: DataFrame) -> DataFrame:
                        for f in df.schema])
 
 
+def flat(df: DataFrame, vector: str = "values") -> DataFrame:
+    """A vector column as plain numbers: length, ends, sum, and a sum weighted by position. Any client can
+    compare these, which is not so for arrays."""
+    total = "aggregate({}, 0D, (a, x) -> a + x)"
+    return df.selectExpr(
+        *[c for c in df.columns if c != vector], f"bigint(size({vector})) AS dimension",
+        f"{vector}[0] AS first_value", f"element_at({vector}, -1) AS last_value",
+        f"round({total.format(vector)}, {DIGITS}) AS total",
+        f"round({total.format(f'transform({vector}, (x, i) -> x * (i + 1))')}, {DIGITS}) AS weighted")
+
+
 # -- search -------------------------------------------------------------------------------------------------------
 
 @query
@@ -113,8 +124,8 @@ def import_layout_check(spark, sf):
 @query
 def import_accepted(spark, sf):
     target, _ = _loaded(spark, sf)
-    return target.read().select("namespace", "id", "values", F.col("sparse_values.indices").alias("sparse_indices"),
-                                "metadata")
+    return flat(target.read().selectExpr("namespace", "id", "values", "metadata",
+                                         "array_join(sparse_values.indices, ',') AS sparse_indices"))
 
 
 @query
@@ -134,14 +145,14 @@ def upsert_result(spark, sf):
     """A collection written by one upsert and changed by another."""
     target = _stored(spark, sf)
     target.upsert(V.changes(spark, sf))
-    return target.read().select("namespace", "id", "values")
+    return flat(target.read().select("namespace", "id", "values"))
 
 
 @query
 def upsert_plan(spark, sf):
     """The same changes as a plain table operation."""
-    return collection.upserted(V.vectors(spark, sf).withColumn("metadata", F.lit(None).cast("string")),
-                               V.changes(spark, sf)).select("namespace", "id", "values")
+    return flat(collection.upserted(V.vectors(spark, sf).withColumn("metadata", F.lit(None).cast("string")),
+                                    V.changes(spark, sf)).select("namespace", "id", "values"))
 
 
 @query
@@ -187,7 +198,7 @@ def backup_rows(spark, sf):
     target = _stored(spark, sf)
     backup_id = backup.create_backup(target, root, "vectors")
     target.delete_all()
-    return backup.read_backup(target, root, backup_id).select("namespace", "id", "values", "metadata")
+    return flat(backup.read_backup(target, root, backup_id).select("namespace", "id", "values", "metadata"))
 
 
 # -- layout and requests ------------------------------------------------------------------------------------------
@@ -304,18 +315,18 @@ def job_history(spark, sf):
 
 @query
 def synthetic_vectors(spark, sf):
-    return generate.synthetic_vectors(V.numbered(spark, sf))
+    return flat(generate.synthetic_vectors(V.numbered(spark, sf)))
 
 
 @query
 def synthetic_queries(spark, sf):
-    return generate.query_vectors(V.numbered(spark, sf), V.DIMENSION)
+    return flat(generate.query_vectors(V.numbered(spark, sf), V.DIMENSION), "qv")
 
 
 @query
 def constant_record(spark, sf):
     """One test record for each namespace of the collection."""
-    return generate.constant_records(V.vectors(spark, sf).select("namespace").distinct())
+    return flat(generate.constant_records(V.vectors(spark, sf).select("namespace").distinct()))
 
 
 @query
@@ -366,4 +377,4 @@ def stream_upsert(spark, sf):
     target = _stored(spark, sf)
     stream = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
     _finish(monitors.continuous_upsert(stream, target, "changes"), spark, "upsert")
-    return target.read().select("namespace", "id", "values")
+    return flat(target.read().select("namespace", "id", "values"))
