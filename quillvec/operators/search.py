@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from quillvec import model as M
 from quillvec.functions.scoring import METRICS, ROW_BLOCK, LocalTopK, as_matrix
 
-BROADCAST_BYTES = 256 * 1024 * 1024
+BROADCAST_BYTES = 128 * 1024 * 1024
 CELL_BYTES = 256 * 1024 * 1024
 MERGE_FAN_IN = 256
 
@@ -39,7 +39,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = M.TOP_K, metric: str
 
     ``vectors`` has ``namespace, id, values``; ``queries`` has ``qid, qv``. Vectors are scored where they are
     read, and only local winners move, so the size of a namespace does not matter. A query set up to
-    ``broadcast_bytes`` goes to every task; a larger one is scored in a grid of blocks.
+    ``broadcast_bytes`` goes to every task; a larger one is scored in a grid of blocks. Queries and vectors that
+    are not of the longest query's length, or hold a NULL, NaN or infinite element, have no part in any result.
     """
     dimension = _dimension(queries)
     if dimension is None:
@@ -56,8 +57,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = M.TOP_K, metric: str
 
 
 def _dimension(queries: DataFrame) -> int | None:
-    first = queries.filter(F.col("qv").isNotNull()).select(F.size("qv").alias("n")).first()
-    return first.n if first else None
+    longest = queries.filter("qv IS NOT NULL").selectExpr("max(size(qv))").first()[0]
+    return longest or None
 
 
 def _qid_type(queries: DataFrame) -> str:

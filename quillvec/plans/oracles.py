@@ -145,7 +145,7 @@ def flat(sql: str, others: str, vector: str = '"values"') -> str:
     """The numbers that stand for a vector column, see ``registry.flat``."""
     return f"""
 SELECT {others}, CAST(len({vector}) AS BIGINT) AS dimension, {vector}[1] AS first_value,
-       {vector}[len({vector})] AS last_value, round(list_sum({vector}), 6) AS total,
+       {vector}[len({vector})] AS last_value,
        round(list_inner_product({vector}, list_transform(range(1, len({vector}) + 1), lambda i: i::DOUBLE)), 6) AS weighted
 FROM ({sql})"""
 

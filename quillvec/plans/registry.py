@@ -40,14 +40,13 @@ def rounded(df: DataFrame) -> DataFrame:
 
 
 def flat(df: DataFrame, vector: str = "values") -> DataFrame:
-    """A vector column as plain numbers: length, ends, sum, and a sum weighted by position. Any client can
-    compare these, which is not so for arrays."""
-    total = "aggregate({}, 0D, (a, x) -> a + x)"
+    """A vector column as plain numbers: length, ends, and a sum weighted by position. Any client can compare
+    these, which is not so for arrays."""
+    weighted = f"aggregate(transform({vector}, (x, i) -> x * (i + 1)), 0D, (a, x) -> a + x)"
     return df.selectExpr(
         *[c for c in df.columns if c != vector], f"bigint(size({vector})) AS dimension",
         f"{vector}[0] AS first_value", f"element_at({vector}, -1) AS last_value",
-        f"round({total.format(vector)}, {DIGITS}) AS total",
-        f"round({total.format(f'transform({vector}, (x, i) -> x * (i + 1))')}, {DIGITS}) AS weighted")
+        f"round({weighted}, {DIGITS}) AS weighted")
 
 
 # -- search -------------------------------------------------------------------------------------------------------

@@ -101,6 +101,26 @@ def test_no_queries(spark, data):
     assert S.search(v, q.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_odd_queries_have_no_results(spark, data, limit):
+    vectors, queries = data
+    v, _ = frames(spark, data)
+    odd = [(100, None), (101, [1.0] * (D - 1)), (102, [float("nan")] * D), (103, [None] * D), (104, [0.0] * D)]
+    q = spark.createDataFrame(queries + odd, "qid long, qv array<double>")
+    same(S.search(v, q, 2, "cosine", broadcast_bytes=limit).collect(), brute(*data, 2, "cosine"))
+
+
+def test_float_vectors_and_text_ids(spark, data):
+    vectors, queries = data
+    v, _ = frames(spark, data)
+    q = spark.createDataFrame([(str(i), x) for i, x in queries], "qid string, qv array<float>")
+    single = [(i, [float(np.float32(e)) for e in x]) for i, x in queries]
+    got = S.search(v.withColumn("values", F.col("values").cast("array<float>")), q, 2).collect()
+    rounded = [(ns, i, None if x is None else [None if e is None else float(np.float32(e)) for e in x])
+               for ns, i, x in vectors]
+    same([(int(r.qid), *r[1:]) for r in got], brute(rounded, single, 2, "dot"))
+
+
 def test_unknown_metric(spark, data):
     v, q = frames(spark, data)
     with pytest.raises(ValueError):
