@@ -2,14 +2,14 @@
 
 The values of a group are counted in coarse buckets with a hash aggregate, which combines before the shuffle.
 The bucket that holds a wanted rank is found from the counts and divided again, until it is small or holds a
-single value; only then are its distinct values ordered. Buckets are closed ranges of actual values.
+single value; only then are its values ordered. Buckets are closed ranges of actual values.
 
 Ranks are 0-based SQL expressions of the number of values ``n_all``, by name.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillvec.storage import BROADCAST_ROWS, checkpointed
@@ -76,19 +76,18 @@ def resolve(values: DataFrame, keys: list[str], value: str, brackets: DataFrame,
         largest, groups = brackets.selectExpr(f"max(greatest({sizes}))", "count(*)").first()
         if largest is None:
             return brackets.selectExpr(*kept, *[f"lo_{r} AS {r}" for r in ranks])
-        rows = _bracket_rows(values, keys, value, brackets, ranks, groups <= BROADCAST_ROWS)
+        small = groups <= BROADCAST_ROWS
+        rows = _bracket_rows(values, keys, value, brackets, ranks, small)
         if largest <= sort_rows:
             break
         finer = rows.withColumn("step", F.expr(f"floor(({value} - lo) / (hi - lo) * {LINEAR_STEPS})")) \
             .groupBy(*unit, "step").agg(F.expr("count(*) AS n"), F.expr(f"min({value}) AS new_lo"),
                                         F.expr(f"max({value}) AS new_hi"))
         brackets = checkpointed(_narrowed(finer, keys, kept, brackets, ranks))
-    running = F.sum("n").over(Window.partitionBy(*keys, "target").orderBy(value)
-                              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    found = rows.groupBy(*unit, value).agg(F.expr("count(*) AS n")).withColumn("upto", running) \
-        .filter("upto > want").groupBy(*keys) \
+    place = f"row_number() OVER (PARTITION BY {', '.join(keys)}, target ORDER BY {value}) AS place"
+    found = rows.selectExpr(*keys, "target", "want", value, place).filter("place = want + 1").groupBy(*keys) \
         .agg(*[F.expr(f"min(CASE WHEN target = '{r}' THEN {value} END) AS at_{r}") for r in ranks])
-    return brackets.join(found, keys, "left").selectExpr(
+    return brackets.join(F.broadcast(found) if small else found, keys, "left").selectExpr(
         *kept, *[f"coalesce(at_{r}, lo_{r}) AS {r}" for r in ranks])
 
 

@@ -103,28 +103,30 @@ def throughput_ticks(log: DataFrame, runs: DataFrame | None = None, tick_seconds
                      ticks_per_chunk: int = TICKS_PER_CHUNK) -> DataFrame:
     """Progress of each run per tick: remaining seconds, queries so far and in this tick, errors so far.
 
-    Quiet ticks show 0. Running totals are taken per chunk of ticks, from the totals of the chunks before,
+    Quiet ticks show 0, and records outside the time of their run do not count. Running totals are taken per chunk of ticks, from the totals of the chunks before,
     so a long run is spread over many tasks.
     """
     runs = run_times(log) if runs is None else runs
     spans = checkpointed(runs.select("run_id", micros(F.col("started_at")).alias("start_us"),
                                      micros(F.col("ended_at")).alias("end_us"))
                          .selectExpr("run_id", "start_us", "(end_us - start_us) DIV 1000000 AS seconds"))
+    last = f"seconds DIV {tick_seconds}"
     counts = checkpointed(
         log.select("run_id", micros(F.col("ts")).alias("us"), "success").join(sized(spans), "run_id")
-        .groupBy("run_id", F.expr(f"(us - start_us) DIV {1_000_000 * tick_seconds} AS tick"))
+        .selectExpr("run_id", f"floor((us - start_us) / {1_000_000 * tick_seconds}) AS tick", "success", f"{last} AS last")
+        .filter("tick BETWEEN 0 AND last").groupBy("run_id", "tick")
         .agg(F.expr("count_if(success) AS ok"), F.expr("count_if(NOT success) AS bad")))
-    last = f"seconds DIV {tick_seconds}"
-    spine = spans.selectExpr("run_id", "seconds", f"explode(sequence(0L, {last})) AS tick")
-    full = spine.join(counts, ["run_id", "tick"], "left").selectExpr(
-        "*", f"tick DIV {ticks_per_chunk} AS chunk", "coalesce(ok, 0L) AS queries", "coalesce(bad, 0L) AS failed")
-    chunks = counts.groupBy("run_id", F.expr(f"tick DIV {ticks_per_chunk} AS chunk")).agg(
-        F.expr("sum(ok) AS q"), F.expr("sum(bad) AS e"))
+    chunk = f"tick DIV {ticks_per_chunk} AS chunk"
+    spine = spans.selectExpr("run_id", f"explode(sequence(0L, {last})) AS tick", "0L AS ok", "0L AS bad")
+    # One shuffle by chunk serves the sum per tick, the join with the totals before, and the running totals.
+    ticks = counts.unionByName(spine).selectExpr("*", chunk).repartition("run_id", "chunk") \
+        .groupBy("run_id", "chunk", "tick").agg(F.expr("sum(ok) AS queries"), F.expr("sum(bad) AS failed"))
+    chunks = counts.groupBy("run_id", F.expr(chunk)).agg(F.expr("sum(ok) AS q"), F.expr("sum(bad) AS e"))
     before = "OVER (PARTITION BY run_id ORDER BY chunk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    offsets = spans.selectExpr("run_id", f"explode(sequence(0L, {last} DIV {ticks_per_chunk})) AS chunk") \
+    totals = spans.selectExpr("run_id", "seconds", f"explode(sequence(0L, {last} DIV {ticks_per_chunk})) AS chunk") \
         .join(chunks, ["run_id", "chunk"], "left").selectExpr(
-            "run_id", "chunk", f"coalesce(sum(q) {before}, 0L) AS q0", f"coalesce(sum(e) {before}, 0L) AS e0")
+            "run_id", "chunk", "seconds", f"coalesce(sum(q) {before}, 0L) AS q0", f"coalesce(sum(e) {before}, 0L) AS e0")
     upto = "OVER (PARTITION BY run_id, chunk ORDER BY tick ROWS UNBOUNDED PRECEDING)"
-    return full.join(offsets, ["run_id", "chunk"]).selectExpr(
+    return ticks.join(totals, ["run_id", "chunk"]).selectExpr(
         "run_id", "tick", f"seconds - tick * {tick_seconds} AS remaining_sec",
         f"sum(queries) {upto} + q0 AS total_queries", "queries", f"sum(failed) {upto} + e0 AS total_errors")
