@@ -76,7 +76,7 @@ def resolve(values: DataFrame, keys: list[str], value: str, brackets: DataFrame,
         largest, groups = brackets.selectExpr(f"max(greatest({sizes}))", "count(*)").first()
         if largest is None:
             return brackets.selectExpr(*kept, *[f"lo_{r} AS {r}" for r in ranks])
-        small = groups <= BROADCAST_ROWS
+        small = groups <= BROADCAST_ROWS // 4
         rows = _bracket_rows(values, keys, value, brackets, ranks, small)
         if largest <= sort_rows:
             break

@@ -12,7 +12,6 @@ import json
 import uuid
 from collections import Counter
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -112,8 +111,11 @@ class Collection:
     def segment_tokens(self, segment: str) -> list[str]:
         folder = self.segment_path(segment, True)
         names = [n.split("=", 1)[1] for n in child_names(self.spark, folder) if n.startswith("namespace=")]
-        unescape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
-        return [unescape(n) for n in names]
+        return [self._names().unescapePathName(n) for n in names]
+
+    def _names(self):
+        """Spark's rule for partition values in directory names."""
+        return self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
 
     def _scan(self, paths: list[str]) -> DataFrame:
         """Segment directories as one scan, with segment, kept and namespace token from the path."""
@@ -128,19 +130,18 @@ class Collection:
     # -- reading ----------------------------------------------------------------------------------------------
 
     def _live_rows(self, live: dict[str, list[str]]) -> DataFrame:
-        """Rows of the given namespaces of segments; the filter is on directory names and prunes them."""
-        rows = self._scan([self.segment_path(s, True) for s in live])
-        partial = []
+        """Rows of the given namespaces of segments. Only their directories are listed and read."""
+        paths = []
         for segment, tokens in live.items():
-            wanted = F.col("segment") == segment
-            if set(tokens) != set(self.segment_tokens(segment)):
-                wanted = wanted & F.col("namespace").isin(tokens)
-            partial.append(wanted)
-        rows = rows.filter(reduce(Column.__or__, partial)) if partial else rows
-        return rows.withColumnRenamed("namespace", "token")
+            folder = self.segment_path(segment, True)
+            if set(tokens) == set(self.segment_tokens(segment)):
+                paths.append(folder)
+            else:
+                paths += [f"{folder}/namespace={self._names().escapePathName(t)}" for t in tokens]
+        return self._scan(paths).withColumnRenamed("namespace", "token")
 
     def read(self, namespace: str | None = None, number: int | None = None) -> DataFrame:
-        """Records of a version; with a namespace, only its directories are in the plan."""
+        """Records of a version, of all namespaces or one."""
         live = self.version(number).live
         if namespace is not None:
             token = M.DEFAULT_TOKEN if namespace == M.DEFAULT_NAMESPACE else namespace
@@ -188,20 +189,21 @@ class Collection:
         live[segment] = tokens
         return self.commit(base, live, dimension, applied)
 
-    def upsert(self, changes: DataFrame, seq: str = "seq", stream: str | None = None,
-               batch: int | None = None) -> Version:
+    def upsert(self, changes: DataFrame, seq: str = "seq", stream: str | None = None, batch: int | None = None,
+               dimension: int | None = None) -> Version:
         """Insert or replace records by namespace and id; the highest ``seq`` of a record wins.
 
-        With ``stream`` and ``batch``, a batch that was committed before is skipped. Records that break the
-        contract must have been taken out; a NULL namespace or id fails the call.
+        With ``stream`` and ``batch``, a batch that was committed before is skipped. A record without namespace,
+        id or values, or of another dimension than the collection's, fails the call and nothing is committed.
         """
         base = self.version()
         if stream is not None and base.applied.get(stream, -1) >= batch:
             return base
         segment = self.new_segment()
-        placed = newest(_complete(changes), seq).hint("rebalance", "namespace")
-        tokens = self.write_segment(placed, segment)
-        return self.merge(base, segment, tokens, applied={stream: batch} if stream is not None else None)
+        complete = _complete(changes, base.dimension or dimension)
+        tokens = self.write_segment(newest(complete, seq).hint("rebalance", "namespace"), segment)
+        applied = {stream: batch} if stream is not None else None
+        return self.merge(base, segment, tokens, base.dimension or dimension, applied)
 
     def delete_namespace(self, namespace: str = M.DEFAULT_NAMESPACE) -> Version:
         """Drop one namespace; without a name, the default one."""
@@ -224,11 +226,22 @@ class Collection:
         return before, self.read().count()
 
 
-def _complete(changes: DataFrame) -> DataFrame:
-    def required(name: str):
-        return F.coalesce(F.col(name), F.raise_error(F.lit(f"{name} must not be NULL")).cast("string"))
+def _complete(changes: DataFrame, dimension: int | None) -> DataFrame:
+    """Changes with all record columns; a record that cannot be stored fails the job that reads it."""
+    for f in M.RECORD_FIELDS:
+        if f.name not in changes.columns:
+            changes = changes.withColumn(f.name, F.lit(None).cast(f.dataType))
+
+    def required(name: str, kind: str, rule: str, text: str) -> Column:
+        return F.expr(f"CASE WHEN {rule} THEN {name} ELSE CAST(raise_error('{text}') AS {kind}) END")
 
-    return changes.withColumns({"namespace": required("namespace"), "id": required("id")})
+    sized_right = "values IS NOT NULL" if dimension is None else f"coalesce(size(values) = {dimension}, false)"
+    return changes.withColumns({
+        "namespace": required("namespace", "string", "namespace IS NOT NULL", "namespace must not be NULL"),
+        "id": required("id", "string", "id IS NOT NULL", "id must not be NULL"),
+        "values": required("CAST(values AS array<double>)", "array<double>", sized_right,
+                           f"values must have {dimension or 'some'} elements"),
+    })
 
 
 def newest(changes: DataFrame, seq: str = "seq") -> DataFrame:

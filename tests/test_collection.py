@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 from quillvec import storage
 from quillvec.operators import backup, collection as C
 
-SCHEMA = "namespace string, id string, values array<double>, sparse_values struct<indices: array<bigint>, values: array<double>>, metadata string, seq long"
+SCHEMA = ("namespace string, id string, values array<double>, "
+          "sparse_values struct<indices: array<bigint>, values: array<double>>, metadata string, seq long")
 
 
 def records(spark, *rows):
@@ -67,6 +68,17 @@ def test_pieces_of_a_namespace_stay_few(spark, target, rows, monkeypatch):
     assert content(rows, target) == [("a", str(i), float(i)) for i in range(8)] + [("b", "x", 5.0)]
 
 
+def test_odd_names(spark, target, rows):
+    names = ["", "a=b", "x*", "[1]", "{a,b}", "a/b", "50%", "ü ü", "_h", ".d", "x:y", "back\\slash", "?", "null", "NULL"]
+    target.upsert(records(spark, *[(n, "a", 1, 1) for n in names]))
+    target.upsert(records(spark, *[(n, "a", 2, 1) for n in names[::2]]))
+    target.delete_namespace("x*")
+    want = sorted(((n, "a", 2.0 if n in names[::2] else 1.0) for n in names if n != "x*"), key=repr)
+    assert content(rows, target) == want
+    for n in names:
+        assert content(rows, target, namespace=n) == [w for w in want if w[0] == n]
+
+
 def test_hot_id(spark, target, rows):
     target.upsert(records(spark, *[("n", "hot", i, i) for i in range(500)], ("n", "x", 1, 1)).repartition(8))
     assert content(rows, target) == [("n", "hot", 499.0), ("n", "x", 1.0)]
@@ -79,6 +91,16 @@ def test_incomplete_records_fail(spark, target):
     assert target.version().number == 0
 
 
+def test_dimension_is_checked_on_write(spark, target, rows):
+    two = spark.createDataFrame([("n", "a", [1.0, 2.0], 1)], "namespace string, id string, values array<float>, seq long")
+    target.upsert(two, dimension=2)
+    assert target.version().dimension == 2 and rows(target.read(), "values", "metadata") == [([1.0, 2.0], None)]
+    for bad in (records(spark, ("n", "b", 1, 1)), two.withColumn("values", F.lit(None).cast("array<double>"))):
+        with pytest.raises(Exception, match="2 elements"):
+            target.upsert(bad)
+    assert target.version().number == 1
+
+
 def test_batches_of_a_stream_count_once(spark, target, rows):
     target.upsert(records(spark, ("n", "a", 1, 1)), stream="s", batch=0)
     target.upsert(records(spark, ("n", "a", 2, 1)), stream="s", batch=0)
