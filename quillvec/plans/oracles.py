@@ -127,7 +127,7 @@ outcomes AS (
   SELECT job_id, status, done, elapsed, coalesce(uri, 'N/A') AS uri,
          CASE WHEN percent_complete IS NULL THEN 'N/A' ELSE printf('%.1f%%', percent_complete) END AS progress,
          coalesce(records_imported, 0) AS records_imported, error, created_us,
-         CASE WHEN done THEN us END AS finished_us
+         CASE WHEN done THEN us ELSE -1 END AS finished_us
   FROM ends JOIN firsts USING (job_id))"""
 
 
@@ -226,11 +226,12 @@ SELECT count(*) AS n_rows, 5::BIGINT AS n_columns, count("values") AS with_value
 FROM raw""",
 
     "dimension_histogram": f"""
-WITH {RAW} SELECT CAST(len("values") AS BIGINT) AS dimension, count(*) AS n_rows FROM raw GROUP BY 1""",
+WITH {RAW} SELECT CAST(coalesce(len("values"), -1) AS BIGINT) AS dimension, count(*) AS n_rows FROM raw GROUP BY 1""",
 
     "record_check": f"""
 WITH {RAW}
-SELECT namespace, id, CAST(len("values") AS BIGINT) AS dimension, sparse_indices IS NOT NULL AS has_sparse, reasons
+SELECT namespace, id, CAST(coalesce(len("values"), -1) AS BIGINT) AS dimension,
+       sparse_indices IS NOT NULL AS has_sparse, reasons
 FROM checked""",
 
     "record_preview": f"""
@@ -375,7 +376,8 @@ WINDOW w AS (PARTITION BY run_id ORDER BY tick)""",
 
     "record_changes": f"""
 WITH {EVENTS}
-SELECT job_id, seq, elapsed, status, uri, percent_complete, records_imported, error FROM watched
+SELECT job_id, seq, elapsed, status, uri, percent_complete, coalesce(records_imported, -1) AS records_imported, error
+FROM watched
 WHERE place = 1 OR status IS DISTINCT FROM p_status OR uri IS DISTINCT FROM p_uri
    OR percent_complete IS DISTINCT FROM p_percent OR records_imported IS DISTINCT FROM p_records
    OR error IS DISTINCT FROM p_error""",

@@ -39,6 +39,11 @@ def rounded(df: DataFrame) -> DataFrame:
                        for f in df.schema])
 
 
+def whole(df: DataFrame, *columns: str) -> DataFrame:
+    """Whole numbers with -1 for NULL, as clients without nullable integers would turn them into fractions."""
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(-1)) for c in columns})
+
+
 def flat(df: DataFrame, vector: str = "values") -> DataFrame:
     """A vector column as plain numbers: length, ends, and a sum weighted by position. Any client can compare
     these, which is not so for arrays."""
@@ -84,12 +89,12 @@ def vector_profile(spark, sf):
 
 @query
 def dimension_histogram(spark, sf):
-    return ingest.dimension_histogram(V.raw_records(spark, sf))
+    return whole(ingest.dimension_histogram(V.raw_records(spark, sf)), "dimension")
 
 
 @query
 def record_check(spark, sf):
-    return ingest.check_records(V.raw_records(spark, sf), V.DIMENSION)
+    return whole(ingest.check_records(V.raw_records(spark, sf), V.DIMENSION), "dimension")
 
 
 @query
@@ -297,17 +302,17 @@ def status_changes(spark, sf):
 
 @query
 def record_changes(spark, sf):
-    return rounded(jobs.record_changes(_events(spark, sf)))
+    return whole(rounded(jobs.record_changes(_events(spark, sf))), "records_imported")
 
 
 @query
 def job_outcomes(spark, sf):
-    return jobs.job_outcomes(_events(spark, sf))
+    return whole(jobs.job_outcomes(_events(spark, sf)), "finished_us")
 
 
 @query
 def job_history(spark, sf):
-    return jobs.job_history(jobs.job_outcomes(_events(spark, sf)))
+    return whole(jobs.job_history(jobs.job_outcomes(_events(spark, sf))), "finished_us")
 
 
 # -- generators ---------------------------------------------------------------------------------------------------
