@@ -73,14 +73,15 @@ def _float_reprs(values: pd.Series) -> pd.Series:
 
 
 def list_preview(values: Column) -> Column:
-    """The first three numbers and the length of a list longer than five, else the whole list."""
+    """The first numbers and the length of a long list, else the whole list."""
     n = F.size(values)
-    long = n > 5
-    shown = _float_reprs(F.when(long, F.slice(values, 1, 3)).otherwise(values).cast("array<double>"))
+    long = n > M.PREVIEW_LIST
+    shown = _float_reprs(F.when(long, F.slice(values, 1, M.PREVIEW_SHOWN)).otherwise(values).cast("array<double>"))
     joined = F.array_join(shown, ", ")
     return F.when(long, F.concat(F.lit("["), joined, F.lit(", ... ] ("), n.cast("string"), F.lit(" elements)"))) \
         .when(n >= 0, F.concat(F.lit("["), joined, F.lit("]")))
 
 
 def text_preview(text: Column) -> Column:
-    return F.when(F.length(text) > 200, F.concat(F.substring(text, 1, 200), F.lit("..."))).otherwise(text)
+    cut = F.concat(F.substring(text, 1, M.PREVIEW_TEXT), F.lit("..."))
+    return F.when(F.length(text) > M.PREVIEW_TEXT, cut).otherwise(text)

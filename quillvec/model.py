@@ -12,6 +12,9 @@ HOT_NAMESPACES = 20
 FILES_PER_NAMESPACE = 3
 BAD_PATHS = 5
 REPRINT_SECONDS = 30
+PREVIEW_LIST = 5
+PREVIEW_SHOWN = 3
+PREVIEW_TEXT = 200
 BYTES_PER_MB = 1024 * 1024
 IMPORT_TERMINAL = ("Completed", "Failed", "Cancelled")
 BACKUP_TERMINAL = ("Ready", "Failed", "Cancelled")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from quillvec import model as M
+from quillvec.functions.uris import URI_PATTERNS
 from quillvec.operators import generate as G
 from quillvec.plans.registry import TICK_SECONDS
 from quillvec.plans.views import DIMENSION, PREFIX
@@ -183,15 +184,9 @@ WITH {EVENTS}
 SELECT job_id, seq, status, elapsed FROM watched
 WHERE status IS DISTINCT FROM p_status OR elapsed % {M.REPRINT_SECONDS} = 0"""
 
-ARN = r"'^s3://(arn:aws:s3:[^:]*:[^:]*:accesspoint/[^/]+)(?:/(.*))?$'"
-ANY_URI = r"'^(?:s3|gs|azure)://([^/]+)(?:/(.*))?$'"
-BLOB = r"'^https://[^/]+\.blob\.core\.windows\.net/([^/]+)(?:/(.*))?$'"
-
-
 def uri_part(group: int) -> str:
-    return f"""CASE WHEN regexp_matches(u, {ARN}) THEN regexp_extract(u, {ARN}, {group})
-       WHEN regexp_matches(u, {ANY_URI}) THEN regexp_extract(u, {ANY_URI}, {group})
-       WHEN regexp_matches(u, {BLOB}) THEN regexp_extract(u, {BLOB}, {group}) END"""
+    cases = " ".join(f"WHEN regexp_matches(u, '{p}') THEN regexp_extract(u, '{p}', {group})" for p in URI_PATTERNS)
+    return f"CASE {cases} END"
 
 
 ORACLES = {
@@ -240,9 +235,10 @@ SELECT namespace, id, '[' || "values"[1]::VARCHAR || ', ' || "values"[2]::VARCHA
        || ', ... ] (' || len("values") || ' elements)' AS "values"
 FROM vectors""",
 
-    "text_preview": """
+    "text_preview": f"""
 SELECT CAST(doc_id AS VARCHAR) AS doc_id,
-       CASE WHEN length(text) > 200 THEN substring(text, 1, 200) || '...' ELSE text END AS text, lang
+       CASE WHEN length(text) > {M.PREVIEW_TEXT} THEN substring(text, 1, {M.PREVIEW_TEXT}) || '...' ELSE text END AS text,
+       lang
 FROM documents""",
 
     "import_layout_check": """
