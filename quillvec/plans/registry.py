@@ -13,6 +13,7 @@ from quillvec.operators import backup, collection, generate, ingest, jobs, layou
 from quillvec.operators.collection import Collection
 from quillvec.plans import views as V
 from quillvec.plans.shipping import ship_package
+from quillvec.sources.logs import BYTES_PER_BATCH
 from quillvec.sources.manifest import list_directory
 from quillvec.storage import checkpointed, new_dir
 from quillvec.streaming import monitors
@@ -347,7 +348,8 @@ def write_batch_sizes(spark, sf):
 
 def _event_stream(spark, sf):
     schema = V.events(spark, sf).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet") \
+        .option("maxBytesPerTrigger", BYTES_PER_BATCH).parquet(sf)
 
 
 def _finish(writer, spark, name: str) -> None:

@@ -9,13 +9,15 @@ from quillvec import model as M
 from quillvec.storage import exists
 
 
+BYTES_PER_BATCH = 1 << 30
+
+
 def _read(spark: SparkSession, schema: StructType, path: str, stream: bool, files_per_batch: int | None) -> DataFrame:
+    """A table, or a stream whose micro-batches are bounded by files or else by bytes."""
     if not stream:
         return spark.read.schema(schema).parquet(path)
-    reader = spark.readStream.schema(schema)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+    bound = ("maxFilesPerTrigger", files_per_batch) if files_per_batch else ("maxBytesPerTrigger", BYTES_PER_BATCH)
+    return spark.readStream.schema(schema).option(*bound).parquet(path)
 
 
 def read_op_log(spark: SparkSession, path: str, stream: bool = False, files_per_batch: int | None = None) -> DataFrame:

@@ -37,7 +37,7 @@ def status_monitor(events: DataFrame, terminal: tuple[str, ...] = M.IMPORT_TERMI
     """Reported states of each job as they arrive, until its first terminal one. Needs the RocksDB state store.
 
     Events of a job are put in order within a micro-batch; across batches they must arrive in order. The size
-    of a batch, set at the source, bounds what one job can bring to its task at a time.
+    of a batch, which the log readers bound, also bounds what one job can bring to its task at a time.
     """
     events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     return events.select("job_id", micros(F.col("ts")).alias("us"), "seq", "status").groupBy("job_id") \
