@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from quillvec import model as M
 from quillvec.functions.scalars import from_token, to_token
-from quillvec.storage import child_names, hadoop_path, read_text, sized, write_text_once
+from quillvec.storage import child_names, hadoop_path, read_text, sized, write_once
 
 STORED = T.StructType([
     *M.RECORD_FIELDS,
@@ -71,7 +71,7 @@ class Collection:
         new = Version(base.number + 1, dimension or base.dimension,
                       {s: sorted(t) for s, t in live.items() if t}, {**base.applied, **(applied or {})})
         try:
-            write_text_once(self.spark, self._commit_path(new.number), json.dumps(new.__dict__))
+            write_once(self.spark, self._commit_path(new.number), json.dumps(new.__dict__).encode())
         except Exception as err:
             if "FileAlreadyExists" in str(err):
                 raise CommitConflict(f"version {new.number} exists") from err

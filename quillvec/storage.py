@@ -67,12 +67,12 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(jpath)]
 
 
-def write_text_once(spark: SparkSession, path: str, text: str) -> None:
-    """Create ``path`` with ``text``; fails if it is there already."""
+def write_once(spark: SparkSession, path: str, data: bytes) -> None:
+    """Create ``path`` with ``data``; fails if it is there already."""
     jpath, fs = hadoop_path(spark, path)
     out = fs.create(jpath, False)
     try:
-        out.write(bytearray(text.encode("utf-8")))
+        out.write(bytearray(data))
     finally:
         out.close()
 
