@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as entry_point
 from conftest import SMALL
+from quillvec.plans.registry import QUERIES
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
@@ -30,10 +31,10 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(QUERIES) <= set(entry_point.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(entry_point.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, duck, name):
     df = entry_point.queries()[name](spark, SMALL)
     columns = sorted(df.columns)
