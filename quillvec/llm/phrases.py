@@ -49,10 +49,12 @@ def removed_passages(docs: DataFrame, window: int = WINDOW, carry: tuple[str, ..
     scratch = Scratch(docs.sparkSession, "phrases")
     source = keyed(docs, *carry)
     runs = phrase_runs(source, window)
-    recurring = runs.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("key")
+    # A table of its own, so that the join of a very frequent phrase can be split.
+    recurring = scratch.keep(runs.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b")
+                             .select("key"), "recurring")
     found = scratch.keep(runs.join(recurring, "key", "left_semi"), "found")
     stretches = scratch.keep(_stretches(source, found, window), "stretches")
-    scratch.drop("found")
+    scratch.drop("found", "recurring")
     classes = scratch.keep(stretches.groupBy("key", "stretch").agg(
         F.min("id").alias("owner"), F.max("id").alias("last")), "classes")
     located = scratch.keep(_located(classes, window), "located")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillvec.llm import bpe, jaccard, perplexity, phrases, templates
+from quillvec.llm import bpe, chat, jaccard, licenses, perplexity, phrases, quality, suffixes, templates, urls
 from quillvec.plans.shipping import ship_package
 
 QUERIES: dict = {}
@@ -30,6 +30,19 @@ def table(spark, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op1_chat_formatting(spark, sf):
+    """Every turn as a call or a result, linked, in order and checked."""
+    calls, results = chat.calls_and_results(table(spark, sf, "conversations"))
+    return chat.linked_calls(calls, results, chat.TURN_SCHEMAS)
+
+
+@query
+def op2_license_scan(spark, sf):
+    """Notices of usual licenses in all texts."""
+    return licenses.found_licenses(table(spark, sf, "documents"), licenses.template_table(spark))
+
+
 @query
 def op3_quality_rules(spark, sf):
     """Word counts, the word rules and perplexity bands of each language."""
@@ -38,6 +51,14 @@ def op3_quality_rules(spark, sf):
         F.round("bits", 6).alias("bits"))
 
 
+@query
+def op4_suffix_dedup(spark, sf):
+    """What is left of each document without strings of 400 bytes that start elsewhere too."""
+    return suffixes.without_repeats(table(spark, sf, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op5_jaccard_join(spark, sf):
     """Components of documents whose sets of three-word shingles overlap to 90 percent."""
@@ -51,6 +72,12 @@ def op6_substring_dedup(spark, sf):
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op7_url_filter(spark, sf):
+    """Rules, and for urls without one what the words in their names say."""
+    return urls.judged_urls(table(spark, sf, "pages"))
+
+
 @query
 def op8_benchmark_decontamination(spark, sf):
     """Documents that hold a question of the benchmark, as it is or with other parameters."""
@@ -67,6 +94,16 @@ def op9_byte_bpe(spark, sf):
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query
+def op10_quality_classifier(spark, sf):
+    """Quality of every text by a network that has not seen the labels of the held-out quarter."""
+    docs = table(spark, sf, "documents")
+    network = quality.fit(quality.training_sample(docs, table(spark, sf, "labels")))
+    return quality.quality_scores(docs, network).select(
+        "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
 ORACLES: dict[str, str] = {}
 
 ORACLES["op5_jaccard_join"] = r"""
