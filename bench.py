@@ -10,6 +10,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -22,6 +23,7 @@ HEADLINE = (
     "topk_all_namespaces", "topk_one_namespace", "topk_default_namespace", "latency_summary", "latency_by_namespace",
     "throughput_ticks", "write_throughput", "layout_totals", "layout_first_files", "upsert_result", "import_accepted",
     "status_changes", "job_outcomes", "record_check", "collection_stats", "synthetic_vectors", "write_batches",
+    "topk_routed", "record_changes", "backup_rows",
 )
 RUNS = 3
 
@@ -38,6 +40,7 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.log.level", "ERROR")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
         .getOrCreate()
     )
     names = sys.argv[1:] or HEADLINE

@@ -71,6 +71,7 @@ def resolve(values: DataFrame, keys: list[str], value: str, brackets: DataFrame,
     """Values at the wanted ranks: ``keys``, ``carry`` and one column per rank. ``brackets`` must be checkpointed."""
     kept = [*keys, *carry]
     unit = [*keys, "target", "lo", "hi", "want"]
+    before = None
     while True:
         sizes = ", ".join(f"CASE WHEN lo_{r} < hi_{r} THEN n_{r} END" for r in ranks)
         largest, groups = brackets.selectExpr(f"max(greatest({sizes}))", "count(*)").first()
@@ -80,6 +81,9 @@ def resolve(values: DataFrame, keys: list[str], value: str, brackets: DataFrame,
         rows = _bracket_rows(values, keys, value, brackets, ranks, small)
         if largest <= sort_rows:
             break
+        if before is not None and largest >= before:
+            raise ValueError(f"a bracket of {largest} values can't be divided: {value} must be finite numbers")
+        before = largest
         finer = rows.withColumn("step", F.expr(f"floor(({value} - lo) / (hi - lo) * {LINEAR_STEPS})")) \
             .groupBy(*unit, "step").agg(F.expr("count(*) AS n"), F.expr(f"min({value}) AS new_lo"),
                                         F.expr(f"max({value}) AS new_hi"))

@@ -82,6 +82,16 @@ def list_preview(values: Column) -> Column:
         .when(n >= 0, F.concat(F.lit("["), joined, F.lit("]")))
 
 
+def plain_list_preview(values: Column) -> Column:
+    """As ``list_preview``, for a list of anything else, with its elements as text."""
+    n = F.size(values)
+    long = n > M.PREVIEW_LIST
+    shown = F.when(long, F.slice(values, 1, M.PREVIEW_SHOWN)).otherwise(values)
+    joined = F.array_join(F.transform(shown, lambda x: F.coalesce(x.cast("string"), F.lit("null"))), ", ")
+    return F.when(long, F.concat(F.lit("["), joined, F.lit(", ... ] ("), n.cast("string"), F.lit(" elements)"))) \
+        .when(n >= 0, F.concat(F.lit("["), joined, F.lit("]")))
+
+
 def text_preview(text: Column) -> Column:
     cut = F.concat(F.substring(text, 1, M.PREVIEW_TEXT), F.lit("..."))
     return F.when(F.length(text) > M.PREVIEW_TEXT, cut).otherwise(text)

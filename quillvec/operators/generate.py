@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillvec import model as M
+from quillvec.storage import checkpointed
 
 # The integer mixing rule. Every product stays below 2^62, so any engine can repeat it exactly.
 MODULUS = 2_147_483_647
@@ -73,22 +74,23 @@ def constant_records(namespaces: DataFrame, dimension: int = M.VECTOR_DIMENSION,
         F.lit('{"description": "Test vector for demonstration"}').alias("metadata"))
 
 
-def write_batches(records: DataFrame, id_col: str = "id", size: int = M.BATCH_SIZE, digits: int = 4) -> DataFrame:
-    """Number records densely and cut them into batches of ``size``; only the last one can be short.
+def write_batches(records: DataFrame, id_col: str = "id", size: int = M.BATCH_SIZE) -> DataFrame:
+    """Number records densely in the order of ``id_col`` and cut them into batches of ``size``; only the last one can
+    be short. Records with the same id, or none, follow each other in any order.
 
-    Ids are unique, so a digest prefix spreads them evenly over ``16 ** digits`` buckets. Rows are numbered
-    inside a bucket and shifted by the rows of the buckets before it: the only window without real keys
-    runs over the bucket counts, whose number is fixed.
+    Records are dealt out by ranges of the id and numbered inside a range, which is written before the numbers are
+    used; the only window without a key runs over the counts of the ranges, one row for each partition.
     """
-    text = F.col(id_col).cast("string")
-    bucketed = records.withColumn("bucket", F.substring(F.md5(text), 1, digits))
-    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = bucketed.groupBy("bucket").agg(F.count("*").alias("n")).select(
-        "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift"))
-    place = F.row_number().over(Window.partitionBy("bucket").orderBy(text))
-    position = (F.col("place") - 1 + F.col("shift")).cast("long")
-    return bucketed.withColumn("place", place).join(F.broadcast(shifts), "bucket") \
-        .withColumn("position", position).withColumn("batch", batch_of(position)).drop("bucket", "place", "shift")
+    ordered = checkpointed(records.repartitionByRange(id_col).sortWithinPartitions(id_col)
+                           .withColumn("place", F.monotonically_increasing_id()))
+    # The upper bits of that number are the partition, the lower 33 the row in it.
+    part, row = F.shiftright("place", 33), F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = ordered.groupBy(part.alias("part")).agg(F.count("*").alias("n")).select(
+        "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift"))
+    position = (row + F.col("shift")).cast("long")
+    return ordered.withColumn("part", part).join(F.broadcast(shifts), "part") \
+        .withColumn("position", position).withColumn("batch", batch_of(position)).drop("part", "place", "shift")
 
 
 def batch_sizes(batches: DataFrame) -> DataFrame:

@@ -10,12 +10,14 @@ from itertools import islice
 import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
+from py4j.protocol import Py4JError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillvec import model as M
 from quillvec.functions.records import reject_reasons
-from quillvec.functions.scalars import list_preview, text_preview
+from quillvec.functions.scalars import list_preview, plain_list_preview, text_preview
 from quillvec.operators import layout
 from quillvec.operators.collection import Collection, Version
 from quillvec.sources.imports import footer_row_counts, path_part, read_import
@@ -75,6 +77,8 @@ def preview(records: DataFrame) -> DataFrame:
         kind = f.dataType.typeName()
         if kind == "array" and f.dataType.elementType.typeName() in ("double", "float"):
             shown.append(list_preview(F.col(f.name)).alias(f.name))
+        elif kind == "array":
+            shown.append(plain_list_preview(F.col(f.name)).alias(f.name))
         elif kind == "string":
             shown.append(text_preview(F.col(f.name)).alias(f.name))
         else:
@@ -120,13 +124,21 @@ def import_vectors(collection: Collection, prefix: str, dimension: int, error_mo
     """Load ``<prefix>/<namespace>/<file>.parquet`` into a collection.
 
     CONTINUE loads the good records and leaves the others with the segment, see ``rejects``. ABORT commits
-    nothing if a record is bad or a file cannot be read. The input is read once, and records are written by
-    the tasks that read them: a file holds one namespace, so nothing has to be moved.
+    nothing if a record is bad, or if a file of the layout is hidden, empty or not read to its end; the layout is
+    looked at before anything is read. Without any file of the layout both modes fail. The input is read once, and
+    records are written by the tasks that read them: a file holds one namespace, so nothing has to be moved.
     """
     spark = collection.spark
     base = collection.version()
     if base.dimension not in (None, dimension):
         raise ValueError(f"the collection holds vectors of dimension {base.dimension}, not {dimension}")
+    valid = layout.classify(list_directory(spark, prefix), "").filter(F.col("class") == "valid")
+    if valid.isEmpty():
+        raise ImportAborted(f"{prefix} holds no file of the form <namespace>/<file>.parquet")
+    if error_mode == M.ABORT:
+        unread = valid.filter(_hidden(F.col("file")) | (F.col("size") == 0)).first()
+        if unread is not None:
+            raise ImportAborted(f"{unread.rel} is hidden or empty")
     records = judged(read_import(spark, prefix, skip_corrupt=error_mode == M.CONTINUE), dimension)
     segment = collection.new_segment()
     tokens = collection.write_segment(records, segment)
@@ -135,10 +147,19 @@ def import_vectors(collection: Collection, prefix: str, dimension: int, error_mo
         if bad is not None:
             collection.drop_segment(segment)
             raise ImportAborted(f"{bad.file}: record {bad.id} is rejected: {', '.join(bad.reasons)}")
+        bad = rejected_files(collection, ImportResult(base, segment, prefix)).first()
+        if bad is not None:
+            collection.drop_segment(segment)
+            raise ImportAborted(f"{bad.file} is rejected: {', '.join(bad.reasons)}")
     version = collection.merge(base, segment, tokens, dimension)
     return ImportResult(version, segment, prefix)
 
 
+def _hidden(name):
+    """Names that Spark's readers pass over."""
+    return name.startswith("_") | name.startswith(".")
+
+
 def rejects(collection: Collection, result: ImportResult) -> DataFrame:
     """Rejected records, and files that were not read or not read to the end: ``namespace, file, id, reasons``."""
     rows = collection.rejected(result.segment).select("namespace", "file", "id", "reasons")
@@ -148,8 +169,8 @@ def rejects(collection: Collection, result: ImportResult) -> DataFrame:
 def rejected_files(collection: Collection, result: ImportResult) -> DataFrame:
     """Files of the layout that gave fewer rows than their footer says, or no rows without being empty.
 
-    Only files without any row are opened once more, and only if they are small: a file without rows holds
-    nothing but its footer.
+    Only files without any row are opened once more: small ones many at a time as a whole, since such a file holds
+    nothing but its footer, and those with a long footer one by one through the reader of Spark.
     """
     spark = collection.spark
     listed = layout.classify(list_directory(spark, result.prefix), "").filter(F.col("class") == "valid") \
@@ -157,23 +178,35 @@ def rejected_files(collection: Collection, result: ImportResult) -> DataFrame:
     loaded = collection.segment_files(result.segment).groupBy("file").agg(F.count("*").alias("loaded"))
     known = listed.join(footer_row_counts(spark, result.prefix), "file", "left").join(loaded, "file", "left") \
         .fillna(0, ["n_rows", "loaded"])
-    hidden = F.col("name").startswith("_") | F.col("name").startswith(".")
-    reason = F.when(hidden, "hidden_name").when(F.col("size") == 0, "empty_file") \
+    reason = F.when(_hidden(F.col("name")), "hidden_name").when(F.col("size") == 0, "empty_file") \
         .when(F.col("loaded") < F.col("n_rows"), "cut_short").when(F.col("n_rows") == 0, "unread")
     suspects = checkpointed(known.withColumn("reason", reason).filter(F.col("reason").isNotNull()))
-    unread = suspects.filter((F.col("reason") == "unread") & (F.col("size") <= FOOTER_ONLY_BYTES))
+    unread = suspects.filter(F.col("reason") == "unread")
+    small = unread.filter(F.col("size") <= FOOTER_ONLY_BYTES)
     out = new_dir(spark, "opened")
-    files = (f"{result.prefix.rstrip('/')}/{r.file}" for r in unread.select("file").toLocalIterator())
+    files = (f"{result.prefix.rstrip('/')}/{r.file}" for r in small.select("file").toLocalIterator())
     while paths := list(islice(files, OPENED_AT_ONCE)):
         _opened(spark, paths).write.mode("append").parquet(out)
     if exists(spark, out):
         valid = spark.read.schema(OPENED).parquet(out).filter("sound").select("file")
         suspects = suspects.join(valid, "file", "left_anti")
+    sound = [r.file for r in unread.filter(F.col("size") > FOOTER_ONLY_BYTES).select("file").toLocalIterator()
+             if _reads_as_empty(spark, f"{result.prefix.rstrip('/')}/{r.file}")]
+    if sound:
+        suspects = suspects.filter(~F.col("file").isin(sound))
     return suspects.selectExpr(
         "namespace", "file", "CAST(NULL AS string) AS id",
         "array(CASE WHEN reason = 'unread' THEN 'corrupt_file' ELSE reason END) AS reasons")
 
 
+def _reads_as_empty(spark: SparkSession, path: str) -> bool:
+    escaped = re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+    try:
+        return spark.read.option("ignoreCorruptFiles", "false").parquet(escaped).isEmpty()
+    except (AnalysisException, PySparkException, Py4JError):
+        return False
+
+
 def _opened(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Read files whole: ``sound`` is true for a valid file without rows."""
     def look(batches):

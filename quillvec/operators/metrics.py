@@ -22,7 +22,8 @@ def latency_summary(log: DataFrame, keys: list[str] | None = None, runs: DataFra
                     sort_rows: int = SORT_ROWS) -> DataFrame:
     """Counts, throughput and latencies per group; errors count as errors only.
 
-    A group without a success keeps its row, with NULL latencies. ``p50`` is the median, ``p95`` and ``p99`` are
+    A success without a finite latency counts as an operation and has no part in the latencies. A group
+    without a latency keeps its row, with NULL latencies. ``p50`` is the median, ``p95`` and ``p99`` are
     elements ``int(n * p)`` of the sorted latencies. Elapsed time comes from ``runs`` (``run_id``,
     ``started_at``, ``ended_at``) where given, else from the first and last record of the group.
     Two scans: counts by latency bucket, then the exact values of the buckets in question.
@@ -31,19 +32,20 @@ def latency_summary(log: DataFrame, keys: list[str] | None = None, runs: DataFra
     if not by:
         log, by = log.withColumn("all_rows", F.lit(True)), ["all_rows"]
     wins = log.withColumn("us", micros(F.col("ts"))).selectExpr(
-        *by, "us", "success", "CASE WHEN success THEN latency_ms END AS latency_ms")
+        *by, "us", "success",
+        "CASE WHEN success AND abs(latency_ms) < double('Infinity') THEN latency_ms END AS latency_ms")
     # Sums of multiples of 1/1024 are exact in any order, and the small rest adds no error that counts.
     coarse = "rint(latency_ms * 1024) / 1024"
     hist = wins.groupBy(*by, F.expr(coarse_bucket("latency_ms")).alias("bucket")).agg(*map(F.expr, (
-        "count_if(success) AS n", "count_if(NOT success) AS errors", "min(latency_ms) AS lo", "max(latency_ms) AS hi",
+        "count(latency_ms) AS n", "count_if(success) AS ok", "count_if(NOT success) AS errors", "min(latency_ms) AS lo", "max(latency_ms) AS hi",
         f"sum({coarse}) AS coarse_ms", f"sum(latency_ms - {coarse}) AS rest_ms",
         "min(us) AS first_us", "max(us) AS last_us")))
     ranks = {**MEDIAN, "p95_ms": fraction(0.95), "p99_ms": fraction(0.99)}
     stats = {
-        "operations": "sum(n)", "errors": "sum(errors)", "first_us": "min(first_us)", "last_us": "max(last_us)",
+        "operations": "sum(ok)", "timed": "sum(n)", "errors": "sum(errors)", "first_us": "min(first_us)", "last_us": "max(last_us)",
         "total_ms": "sum(coarse_ms) + sum(rest_ms)", "min_ms": "min(lo)", "max_ms": "max(hi)"}
     brackets = checkpointed(first_brackets(hist, by, ranks, *[f"{sql} AS {name}" for name, sql in stats.items()]))
-    found = resolve(wins.filter("success"), by, "latency_ms", brackets, ranks, list(stats), sort_rows)
+    found = resolve(wins.filter("latency_ms IS NOT NULL"), by, "latency_ms", brackets, ranks, list(stats), sort_rows)
     if runs is not None:
         times = runs.select("run_id", micros(F.col("started_at")).alias("from_us"),
                             micros(F.col("ended_at")).alias("to_us"))
@@ -52,7 +54,7 @@ def latency_summary(log: DataFrame, keys: list[str] | None = None, runs: DataFra
     return found.selectExpr("*", "(last_us - first_us) / 1e6D AS elapsed_sec").selectExpr(
         *(keys or []), "operations", "errors", "elapsed_sec",
         "CASE WHEN elapsed_sec > 0 THEN operations / elapsed_sec END AS ops_per_sec",
-        "CASE WHEN operations > 0 THEN total_ms / operations END AS avg_ms",
+        "CASE WHEN timed > 0 THEN total_ms / timed END AS avg_ms",
         "(mid_low + mid_high) / 2 AS p50_ms", "p95_ms", "p99_ms", "min_ms", "max_ms")
 
 
@@ -117,7 +119,11 @@ def throughput_ticks(log: DataFrame, runs: DataFrame | None = None, tick_seconds
         .filter("tick BETWEEN 0 AND last").groupBy("run_id", "tick")
         .agg(F.expr("count_if(success) AS ok"), F.expr("count_if(NOT success) AS bad")))
     chunk = f"tick DIV {ticks_per_chunk} AS chunk"
-    spine = spans.selectExpr("run_id", f"explode(sequence(0L, {last})) AS tick", "0L AS ok", "0L AS bad")
+    # Chunks first: the ticks of a long run are made by many tasks, and never as one array.
+    spine = spans.selectExpr("run_id", f"{last} AS last", f"explode(sequence(0L, {last} DIV {ticks_per_chunk})) AS chunk") \
+        .repartition("run_id", "chunk").selectExpr(
+            "run_id", f"explode(sequence(chunk * {ticks_per_chunk}, least(last, chunk * {ticks_per_chunk} "
+                      f"+ {ticks_per_chunk - 1}))) AS tick", "0L AS ok", "0L AS bad")
     # One shuffle by chunk serves the sum per tick, the join with the totals before, and the running totals.
     ticks = counts.unionByName(spine).selectExpr("*", chunk).repartition("run_id", "chunk") \
         .groupBy("run_id", "chunk", "tick").agg(F.expr("sum(ok) AS queries"), F.expr("sum(bad) AS failed"))

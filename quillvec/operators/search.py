@@ -7,14 +7,14 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillvec import model as M
 from quillvec.functions.scoring import METRICS, ROW_BLOCK, LocalTopK, as_matrix
+from quillvec.storage import new_dir, sized
 
 BROADCAST_BYTES = 128 * 1024 * 1024
-CELL_BYTES = 256 * 1024 * 1024
 MERGE_FAN_IN = 256
 
 
@@ -23,7 +23,7 @@ def top_k(vectors: DataFrame, query: Sequence[float], k: int = M.TOP_K, metric:
     """The k best records of one namespace for one query vector."""
     q = np.asarray([query], dtype=np.float64)
     mine = vectors.filter(F.col("namespace") == namespace)
-    return _local(mine, q, pa.array([0]), "long", k, metric).select("id", "score") \
+    return _local(mine, [(q, pa.array([0]))], "long", k, metric).select("id", "score") \
         .orderBy(F.desc("score"), "id").limit(k)
 
 
@@ -34,31 +34,51 @@ def search_namespace(vectors: DataFrame, queries: DataFrame, namespace: str, k:
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = M.TOP_K, metric: str = "dot",
-           broadcast_bytes: int = BROADCAST_BYTES, cell_bytes: int = CELL_BYTES) -> DataFrame:
+           broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """The k best records per query and namespace: ``qid, namespace, id, score, rank``.
 
-    ``vectors`` has ``namespace, id, values``; ``queries`` has ``qid, qv``. Vectors are scored where they are
-    read, and only local winners move, so the size of a namespace does not matter. A query set up to
-    ``broadcast_bytes`` goes to every task; a larger one is scored in a grid of blocks. Queries and vectors that
-    are not of the longest query's length, or hold a NULL, NaN or infinite element, have no part in any result.
+    ``vectors`` has ``namespace, id, values``; ``queries`` has ``qid, qv``. A query meets the vectors of its own length;
+    a query or vector that is NULL or empty, or holds a NULL, NaN or infinite element, has no part in any result
+    and takes nothing from others. Vectors are scored where they are read, and only local winners move, so the size of a
+    namespace does not matter. Up to ``broadcast_bytes`` of queries go to every task; a larger set is taken in
+    blocks of that size, a scan of the vectors each, and the winners of a block are written before the next one.
     """
-    dimension = _dimension(queries)
-    if dimension is None:
-        return _ranked(vectors.sparkSession.createDataFrame([], _schema(_qid_type(queries))), k, 1)
-    fits = broadcast_bytes // (8 * dimension)
-    table = queries.select("qid", F.col("qv").cast("array<double>").alias("qv")).limit(fits + 1).toArrow()
-    if table.num_rows <= fits:
-        matrix, rows = as_matrix(table["qv"], dimension)
-        qids = table["qid"].combine_chunks().take(pa.array(rows))
-        winners = _local(vectors, matrix, qids, _qid_type(queries), k, metric)
+    spark, qid_type = vectors.sparkSession, _qid_type(queries)
+    known = queries.filter("size(qv) > 0").select("qid", F.col("qv").cast("array<double>").alias("qv"))
+    size = known.agg(F.coalesce(F.sum(F.size("qv").cast("long")), F.lit(0))).first()[0] * 8
+    blocks = max(1, math.ceil(size / max(1, broadcast_bytes)))
+    if blocks == 1:
+        winners = _local(vectors, _by_length(known.toArrow()), qid_type, k, metric)
     else:
-        winners = _grid(vectors, queries, dimension, k, metric, cell_bytes)
-    return _ranked(winners, k, vectors.sparkSession.sparkContext.defaultParallelism)
-
-
-def _dimension(queries: DataFrame) -> int | None:
-    longest = queries.filter("qv IS NOT NULL").selectExpr("max(size(qv))").first()[0]
-    return longest or None
+        out = new_dir(spark, "winners")
+        for block in range(blocks):
+            mine = known.filter(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == block).toArrow()
+            _local(vectors, _by_length(mine), qid_type, k, metric).write.mode("append").parquet(out)
+        winners = spark.read.schema(_schema(qid_type)).parquet(out)
+    return _ranked(winners, k, spark.sparkContext.defaultParallelism)
+
+
+def search_routed(vectors: DataFrame, queries: DataFrame, metric: str = "dot") -> DataFrame:
+    """The best records of each query's own ``namespace``, as many as its own ``top_k``; both are columns of
+    ``queries`` beside ``qid, qv``. A NULL namespace or ``top_k`` gives nothing."""
+    most = queries.agg(F.max("top_k")).first()[0]
+    wanted = queries.select("qid", "namespace", "top_k")
+    if not most or most < 1:
+        return vectors.sparkSession.createDataFrame([], _schema(_qid_type(queries)) + ", rank long")
+    named = vectors.join(sized(queries.select("namespace").distinct()), "namespace", "left_semi")
+    return search(named, queries.select("qid", "qv"), most, metric).join(wanted, ["qid", "namespace"]) \
+        .filter("rank <= top_k").select("qid", "namespace", "id", "score", "rank")
+
+
+def _by_length(table: pa.Table) -> list[tuple[np.ndarray, pa.Array]]:
+    """Queries as one matrix for each length, with their names."""
+    qids, column = table["qid"].combine_chunks(), table["qv"].combine_chunks()
+    out = []
+    for length in column.value_lengths().unique().to_pylist() if len(column) else []:
+        matrix, rows = as_matrix(column, length)
+        if len(rows):
+            out.append((matrix, qids.take(pa.array(rows))))
+    return out
 
 
 def _qid_type(queries: DataFrame) -> str:
@@ -103,55 +123,24 @@ def _candidates(vectors: DataFrame) -> DataFrame:
         F.col("id").isNotNull() & F.col("namespace").isNotNull() & F.col("values").isNotNull())
 
 
-def _local(vectors: DataFrame, matrix: np.ndarray, qids: pa.Array, qid_type: str, k: int, metric: str) -> DataFrame:
+def _local(vectors: DataFrame, parts: list[tuple[np.ndarray, pa.Array]], qid_type: str, k: int,
+           metric: str) -> DataFrame:
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
-    shared = vectors.sparkSession.sparkContext.broadcast((matrix, qids))
+    shared = vectors.sparkSession.sparkContext.broadcast(parts)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        q, names = shared.value
-        top = LocalTopK(q, k, metric)
+        tops = [(LocalTopK(q, k, metric), q.shape[1], names) for q, names in shared.value]
         for table in _gathered(batches):
-            for full in _feed(top, table, q.shape[1]):
-                yield _result(full, names)
-        yield _result(top.drain(), names)
+            for top, dimension, names in tops:
+                for full in _feed(top, table, dimension):
+                    yield _result(full, names)
+        for top, _, names in tops:
+            yield _result(top.drain(), names)
 
     return _candidates(vectors).mapInArrow(score, _schema(qid_type))
 
 
-def _grid(vectors: DataFrame, queries: DataFrame, dimension: int, k: int, metric: str, cell_bytes: int) -> DataFrame:
-    """Score in cells of one block of vectors and one block of queries, both of a bounded size.
-
-    Blocks are made by hash, so neither a hot namespace nor a hot source fills a cell. A vector is copied once
-    per block of queries; each cell gives back at most k rows per query and namespace.
-    """
-    def blocks(df: DataFrame) -> int:
-        return max(1, math.ceil(df.count() * 8 * dimension / cell_bytes))
-
-    v_blocks, q_blocks = blocks(vectors.select("id")), blocks(queries.select("qid"))
-    qid_type = _qid_type(queries)
-
-    def block(n: int, *names: str) -> Column:
-        return F.pmod(F.xxhash64(*names), F.lit(n)).cast("int")
-
-    def every(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    left = _candidates(vectors).withColumn("vb", block(v_blocks, "namespace", "id")).withColumn("qb", every(q_blocks))
-    right = queries.select("qid", F.col("qv").cast("array<double>").alias("qv")) \
-        .withColumn("qb", block(q_blocks, "qid")).withColumn("vb", every(v_blocks))
-
-    def cell(vector_part: pa.Table, query_part: pa.Table) -> pa.Table:
-        q, rows = as_matrix(query_part.column("qv"), dimension)
-        qids = query_part.column("qid").combine_chunks().take(pa.array(rows))
-        top = LocalTopK(q, k, metric)
-        parts = [_result(full, qids) for full in _feed(top, vector_part, dimension)]
-        parts.append(_result(top.drain(), qids))
-        return pa.Table.from_batches(parts)
-
-    return left.groupBy("vb", "qb").cogroup(right.groupBy("vb", "qb")).applyInArrow(cell, _schema(qid_type))
-
-
 def _ranked(winners: DataFrame, k: int, cores: int) -> DataFrame:
     """Final ranking. On a large cluster winners are first merged in groups, so that the last task of a hot
     namespace does not get k rows from every input split."""

@@ -173,9 +173,7 @@ round(l[1], 6) AS min_ms, round(l[len(l)], 6) AS max_ms"""
 
 BATCHES = """
 placed AS (
-  SELECT doc_id AS number,
-         row_number() OVER (ORDER BY substring(md5(doc_id::VARCHAR), 1, 4), doc_id::VARCHAR) - 1 AS position
-  FROM documents)"""
+  SELECT doc_id AS number, row_number() OVER (ORDER BY doc_id) - 1 AS position FROM documents)"""
 
 UPSERTED = f"WITH {VECTORS}, {CHANGED} {flat('SELECT * FROM changed', 'namespace, id')}"
 
@@ -197,6 +195,15 @@ WITH {VECTORS}, scored AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY qid, namespace ORDER BY score DESC, id) AS rank FROM scored)
 SELECT qid, namespace, id, round(score, 6) AS score, rank FROM ranked WHERE rank <= {M.TOP_K}""",
 
+    "topk_routed": f"""
+WITH {VECTORS}, scored AS (
+  SELECT q.number AS qid, v.namespace, v.id, q.number % 4 + 1 AS top_k,
+         list_inner_product(v."values", q."values") AS score
+  FROM vectors q JOIN vectors v ON v.namespace = 'ns-' || (q.number % 9 + 1)
+  WHERE q.number % 7 NOT IN (1, 2, 3, 4)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY qid, namespace ORDER BY score DESC, id) AS rank FROM scored)
+SELECT qid, namespace, id, round(score, 6) AS score, rank FROM ranked WHERE rank <= top_k""",
+
     "topk_one_namespace": f"""
 WITH {VECTORS}, scored AS (
   SELECT q.number AS qid, v.id, list_inner_product(v."values", q."values")
@@ -368,6 +375,19 @@ SELECT run_id, tick, seconds - tick * {TICK_SECONDS} AS remaining_sec,
 FROM spine LEFT JOIN counts USING (run_id, tick)
 WINDOW w AS (PARTITION BY run_id ORDER BY tick)""",
 
+    "throughput_each_second": f"""
+WITH {LOG}, runs AS (
+  SELECT run_id, min(us) AS start_us, (max(us) - min(us)) // 1000000 AS seconds FROM op_log GROUP BY run_id),
+counts AS (
+  SELECT run_id, (us - start_us) // 1000000 AS tick, count(*) FILTER (success) AS ok,
+         count(*) FILTER (NOT success) AS bad
+  FROM op_log JOIN runs USING (run_id) GROUP BY 1, 2)
+SELECT run_id, seconds + 1 AS ticks, seconds + 1 - count(*) FILTER (ok > 0) AS quiet,
+       CAST(sum(ok) AS BIGINT) AS queries, CAST(sum(bad) AS BIGINT) AS errors,
+       CAST(sum(ok * (seconds - tick + 1)) AS BIGINT) AS sum_of_totals,
+       CAST(sum(bad * (seconds - tick + 1)) AS BIGINT) AS sum_of_errors
+FROM counts JOIN runs USING (run_id) GROUP BY run_id, seconds""",
+
     "status_changes": STATUS_CHANGES,
 
     "record_changes": f"""

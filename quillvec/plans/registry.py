@@ -63,6 +63,16 @@ def topk_all_namespaces(spark, sf):
     return rounded(search.search(V.search_vectors(spark, sf), V.queries(spark, sf)))
 
 
+@query
+def topk_routed(spark, sf):
+    """Each query in its own namespace with its own number of results; some are too long, too short, NULL or not numbers."""
+    odd = ("CASE qid % 7 WHEN 1 THEN concat(qv, array(float(1))) WHEN 2 THEN slice(qv, 2, size(qv)) "
+           "WHEN 3 THEN NULL WHEN 4 THEN transform(qv, x -> float('NaN')) ELSE qv END AS qv")
+    routed = V.queries(spark, sf).selectExpr(
+        "qid", odd, "concat('ns-', qid % 9 + 1) AS namespace", "int(qid % 4 + 1) AS top_k")
+    return rounded(search.search_routed(V.search_vectors(spark, sf), routed))
+
+
 @query
 def topk_one_namespace(spark, sf):
     return rounded(search.search_namespace(V.search_vectors(spark, sf), V.queries(spark, sf), "ns-3", metric="cosine")) \
@@ -290,6 +300,16 @@ def throughput_ticks(spark, sf):
     return metrics.throughput_ticks(_log(spark, sf), tick_seconds=TICK_SECONDS)
 
 
+@query
+def throughput_each_second(spark, sf):
+    """All ticks of one second, summed up for each run."""
+    ticks = metrics.throughput_ticks(_log(spark, sf), tick_seconds=1)
+    return ticks.groupBy("run_id").agg(
+        F.count("*").alias("ticks"), F.sum("queries").alias("queries"), F.sum("total_queries").alias("sum_of_totals"),
+        F.max("total_errors").alias("errors"), F.sum("total_errors").alias("sum_of_errors"),
+        F.count_if(F.col("queries") == 0).alias("quiet"))
+
+
 # -- jobs ---------------------------------------------------------------------------------------------------------
 
 def _events(spark, sf):

@@ -68,13 +68,25 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
 
 
 def write_once(spark: SparkSession, path: str, data: bytes) -> None:
-    """Create ``path`` with ``data``; fails if it is there already."""
+    """Give ``path`` the content ``data`` at once; fails if it is there already.
+
+    The content is written under another name and renamed, so that nobody sees part of it. The rename never
+    replaces a file.
+    """
     jpath, fs = hadoop_path(spark, path)
-    out = fs.create(jpath, False)
+    draft, _ = hadoop_path(spark, f"{path.rpartition('/')[0]}/.{path.rpartition('/')[2]}-{uuid.uuid4().hex[:12]}")
+    out = fs.create(draft, False)
     try:
         out.write(bytearray(data))
     finally:
         out.close()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    none = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 0)
+    try:
+        hadoop.FileContext.getFileContext(draft.toUri(), spark._jsc.hadoopConfiguration()).rename(draft, jpath, none)
+    except Exception:
+        fs.delete(draft, False)
+        raise
 
 
 def read_text(spark: SparkSession, path: str) -> str:

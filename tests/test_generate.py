@@ -28,8 +28,15 @@ def test_batches(spark, n, batches):
 
 
 def test_positions_are_dense(spark):
-    got = [r.position for r in G.write_batches(G.numbers(spark, 500), "number", digits=1).collect()]
-    assert sorted(got) == list(range(500))
+    got = G.write_batches(G.numbers(spark, 500).repartition(7), "number").collect()
+    assert [(r.number, r.number // 100) for r in got] == [(r.position, r.batch) for r in got] and len(got) == 500
+
+
+def test_batches_follow_the_order_of_text_ids(spark):
+    ids = spark.createDataFrame([(f"id-{i}",) for i in range(250)] + [("id-7",)], "id string")
+    got = sorted((r.position, r.id) for r in G.write_batches(ids).collect())
+    assert [i for _, i in got] == sorted([f"id-{i}" for i in range(250)] + ["id-7"])
+    assert [p for p, _ in got] == list(range(251))
 
 
 def test_metadata_and_constants(spark):

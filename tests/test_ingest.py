@@ -141,8 +141,55 @@ def test_import_into_a_filled_collection(spark, made, rows):
 def test_nothing_to_import(spark, made):
     prefix, target = made
     assert read_import(spark, str(prefix)).count() == 0
-    ingest.import_vectors(target, str(prefix), 3)
-    assert target.read().count() == 0
+    for mode in (M.CONTINUE, M.ABORT):
+        with pytest.raises(ValueError):
+            ingest.import_vectors(target, str(prefix), 3, mode)
+    write(prefix / "top.parquet", ["x"])
+    with pytest.raises(ingest.ImportAborted):
+        ingest.import_vectors(target, str(prefix), 3)
+    assert target.version().number == 0
+
+
+@pytest.mark.parametrize("name, content", [("_g.parquet", None), (".g.parquet", None), ("zero.parquet", b""),
+                                           ("bad.parquet", b"PAR1 and so on PAR1")])
+def test_abort_on_files_that_are_not_read(spark, made, name, content):
+    prefix, target = made
+    write(prefix / "a" / "f.parquet", ["x"])
+    if content is None:
+        write(prefix / "a" / name, ["y"])
+    else:
+        (prefix / "a" / name).write_bytes(content)
+    with pytest.raises(Exception):  # Spark names the file that can't be read
+        ingest.import_vectors(target, str(prefix), 3, M.ABORT)
+    assert target.version().number == 0
+    result = ingest.import_vectors(target, str(prefix), 3)
+    assert [r.file for r in ingest.rejects(target, result).collect()] == [f"a/{name}"]
+
+
+def test_abort_accepts_an_empty_table(spark, made):
+    prefix, target = made
+    write(prefix / "a" / "f.parquet", ["x"])
+    write(prefix / "a" / "none.parquet", [])
+    assert ingest.import_vectors(target, str(prefix), 3, M.ABORT).version.number == 1
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 24])
+def test_empty_tables_are_sound_whatever_their_footer(spark, made, monkeypatch, limit):
+    monkeypatch.setattr(ingest, "FOOTER_ONLY_BYTES", limit)
+    prefix, target = made
+    write(prefix / "a" / "f.parquet", ["x"])
+    write(prefix / "a" / "none.parquet", [])
+    (prefix / "a" / "bad.parquet").write_bytes(b"PAR1 and so on PAR1")
+    result = ingest.import_vectors(target, str(prefix), 3)
+    assert [(r.file, list(r.reasons)) for r in ingest.rejects(target, result).collect()] == [
+        ("a/bad.parquet", ["corrupt_file"])]
+
+
+def test_long_lists_of_any_kind_are_cut(spark):
+    df = spark.createDataFrame([(list(range(8)), list("abcdefgh"), [True], None)],
+                               "a array<bigint>, b array<string>, c array<boolean>, d array<int>")
+    got = ingest.preview(df).first()
+    assert (got.a, got.b, got.c, got.d) == ("[0, 1, 2, ... ] (8 elements)", "[a, b, c, ... ] (8 elements)", "[true]", None)
 
 
 def test_import_check(spark, made):

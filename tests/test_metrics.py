@@ -4,6 +4,7 @@ import statistics
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quillvec.operators import metrics
 
@@ -96,3 +97,20 @@ def test_ticks_of_a_run_with_errors_only(spark):
     frame = log(spark, [(0, "a", False, 0.0), (2, "a", False, 0.0)])
     got = [tuple(r)[1:] for r in metrics.throughput_ticks(frame).orderBy("tick").collect()]
     assert got == [(0, 2, 0, 0, 1), (1, 1, 0, 0, 1), (2, 0, 0, 0, 2)]
+
+
+def test_successes_without_a_latency(spark):
+    rows = [(1.0, True), (2.0, True), (3.0, True), (None, True), (float("nan"), True), (float("inf"), True), (9.0, False)]
+    log = spark.createDataFrame([(f"r{i % 1}", i, v, ok) for i, (v, ok) in enumerate(rows)],
+                                "run_id string, s long, latency_ms double, success boolean") \
+        .withColumn("ts", F.timestamp_seconds("s"))
+    for sort_rows in (1, 10):
+        got = metrics.latency_summary(log, ["run_id"], sort_rows=sort_rows).first()
+        assert (got.operations, got.errors, got.avg_ms, got.p50_ms, got.max_ms) == (6, 1, 2.0, 2.0, 3.0)
+
+
+def test_ticks_of_a_run_of_decades(spark):
+    log = spark.createDataFrame([("r", 0, True), ("r", 54 * 365 * 86400, True)], "run_id string, s long, success boolean") \
+        .withColumn("ts", F.timestamp_seconds("s"))
+    ticks = metrics.throughput_ticks(log, tick_seconds=3600)
+    assert ticks.agg(F.count("*"), F.sum("queries"), F.max("total_queries")).first() == (54 * 365 * 24 + 1, 2, 2)

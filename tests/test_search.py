@@ -70,13 +70,13 @@ def test_broadcast_form(spark, data, metric, partitions):
 @pytest.mark.parametrize("metric", scoring.METRICS)
 def test_grid_form(spark, data, metric):
     v, q = frames(spark, data)
-    got = S.search(v, q, 10, metric, broadcast_bytes=3 * 8 * D, cell_bytes=100 * 8 * D)
+    got = S.search(v, q, 10, metric, broadcast_bytes=3 * 8 * D)
     same(got.collect(), brute(*data, 10, metric))
 
 
 def test_grid_with_blocks_of_queries(spark, data):
     v, q = frames(spark, data)
-    got = S.search(v, q, 4, "dot", broadcast_bytes=0, cell_bytes=4 * 8 * D)
+    got = S.search(v, q, 4, "dot", broadcast_bytes=8 * D)
     same(got.collect(), brute(*data, 4, "dot"))
 
 
@@ -101,11 +101,11 @@ def test_no_queries(spark, data):
     assert S.search(v, q.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("limit", [0, 1 << 20])
+@pytest.mark.parametrize("limit", [2 * 8 * D, 1 << 20])
 def test_odd_queries_have_no_results(spark, data, limit):
     vectors, queries = data
     v, _ = frames(spark, data)
-    odd = [(100, None), (101, [1.0] * (D - 1)), (102, [float("nan")] * D), (103, [None] * D), (104, [0.0] * D)]
+    odd = [(100, None), (101, [1.0] * (D + 3)), (102, [float("nan")] * D), (103, [None] * D), (104, [0.0] * D)]
     q = spark.createDataFrame(queries + odd, "qid long, qv array<double>")
     same(S.search(v, q, 2, "cosine", broadcast_bytes=limit).collect(), brute(*data, 2, "cosine"))
 
@@ -149,7 +149,7 @@ def test_blocks_flushes_and_scales(monkeypatch, scale):
 def test_scores_do_not_depend_on_blocks(spark, data):
     v, q = frames(spark, data)
     forms = [S.search(v.repartition(p), q, 10, "cosine") for p in (1, 9)]
-    forms.append(S.search(v, q, 10, "cosine", broadcast_bytes=0, cell_bytes=20 * 8 * D))
+    forms.append(S.search(v, q, 10, "cosine", broadcast_bytes=2 * 8 * D))
     first, *others = [sorted(map(tuple, f.collect())) for f in forms]
     assert all(o == first for o in others)
 
@@ -162,3 +162,25 @@ def test_the_plan_prunes_columns_and_namespaces(spark, tmp_path, data):
     scan = plan.split("== Physical Plan ==")[1]
     assert re.search(r"PartitionFilters: \[[^\]]*namespace#\d+ = s0", scan)
     assert "metadata" not in scan
+
+
+def test_queries_of_other_lengths_take_nothing_away(spark, data):
+    vectors, queries = data
+    v, _ = frames(spark, data)
+    odd = [(200, [1.0] * (D + 1)), (201, [1.0] * (D + 1)), (202, [0.5])]
+    q = spark.createDataFrame(queries[:1] + odd, "qid long, qv array<double>")
+    same(S.search(v, q, 3, "dot").collect(), brute(vectors, queries[:1], 3, "dot"))
+    longer = spark.createDataFrame([("a", "x", [2.0] * (D + 1))], "namespace string, id string, values array<double>")
+    found = S.search(v.select("namespace", "id", "values").unionByName(longer), q, 3, "dot").filter("qid >= 200").collect()
+    assert {(r.qid, r.id) for r in found} == {(200, "x"), (201, "x")}
+
+
+def test_routed_queries(spark, data):
+    vectors, queries = data
+    v, _ = frames(spark, data)
+    routed = [(i, qv, ["s0", "", None][n % 3], n % 4 if n else None) for n, (i, qv) in enumerate(queries)]
+    q = spark.createDataFrame(routed, "qid long, qv array<double>, namespace string, top_k int")
+    want = [r for r in brute(vectors, queries, 3, "cosine")
+            if any(r[0] == i and r[1] == name and k and r[4] <= k for i, _, name, k in routed)]
+    same(S.search_routed(v, q, "cosine").collect(), want)
+    assert S.search_routed(v, q.limit(0)).count() == 0
