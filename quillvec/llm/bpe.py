@@ -34,7 +34,7 @@ from quillvec.llm.words import text_column
 #: White space of the pattern, whatever a library thinks of control characters.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 #: Pieces whose ids a worker remembers; beyond, it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 600_000
 #: Bytes of text encoded at a time.
 CHUNK = 1 << 20
 

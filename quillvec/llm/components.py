@@ -1,4 +1,4 @@
-"""Connected components by alternating stars."""
+"""Connected components by contraction."""
 
 from __future__ import annotations
 
@@ -8,35 +8,44 @@ from pyspark.sql import functions as F
 from quillvec.llm.tables import Scratch
 
 
+ROUNDS_BY_NUMBER = 3
+
+
 def connected_components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """``node, component`` for every node of ``edges`` (``a, b``, whole numbers); the component is its smallest node.
 
-    Each round ties the larger neighbours of a node to its smallest one, then the smaller ones; components shrink to
-    stars in a logarithmic number of rounds. Minima are tables of their own, so that the join of a node with very many
-    edges can be split. Empty edges give no rows; loops and repeated edges are ignored.
+    Each round merges every node into its first neighbour, or none if it comes before all of them, and goes on with
+    the edges between what is left. The order is that of the numbers for a few rounds, which is enough for stars and
+    what is close to one; then it is that of their hashes, where a good part of the nodes of any graph vanishes in
+    each round, so the rounds are few even for long paths. Merges are tables of their own, so that the join of a node
+    with very many edges can be split. Empty edges give no rows; loops and repeated edges are ignored.
     """
-    edges = scratch.keep(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                         .distinct(), f"{name}-0")
-    number = 0
-    while not _stars(edges):
+    edges = scratch.keep(edges.filter("a <> b").select("a", "b"), f"{name}-edges-0")
+    label, number = None, 0
+    while not edges.isEmpty():
         number += 1
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = scratch.keep(both.groupBy("a").agg(F.min("b").alias("m")), f"{name}-large-{number}")
-        large = scratch.keep(both.join(least, "a").filter("b > a").select(
-            F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct(), f"{name}-edges-{number}")
-        least = scratch.keep(large.groupBy("a").agg(F.min("b").alias("m")), f"{name}-small-{number}")
-        edges = scratch.keep(least.select("a", F.col("m").alias("b")).unionByName(
-            large.join(least, "a").filter("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct(),
-            f"{name}-{number}")
-        scratch.drop(f"{name}-{number - 1}", f"{name}-large-{number}", f"{name}-edges-{number}",
-                     f"{name}-small-{number}")
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
-        edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
-
-
-def _stars(edges: DataFrame) -> bool:
-    """Whether each node is either the centre of a star or tied to one centre only."""
-    ends = edges.groupBy("a").agg(F.count("*").alias("n"))
-    if not ends.filter("n > 1").isEmpty():
-        return False
-    return edges.select("b").distinct().join(edges.select(F.col("a").alias("b")), "b", "left_semi").isEmpty()
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) \
+            .groupBy(F.col("a").alias("node"))
+        if number <= ROUNDS_BY_NUMBER:
+            merges = both.agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("into"))
+        else:
+            merges = both.agg(F.min(F.struct(F.xxhash64("b").alias("o"), F.col("b").alias("node"))).alias("m")) \
+                .select("node", F.expr("IF(m.o < xxhash64(node), m.node, node) AS into"))
+        merges = scratch.keep(merges, f"{name}-merges-{number}")
+        left, right = (merges.select(F.col("node").alias(c), F.col("into").alias(f"{c}_into")) for c in "ab")
+        edges = scratch.keep(edges.join(left, "a").join(right, "b").filter("a_into <> b_into").select(
+            F.least("a_into", "b_into").alias("a"), F.greatest("a_into", "b_into").alias("b")).distinct(),
+            f"{name}-edges-{number}")
+        scratch.drop(f"{name}-edges-{number - 1}")
+        if label is None:
+            label = merges
+        else:
+            step = merges.select(F.col("node").alias("into"), F.col("into").alias("next"))
+            label = label.join(step, "into", "left").select("node", F.coalesce("next", "into").alias("into"))
+    if label is None:
+        return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    if number <= ROUNDS_BY_NUMBER:  # each merged into the smallest node there is
+        return label.select("node", F.col("into").alias("component"))
+    label = scratch.keep(label, f"{name}-labels")
+    least = scratch.keep(label.groupBy("into").agg(F.min("node").alias("component")), f"{name}-least")
+    return label.join(least, "into").select("node", "component")

@@ -49,9 +49,8 @@ def similar_documents(docs: DataFrame, shingle: int = SHINGLE, percent: int = PE
     classes = scratch.keep(sets.filter("n > 0").groupBy("c1", "c2").agg(
         F.min("id").alias("node"), F.min("n").alias("n")), "classes")
     tied = _tied(sets, classes, percent, scratch)
-    cluster = scratch.keep(connected_components(tied, scratch, "clusters"), "clusters")
-    links = scratch.keep(_links(docs, classes, cluster, shingle, percent), "links")
-    component = scratch.keep(connected_components(links, scratch, "links"), "components")
+    cluster = connected_components(tied, scratch, "clusters")
+    component = connected_components(_links(docs, classes, cluster, shingle, percent), scratch, "links")
     by_class = classes.join(component, "node", "left").select(
         "c1", "c2", F.coalesce("component", "node").alias("component"))
     own = F.when(F.col("n") == 0, F.col("doc_id")).when(F.col("component") < NAMELESS, F.col("component"))
@@ -119,7 +118,7 @@ def _tied(sets: DataFrame, classes: DataFrame, percent: int, scratch: Scratch) -
     rare = scratch.keep(shared.selectExpr("node AS a", "explode(items.item) AS item"), "rare")
     hubs = scratch.keep(rare.groupBy("item").agg(F.min("a").alias("b")), "hubs")
     scratch.drop("firsts", "counts")
-    return rare.join(hubs, "item").select("a", "b")
+    return rare.join(hubs, "item").select("a", "b").distinct()
 
 
 def _links(docs: DataFrame, classes: DataFrame, cluster: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -192,6 +191,7 @@ def _unnamed(docs: DataFrame, shingle: int) -> DataFrame:
 def _similar(key, rows, percent: int) -> Iterator[pa.RecordBatch]:
     if len(rows) < 2:
         return
+    rows.sort(key=lambda r: r[1])
     nodes = [r[1] for r in rows]
     tree = PrefixTree([r[2] for r in rows])
     queries = None

@@ -49,7 +49,7 @@ class PrefixTree:
         if len(alive) * len(segment) * 4 < total + len(self.paths):
             wanted = (alive[:, None] * self.n_ranks + segment).ravel()
             at = np.minimum(np.searchsorted(self.flat, wanted), len(self.flat) - 1)
-            return (self.flat[at] == wanted).reshape(len(alive), -1).sum(axis=1)
+            return (self.flat[at] == wanted).reshape(len(alive), len(segment)).sum(axis=1)
         held = np.concatenate([self.holders[self.holder_starts[t]:self.holder_starts[t + 1]] for t in segment])
         return np.bincount(held, minlength=len(self.paths))[alive]
 
@@ -110,12 +110,15 @@ def _next_child(paths: list[np.ndarray], lo: int, hi: int, depth: int) -> int:
 
 
 def forest(tree: PrefixTree, percent: int, queries: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Pairs of similar sets, by position in the input, that connect what all similar pairs connect."""
+    """Pairs of sets, by position in the input, that connect what all similar pairs connect: the first set of each
+    component with every other one."""
     label = np.arange(len(tree.paths))
-    out = []
     for one, others in tree.similar(percent, queries):
         for other in others[label[others] != label[one]].tolist():
             if label[other] != label[one]:
-                out.append((int(tree.order[one]), int(tree.order[other])))
                 label[label == label[other]] = label[one]
+    out = []
+    for group in np.split(np.argsort(label, kind="stable"), np.cumsum(np.unique(label, return_counts=True)[1])[:-1]):
+        first, *rest = sorted(tree.order[group].tolist())
+        out += [(first, other) for other in rest]
     return out
