@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillvec.llm import bpe, jaccard, perplexity, phrases, templates
@@ -14,11 +14,22 @@ from quillvec.plans.shipping import ship_package
 SHINGLE, PERCENT = 5, 80
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """The columns an operator reads, and all but the text as one more, whose names can't clash with its own."""
+    rest = F.struct(*[c for c in docs.columns if c != "text"])
+    return docs.select("doc_id", "text", *[c for c in ("lang",) if c in docs.columns], rest.alias("original"))
+
+
+def unpacked(df: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
+    own = {"text": F.col("text"), **changed}
+    return df.select(*[own.get(c, F.col("original")[c]).alias(c) for c in columns])
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the word rules and lie within the perplexity bands of their language."""
     ship_package(spark)
-    judged = perplexity.quality_rules(docs, carry=tuple(c for c in docs.columns if c != "doc_id"))
-    return judged.filter("kept").select(*docs.columns)
+    judged = perplexity.quality_rules(packed(docs), carry=("text", "original"))
+    return unpacked(judged.filter("kept"), docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,8 +43,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that an earlier one holds; ``n_chars`` follows the text."""
     ship_package(spark)
-    cut = phrases.removed_passages(docs, carry=tuple(c for c in docs.columns if c not in ("doc_id", "text")))
-    return cut.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    cut = phrases.removed_passages(packed(docs), carry=("original",))
+    return unpacked(cut, docs.columns, n_chars=F.length("text").cast("long"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

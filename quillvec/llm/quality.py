@@ -50,7 +50,7 @@ def chunks_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     inside = place < ends[:, None]
     if not len(data):
         return np.full(place.shape, PADDING, np.int16)
-    return np.where(inside, data[np.minimum(place, len(data) - 1)], PADDING).astype(np.int16)
+    return np.where(inside, data[np.minimum(place, len(data) - 1)].astype(np.int16), np.int16(PADDING))
 
 
 class Network:

@@ -44,15 +44,15 @@ def test_small_automata_find_the_same(monkeypatch):
         monkeypatch.setattr(phrases, "PASSAGES_PER_AUTOMATON", size)
         monkeypatch.setattr(phrases, "STREAMS_PER_AUTOMATON", size)
         import pyarrow as pa
-        names = ("key", "part", "kind", "stretch", "owner", "last")
-        rows = [(7, 0, 0, s, o, n) for s, o, n in classes] + [
-            (7, 0, 1, " ".join(f"w{i + j}" for j in range(13)), i % 5, 99) for i in range(60)]
+        names = ("key", "part", "kind", "whole", "stretch", "owner", "last")
+        rows = [(7, 0, 0, k, *c) for k, c in enumerate(classes)] + [
+            (7, 0, 1, None, " ".join(f"w{i + j}" for j in range(13)), i % 5, 99) for i in range(60)]
         batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names)
         covered = {}
         for out in phrases._stream(iter([batch])):
             for r in out.to_pylist():
                 for w in range(r["start"], r["end"]):
-                    at = (r["h1"], r["h2"], w)
+                    at = (r["whole"], w)
                     covered[at] = min(r["owner"], covered.get(at, 99))
         found[size] = covered
     assert found[2] == found[1000] != {}
