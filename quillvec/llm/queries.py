@@ -183,3 +183,26 @@ SELECT doc_id, item_id, start, n_windows, n_matched, n_slots, n_changed,
 FROM judged WHERE n_was = n_pairs
 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_matched DESC, start) = 1
 """
+
+# No message of the given tables is JSON, so every turn is a plain call or result.
+ORACLES["op1_chat_formatting"] = """
+WITH rows AS (SELECT conv_id, turn, coalesce(role, 'user') AS role, '{"text":' || to_json(text) || '}' AS body
+              FROM conversations),
+calls AS (SELECT conv_id, turn, 'turn-' || turn AS call_id, role AS name, body FROM rows
+          WHERE role NOT IN ('assistant', 'tool')),
+results AS (SELECT conv_id, turn, 'turn-' || (turn - 1) AS call_id, body FROM rows WHERE role IN ('assistant', 'tool')),
+firsts AS (SELECT conv_id, call_id, min(struct_pack(turn, name, body)) AS first FROM calls GROUP BY ALL),
+answered AS (SELECT conv_id, call_id, count(*) AS n FROM results GROUP BY ALL)
+SELECT conv_id, turn, call_id, 'call' AS kind, 0 AS step, turn AS level,
+       CASE WHEN struct_pack(turn, name, body) <> first THEN 'repeated' WHEN n > 0 THEN 'answered' ELSE 'unanswered' END
+         AS status, '' AS errors,
+       '{"arguments":' || body || ',"call_id":"' || call_id || '","conv_id":' || conv_id || ',"name":"' || name
+         || '","turn":' || turn || ',"type":"call"}' AS json
+FROM calls JOIN firsts USING (conv_id, call_id) LEFT JOIN answered USING (conv_id, call_id)
+UNION ALL
+SELECT conv_id, turn, call_id, 'result', 1, greatest(turn, coalesce(first.turn, turn)),
+       CASE WHEN first IS NULL THEN 'orphan' ELSE 'linked' END, '',
+       '{"call_id":"' || call_id || '","content":' || body || ',"conv_id":' || conv_id || ',"turn":' || turn
+         || ',"type":"result"}'
+FROM results LEFT JOIN firsts USING (conv_id, call_id)
+"""
