@@ -2,10 +2,10 @@
 
 1. Every window of consecutive words is filed under the smallest hash of the ``ANCHOR``-word phrases in it. Phrases
    found in two documents are the recurring ones; all other windows are unique.
-2. The stretches of text around recurring phrases are cut out. Equal stretches are one class, with the smallest id
-   that holds it, so copies cost one row each and are never compared with each other.
-3. Recurring passages are confirmed on their words: a class of two documents is one; where a phrase has several
-   classes, windows that two of them share are counted.
+2. Neighbouring windows filed under one place of a phrase are a run. Runs of equal words are one class, with the
+   smallest id that holds it, so copies are counted and never compared with each other.
+3. The words of one run of each class are cut out. Recurring passages are confirmed on them: a class of two documents
+   is one; where a phrase has several classes, windows that two of them share are counted.
 4. Passages are compiled into Aho-Corasick automata over words, in shards by phrase, and the classes of that phrase,
    which stand for all documents that can match, are streamed through. A phrase with very many classes is
    dealt out in parts, each with the passages of the phrase.
@@ -49,17 +49,18 @@ def removed_passages(docs: DataFrame, window: int = WINDOW, carry: tuple[str, ..
     scratch = Scratch(docs.sparkSession, "phrases")
     source = keyed(docs, *carry)
     runs = phrase_runs(source, window)
-    # A table of its own, so that the join of a very frequent phrase can be split.
+    # Tables of their own, so that the join of a very frequent phrase or class can be split.
     recurring = scratch.keep(runs.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b")
                              .select("key"), "recurring")
     found = scratch.keep(runs.join(recurring, "key", "left_semi"), "found")
-    stretches = scratch.keep(_stretches(source, found, window), "stretches")
-    scratch.drop("found", "recurring")
-    classes = scratch.keep(stretches.groupBy("key", "stretch").agg(
-        F.min("id").alias("owner"), F.max("id").alias("last")), "classes")
-    located = scratch.keep(_located(classes, window), "located")
-    scratch.drop("classes")
-    spans = stretches.select("id", "sub", "lo", "h1", "h2").join(located, ["h1", "h2"]).filter("id > owner") \
+    scratch.drop("recurring")
+    classes = scratch.keep(found.groupBy("key", "whole").agg(F.min("id").alias("owner"), F.max("id").alias("last")),
+                           "classes")
+    stretches = scratch.keep(_stretches(source, _representatives(found, classes, scratch), window), "stretches")
+    scratch.drop("classes", "parts")
+    located = scratch.keep(_located(stretches, window), "located")
+    scratch.drop("stretches")
+    spans = found.select("id", "sub", "lo", "key", "whole").join(located, ["key", "whole"]).filter("id > owner") \
         .groupBy("id", "sub").agg(F.collect_list(F.struct(
             (F.col("lo") + F.col("start")).alias("lo"), (F.col("lo") + F.col("end")).alias("hi"))).alias("spans"))
     row = source.schema["row"].dataType.simpleString()
@@ -70,7 +71,8 @@ def removed_passages(docs: DataFrame, window: int = WINDOW, carry: tuple[str, ..
 
 
 def phrase_runs(source: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``key`` (hash of an anchor phrase), and the run of ``n`` windows filed under it from word ``lo`` on."""
+    """``key`` (hash of an anchor phrase), and the run of ``n`` windows filed under it from word ``lo`` on; ``whole``
+    stands for all words of the run."""
     size = min(ANCHOR, window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,40 +86,54 @@ def phrase_runs(source: DataFrame, window: int = WINDOW) -> DataFrame:
                 for lo, hi in overlapping(ends, window):
                     part = gram[lo:max(lo, hi - size + 1)]
                     anchor, head, tail = anchored_runs(part, ends[lo:hi] - lo, window, size)
+                    raw = words.hashes[lo:hi].tobytes()
+                    whole = np.fromiter(map(xxhash.xxh3_64_intdigest, map(raw.__getitem__, map(
+                        slice, (8 * head).tolist(), (8 * (tail + window)).tolist()))), np.uint64, len(head))
                     doc = owner[head + lo]
                     yield pa.RecordBatch.from_arrays(
-                        [signed(part[anchor]), ids[first + doc], subs[first + doc],
+                        [signed(part[anchor]), signed(whole), ids[first + doc], subs[first + doc],
                          (head + lo - words.first[doc]).astype(np.int32), (tail - head + 1).astype(np.int32)],
-                        ["key", "id", "sub", "lo", "n"])
+                        ["key", "whole", "id", "sub", "lo", "n"])
 
-    return source.select("id", "sub", "text").mapInArrow(run, "key long, id long, sub int, lo int, n int")
+    return source.select("id", "sub", "text").mapInArrow(
+        run, "key long, whole long, id long, sub int, lo int, n int")
 
 
-def _stretches(source: DataFrame, found: DataFrame, window: int) -> DataFrame:
-    """The words around recurring phrases, joined by one space; ``h1, h2`` stand for them."""
-    runs = found.groupBy("id", "sub").agg(F.collect_set(F.struct("lo", "n", "key")).alias("runs"))
+def _representatives(found: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
+    """One run of each class, in a document with its smallest id, and into how many parts its phrase is dealt: none
+    if the phrase has no other class."""
+    counts = scratch.keep(classes.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select(
+        "key", spread(F.col("n"), CLASSES_PER_PART).alias("parts")), "parts")
+    owned = classes.join(counts, "key", "left").withColumn("parts", F.coalesce("parts", F.lit(0)))
+    runs = found.join(owned.withColumnRenamed("owner", "id"), ["key", "whole", "id"])
+    return runs.groupBy("key", "whole", "id", "last", "parts").agg(*[F.first(c).alias(c) for c in ("sub", "lo", "n")])
+
+
+def _stretches(source: DataFrame, runs: DataFrame, window: int) -> DataFrame:
+    """The words of each run, joined by one space."""
+    by_text = runs.groupBy("id", "sub").agg(F.collect_list(F.struct(
+        "key", "whole", "last", "parts", "lo", "n")).alias("runs"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, subs = arrays(batch, "id", "sub")
+            ids, = arrays(batch, "id")
             at, fields = lists(batch.column(batch.schema.get_field_index("runs")))
             for first, after, data, offsets in text_slices(text_column(batch)):
                 words = Words(data, offsets)
                 raw = data.tobytes()
                 for a, b in _parts(at, first, after):
                     doc = np.searchsorted(at, np.arange(a, b), "right") - 1
-                    lo, n = fields["lo"][a:b], fields["n"][a:b]
-                    head = words.first[doc - first] + lo
-                    start, end = words.starts[head], words.ends[head + n + window - 2]
+                    head = words.first[doc - first] + fields["lo"][a:b]
+                    start, end = words.starts[head], words.ends[head + fields["n"][a:b] + window - 2]
                     texts = [b" ".join(raw[s:e].split()) for s, e in zip(start.tolist(), end.tolist(), strict=True)]
-                    digest = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, texts)), np.int64).reshape(-1, 2)
                     yield pa.RecordBatch.from_arrays(
-                        [fields["key"][a:b], ids[doc], subs[doc], lo.astype(np.int32), digest[:, 0].copy(),
-                         digest[:, 1].copy(), pa.array(texts, pa.binary()).cast(pa.string())],
-                        ["key", "id", "sub", "lo", "h1", "h2", "stretch"])
+                        [fields["key"][a:b], fields["whole"][a:b], ids[doc], fields["last"][a:b], fields["parts"][a:b],
+                         pa.array(texts, pa.binary()).cast(pa.string())],
+                        ["key", "whole", "owner", "last", "parts", "stretch"])
 
-    return source.select("id", "sub", "text").join(runs, ["id", "sub"]).mapInArrow(
-        run, "key long, id long, sub int, lo int, h1 long, h2 long, stretch string")
+    # Equal rows of one document meet its runs more than once, which changes nothing.
+    return source.select("id", "sub", "text").join(by_text, ["id", "sub"]).mapInArrow(
+        run, "key long, whole long, owner long, last long, parts int, stretch string")
 
 
 def _parts(at: np.ndarray, first: int, after: int, size: int = 100_000) -> Iterator[tuple[int, int]]:
@@ -125,52 +141,77 @@ def _parts(at: np.ndarray, first: int, after: int, size: int = 100_000) -> Itera
         yield a, min(a + size, int(at[after]))
 
 
-def _located(classes: DataFrame, window: int) -> DataFrame:
-    """Where recurring passages lie in each class: ``owner`` is the smallest id that holds those words."""
-    counts = classes.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1") \
-        .withColumn("parts", spread(F.col("n"), CLASSES_PER_PART)).select("key", "parts")
-    dealt = classes.join(counts, "key", "left").withColumn("parts", F.coalesce("parts", F.lit(0)))
-    shared = dealt.filter("parts > 0").selectExpr(
-        "key", "parts", "owner", "last", "split(stretch, ' ') AS words").selectExpr(
-        "key", "parts", "owner", "last",
-        f"explode(transform(sequence(0, size(words) - {window}), "
-        f"i -> array_join(slice(words, i + 1, {window}), ' '))) AS stretch")
-    shared = shared.groupBy("key", "parts", "stretch").agg(F.min("owner").alias("owner"), F.max("last").alias("last")) \
+def _located(stretches: DataFrame, window: int) -> DataFrame:
+    """Where recurring passages lie in each class: ``owner`` is the smallest id that holds those words.
+
+    Windows of phrases with several classes are counted by hash; a task finds the words of those that recur in the
+    classes it has got.
+    """
+    shared = stretches.filter("parts > 0").selectExpr("key", "parts", "owner", "last", "split(stretch, ' ') AS words") \
+        .selectExpr("key", "parts", "owner", "last",
+                    f"explode(transform(sequence(0, size(words) - {window}), "
+                    f"i -> xxhash64(array_join(slice(words, i + 1, {window}), ' ')))) AS whole")
+    shared = shared.groupBy("key", "parts", "whole").agg(F.min("owner").alias("owner"), F.max("last").alias("last")) \
         .filter("owner < last")
     passages = shared.select("key", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
-                             F.lit(1).alias("kind"), "stretch", "owner", "last")
-    streams = dealt.select("key", F.expr("IF(parts > 1, pmod(hash(stretch), parts), 0)").alias("part"),
-                           F.lit(0).alias("kind"), "stretch", "owner", "last")
+                             F.lit(1).alias("kind"), "whole", F.lit(None).cast("string").alias("stretch"), "owner", "last")
+    streams = stretches.select("key", F.expr("IF(parts > 1, pmod(whole, parts), 0)").cast("int").alias("part"),
+                               F.lit(0).alias("kind"), "whole", "stretch", "owner", "last")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _stream(batches, window)
+
     return streams.unionByName(passages).repartition("key", "part").sortWithinPartitions("key", "part", "kind") \
-        .mapInArrow(_stream, "h1 long, h2 long, start int, end int, owner long")
+        .mapInArrow(run, "key long, whole long, start int, end int, owner long")
 
 
-def _stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Takes the classes and then the passages of phrase after phrase, and runs an automaton over a block of them."""
-    streams: list[tuple[str, int, int]] = []
+def _stream(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    """Takes the classes and then the recurring windows of phrase after phrase, and runs an automaton over a block."""
+    streams: list[tuple[int, int, str, int]] = []
     passages: dict[str, int] = {}
+    hashes: dict[int, int] = {}
     current, mark = None, 0  # the phrase, and its first class among the streams
     for batch in batches:
         columns = (batch.column(batch.schema.get_field_index(c)).to_pylist()
-                   for c in ("key", "part", "kind", "stretch", "owner", "last"))
-        for key, part, kind, stretch, owner, last in zip(*columns, strict=True):
+                   for c in ("key", "part", "kind", "whole", "stretch", "owner", "last"))
+        for key, part, kind, whole, stretch, owner, last in zip(*columns, strict=True):
             if (key, part) != current:
+                _confirm(streams[mark:], hashes, passages, window)
                 if len(passages) >= PASSAGES_PER_AUTOMATON or len(streams) >= STREAMS_PER_AUTOMATON:
                     yield from _locate(streams, passages)
                     streams, passages = [], {}
-                current, mark = (key, part), len(streams)
+                current, mark, hashes = (key, part), len(streams), {}
             if kind == 0:
-                streams.append((stretch, owner, last))
-            if kind == 1 or owner < last:
-                passages[stretch] = min(owner, passages.get(stretch, owner))
-                if len(passages) >= PASSAGES_PER_AUTOMATON:
+                streams.append((key, whole, stretch, last))
+                if owner < last:
+                    passages[stretch] = min(owner, passages.get(stretch, owner))
+            else:
+                hashes[whole] = owner
+                if len(hashes) >= PASSAGES_PER_AUTOMATON:
+                    _confirm(streams[mark:], hashes, passages, window)
                     yield from _locate(streams, passages)
                     # Classes of this phrase wait for the rest of its passages.
-                    streams, passages, mark = streams[mark:], {}, 0
+                    streams, passages, mark, hashes = streams[mark:], {}, 0, {}
+    _confirm(streams[mark:], hashes, passages, window)
     yield from _locate(streams, passages)
 
 
-def _locate(streams: list[tuple[str, int, int]], passages: dict[str, int]) -> Iterator[pa.RecordBatch]:
+def _confirm(streams: list[tuple[int, int, str, int]], hashes: dict[int, int], passages: dict[str, int],
+             window: int) -> None:
+    """Adds the windows of ``streams`` whose hash recurs to the passages."""
+    if not hashes:
+        return
+    for _, _, stretch, _ in streams:
+        words = stretch.split(" ")
+        for i in range(len(words) - window + 1):
+            text = " ".join(words[i:i + window])
+            found = xxhash.xxh64_intdigest(text.encode(), 42)  # as Spark's xxhash64
+            owner = hashes.get(found - 2**64 if found >= 2**63 else found)
+            if owner is not None:
+                passages[text] = min(owner, passages.get(text, owner))
+
+
+def _locate(streams: list[tuple[int, int, str, int]], passages: dict[str, int]) -> Iterator[pa.RecordBatch]:
     if not passages or not streams:
         return
     code: dict[str, str] = {}
@@ -183,9 +224,8 @@ def _locate(streams: list[tuple[str, int, int]], passages: dict[str, int]) -> It
                 code[w] = chr(point if point < 0xD800 else point + 0x800)
         automaton.add_word("".join([code[w] for w in words]), (owner, len(words)))
     automaton.make_automaton()
-    heads: list[bytes] = []
-    rows: list[tuple[int, int, int]] = []
-    for stretch, _, last in streams:
+    rows: list[tuple[int, int, int, int, int]] = []
+    for key, whole, stretch, last in streams:
         words = stretch.split(" ")
         least = [last] * len(words)  # smallest owner of a passage over each word
         hit = False
@@ -197,20 +237,17 @@ def _locate(streams: list[tuple[str, int, int]], passages: dict[str, int]) -> It
                         least[i] = owner
         if not hit:
             continue
-        digest = xxhash.xxh3_128_digest(stretch.encode())
         start = 0
         for i in range(1, len(words) + 1):
             if i == len(words) or least[i] != least[start]:
                 if least[start] < last:
-                    heads.append(digest)
-                    rows.append((start, i, least[start]))
+                    rows.append((key, whole, start, i, least[start]))
                 start = i
     if rows:
-        digest = np.frombuffer(b"".join(heads), np.int64).reshape(-1, 2)
-        start, end, owner = (np.array(x) for x in zip(*rows, strict=True))
+        kinds = (np.int64, np.int64, np.int32, np.int32, np.int64)
         yield pa.RecordBatch.from_arrays(
-            [digest[:, 0].copy(), digest[:, 1].copy(), start.astype(np.int32), end.astype(np.int32),
-             owner.astype(np.int64)], ["h1", "h2", "start", "end", "owner"])
+            [np.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)],
+            ["key", "whole", "start", "end", "owner"])
 
 
 def _removals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
