@@ -117,8 +117,15 @@ def test_prefix_tree_against_all_pairs():
     want = {(a, b) for a in range(len(sets)) for b in range(len(sets))
             if 100 * len(s := set(sets[a]) & set(sets[b])) >= 75 * (len(sets[a]) + len(sets[b]) - len(s))}
     assert got == want and len(want) > len(sets)
-    tied = {frozenset(p) for p in forest(tree, 75)}
-    assert tied <= {frozenset(p) for p in want}
+
+    def parts(pairs):
+        label = list(range(len(sets)))
+        for a, b in pairs:
+            label = [label[b] if x == label[a] else x for x in label]
+        return {frozenset(i for i in range(len(sets)) if label[i] == x) for x in label}
+    tied = forest(tree, 75)
+    assert parts(tied) == parts(want) and len(tied) == len(sets) - len(parts(want))
+    assert all(a == min(next(p for p in parts(want) if b in p)) for a, b in tied)
 
 
 def test_components_of_a_path_and_a_star(spark):
