@@ -8,6 +8,9 @@
    that holds 80 percent of the item's windows is a candidate.
 4. Slots decide: a value of the item must stand for one value in the document everywhere. If none differ the
    passage is a copy, else the question has been given other parameters. Inconsistent ones are no leaks.
+5. What has no such alignment is read again with a whole number (4.5, 1,200) and a run of names (Mary Ann) as one
+   placeholder, and the windows of an item add up over distances a few words apart. A window of the item that spans
+   the place of an inserted or dropped word can't match; it counts if windows on both sides do.
 """
 
 from __future__ import annotations
@@ -21,6 +24,11 @@ from quillvec.storage import sized
 WINDOW = 5
 PLAIN_WORDS = 3
 PERCENT = 80
+#: Words that may come in or drop out within a passage.
+SLACK = 4
+#: A whole number, a run of names, or a word. Possessive, since Java's other loops over groups go as deep as they are long.
+MERGED = (r"(?<![\p{L}\p{N}])[-+]?[0-9][\p{L}\p{N}]*+(?:[.,][0-9]++)*+"
+          r"|\p{Lu}[\p{L}\p{N}]*+(?:[\s'’-]\p{Lu}[\p{L}\p{N}]*+)*+|[\p{L}\p{N}]++")
 #: Units that a question may exchange.
 UNITS = ("mm", "cm", "m", "km", "inch", "inches", "foot", "feet", "mile", "miles", "mg", "g", "kg", "gram", "grams",
          "pound", "pounds", "ml", "l", "liter", "liters", "second", "seconds", "minute", "minutes", "hour", "hours",
@@ -33,9 +41,18 @@ def words_of(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), r"[^\p{L}\p{N}]+")
 
 
+def merged_words(text: Column) -> Column:
+    """As ``words_of``, without empty ones, but a number with its sign and points is one, and so is a run of names."""
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(MERGED), F.lit(0))
+
+
+def _is_number(first: Column) -> Column:
+    return first.between("0", "9") | first.isin("-", "+")
+
+
 def template_word(word: Column) -> Column:
     first = F.substring(word, 1, 1)
-    return F.when(first.between("0", "9"), F.lit("<num>")).when(first != F.lower(first), F.lit("<name>")) \
+    return F.when(_is_number(first), F.lit("<num>")).when(first != F.lower(first), F.lit("<name>")) \
         .when(word.isin(*UNITS), F.lit("<unit>")).otherwise(F.lower(word))
 
 
@@ -80,8 +97,9 @@ def leaked_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, pe
         "id", "sub", "item", "start", "n_matched", "n_windows", F.size("slots").alias("n_slots"),
         F.size(F.filter("slots", lambda p: p["item"] != p["doc"])).alias("n_changed"),
         (F.size(F.array_distinct("slots")) == F.size(F.array_distinct("slots.item"))).alias("consistent"))
-    best = judged.filter("consistent").groupBy("id", "item").agg(F.min(F.struct(
-        (-F.col("n_matched")).alias("m"), "start", "n_changed", "n_slots", "n_windows")).alias("b"))
+    strict = scratch.keep(_best(judged), "strict")
+    loose = _best(_over_joints(source, benchmark, scratch, window, percent))
+    best = strict.unionByName(loose.join(strict, ["id", "item"], "left_anti"))
     nullable = [F.when(F.col(c) != LAST, F.col(c)).alias(n) for c, n in (("id", "doc_id"), ("item", "item_id"))]
     return best.select(*nullable, F.col("b.start").cast("long").alias("start"), F.col("b.n_windows").alias("n_windows"),
                        (-F.col("b.m")).alias("n_matched"), F.col("b.n_slots").cast("long").alias("n_slots"),
@@ -89,6 +107,67 @@ def leaked_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, pe
                        F.when(F.col("b.n_changed") == 0, "copy").otherwise("reparameterised").alias("kind"))
 
 
+def _best(judged: DataFrame) -> DataFrame:
+    return judged.filter("consistent").groupBy("id", "item").agg(F.min(F.struct(
+        (-F.col("n_matched")).alias("m"), "start", "n_changed", "n_slots", "n_windows")).alias("b"))
+
+
+def _once(value: str, use: str) -> Column:
+    """``use``, in which ``x`` is ``value``: worked out once, and not in each step of a lambda function."""
+    return F.expr(f"transform(array({value}), x -> {use})[0]")
+
+
+def _over_joints(source: DataFrame, benchmark: DataFrame, scratch: Scratch, window: int, percent: int) -> DataFrame:
+    """Judged candidates over merged words, their windows added up over distances at most ``SLACK`` words apart."""
+    items = scratch.keep(benchmark.select(F.coalesce(F.col("item_id").cast("long"), F.lit(LAST)).alias("item"),
+                                          merged_words(F.col("text")).alias("words")).distinct(), "merged_items")
+    wanted = scratch.keep(_positions(items, ["item"], F.col("words"), window)
+                          .withColumnRenamed("place", "at"), "merged_wanted")
+    places = wanted.groupBy("item").agg(F.collect_set("at").alias("all_at"))
+    found = _positions(source, ["id", "sub"], merged_words(F.col("text")), window).join(sized(wanted), "window")
+    runs = found.groupBy("id", "sub", "item", (F.col("place") - F.col("at")).alias("start")) \
+        .agg(F.collect_set("at").alias("ats"))
+    # Bands of distances, and others half a band on: distances that differ by SLACK at most share a band of either kind.
+    banded = runs.select("*", F.expr(
+        f"explode(array(floor(start / {2 * SLACK}) * 2, floor((start + {SLACK}) / {2 * SLACK}) * 2 + 1))").alias("band"))
+    near = banded.groupBy("id", "sub", "item", "band").agg(
+        F.sum(F.size("ats")).alias("n"), F.collect_list(F.struct((-F.size("ats")).alias("m"), "start", "ats")).alias("runs"))
+    # A window of the item counts once, at the distance that holds most; windows at a joint must be fewer than the others.
+    several = near.join(sized(places), "item").withColumn("n_windows", F.size("all_at").cast("long")) \
+        .filter("2 * n > n_windows").select("id", "sub", "item", "band", "n_windows", "all_at", _once(
+            "array_sort(flatten(transform(runs, r -> transform(r.ats, a -> struct(a AS at, r.m AS m, r.start AS start)))))",
+            "filter(x, (p, i) -> i = 0 OR p.at <> x[i - 1].at)").alias("every"))
+    chosen = scratch.keep(several, "merged_several").withColumn("n_joint", F.expr(
+        "aggregate(filter(transform(every, (p, i) -> struct(every[greatest(0, i - 1)] AS a, p AS b)), "
+        f"g -> g.a.start <> g.b.start AND g.b.at - g.a.at <= {window + SLACK}), 0, "
+        "(s, g) -> s + size(filter(all_at, y -> y > g.a.at AND y < g.b.at)))")) \
+        .withColumn("n_matched", F.expr("CAST(size(every) + n_joint AS BIGINT)")) \
+        .filter(f"100 * n_matched >= {percent} * n_windows AND 2 * size(every) > n_windows")
+    candidates = scratch.keep(chosen.select("id", "sub", "item", "band", "every", "n_matched", "n_windows"),
+                              "merged_candidates")
+    texts = source.join(candidates, ["id", "sub"]).dropDuplicates(["id", "sub", "item", "band"]) \
+        .select("*", merged_words(F.col("text")).alias("there"),
+                (F.element_at(words_of(F.col("text")), 1) == "").cast("int").alias("lead")).drop("text").join(items, "item")
+    slots = F.filter(F.expr(
+        f"array_distinct(flatten(transform(every, p -> transform(sequence(0L, {window - 1}L), j -> struct("
+        "p.at + j AS i, get(words, int(p.at + j)) AS item, get(there, int(p.at + p.start + j)) AS doc)))))"),
+        lambda p: _is_slot(template_word(p["item"])) & (template_word(p["item"]) == template_word(p["doc"])))
+    # A word with a capital before the item isn't part of the name that the item begins with.
+    pairs = scratch.keep(texts.withColumn("slots", slots), "merged_slots").withColumn("slots", _once("slots", (
+        "filter(x, p -> NOT (p.i = 0 AND exists(x, q -> q.i > 0 AND q.item = p.item "
+        "AND endswith(p.doc, concat(' ', q.doc)))))")))
+    # The place among single words, as elsewhere.
+    before = F.expr("IF(every[0].start > 0, slice(there, 1, int(every[0].start)), array())")
+    start = F.expr("least(every[0].start, 0) + IF(every[0].start >= 0, lead, 0)") + F.aggregate(
+        before, F.lit(0), lambda n, w: n + F.size(F.array_remove(words_of(w), "")))
+    return pairs.select(
+        "id", "sub", "item", start.alias("start"), "n_matched", "n_windows",
+        F.expr("size(array_distinct(slots.i))").alias("n_slots"),
+        F.expr("size(array_distinct(filter(slots, p -> p.item <> p.doc).i))").alias("n_changed"),
+        F.expr("size(array_distinct(transform(slots, p -> struct(p.item, p.doc)))) = size(array_distinct(slots.item))")
+        .alias("consistent"))
+
+
 def _positions(df: DataFrame, keys: list[str], words: Column, window: int) -> DataFrame:
     """``keys, place, window``: each countable window of template words and where it starts."""
     codes = df.select(*keys, F.transform(words, _code).alias("codes"))
@@ -105,7 +184,7 @@ def _positions(df: DataFrame, keys: list[str], words: Column, window: int) -> Da
 def _code(word: Column) -> Column:
     """A small number for each placeholder, a hash for a plain word."""
     first = F.substring(word, 1, 1)
-    return F.when(first.between("0", "9"), F.lit(1).cast("long")).when(first != F.lower(first), F.lit(2).cast("long")) \
+    return F.when(_is_number(first), F.lit(1).cast("long")).when(first != F.lower(first), F.lit(2).cast("long")) \
         .when(word.isin(*UNITS), F.lit(3).cast("long")).otherwise(F.xxhash64(F.lower(word)))
 
 

@@ -141,6 +141,18 @@ def test_most_of_an_item_is_enough(spark):
     assert set(got) == {0} and got[0].start == -3
 
 
+def test_slots_of_other_lengths_and_joints(spark):
+    got = judged(
+        spark, ITEM.replace("4", "4.5"), ITEM.replace("4", "1,200"), ITEM.replace("Anna", "Mary Ann"),
+        ITEM.replace("buys", "then buys"), ITEM.replace("how many apples", "how many"),
+        "Now " + ITEM.replace("4", "-4.5"), ITEM.replace("Anna has", "Mary Ann has"),
+        ITEM.replace("buys", "then buys").replace("3 days", "5 days"), " ".join(ITEM.replace("4", "4.5").split()[8:]))
+    assert {k: (r.kind, r.n_changed) for k, r in got.items()} == {
+        0: ("reparameterised", 1), 1: ("reparameterised", 1), 2: ("reparameterised", 2), 3: ("copy", 0), 4: ("copy", 0),
+        5: ("reparameterised", 1)}
+    assert got[5].start == 0 and got[3].n_matched == got[3].n_windows == 17
+
+
 def test_leaks_in_odd_documents(spark, docs):
     bench = spark.read.parquet(f"{SMALL}/benchmark.parquet").withColumn("id", F.lit(1)).withColumn("words", F.lit(2))
     got = {(r.doc_id, r.item_id) for r in templates.leaked_items(docs, bench).collect()}
