@@ -11,6 +11,9 @@
 5. What has no such alignment is read again with a whole number (4.5, 1,200) and a run of names (Mary Ann) as one
    placeholder, and the windows of an item add up over distances a few words apart. A window of the item that spans
    the place of an inserted or dropped word can't match; it counts if windows on both sides do.
+6. Copies need no plain words: windows of the words as they are, in lower case, are joined too, so that short items,
+   items full of numbers or names, and copies in another case are found. An item of fewer than five words is one
+   window. In scripts without spaces each character is a word (in 5 and 6).
 """
 
 from __future__ import annotations
@@ -26,9 +29,14 @@ PLAIN_WORDS = 3
 PERCENT = 80
 #: Words that may come in or drop out within a passage.
 SLACK = 4
+#: Characters of scripts without spaces, and others of words.
+SINGLE = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+OTHER = rf"[\p{{L}}\p{{N}}&&[^{SINGLE}]]"
 #: A whole number, a run of names, or a word. Possessive, since Java's other loops over groups go as deep as they are long.
-MERGED = (r"(?<![\p{L}\p{N}])[-+]?[0-9][\p{L}\p{N}]*+(?:[.,][0-9]++)*+"
-          r"|\p{Lu}[\p{L}\p{N}]*+(?:[\s'’-]\p{Lu}[\p{L}\p{N}]*+)*+|[\p{L}\p{N}]++")
+MERGED = (rf"(?<![\p{{L}}\p{{N}}&&[^{SINGLE}]])[-+]?[0-9]{OTHER}*+(?:[.,][0-9]++)*+"
+          rf"|\p{{Lu}}{OTHER}*+(?:[\s'’-]\p{{Lu}}{OTHER}*+)*+|{OTHER}++|[\p{{L}}\p{{N}}&&[{SINGLE}]]")
+#: What lies between words if each character of a script without spaces is one.
+BETWEEN = rf"[^\p{{L}}\p{{N}}]+|(?<=[{SINGLE}])(?=[\p{{L}}\p{{N}}])|(?<=[\p{{L}}\p{{N}}])(?=[{SINGLE}])"
 #: Units that a question may exchange.
 UNITS = ("mm", "cm", "m", "km", "inch", "inches", "foot", "feet", "mile", "miles", "mg", "g", "kg", "gram", "grams",
          "pound", "pounds", "ml", "l", "liter", "liters", "second", "seconds", "minute", "minutes", "hour", "hours",
@@ -68,7 +76,10 @@ def leaked_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, pe
     ``kind``: ``copy`` or ``reparameterised``. Of several places of one item the one with most windows counts, and of
     equal ones the first.
 
-    Documents or items with NULL or empty texts match nothing; nor do items without a countable window. A NULL
+    What only step 5 or 6 finds comes with the windows and slots of that reading. Items of fewer than five words, or
+    without a countable window, are found as copies only.
+
+    Documents or items with NULL or empty texts match nothing; nor do items without a letter or digit. A NULL
     ``doc_id`` or ``item_id`` comes back as NULL. Equal rows give one row. Other columns are left out, and empty
     tables give no rows.
     """
@@ -99,7 +110,9 @@ def leaked_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, pe
         (F.size(F.array_distinct("slots")) == F.size(F.array_distinct("slots.item"))).alias("consistent"))
     strict = scratch.keep(_best(judged), "strict")
     loose = _best(_over_joints(source, benchmark, scratch, window, percent))
-    best = strict.unionByName(loose.join(strict, ["id", "item"], "left_anti"))
+    best = scratch.keep(strict.unionByName(loose.join(strict, ["id", "item"], "left_anti")), "by_template")
+    copies = _best(_copies(source, benchmark, scratch, window, percent))
+    best = best.unionByName(copies.join(best, ["id", "item"], "left_anti"))
     nullable = [F.when(F.col(c) != LAST, F.col(c)).alias(n) for c, n in (("id", "doc_id"), ("item", "item_id"))]
     return best.select(*nullable, F.col("b.start").cast("long").alias("start"), F.col("b.n_windows").alias("n_windows"),
                        (-F.col("b.m")).alias("n_matched"), F.col("b.n_slots").cast("long").alias("n_slots"),
@@ -168,6 +181,52 @@ def _over_joints(source: DataFrame, benchmark: DataFrame, scratch: Scratch, wind
         .alias("consistent"))
 
 
+def _copies(source: DataFrame, benchmark: DataFrame, scratch: Scratch, window: int, percent: int) -> DataFrame:
+    """Judged candidates over the words as they are, whatever their case."""
+    words = F.split(F.coalesce("text", F.lit("")), BETWEEN)
+    items = scratch.keep(benchmark.select(F.coalesce(F.col("item_id").cast("long"), F.lit(LAST)).alias("item"),
+                                          F.array_remove(words, "").alias("words")).distinct(), "literal_items")
+    short = sorted(r.n for r in items.select(F.size("words").alias("n")).filter(f"n BETWEEN 1 AND {window - 1}")
+                   .distinct().collect())  # at most window - 1 numbers
+    wanted = scratch.keep(_literal(items, ["item"], F.col("words"), window, short)
+                          .join(items.select("item", F.least(F.size("words"), F.lit(window)).alias("size")),
+                                ["item", "size"], "left_semi")
+                          .withColumnRenamed("place", "at"), "literal_wanted")
+    sizes = wanted.groupBy("item").agg(F.countDistinct("at").alias("n_windows"))
+    found = _literal(source, ["id", "sub"], words, window, short).join(sized(wanted), ["size", "window"])
+    aligned = found.groupBy("id", "sub", "item", (F.col("place") - F.col("at")).alias("start")) \
+        .agg(F.size(F.collect_set("at")).cast("long").alias("n_matched"))
+    candidates = scratch.keep(aligned.join(sized(sizes), "item").filter(f"100 * n_matched >= {percent} * n_windows"),
+                              "literal_candidates")
+    texts = source.join(candidates, ["id", "sub"]).dropDuplicates(["id", "sub", "item", "start"]) \
+        .select("id", "sub", "item", "start", "n_matched", "n_windows", words.alias("there")).join(items, "item")
+    # A name may stand for any word, as its capital can be lost.
+    slots = F.transform(F.filter(F.expr(
+        "filter(transform(words, (w, i) -> struct(w AS item, IF(start + i >= 0, get(there, int(start + i)), NULL) AS doc)), "
+        "p -> p.doc IS NOT NULL)"), lambda p: _is_slot(template_word(p["item"])) & (
+            (template_word(p["item"]) == "<name>") | (template_word(p["item"]) == template_word(F.lower(p["doc"]))))),
+        lambda p: F.struct(F.lower(p["item"]).alias("item"), F.lower(p["doc"]).alias("doc")))
+    return scratch.keep(texts.select("id", "sub", "item", "start", "n_matched", "n_windows", slots.alias("slots")),
+                        "literal_slots").select(
+        "id", "sub", "item", "start", "n_matched", "n_windows", F.size("slots").alias("n_slots"),
+        F.expr("size(filter(slots, p -> p.item <> p.doc))").alias("n_changed"),
+        F.expr("size(array_distinct(slots)) = size(array_distinct(slots.item))").alias("consistent"))
+
+
+def _literal(df: DataFrame, keys: list[str], words: Column, window: int, short: list[int]) -> DataFrame:
+    """``keys, place, size, window``: each run of ``window`` words, and of as many as are listed in ``short``."""
+    codes = df.select(*keys, F.transform(words, lambda w: F.when(w != "", F.xxhash64(F.lower(w)))).alias("codes"))
+    parts = ["codes", *[f"slice(codes, {j + 1}, greatest(0, size(codes) - {j}))" for j in range(1, window)]]
+    rows = codes.selectExpr(*keys, f"posexplode(arrays_zip({', '.join(parts)})) AS (place, w)").selectExpr(
+        *keys, "place", *[f"w.`{j}` AS w{j}" if j else "w.codes AS w0" for j in range(window)])
+    hashed = {n: f"xxhash64({', '.join(f'w{j}' for j in range(n))})" for n in (*short, window)}
+    whole = {n: " AND ".join(f"w{j} IS NOT NULL" for j in range(n)) for n in hashed}
+    if not short:
+        return rows.filter(whole[window]).selectExpr(*keys, "place", f"{window} AS size", f"{hashed[window]} AS window")
+    each = ", ".join(f"{n}, IF({whole[n]}, {hashed[n]}, NULL)" for n in hashed)
+    return rows.selectExpr(*keys, "place", f"stack({len(hashed)}, {each}) AS (size, window)").filter("window IS NOT NULL")
+
+
 def _positions(df: DataFrame, keys: list[str], words: Column, window: int) -> DataFrame:
     """``keys, place, window``: each countable window of template words and where it starts."""
     codes = df.select(*keys, F.transform(words, _code).alias("codes"))

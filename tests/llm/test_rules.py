@@ -153,6 +153,18 @@ def test_slots_of_other_lengths_and_joints(spark):
     assert got[5].start == 0 and got[3].n_matched == got[3].n_windows == 17
 
 
+def test_copies_without_countable_windows(spark):
+    items = {1: "Is Rome old?", 2: ITEM.title(), 3: "2 4 8 16 32 64 128 or 256", 4: "小明有3个苹果,又买了4个,现在他一共有多少个苹果?"}
+    bench = spark.createDataFrame([*items.items(), (7, ITEM), (8, "?!"), (9, None)], "item_id long, text string")
+    texts = ["He asked: is Rome OLD? Yes.", "x " + items[2], "see 2 4 8 16 32 64 128 or 256.", "问题" + items[4] + "答案",
+             ITEM.lower(), ITEM.upper(), ITEM.lower().replace("anna has", "berta has"), "Is Rome new? ?!",
+             items[4].replace("4", "17")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r.doc_id, r.item_id, r.kind) for r in templates.leaked_items(docs, bench).collect()}
+    assert got == {(0, 1, "copy"), (1, 2, "copy"), (1, 7, "copy"), (2, 3, "copy"), (3, 4, "copy"), (4, 2, "copy"),
+                   (4, 7, "copy"), (5, 2, "copy"), (5, 7, "copy"), (8, 4, "reparameterised")}
+
+
 def test_leaks_in_odd_documents(spark, docs):
     bench = spark.read.parquet(f"{SMALL}/benchmark.parquet").withColumn("id", F.lit(1)).withColumn("words", F.lit(2))
     got = {(r.doc_id, r.item_id) for r in templates.leaked_items(docs, bench).collect()}
