@@ -110,6 +110,12 @@ def test_models_in_groups_give_the_same(docs, monkeypatch):
     assert sum(same) >= 0.8 * len(same)
 
 
+def test_models_in_groups_give_all_rows_the_same(docs, monkeypatch):
+    want = sorted(map(tuple, perplexity.quality_rules(docs, carry=("text",)).collect()), key=repr)
+    monkeypatch.setattr(perplexity, "MODEL_BYTES", 1 << 20)
+    assert sorted(map(tuple, perplexity.quality_rules(docs, carry=("text",)).collect()), key=repr) == want
+
+
 # -- decontamination ------------------------------------------------------------------------------------------------
 
 ITEM = "Anna has 3 apples and buys 4 more apples at the market, how many apples does Anna hold after 3 days there?"
