@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillvec.llm import bpe, chat, jaccard, licenses, perplexity, phrases, quality, suffixes, templates, urls
+from quillvec.llm import bpe, chat, jaccard, licenses, perplexity, phrases, quality, suffixes, templates, urls, whitening
 from quillvec.plans.shipping import ship_package
 
 QUERIES: dict = {}
@@ -104,6 +104,12 @@ def op10_quality_classifier(spark, sf):
         (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 
+@query
+def op11_embedding_whitening(spark, sf):
+    """Every vector on the first 32 components, with unit variance."""
+    return whitening.whitened(table(spark, sf, "embeddings"))
+
+
 ORACLES: dict[str, str] = {}
 
 ORACLES["op5_jaccard_join"] = r"""

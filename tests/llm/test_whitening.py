@@ -1,0 +1,123 @@
+"""Whitening against numpy and exact integers."""
+
+import itertools
+import math
+import random
+from fractions import Fraction
+
+import numpy as np
+import pytest
+
+from conftest import SMALL
+from quillvec.llm import whitening
+from quillvec.llm.queries import QUERIES
+
+
+def plain(vectors, components=32):
+    """id -> component -> whitened, up to sign; and the components' shares."""
+    ids, values = zip(*vectors, strict=True)
+    x = np.floor(64 * np.array(values, float)) + 1_000_000
+    apart = x - x.mean(axis=0)
+    roots, basis = np.linalg.eigh(apart.T @ apart / len(x))
+    roots, basis = roots[::-1][:components], basis[:, ::-1][:, :components]
+    return ids, apart @ basis / np.sqrt(roots), roots / np.trace(apart.T @ apart / len(x))
+
+
+def test_query_equals_numpy(spark):
+    rows = spark.read.parquet(f"{SMALL}/embeddings.parquet").collect()
+    ids, white, share = plain([(r.vec_id, r.embedding) for r in rows])
+    out = QUERIES["op11_embedding_whitening"](spark, SMALL).toPandas()
+    assert len(out) == len(ids) * 32
+    found = out.pivot(index="vec_id", columns="component", values="whitened").loc[list(ids)].to_numpy()
+    sign = np.sign((found * white).sum(axis=0))
+    assert np.abs(found - white * sign).max() < 1e-8
+    assert np.allclose(out[out.vec_id == ids[0]].sort_values("component").explained, share, rtol=1e-10)
+    assert out.identity_error.nunique() == 1 and out.identity_error.iloc[0] < 1e-10
+    n = len(rows)
+    x = [[math.floor(64 * c) + 1_000_000 for c in r.embedding] for r in rows]
+    total = [sum(c) for c in zip(*x, strict=True)]
+    exact = {r.vec_id: sum((n * c - s) ** 2 for c, s in zip(v, total, strict=True)) for r, v in zip(rows, x, strict=True)}
+    assert {(r.vec_id, r.deviation, r.n) for r in out.itertuples()} == {(k, v, n) for k, v in exact.items()}
+
+
+def expanded(matrix):
+    """det(x - matrix) by all permutations, as coefficients from the constant on."""
+    d = len(matrix)
+    out = [0] * (d + 1)
+    for order in itertools.permutations(range(d)):
+        poly, swaps = [1], sum(order[i] > order[j] for i in range(d) for j in range(i + 1, d))
+        for i, j in enumerate(order):
+            factor = [-matrix[i][j], 1 if i == j else 0]
+            poly = [sum(poly[a] * factor[k - a] for a in range(len(poly)) if 0 <= k - a < 2) for k in range(len(poly) + 1)]
+        out = [a + (-1) ** swaps * b for a, b in zip(out, poly + [0] * (d + 1 - len(poly)), strict=True)]
+    return out
+
+
+def test_polynomials_are_exact(spark):
+    rng = random.Random(1)
+    for d in (1, 2, 3, 5):
+        for low in (0, 1):
+            a = np.array([[rng.randint(-9, 9) * 10**low for _ in range(d)] for _ in range(max(1, d - low))], object)
+            matrix = (a.T @ a).tolist()
+            if sum(matrix[i][i] for i in range(d)):
+                assert whitening.characteristic_polynomial(spark, matrix) == expanded(matrix)
+
+
+def test_polynomial_with_vanishing_pivots():
+    matrix = [[0, 0, 5, 0], [0, 3, 0, 0], [5, 0, 0, 2], [0, 0, 2, 1]]
+    p = whitening.primes(1)[0]
+    assert whitening.polynomial_modulo(np.array(matrix), p).tolist() == [c % p for c in expanded(matrix)]
+
+
+def test_equal_and_close_roots():
+    roots = [Fraction(7), Fraction(7), Fraction(3), Fraction(3) - Fraction(1, 10**12), Fraction(0)]
+    poly = [Fraction(1)]
+    for r in roots:
+        poly = [(poly[k - 1] if k else 0) - r * (poly[k] if k < len(poly) else 0) for k in range(len(poly) + 1)]
+    scale = math.lcm(*[c.denominator for c in poly])
+    whole = [int(c * scale) for c in poly]
+    found = [whitening.root(whole, k, 20) for k in range(1, 5)]
+    for (value, first, last), want, span in zip(found, roots, [(1, 2), (1, 2), (3, 3), (4, 4)], strict=False):
+        assert abs(value - want) < Fraction(1, 10**30) and (first, last) == span
+
+
+def test_odd_vectors(spark):
+    rng = random.Random(3)
+    good = [(i, [rng.gauss(0, 1) for _ in range(4)]) for i in range(40)]
+    odd = [(100, None), (101, []), (102, [1.0, None, 2.0, 3.0]), (103, [float("nan")] * 4), (104, [float("inf"), 0., 0., 0.]),
+           (105, [1.0, 2.0]), (106, [1e300, 0., 0., 0.]), (None, good[3][1]), (3, good[3][1])]
+    df = spark.createDataFrame([(i, v, 1, "x") for i, v in good + odd],
+                               "vec_id long, embedding array<double>, row int, vector string")
+    out = whitening.whitened(df).toPandas()
+    ids, white, share = plain(good + odd[-2:])
+    assert len(out) == 42 * 4 and out.n.eq(42).all() and out.vec_id.isna().sum() == 4
+    one = out[out.vec_id == 7].sort_values("component").whitened.to_numpy()
+    assert np.abs(np.abs(one) - np.abs(white[7])).max() < 1e-9
+    assert (out.vec_id == 3).sum() == 8
+
+
+@pytest.mark.parametrize("rows", [[], [(1, [1.0, 2.0])], [(i, [0.5, 0.25]) for i in range(5)], [(1, None)]])
+def test_nothing_varies(spark, rows):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert whitening.whitened(df).collect() == []
+
+
+def test_directions_without_variance_and_equal_roots(spark):
+    rows = [(0, [1.0, 0.0, 5.0]), (1, [-1.0, 0.0, 5.0]), (2, [0.0, 1.0, 5.0]), (3, [0.0, -1.0, 5.0])]
+    out = whitening.whitened(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).toPandas()
+    assert sorted(out.component.unique()) == [1, 2]
+    assert np.allclose(out.explained, 0.5) and out.identity_error.max() < 1e-12
+    assert np.allclose(out.groupby("vec_id").whitened.apply(lambda w: (w * w).sum()), 2.0)
+
+
+def test_large_entries_stay_exact(spark):
+    rng = random.Random(5)
+    rows = [(i, [rng.uniform(-1e12, 1e12) for _ in range(3)]) for i in range(20)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    out = whitening.whitened(df).toPandas()
+    _, white, _ = plain(rows)
+    found = out.pivot(index="vec_id", columns="component", values="whitened").to_numpy()
+    assert np.abs(np.abs(found) - np.abs(white)).max() < 1e-6
+    x = [[math.floor(64 * c) for c in v] for _, v in rows]
+    exact = [sum((20 * c - sum(y)) ** 2 for c, y in zip(v, zip(*x, strict=True), strict=True)) for v in x]
+    assert all(v >= 2**63 for v in exact) and out.deviation.isna().all()
