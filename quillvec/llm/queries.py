@@ -8,12 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillvec.llm import bpe, chat, jaccard, licenses, perplexity, phrases, quality, suffixes, templates, urls, whitening
+from quillvec.llm import bpe, chat, jaccard, licenses, packing, perplexity, phrases, quality, suffixes, templates, urls, whitening
 from quillvec.plans.shipping import ship_package
 
 QUERIES: dict = {}
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def query(fn):
@@ -110,6 +112,12 @@ def op11_embedding_whitening(spark, sf):
     return whitening.whitened(table(spark, sf, "embeddings"))
 
 
+@query
+def op12_packing(spark, sf):
+    """Where the ids of every document lie in sequences of 1024."""
+    return packing.pack(table(spark, sf, "documents"), BYTE_BPE, ids=False)
+
+
 ORACLES: dict[str, str] = {}
 
 ORACLES["op5_jaccard_join"] = r"""
