@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillvec.llm import bpe, chat, jaccard, licenses, packing, perplexity, phrases, quality, suffixes, templates, urls, whitening
+from quillvec.llm import (alignment, bpe, chat, jaccard, licenses, packing, perplexity, phrases, quality, suffixes,
+                          templates, urls, whitening)
 from quillvec.plans.shipping import ship_package
 
 QUERIES: dict = {}
@@ -118,6 +119,12 @@ def op12_packing(spark, sf):
     return packing.pack(table(spark, sf, "documents"), BYTE_BPE, ids=False)
 
 
+@query
+def op13_tokenizer_alignment(spark, sf):
+    """Links and groups of the tokens of two tokenizers in every text."""
+    return alignment.aligned(table(spark, sf, "documents"), BYTE_BPE, PIECE_BPE)
+
+
 ORACLES: dict[str, str] = {}
 
 ORACLES["op5_jaccard_join"] = r"""
