@@ -95,7 +95,7 @@ def found_licenses(docs: DataFrame, templates: DataFrame, percent: int = PERCENT
     """
     scratch = Scratch(docs.sparkSession, "licenses")
     source = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"),
-                         F.hash(F.coalesce("text", F.lit(""))).alias("sub"), "text")
+                         F.xxhash64(F.coalesce("text", F.lit(""))).alias("sub"), "text")
     notices = scratch.keep(templates.select("template", "license", F.array_remove(words_of(F.col("text")), "")
                                             .alias("words")).filter(f"size(words) >= {SHINGLE}"), "notices")
     wanted = scratch.keep(_bands(notices, ["template"], F.col("words"), 1)

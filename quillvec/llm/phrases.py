@@ -4,11 +4,12 @@
    found in two documents are the recurring ones; all other windows are unique.
 2. Neighbouring windows filed under one place of a phrase are a run. Runs of equal words are one class, with the
    smallest id that holds it, so copies are counted and never compared with each other.
-3. The words of one run of each class are cut out. Recurring passages are confirmed on them: a class of two documents
-   is one; where a phrase has several classes, windows that two of them share are counted.
+3. Where a phrase has one class, the whole run is the passage, and its places are those of the class. Where it has
+   several, the words of one run of each are cut out, and recurring passages are confirmed on them: a class of two
+   documents is one, and so are windows that two classes share, which are counted by hash.
 4. Passages are compiled into Aho-Corasick automata over words, in shards by phrase, and the classes of that phrase,
    which stand for all documents that can match, are streamed through. A phrase with very many classes is
-   dealt out in parts, each with the passages of the phrase.
+   dealt out in parts, each with the passages that its classes hold.
 5. Located stretches go back to documents by class, and words covered by a passage of an earlier owner are removed.
 """
 
@@ -54,14 +55,21 @@ def removed_passages(docs: DataFrame, window: int = WINDOW, carry: tuple[str, ..
                              .select("key"), "recurring")
     found = scratch.keep(runs.join(recurring, "key", "left_semi"), "found")
     scratch.drop("recurring")
-    classes = scratch.keep(found.groupBy("key", "whole").agg(F.min("id").alias("owner"), F.max("id").alias("last")),
-                           "classes")
-    stretches = scratch.keep(_stretches(source, _representatives(found, classes, scratch), window), "stretches")
-    scratch.drop("classes", "parts")
-    located = scratch.keep(_located(stretches, window), "located")
-    scratch.drop("stretches")
-    spans = found.select("id", "sub", "lo", "key", "whole").join(located, ["key", "whole"]).filter("id > owner") \
-        .groupBy("id", "sub").agg(F.collect_list(F.struct(
+    classes = scratch.keep(found.groupBy("key", "whole").agg(
+        F.min("id").alias("owner"), F.max("id").alias("last"), F.first("n").alias("n")), "classes")
+    # Parts into which a phrase is dealt, if it has several classes.
+    parts = scratch.keep(classes.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select(
+        "key", spread(F.col("n"), CLASSES_PER_PART).alias("parts")), "parts")
+    several = scratch.keep(classes.join(parts, "key").drop("n"), "several")
+    stretches = scratch.keep(_stretches(source, _representatives(found, several), window), "stretches")
+    scratch.drop("several")
+    located = scratch.keep(_located(stretches, window, scratch), "located")
+    scratch.drop("stretches", "windows")
+    # The only class of a phrase is a passage as a whole.
+    single = classes.join(parts, "key", "left_anti").filter("owner < last").select(
+        "key", "whole", F.lit(0).alias("start"), (F.col("n") + (window - 1)).alias("end"), "owner")
+    spans = found.select("id", "sub", "lo", "key", "whole").join(located.unionByName(single), ["key", "whole"]) \
+        .filter("id > owner").groupBy("id", "sub").agg(F.collect_list(F.struct(
             (F.col("lo") + F.col("start")).alias("lo"), (F.col("lo") + F.col("end")).alias("hi"))).alias("spans"))
     row = source.schema["row"].dataType.simpleString()
     out = source.join(spans, ["id", "sub"], "left").select("row", "text", "spans").mapInArrow(
@@ -96,21 +104,17 @@ def phrase_runs(source: DataFrame, window: int = WINDOW) -> DataFrame:
                         ["key", "whole", "id", "sub", "lo", "n"])
 
     return source.select("id", "sub", "text").mapInArrow(
-        run, "key long, whole long, id long, sub int, lo int, n int")
+        run, "key long, whole long, id long, sub long, lo int, n int")
 
 
-def _representatives(found: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
-    """One run of each class, in a document with its smallest id, and into how many parts its phrase is dealt: none
-    if the phrase has no other class."""
-    counts = scratch.keep(classes.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select(
-        "key", spread(F.col("n"), CLASSES_PER_PART).alias("parts")), "parts")
-    owned = classes.join(counts, "key", "left").withColumn("parts", F.coalesce("parts", F.lit(0)))
-    runs = found.join(owned.withColumnRenamed("owner", "id"), ["key", "whole", "id"])
+def _representatives(found: DataFrame, classes: DataFrame) -> DataFrame:
+    """One run of each class, in a document with its smallest id."""
+    runs = found.join(classes.withColumnRenamed("owner", "id"), ["key", "whole", "id"])
     return runs.groupBy("key", "whole", "id", "last", "parts").agg(*[F.first(c).alias(c) for c in ("sub", "lo", "n")])
 
 
 def _stretches(source: DataFrame, runs: DataFrame, window: int) -> DataFrame:
-    """The words of each run, joined by one space."""
+    """The words of each run, joined by one space, and the hashes of its windows."""
     by_text = runs.groupBy("id", "sub").agg(F.collect_list(F.struct(
         "key", "whole", "last", "parts", "lo", "n")).alias("runs"))
 
@@ -120,20 +124,24 @@ def _stretches(source: DataFrame, runs: DataFrame, window: int) -> DataFrame:
             at, fields = lists(batch.column(batch.schema.get_field_index("runs")))
             for first, after, data, offsets in text_slices(text_column(batch)):
                 words = Words(data, offsets)
+                gram = grams(words.hashes, window)
                 raw = data.tobytes()
                 for a, b in _parts(at, first, after):
                     doc = np.searchsorted(at, np.arange(a, b), "right") - 1
-                    head = words.first[doc - first] + fields["lo"][a:b]
-                    start, end = words.starts[head], words.ends[head + fields["n"][a:b] + window - 2]
+                    head, n = words.first[doc - first] + fields["lo"][a:b], fields["n"][a:b]
+                    start, end = words.starts[head], words.ends[head + n + window - 2]
                     texts = [b" ".join(raw[s:e].split()) for s, e in zip(start.tolist(), end.tolist(), strict=True)]
+                    place = np.r_[0, np.cumsum(n)]
+                    hashes = signed(gram[np.arange(place[-1]) + np.repeat(head - place[:-1], n)])
                     yield pa.RecordBatch.from_arrays(
                         [fields["key"][a:b], fields["whole"][a:b], ids[doc], fields["last"][a:b], fields["parts"][a:b],
-                         pa.array(texts, pa.binary()).cast(pa.string())],
-                        ["key", "whole", "owner", "last", "parts", "stretch"])
+                         pa.array(texts, pa.binary()).cast(pa.string()),
+                         pa.ListArray.from_arrays(place.astype(np.int32), hashes)],
+                        ["key", "whole", "owner", "last", "parts", "stretch", "windows"])
 
     # Equal rows of one document meet its runs more than once, which changes nothing.
     return source.select("id", "sub", "text").join(by_text, ["id", "sub"]).mapInArrow(
-        run, "key long, whole long, owner long, last long, parts int, stretch string")
+        run, "key long, whole long, owner long, last long, parts int, stretch string, windows array<long>")
 
 
 def _parts(at: np.ndarray, first: int, after: int, size: int = 100_000) -> Iterator[tuple[int, int]]:
@@ -141,22 +149,25 @@ def _parts(at: np.ndarray, first: int, after: int, size: int = 100_000) -> Itera
         yield a, min(a + size, int(at[after]))
 
 
-def _located(stretches: DataFrame, window: int) -> DataFrame:
+def _located(stretches: DataFrame, window: int, scratch: Scratch) -> DataFrame:
     """Where recurring passages lie in each class: ``owner`` is the smallest id that holds those words.
 
-    Windows of phrases with several classes are counted by hash; a task finds the words of those that recur in the
-    classes it has got.
+    Windows are counted by hash, and each part of a phrase gets those that recur and that its classes hold; a task finds
+    their words there.
     """
-    shared = stretches.filter("parts > 0").selectExpr("key", "parts", "owner", "last", "split(stretch, ' ') AS words") \
-        .selectExpr("key", "parts", "owner", "last",
-                    f"explode(transform(sequence(0, size(words) - {window}), "
-                    f"i -> xxhash64(array_join(slice(words, i + 1, {window}), ' ')))) AS whole")
-    shared = shared.groupBy("key", "parts", "whole").agg(F.min("owner").alias("owner"), F.max("last").alias("last")) \
-        .filter("owner < last")
-    passages = shared.select("key", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
-                             F.lit(1).alias("kind"), "whole", F.lit(None).cast("string").alias("stretch"), "owner", "last")
-    streams = stretches.select("key", F.expr("IF(parts > 1, pmod(whole, parts), 0)").cast("int").alias("part"),
-                               F.lit(0).alias("kind"), "whole", "stretch", "owner", "last")
+    part = F.expr("IF(parts > 1, pmod(whole, parts), 0)").cast("int").alias("part")
+    windows = stretches.select("key", part, "owner", "last", F.explode("windows").alias("whole")) \
+        .groupBy("key", "whole", "part").agg(F.min("owner").alias("owner"), F.max("last").alias("last"))
+    # Most phrases have one part, so this is about as long as the windows of all classes that differ.
+    windows = scratch.keep(windows, "windows")
+    shared = windows.groupBy("key", "whole").agg(F.min("owner").alias("least"), F.max("last").alias("last")) \
+        .filter("least < last").select("key", "whole", "least")
+    held = windows.select("key", "whole", "part").join(shared, ["key", "whole"])
+    nothing = F.lit(None)
+    passages = held.select("key", "part", F.lit(1).alias("kind"), "whole", nothing.cast("string").alias("stretch"),
+                           nothing.cast("array<bigint>").alias("windows"), F.col("least").alias("owner"),
+                           nothing.cast("bigint").alias("last"))
+    streams = stretches.select("key", part, F.lit(0).alias("kind"), "whole", "stretch", "windows", "owner", "last")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _stream(batches, window)
@@ -167,14 +178,14 @@ def _located(stretches: DataFrame, window: int) -> DataFrame:
 
 def _stream(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     """Takes the classes and then the recurring windows of phrase after phrase, and runs an automaton over a block."""
-    streams: list[tuple[int, int, str, int]] = []
+    streams: list[tuple[int, int, str, int, list[int]]] = []
     passages: dict[str, int] = {}
     hashes: dict[int, int] = {}
     current, mark = None, 0  # the phrase, and its first class among the streams
     for batch in batches:
         columns = (batch.column(batch.schema.get_field_index(c)).to_pylist()
-                   for c in ("key", "part", "kind", "whole", "stretch", "owner", "last"))
-        for key, part, kind, whole, stretch, owner, last in zip(*columns, strict=True):
+                   for c in ("key", "part", "kind", "whole", "stretch", "windows", "owner", "last"))
+        for key, part, kind, whole, stretch, windows, owner, last in zip(*columns, strict=True):
             if (key, part) != current:
                 _confirm(streams[mark:], hashes, passages, window)
                 if len(passages) >= PASSAGES_PER_AUTOMATON or len(streams) >= STREAMS_PER_AUTOMATON:
@@ -182,7 +193,7 @@ def _stream(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Recor
                     streams, passages = [], {}
                 current, mark, hashes = (key, part), len(streams), {}
             if kind == 0:
-                streams.append((key, whole, stretch, last))
+                streams.append((key, whole, stretch, last, windows))
                 if owner < last:
                     passages[stretch] = min(owner, passages.get(stretch, owner))
             else:
@@ -196,22 +207,21 @@ def _stream(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Recor
     yield from _locate(streams, passages)
 
 
-def _confirm(streams: list[tuple[int, int, str, int]], hashes: dict[int, int], passages: dict[str, int],
+def _confirm(streams: list[tuple[int, int, str, int, list[int]]], hashes: dict[int, int], passages: dict[str, int],
              window: int) -> None:
     """Adds the windows of ``streams`` whose hash recurs to the passages."""
     if not hashes:
         return
-    for _, _, stretch, _ in streams:
-        words = stretch.split(" ")
-        for i in range(len(words) - window + 1):
-            text = " ".join(words[i:i + window])
-            found = xxhash.xxh64_intdigest(text.encode(), 42)  # as Spark's xxhash64
-            owner = hashes.get(found - 2**64 if found >= 2**63 else found)
-            if owner is not None:
+    for _, _, stretch, _, windows in streams:
+        at = [i for i, h in enumerate(windows) if h in hashes]
+        if at:
+            words = stretch.split(" ")
+            for i in at:
+                text, owner = " ".join(words[i:i + window]), hashes[windows[i]]
                 passages[text] = min(owner, passages.get(text, owner))
 
 
-def _locate(streams: list[tuple[int, int, str, int]], passages: dict[str, int]) -> Iterator[pa.RecordBatch]:
+def _locate(streams: list[tuple[int, int, str, int, list[int]]], passages: dict[str, int]) -> Iterator[pa.RecordBatch]:
     if not passages or not streams:
         return
     code: dict[str, str] = {}
@@ -225,7 +235,7 @@ def _locate(streams: list[tuple[int, int, str, int]], passages: dict[str, int])
         automaton.add_word("".join([code[w] for w in words]), (owner, len(words)))
     automaton.make_automaton()
     rows: list[tuple[int, int, int, int, int]] = []
-    for key, whole, stretch, last in streams:
+    for key, whole, stretch, last, _ in streams:
         words = stretch.split(" ")
         least = [last] * len(words)  # smallest owner of a passage over each word
         hit = False

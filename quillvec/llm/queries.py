@@ -59,7 +59,7 @@ def op4_suffix_dedup(spark, sf):
     """What is left of each document without strings of 400 bytes that start elsewhere too."""
     return suffixes.without_repeats(table(spark, sf, "documents")).select(
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
-        F.sha2("kept", 256).alias("kept_sha256"))
+        F.sha2("kept", 256).alias("kept_sha256"), F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))
 
 
 @query
@@ -72,7 +72,7 @@ def op5_jaccard_join(spark, sf):
 def op6_substring_dedup(spark, sf):
     """What is left of each document without passages of earlier ones."""
     return phrases.removed_passages(table(spark, sf, "documents")).select(
-        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"), "kept")
 
 
 @query
@@ -165,7 +165,7 @@ left_over AS (
          CASE WHEN gone IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(gone, i)) END AS kept
   FROM words LEFT JOIN removed USING (doc_id))
 SELECT doc_id, n_words::BIGINT AS n_words, n_removed::BIGINT AS n_removed,
-       sha256(array_to_string(kept, ' ')) AS kept_sha256
+       sha256(array_to_string(kept, ' ')) AS kept_sha256, array_to_string(kept, ' ') AS kept
 FROM left_over
 """
 

@@ -30,7 +30,7 @@ ANCHOR = 128
 STEP = 16
 #: Bytes of text in one work array.
 PART = 1 << 20
-RUNS = "key long, near int, far int, whole long, id long, sub int, place int"
+RUNS = "key long, near int, far int, whole long, id long, sub long, place int"
 #: What tells classes of one group apart: the distances of the run's first and last window, and all its bytes.
 CLASS = ["key", "near", "far", "whole"]
 
@@ -141,7 +141,7 @@ def _slices(source: DataFrame, standing: DataFrame, length: int) -> DataFrame:
                         ["id", "sub", "place", "key", "near", "far", "base", "bytes"])
 
     return source.select("id", "sub", "text").join(runs, ["id", "sub"]).mapInArrow(
-        run, "id long, sub int, place int, key long, near int, far int, base int, bytes binary")
+        run, "id long, sub long, place int, key long, near int, far int, base int, bytes binary")
 
 
 def _digits(slices: DataFrame, length: int, step: int) -> DataFrame:

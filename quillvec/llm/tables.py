@@ -45,7 +45,7 @@ def keyed(docs: DataFrame, *carry: str) -> DataFrame:
     """
     row = [F.struct("doc_id", *[c for c in carry if c not in ("doc_id", "text")]).alias("row")]
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"),
-                       F.hash(F.coalesce("text", F.lit(""))).alias("sub"), *row, "text")
+                       F.xxhash64(F.coalesce("text", F.lit(""))).alias("sub"), *row, "text")
 
 
 def signed(x: np.ndarray) -> np.ndarray:

@@ -14,6 +14,9 @@
 6. Copies need no plain words: windows of the words as they are, in lower case, are joined too, so that short items,
    items full of numbers or names, and copies in another case are found. An item of fewer than five words is one
    window. In scripts without spaces each character is a word (in 5 and 6).
+
+One scan makes the windows of all three readings, and one join with those of the benchmark lets go of all documents
+without a match. Only texts of candidates are read again.
 """
 
 from __future__ import annotations
@@ -37,6 +40,13 @@ MERGED = (rf"(?<![\p{{L}}\p{{N}}&&[^{SINGLE}]])[-+]?[0-9]{OTHER}*+(?:[.,][0-9]++
           rf"|\p{{Lu}}{OTHER}*+(?:[\s'’-]\p{{Lu}}{OTHER}*+)*+|{OTHER}++|[\p{{L}}\p{{N}}&&[{SINGLE}]]")
 #: What lies between words if each character of a script without spaces is one.
 BETWEEN = rf"[^\p{{L}}\p{{N}}]+|(?<=[{SINGLE}])(?=[\p{{L}}\p{{N}}])|(?<=[\p{{L}}\p{{N}}])(?=[{SINGLE}])"
+#: Texts with a character beyond the scripts that need spaces; they are cut by the patterns above, others faster.
+WIDE = r"[\x{0E00}-\x{1FFF}\x{2E80}-\x{10FFFF}]"
+#: A whole number, and a run of names, as in MERGED.
+NUMBER = r"(?<![\p{L}\p{N}])[-+]?[0-9][\p{L}\p{N}]*+(?:[.,][0-9]++)*+"
+NAMES = r"(?<![\p{L}\p{N}])\p{Lu}[\p{L}\p{N}]*+(?:[\s'’-]\p{Lu}[\p{L}\p{N}]*+)*+"
+#: Readings: templates word by word, templates of merged words, words as they are.
+STRICT, LOOSE, LITERAL = 1, 2, 3
 #: Units that a question may exchange.
 UNITS = ("mm", "cm", "m", "km", "inch", "inches", "foot", "feet", "mile", "miles", "mg", "g", "kg", "gram", "grams",
          "pound", "pounds", "ml", "l", "liter", "liters", "second", "seconds", "minute", "minutes", "hour", "hours",
@@ -54,6 +64,12 @@ def merged_words(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(MERGED), F.lit(0))
 
 
+def literal_words(text: Column) -> Column:
+    """As ``words_of``, but each character of a script without spaces is a word."""
+    whole = F.coalesce(text, F.lit(""))
+    return F.when(whole.rlike(WIDE), F.split(whole, BETWEEN)).otherwise(words_of(text))
+
+
 def _is_number(first: Column) -> Column:
     return first.between("0", "9") | first.isin("-", "+")
 
@@ -61,7 +77,7 @@ def _is_number(first: Column) -> Column:
 def template_word(word: Column) -> Column:
     first = F.substring(word, 1, 1)
     return F.when(_is_number(first), F.lit("<num>")).when(first != F.lower(first), F.lit("<name>")) \
-        .when(word.isin(*UNITS), F.lit("<unit>")).otherwise(F.lower(word))
+        .when(F.lower(word).isin(*UNITS), F.lit("<unit>")).otherwise(F.lower(word))
 
 
 def _is_slot(template: Column) -> Column:
@@ -83,36 +99,10 @@ def leaked_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, pe
     ``doc_id`` or ``item_id`` comes back as NULL. Equal rows give one row. Other columns are left out, and empty
     tables give no rows.
     """
-    scratch = Scratch(docs.sparkSession, "templates")
-    source = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"),
-                         F.hash(F.coalesce("text", F.lit(""))).alias("sub"), "text")
-    items = scratch.keep(benchmark.select(F.coalesce(F.col("item_id").cast("long"), F.lit(LAST)).alias("item"),
-                                          F.array_remove(words_of(F.col("text")), "").alias("words")).distinct(), "items")
-    wanted = scratch.keep(_positions(items, ["item"], F.col("words"), window)
-                          .withColumnRenamed("place", "at"), "wanted")
-    sizes = wanted.groupBy("item").agg(F.count("*").alias("n_windows"))
-    found = _positions(source, ["id", "sub"], words_of(F.col("text")), window).join(sized(wanted), "window")
-    aligned = found.groupBy("id", "sub", "item", (F.col("place") - F.col("at")).alias("start")) \
-        .agg(F.count("*").alias("n_matched"))
-    candidates = scratch.keep(aligned.join(sized(sizes), "item").filter(f"100 * n_matched >= {percent} * n_windows"),
-                              "candidates")
-    # Both sides of the slots, at each word of the item.
-    texts = source.join(candidates, ["id", "sub"]).dropDuplicates(["id", "sub", "item", "start"]) \
-        .select("id", "sub", "item", "start", "n_matched", "n_windows", words_of(F.col("text")).alias("there")) \
-        .join(items, "item")
-    pairs = texts.withColumn("slots", F.expr(
-        "filter(transform(words, (w, i) -> struct(w AS item, IF(start + i >= 0, get(there, int(start + i)), NULL) AS doc)), "
-        "p -> p.doc IS NOT NULL)")).withColumn("slots", F.filter("slots", lambda p: _is_slot(
-            template_word(p["item"])) & (template_word(p["item"]) == template_word(p["doc"]))))
-    judged = pairs.select(
-        "id", "sub", "item", "start", "n_matched", "n_windows", F.size("slots").alias("n_slots"),
-        F.size(F.filter("slots", lambda p: p["item"] != p["doc"])).alias("n_changed"),
-        (F.size(F.array_distinct("slots")) == F.size(F.array_distinct("slots.item"))).alias("consistent"))
-    strict = scratch.keep(_best(judged), "strict")
-    loose = _best(_over_joints(source, benchmark, scratch, window, percent))
-    best = scratch.keep(strict.unionByName(loose.join(strict, ["id", "item"], "left_anti")), "by_template")
-    copies = _best(_copies(source, benchmark, scratch, window, percent))
-    best = best.unionByName(copies.join(best, ["id", "item"], "left_anti"))
+    strict, loose, copies = _judged(docs, benchmark, window, percent)
+    best = _best(strict)
+    for more in (_best(loose), _best(copies)):
+        best = best.unionByName(more.join(best, ["id", "item"], "left_anti"))
     nullable = [F.when(F.col(c) != LAST, F.col(c)).alias(n) for c, n in (("id", "doc_id"), ("item", "item_id"))]
     return best.select(*nullable, F.col("b.start").cast("long").alias("start"), F.col("b.n_windows").alias("n_windows"),
                        (-F.col("b.m")).alias("n_matched"), F.col("b.n_slots").cast("long").alias("n_slots"),
@@ -120,8 +110,44 @@ def leaked_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, pe
                        F.when(F.col("b.n_changed") == 0, "copy").otherwise("reparameterised").alias("kind"))
 
 
+def _key() -> list[Column]:
+    """The id of a document, or the largest number for NULL, and a hash of its text."""
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"),
+            F.xxhash64(F.coalesce("text", F.lit(""))).alias("sub")]
+
+
+def _judged(docs: DataFrame, benchmark: DataFrame, window: int, percent: int) -> list[DataFrame]:
+    """Places of items in texts, with slots that are consistent: those of each reading, as written tables."""
+    scratch = Scratch(docs.sparkSession, "templates")
+    source = docs.select(*_key(), "text")
+    items = scratch.keep(benchmark.select(
+        F.coalesce(F.col("item_id").cast("long"), F.lit(LAST)).alias("item"), "text",
+        F.array_remove(words_of(F.col("text")), "").alias("words"), merged_words(F.col("text")).alias("merged"),
+        F.array_remove(literal_words(F.col("text")), "").alias("literal")).distinct(), "items")
+    short = sorted(r.n for r in items.select(F.size("literal").alias("n")).filter(f"n BETWEEN 1 AND {window - 1}")
+                   .distinct().collect())  # at most window - 1 numbers
+    wanted = scratch.keep(_windows(items, ["item"], F.col("words"), F.col("literal"), window, short, whole=True)
+                          .withColumnRenamed("place", "at"), "wanted")
+    hits = scratch.keep(_windows(source, ["id", "sub"], words_of(F.col("text")), literal_words(F.col("text")), window,
+                                 short).drop("reading").join(sized(wanted), "window").drop("window"), "hits")
+    places = scratch.keep(wanted.groupBy("reading", "item").agg(F.collect_set("at").alias("all_at"))
+                          .withColumn("n_windows", F.size("all_at").cast("long")), "places")
+    # Equal rows of one document share a key, so places are taken once.
+    aligned = hits.groupBy("reading", "id", "sub", "item", (F.col("place") - F.col("at")).alias("start")) \
+        .agg(F.collect_set("at").alias("ats")).withColumn("n_matched", F.size("ats").cast("long"))
+    aligned = scratch.keep(aligned.join(sized(places), ["reading", "item"]), "aligned")
+    straight = scratch.keep(aligned.filter(f"reading <> {LOOSE} AND 100 * n_matched >= {percent} * n_windows")
+                            .drop("ats", "all_at"), "straight")
+    bent = scratch.keep(_over_joints(aligned.filter(f"reading = {LOOSE}"), scratch, window, percent), "bent")
+    ids = scratch.keep(straight.select("id", "sub").union(bent.select("id", "sub")).distinct(), "ids")
+    texts = scratch.keep(source.join(sized(ids), ["id", "sub"], "left_semi").dropDuplicates(["id", "sub"]), "texts")
+    judged = [_strict(straight.filter(f"reading = {STRICT}"), texts, items), _loose(bent, texts, items, scratch, window),
+              _copies(straight.filter(f"reading = {LITERAL}"), texts, items, scratch)]
+    return [scratch.keep(df.filter("consistent"), f"judged-{n}") for n, df in enumerate(judged)]
+
+
 def _best(judged: DataFrame) -> DataFrame:
-    return judged.filter("consistent").groupBy("id", "item").agg(F.min(F.struct(
+    return judged.groupBy("id", "item").agg(F.min(F.struct(
         (-F.col("n_matched")).alias("m"), "start", "n_changed", "n_slots", "n_windows")).alias("b"))
 
 
@@ -130,43 +156,99 @@ def _once(value: str, use: str) -> Column:
     return F.expr(f"transform(array({value}), x -> {use})[0]")
 
 
-def _over_joints(source: DataFrame, benchmark: DataFrame, scratch: Scratch, window: int, percent: int) -> DataFrame:
-    """Judged candidates over merged words, their windows added up over distances at most ``SLACK`` words apart."""
-    items = scratch.keep(benchmark.select(F.coalesce(F.col("item_id").cast("long"), F.lit(LAST)).alias("item"),
-                                          merged_words(F.col("text")).alias("words")).distinct(), "merged_items")
-    wanted = scratch.keep(_positions(items, ["item"], F.col("words"), window)
-                          .withColumnRenamed("place", "at"), "merged_wanted")
-    places = wanted.groupBy("item").agg(F.collect_set("at").alias("all_at"))
-    found = _positions(source, ["id", "sub"], merged_words(F.col("text")), window).join(sized(wanted), "window")
-    runs = found.groupBy("id", "sub", "item", (F.col("place") - F.col("at")).alias("start")) \
-        .agg(F.collect_set("at").alias("ats"))
+def _windows(df: DataFrame, keys: list[str], words: Column, literal: Column, window: int, short: list[int],
+             whole: bool = False) -> DataFrame:
+    """``keys, reading, place, window``: windows of all readings of ``text``, and where they start.
+
+    ``words`` and ``literal`` are its words for the first and the last reading. Windows shorter than ``window``, as many
+    words as are listed in ``short``, are made for the last reading; with ``whole`` only where they are the whole text.
+    """
+    text = F.coalesce(F.col("text"), F.lit(""))
+    # Digits don't begin any other word, so they can stand for what has been replaced.
+    replaced = F.regexp_replace(F.regexp_replace(text, NUMBER, " 0 "), NAMES, " 1 ")
+    merged = F.transform(F.split(replaced, r"[^\p{L}\p{N}]+"), lambda w: F.when(w != "", _code(w, "1")))
+    merged = F.when(text.rlike(WIDE), F.transform(merged_words(text), lambda w: _code(w))).otherwise(F.array_compact(merged))
+    codes = df.select(*keys, F.size(literal).alias("size"), F.transform(words, lambda w: _code(w)).alias("t"),
+                      merged.alias("m"), F.transform(literal, lambda w: F.when(w != "", F.xxhash64(F.lower(w)))).alias("l"))
+    # Each array side by side with itself from the next words on: a row for each place, and compiled code from there.
+    parts = [c if j == 0 else f"slice({c}, {j + 1}, greatest(0, size({c}) - {j}))" for c in "tml" for j in range(window)]
+    names = [c if j == 0 else str(i) for i, (c, j) in enumerate((c, j) for c in "tml" for j in range(window))]
+    units = ", ".join(f"xxhash64('{u}')" for u in UNITS)
+    fields = [f"w.`{n}`" for n in names]
+    fields = [f"IF({f} IN ({units}), 3L, {f})" if i < 2 * window else f for i, f in enumerate(fields)]
+    rows = codes.selectExpr(*keys, "size", f"posexplode(arrays_zip({', '.join(parts)})) AS (place, w)").selectExpr(
+        *keys, "size", "place", *[f"{f} AS {'tml'[i // window]}{i % window}" for i, f in enumerate(fields)])
+    hashed = []
+    for reading, c in ((STRICT, "t"), (LOOSE, "m")):
+        plain = " + ".join(f"IF({c}{j} BETWEEN 0 AND 9, 0, 1)" for j in range(window))
+        hashed.append((reading, f"{c}{window - 1} IS NOT NULL AND {plain} >= {PLAIN_WORDS}",
+                       ", ".join(f"{c}{j}" for j in range(window))))
+    for n in (*short, window):
+        there = " AND ".join(f"l{j} IS NOT NULL" for j in range(n))
+        hashed.append((LITERAL, there + (f" AND size = {n}" if whole and n < window else ""),
+                       ", ".join(f"l{j}" for j in range(n))))
+    each = ", ".join(f"{reading}, IF({there}, xxhash64({reading}, {words}), NULL)" for reading, there, words in hashed)
+    return rows.selectExpr(*keys, "place", f"stack({len(hashed)}, {each}) AS (reading, window)").filter("window IS NOT NULL")
+
+
+def _code(word: Column, name: str | None = None) -> Column:
+    """A small number for a number or a name, a hash for a plain word. With ``name``, that word stands for names, and
+    0 for numbers."""
+    if name:
+        return F.when(word == "0", F.lit(1).cast("long")).when(word == name, F.lit(2).cast("long")) \
+            .otherwise(F.xxhash64(F.lower(word)))
+    # Signs and digits come before all letters.
+    first = F.substring(word, 1, 1)
+    return F.when((word < ":") & (word != ""), F.lit(1).cast("long")).when(word == F.lower(word), F.xxhash64(word)) \
+        .when(first != F.lower(first), F.lit(2).cast("long")).otherwise(F.xxhash64(F.lower(word)))
+
+
+def _strict(candidates: DataFrame, texts: DataFrame, items: DataFrame) -> DataFrame:
+    """Judged alignments of words: both sides of the slots, at each word of the item."""
+    pairs = candidates.join(texts, ["id", "sub"]).select("*", words_of(F.col("text")).alias("there")).drop("text") \
+        .join(items.select("item", "words"), "item").withColumn("slots", F.expr(
+            "filter(transform(words, (w, i) -> struct(w AS item, IF(start + i >= 0, get(there, int(start + i)), NULL) AS doc)), "
+            "p -> p.doc IS NOT NULL)")).withColumn("slots", F.filter("slots", lambda p: _is_slot(
+                template_word(p["item"])) & (template_word(p["item"]) == template_word(p["doc"]))))
+    return pairs.select(
+        "id", "sub", "item", "start", "n_matched", "n_windows", F.size("slots").alias("n_slots"),
+        F.size(F.filter("slots", lambda p: p["item"] != p["doc"])).alias("n_changed"),
+        (F.size(F.array_distinct("slots")) == F.size(F.array_distinct("slots.item"))).alias("consistent"))
+
+
+def _over_joints(runs: DataFrame, scratch: Scratch, window: int, percent: int) -> DataFrame:
+    """Candidates over merged words, their windows added up over distances at most ``SLACK`` words apart."""
     # Bands of distances, and others half a band on: distances that differ by SLACK at most share a band of either kind.
     banded = runs.select("*", F.expr(
         f"explode(array(floor(start / {2 * SLACK}) * 2, floor((start + {SLACK}) / {2 * SLACK}) * 2 + 1))").alias("band"))
     near = banded.groupBy("id", "sub", "item", "band").agg(
-        F.sum(F.size("ats")).alias("n"), F.collect_list(F.struct((-F.size("ats")).alias("m"), "start", "ats")).alias("runs"))
+        F.sum("n_matched").alias("n"), F.first("all_at").alias("all_at"), F.first("n_windows").alias("n_windows"),
+        F.collect_list(F.struct((-F.size("ats")).alias("m"), "start", "ats")).alias("runs"))
     # A window of the item counts once, at the distance that holds most; windows at a joint must be fewer than the others.
-    several = near.join(sized(places), "item").withColumn("n_windows", F.size("all_at").cast("long")) \
-        .filter("2 * n > n_windows").select("id", "sub", "item", "band", "n_windows", "all_at", _once(
-            "array_sort(flatten(transform(runs, r -> transform(r.ats, a -> struct(a AS at, r.m AS m, r.start AS start)))))",
-            "filter(x, (p, i) -> i = 0 OR p.at <> x[i - 1].at)").alias("every"))
-    chosen = scratch.keep(several, "merged_several").withColumn("n_joint", F.expr(
+    several = near.filter("2 * n > n_windows").select("id", "sub", "item", "band", "n_windows", "all_at", _once(
+        "array_sort(flatten(transform(runs, r -> transform(r.ats, a -> struct(a AS at, r.m AS m, r.start AS start)))))",
+        "filter(x, (p, i) -> i = 0 OR p.at <> x[i - 1].at)").alias("every"))
+    chosen = scratch.keep(several, "several").withColumn("n_joint", F.expr(
         "aggregate(filter(transform(every, (p, i) -> struct(every[greatest(0, i - 1)] AS a, p AS b)), "
         f"g -> g.a.start <> g.b.start AND g.b.at - g.a.at <= {window + SLACK}), 0, "
         "(s, g) -> s + size(filter(all_at, y -> y > g.a.at AND y < g.b.at)))")) \
         .withColumn("n_matched", F.expr("CAST(size(every) + n_joint AS BIGINT)")) \
         .filter(f"100 * n_matched >= {percent} * n_windows AND 2 * size(every) > n_windows")
-    candidates = scratch.keep(chosen.select("id", "sub", "item", "band", "every", "n_matched", "n_windows"),
-                              "merged_candidates")
-    texts = source.join(candidates, ["id", "sub"]).dropDuplicates(["id", "sub", "item", "band"]) \
+    return chosen.select("id", "sub", "item", "band", "every", "n_matched", "n_windows")
+
+
+def _loose(candidates: DataFrame, texts: DataFrame, items: DataFrame, scratch: Scratch, window: int) -> DataFrame:
+    """Judged candidates over merged words."""
+    both = candidates.join(texts, ["id", "sub"]) \
         .select("*", merged_words(F.col("text")).alias("there"),
-                (F.element_at(words_of(F.col("text")), 1) == "").cast("int").alias("lead")).drop("text").join(items, "item")
+                (F.element_at(words_of(F.col("text")), 1) == "").cast("int").alias("lead")).drop("text") \
+        .join(items.select("item", F.col("merged").alias("words")), "item")
     slots = F.filter(F.expr(
         f"array_distinct(flatten(transform(every, p -> transform(sequence(0L, {window - 1}L), j -> struct("
         "p.at + j AS i, get(words, int(p.at + j)) AS item, get(there, int(p.at + p.start + j)) AS doc)))))"),
         lambda p: _is_slot(template_word(p["item"])) & (template_word(p["item"]) == template_word(p["doc"])))
     # A word with a capital before the item isn't part of the name that the item begins with.
-    pairs = scratch.keep(texts.withColumn("slots", slots), "merged_slots").withColumn("slots", _once("slots", (
+    pairs = scratch.keep(both.withColumn("slots", slots), "merged_slots").withColumn("slots", _once("slots", (
         "filter(x, p -> NOT (p.i = 0 AND exists(x, q -> q.i > 0 AND q.item = p.item "
         "AND endswith(p.doc, concat(' ', q.doc)))))")))
     # The place among single words, as elsewhere.
@@ -181,73 +263,27 @@ def _over_joints(source: DataFrame, benchmark: DataFrame, scratch: Scratch, wind
         .alias("consistent"))
 
 
-def _copies(source: DataFrame, benchmark: DataFrame, scratch: Scratch, window: int, percent: int) -> DataFrame:
+def _copies(candidates: DataFrame, texts: DataFrame, items: DataFrame, scratch: Scratch) -> DataFrame:
     """Judged candidates over the words as they are, whatever their case."""
-    words = F.split(F.coalesce("text", F.lit("")), BETWEEN)
-    items = scratch.keep(benchmark.select(F.coalesce(F.col("item_id").cast("long"), F.lit(LAST)).alias("item"),
-                                          F.array_remove(words, "").alias("words")).distinct(), "literal_items")
-    short = sorted(r.n for r in items.select(F.size("words").alias("n")).filter(f"n BETWEEN 1 AND {window - 1}")
-                   .distinct().collect())  # at most window - 1 numbers
-    wanted = scratch.keep(_literal(items, ["item"], F.col("words"), window, short)
-                          .join(items.select("item", F.least(F.size("words"), F.lit(window)).alias("size")),
-                                ["item", "size"], "left_semi")
-                          .withColumnRenamed("place", "at"), "literal_wanted")
-    sizes = wanted.groupBy("item").agg(F.countDistinct("at").alias("n_windows"))
-    found = _literal(source, ["id", "sub"], words, window, short).join(sized(wanted), ["size", "window"])
-    aligned = found.groupBy("id", "sub", "item", (F.col("place") - F.col("at")).alias("start")) \
-        .agg(F.size(F.collect_set("at")).cast("long").alias("n_matched"))
-    candidates = scratch.keep(aligned.join(sized(sizes), "item").filter(f"100 * n_matched >= {percent} * n_windows"),
-                              "literal_candidates")
-    texts = source.join(candidates, ["id", "sub"]).dropDuplicates(["id", "sub", "item", "start"]) \
-        .select("id", "sub", "item", "start", "n_matched", "n_windows", words.alias("there")).join(items, "item")
+    both = candidates.join(texts, ["id", "sub"]).select("*", literal_words(F.col("text")).alias("there")).drop("text") \
+        .join(items.select("item", F.col("literal").alias("words")), "item")
     # A name may stand for any word, as its capital can be lost.
     slots = F.transform(F.filter(F.expr(
         "filter(transform(words, (w, i) -> struct(w AS item, IF(start + i >= 0, get(there, int(start + i)), NULL) AS doc)), "
         "p -> p.doc IS NOT NULL)"), lambda p: _is_slot(template_word(p["item"])) & (
             (template_word(p["item"]) == "<name>") | (template_word(p["item"]) == template_word(F.lower(p["doc"]))))),
         lambda p: F.struct(F.lower(p["item"]).alias("item"), F.lower(p["doc"]).alias("doc")))
-    return scratch.keep(texts.select("id", "sub", "item", "start", "n_matched", "n_windows", slots.alias("slots")),
+    return scratch.keep(both.select("id", "sub", "item", "start", "n_matched", "n_windows", slots.alias("slots")),
                         "literal_slots").select(
         "id", "sub", "item", "start", "n_matched", "n_windows", F.size("slots").alias("n_slots"),
         F.expr("size(filter(slots, p -> p.item <> p.doc))").alias("n_changed"),
         F.expr("size(array_distinct(slots)) = size(array_distinct(slots.item))").alias("consistent"))
 
 
-def _literal(df: DataFrame, keys: list[str], words: Column, window: int, short: list[int]) -> DataFrame:
-    """``keys, place, size, window``: each run of ``window`` words, and of as many as are listed in ``short``."""
-    codes = df.select(*keys, F.transform(words, lambda w: F.when(w != "", F.xxhash64(F.lower(w)))).alias("codes"))
-    parts = ["codes", *[f"slice(codes, {j + 1}, greatest(0, size(codes) - {j}))" for j in range(1, window)]]
-    rows = codes.selectExpr(*keys, f"posexplode(arrays_zip({', '.join(parts)})) AS (place, w)").selectExpr(
-        *keys, "place", *[f"w.`{j}` AS w{j}" if j else "w.codes AS w0" for j in range(window)])
-    hashed = {n: f"xxhash64({', '.join(f'w{j}' for j in range(n))})" for n in (*short, window)}
-    whole = {n: " AND ".join(f"w{j} IS NOT NULL" for j in range(n)) for n in hashed}
-    if not short:
-        return rows.filter(whole[window]).selectExpr(*keys, "place", f"{window} AS size", f"{hashed[window]} AS window")
-    each = ", ".join(f"{n}, IF({whole[n]}, {hashed[n]}, NULL)" for n in hashed)
-    return rows.selectExpr(*keys, "place", f"stack({len(hashed)}, {each}) AS (size, window)").filter("window IS NOT NULL")
-
-
-def _positions(df: DataFrame, keys: list[str], words: Column, window: int) -> DataFrame:
-    """``keys, place, window``: each countable window of template words and where it starts."""
-    codes = df.select(*keys, F.transform(words, _code).alias("codes"))
-    parts = ["codes", *[f"slice(codes, {j + 1}, greatest(0, size(codes) - {j}))" for j in range(1, window)]]
-    # The array side by side with itself from the next words on: a row for each window, and compiled code from there.
-    rows = codes.selectExpr(*keys, f"posexplode(arrays_zip({', '.join(parts)})) AS (place, w)").selectExpr(
-        *keys, "place", *[f"w.`{j}` AS w{j}" if j else "w.codes AS w0" for j in range(window)])
-    plain = " + ".join(f"IF(w{j} BETWEEN 0 AND 9, 0, 1)" for j in range(window))
-    whole = f"w{window - 1} IS NOT NULL"
-    return rows.filter(f"{whole} AND {plain} >= {PLAIN_WORDS}").selectExpr(
-        *keys, "place", f"xxhash64({', '.join(f'w{j}' for j in range(window))}) AS window")
-
-
-def _code(word: Column) -> Column:
-    """A small number for each placeholder, a hash for a plain word."""
-    first = F.substring(word, 1, 1)
-    return F.when(_is_number(first), F.lit(1).cast("long")).when(first != F.lower(first), F.lit(2).cast("long")) \
-        .when(word.isin(*UNITS), F.lit(3).cast("long")).otherwise(F.xxhash64(F.lower(word)))
-
-
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Documents, with all their columns, that hold no item of the benchmark. A NULL ``doc_id`` is kept."""
-    leaked = leaked_items(docs, benchmark).select("doc_id").distinct()
-    return docs.join(leaked, "doc_id", "left_anti").select(*docs.columns)
+    """Documents, with all their columns, that hold no item of the benchmark. Texts are judged one by one, also those
+    without an id or with the same one."""
+    key = F.struct(*_key())
+    leaks = [df.select("id", "sub") for df in _judged(docs, benchmark, WINDOW, PERCENT)]
+    leaked = leaks[0].union(leaks[1]).union(leaks[2]).distinct().select(F.struct("id", "sub").alias("leaked"))
+    return docs.join(leaked, key == leaked["leaked"], "left_anti").select(*docs.columns)

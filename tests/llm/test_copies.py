@@ -1,7 +1,6 @@
 """Similarity join, passages and repeated strings against plain versions."""
 
 import pytest
-import xxhash
 from pyspark.sql import functions as F
 
 from conftest import SMALL
@@ -38,11 +37,6 @@ def test_passages_in_many_parts(docs, texts, monkeypatch):
     assert by_text(map(tuple, got)) == by_text(without_passages(texts))
 
 
-def spark_hash(text):
-    x = xxhash.xxh64_intdigest(text.encode(), 42)
-    return x - 2**64 if x >= 2**63 else x
-
-
 def test_small_automata_find_the_same(monkeypatch):
     classes = [(" ".join(f"w{i + j}" for j in range(17)), i, i + 40) for i in range(0, 60, 3)]
     found = {}
@@ -50,9 +44,9 @@ def test_small_automata_find_the_same(monkeypatch):
         monkeypatch.setattr(phrases, "PASSAGES_PER_AUTOMATON", size)
         monkeypatch.setattr(phrases, "STREAMS_PER_AUTOMATON", size)
         import pyarrow as pa
-        names = ("key", "part", "kind", "whole", "stretch", "owner", "last")
-        rows = [(7, 0, 0, k, *c) for k, c in enumerate(classes)] + [
-            (7, 0, 1, spark_hash(" ".join(f"w{i + j}" for j in range(13))), None, i % 5, 99) for i in range(60)]
+        names = ("key", "part", "kind", "whole", "stretch", "windows", "owner", "last")
+        rows = [(7, 0, 0, k, words, [int(words.split()[0][1:]) + j for j in range(5)], a, b)
+                for k, (words, a, b) in enumerate(classes)] + [(7, 0, 1, i, None, None, i % 5, 99) for i in range(60)]
         batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names)
         covered = {}
         for out in phrases._stream(iter([batch]), 13):
@@ -64,6 +58,27 @@ def test_small_automata_find_the_same(monkeypatch):
     assert found[2] == found[1000] != {}
 
 
+def test_one_phrase_of_very_many_classes(spark):
+    """Classes 2k and 2k + 1 share their first window, in different parts of the phrase."""
+    n = 50_000
+    rows = [(7, k, k, k, 25, " ".join([f"a{k // 2}w{j}" for j in range(13)] + [f"b{k}"]), [k // 2, n + k]) for k in range(n)]
+    stretches = spark.createDataFrame(
+        rows, "key long, whole long, owner long, last long, parts int, stretch string, windows array<long>").repartition(8)
+    found = phrases._located(stretches, 13, Scratch(spark, "many"))
+    got = {(r.whole, r.start, r.end, r.owner) for r in found.collect()}
+    assert got == {(k, 0, 13, k - 1) for k in range(1, n, 2)}
+
+
+def test_phrases_with_one_class_and_with_several(spark):
+    common, tail = [f"p{i}" for i in range(30)], [f"q{i}" for i in range(20)]
+    texts = [" ".join(common), " ".join([*common, "x"]), " ".join(common[:20] + tail), " ".join(["y", *tail]),
+             " ".join(common[5:18]), " ".join(tail[:12])] * 2
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = phrases.removed_passages(docs).select("doc_id", "n_words", "n_removed", "kept").collect()
+    assert by_text(map(tuple, got)) == by_text(without_passages(rows))
+
+
 def test_passage_text_keeps_its_other_white_space(spark):
     passage = " ".join(f"p{i}" for i in range(13))
     docs = spark.createDataFrame([(1, passage), (2, f"a\n\nb {passage}  c\td")], "doc_id long, text string")

@@ -2,6 +2,7 @@
 
 import json
 import math
+import random
 from collections import Counter
 
 import numpy as np
@@ -181,6 +182,40 @@ def test_leaks_in_odd_documents(spark, docs):
     assert kept.count() == docs.count() - docs.filter(F.col("doc_id").isin([d for d, _ in got])).count()
 
 
+def test_leaks_without_ids(spark):
+    bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    rows = [(None, "x " + ITEM), (None, "a clean text"), (None, None), (3, ITEM), (3, "another text"), (3, ITEM)]
+    docs = spark.createDataFrame([(*r, "e") for r in rows], "doc_id long, text string, leaked string")
+    got = templates.leaked_items(docs, bench).collect()
+    assert {(r.doc_id, r.n_matched, r.n_windows) for r in got} == {(None, 17, 17), (3, 17, 17)} and len(got) == 2
+    kept = templates.without_leaks(docs, bench).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept if r.text) == [("3", "another text"), ("None", "a clean text")]
+    assert len(kept) == 3
+
+
+def test_merged_words_by_replacement(spark):
+    """The quick way of the scan gives the words that the pattern gives."""
+    random.seed(6)
+    some = ["a", "B", "Anna", "Bob", "iPhone", "4", "4.5", "1,200", "-", "+", ".", ",", " ", " ", "'", "’", "_", "kg", "mL",
+            "é", "É", "\n", "٣", "Ⅷ", "x4", "4x", "\t", "(", "²", "—"]
+    texts = ["".join(random.choices(some, k=random.randint(0, 25))) for _ in range(3000)] + [None, "", "中 Anna 4.5 文"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k long, text string")
+    rows = templates._windows(df, ["k"], templates.words_of(F.col("text")), templates.literal_words(F.col("text")), 1, [])
+    quick = rows.filter(f"reading = {templates.LOOSE}").groupBy("k").count()
+    plain = df.select("k", F.transform(templates.merged_words(F.col("text")), templates.template_word).alias("w"))
+    plain = plain.select("k", F.size(F.filter("w", lambda w: ~w.isin("<num>", "<name>", "<unit>"))).alias("n"))
+    assert templates.PLAIN_WORDS > 1 and quick.count() == 0  # such windows say too little
+    replaced = F.regexp_replace(F.regexp_replace("text", templates.NUMBER, " 0 "), templates.NAMES, " 1 ")
+    words = F.array_remove(F.split(replaced, r"[^\p{L}\p{N}]+"), "")
+    both = df.select("k", "text", F.transform(words, lambda w: F.when(w == "0", "<num>").when(w == "1", "<name>")
+                                              .otherwise(w)).alias("quick"),
+                     F.transform(templates.merged_words(F.col("text")), lambda w: F.when(
+                         templates.template_word(w).isin("<num>", "<name>") & ~F.substring(w, 1, 1).isin("Ⅷ"),
+                         templates.template_word(w)).otherwise(w)).alias("slow")).filter("text NOT LIKE '%中%'")
+    assert both.filter("NOT quick <=> slow").collect() == []
+    assert plain.count() == len(texts)
+
+
 def test_leaks_without_rows(spark):
     bench = spark.read.parquet(f"{SMALL}/benchmark.parquet")
     assert templates.leaked_items(empty_documents(spark), bench).count() == 0
