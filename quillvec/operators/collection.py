@@ -4,6 +4,9 @@ A collection is a folder of segments, each a parquet directory partitioned by na
 file per version that says which namespaces of which segments are live. Commit files are created once and never
 changed, so a writer that loses a race fails, a job that dies leaves the last version as it was, and readers
 keep the version they opened. Deletes are commits only; an upsert rewrites only what it replaces.
+
+Records keep the sequence number of the change they come from, so the newest change of a record wins whatever the order
+in which changes are brought in.
 """
 
 from __future__ import annotations
@@ -25,12 +28,15 @@ STORED = T.StructType([
     *M.RECORD_FIELDS,
     T.StructField("file", T.StringType()),
     T.StructField("reasons", T.ArrayType(T.StringType())),
+    T.StructField("seq", T.LongType()),
 ])
 PLACED = T.StructType([
     *STORED, T.StructField("segment", T.StringType()), T.StructField("kept", T.BooleanType()),
     T.StructField("namespace", T.StringType()),
 ])
 MOST_PIECES = 32
+#: How often an upsert starts again on a newer version when another writer was first.
+ATTEMPTS = 5
 
 
 class CommitConflict(RuntimeError):
@@ -93,12 +99,12 @@ class Collection:
         Tasks write the namespaces they hold. Rows are not moved here: a caller whose rows lie mixed
         rebalances them first.
         """
-        for name, kind in (("file", "string"), ("reasons", "array<string>")):
+        for name, kind in (("file", "string"), ("reasons", "array<string>"), ("seq", "long")):
             if name not in rows.columns:
                 rows = rows.withColumn(name, F.lit(None).cast(kind))
         if "kept" not in rows.columns:
             rows = rows.withColumn("kept", F.lit(True))
-        out = rows.select("id", "values", "sparse_values", "metadata", "file", "reasons", "kept",
+        out = rows.select("id", "values", "sparse_values", "metadata", "file", "reasons", "seq", "kept",
                           to_token(F.col("namespace")).alias("namespace"))
         out.write.partitionBy("kept", "namespace").parquet(self.segment_path(segment))
         return self.segment_tokens(segment)
@@ -134,6 +140,8 @@ class Collection:
         paths = []
         for segment, tokens in live.items():
             folder = self.segment_path(segment, True)
+            if not tokens:
+                continue
             if set(tokens) == set(self.segment_tokens(segment)):
                 paths.append(folder)
             else:
@@ -157,53 +165,81 @@ class Collection:
 
     def merge(self, base: Version, segment: str, tokens: list[str], dimension: int | None = None,
               applied: dict[str, int] | None = None) -> Version:
-        """Commit a written segment over ``base``: its records replace those with the same namespace and id.
+        """Commit a written segment over ``base``: its records replace those with the same namespace and id, unless
+        those come from a change with a greater sequence number.
 
-        Only ids are compared to find what is replaced. A namespace of an older segment is rewritten if it holds
-        a replaced record, or if the namespace has come to lie in very many segments; else the segments stay
-        side by side.
+        Only ids and sequence numbers are compared. A namespace of an older segment is rewritten if it holds a replaced
+        record, or if the namespace has come to lie in very many segments; else the segments stay side by side. The
+        new segment is written again only if some of its records are older than what the collection has.
         """
         touched = {s: sorted(set(t) & set(tokens)) for s, t in base.live.items()}
         touched = {s: t for s, t in touched.items() if t}
         live = {s: list(t) for s, t in base.live.items()}
         if touched:
-            keys = sized(self._live_rows({segment: tokens}).select("token", "id"))
-            rows = self._live_rows(touched)
-            hits = rows.select("segment", "token", "id").join(keys, ["token", "id"], "left_semi") \
-                .select("segment", "token").distinct().collect()
+            keys = self._keys(segment, tokens)
+            met = self._live_rows(touched).select("segment", "token", "id", "seq").join(keys, ["token", "id"])
+            # One row for each segment and namespace.
+            hits = met.groupBy("segment", "token").agg(F.count_if(~_older()).alias("replaced"),
+                                                       F.count_if(_older()).alias("older")).collect()
+            if any(h.older for h in hits):
+                late = met.filter(_older()).select("token", "id")
+                rest = self._live_rows({segment: tokens}).join(late, ["token", "id"], "left_anti")
+                segment, tokens = self._rewritten(rest)
+                keys = self._keys(segment, tokens)
             replaced: dict[str, set[str]] = {}
             for hit in hits:
-                replaced.setdefault(hit.segment, set()).add(hit.token)
+                if hit.replaced:
+                    replaced.setdefault(hit.segment, set()).add(hit.token)
             pieces = Counter(t for found in touched.values() for t in found)
             for old, found in touched.items():
                 replaced.setdefault(old, set()).update(t for t in found if pieces[t] >= MOST_PIECES)
             replaced = {s: t for s, t in replaced.items() if t}
             if replaced:
                 rest = self._live_rows({s: sorted(t) for s, t in replaced.items()}) \
-                    .join(keys, ["token", "id"], "left_anti") \
-                    .withColumn("namespace", from_token(F.col("token"))).select(*M.RECORD_COLUMNS, "file")
-                kept = self.new_segment()
-                live[kept] = self.write_segment(rest, kept)
+                    .join(keys.drop("new_seq"), ["token", "id"], "left_anti")
+                kept, found = self._rewritten(rest)
+                live[kept] = found
                 for old, gone in replaced.items():
                     live[old] = [t for t in live[old] if t not in gone]
         live[segment] = tokens
         return self.commit(base, live, dimension, applied)
 
+    def _keys(self, segment: str, tokens: list[str]) -> DataFrame:
+        return sized(self._live_rows({segment: tokens}).select("token", "id", F.col("seq").alias("new_seq")))
+
+    def _rewritten(self, rows: DataFrame) -> tuple[str, list[str]]:
+        """A new segment of stored rows, and its namespace tokens."""
+        segment = self.new_segment()
+        rows = rows.withColumn("namespace", from_token(F.col("token"))).select(*M.RECORD_COLUMNS, "file", "seq")
+        return segment, self.write_segment(rows, segment)
+
     def upsert(self, changes: DataFrame, seq: str = "seq", stream: str | None = None, batch: int | None = None,
                dimension: int | None = None) -> Version:
         """Insert or replace records by namespace and id; the highest ``seq`` of a record wins.
 
+        That holds over calls as well: a change older than what the collection has of its record does nothing. Of equal
+        numbers the later call counts, and so does a change without a number. If another writer commits meanwhile, the
+        written changes are merged into its version.
+
         With ``stream`` and ``batch``, a batch that was committed before is skipped. A record without namespace,
         id or values, or of another dimension than the collection's, fails the call and nothing is committed.
         """
         base = self.version()
         if stream is not None and base.applied.get(stream, -1) >= batch:
             return base
-        segment = self.new_segment()
-        complete = _complete(changes, base.dimension or dimension)
-        tokens = self.write_segment(newest(complete, seq).hint("rebalance", "namespace"), segment)
+        segment, known = self.new_segment(), base.dimension or dimension
+        complete = newest(_complete(changes, known), seq, keep=True).withColumn("seq", F.col(seq).cast("long"))
+        tokens = self.write_segment(complete.hint("rebalance", "namespace"), segment)
         applied = {stream: batch} if stream is not None else None
-        return self.merge(base, segment, tokens, base.dimension or dimension, applied)
+        for attempt in range(ATTEMPTS):
+            try:
+                return self.merge(base, segment, tokens, known, applied)
+            except CommitConflict:
+                base = self.version()
+                if attempt == ATTEMPTS - 1 or (known is not None and base.dimension not in (None, known)):
+                    raise
+                if stream is not None and base.applied.get(stream, -1) >= batch:
+                    return base
 
     def delete_namespace(self, namespace: str = M.DEFAULT_NAMESPACE) -> Version:
         """Drop one namespace; without a name, the default one."""
@@ -244,11 +280,18 @@ def _complete(changes: DataFrame, dimension: int | None) -> DataFrame:
     })
 
 
-def newest(changes: DataFrame, seq: str = "seq") -> DataFrame:
+def _older() -> Column:
+    """Whether a change is older than the record it meets. Without a number on either side it isn't."""
+    return F.coalesce(F.col("seq") > F.col("new_seq"), F.lit(False))
+
+
+def newest(changes: DataFrame, seq: str = "seq", keep: bool = False) -> DataFrame:
     """One record per namespace and id. The rank filter limits groups before the shuffle, so many changes to
     one id do not meet in one task. Equal ``seq`` values are settled by content, the same way in every run."""
-    w = Window.partitionBy("namespace", "id").orderBy(F.desc(seq), F.xxhash64("values", "metadata"))
-    return changes.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") == 1).drop("rank", seq)
+    content = [c for c in ("values", "metadata", "sparse_values") if c in changes.columns]
+    w = Window.partitionBy("namespace", "id").orderBy(F.desc(seq), F.xxhash64(*content))
+    return changes.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") == 1) \
+        .drop("rank", *([] if keep else [seq]))
 
 
 def upserted(base: DataFrame, changes: DataFrame, seq: str = "seq") -> DataFrame:

@@ -151,15 +151,17 @@ def import_rejected(spark, sf):
 
 def _stored(spark, sf):
     target = Collection(spark, new_dir(spark, "collection"))
-    target.upsert(V.records(spark, sf).withColumnRenamed("number", "seq"))
+    target.upsert(V.records(spark, sf).drop("number").withColumn("seq", F.lit(0).cast("long")))
     return target
 
 
 @query
 def upsert_result(spark, sf):
-    """A collection written by one upsert and changed by another."""
+    """A collection written by one upsert and changed by others, the newest changes first."""
     target = _stored(spark, sf)
-    target.upsert(V.changes(spark, sf))
+    changes = V.changes(spark, sf)
+    target.upsert(changes.filter("seq = 2"))
+    target.upsert(changes.filter("seq = 1"))
     return flat(target.read().select("namespace", "id", "values"))
 
 
@@ -377,15 +379,28 @@ def _finish(writer, spark, name: str) -> None:
     stream.awaitTermination()
 
 
-@query
-def stream_ticks(spark, sf):
+def _ticks(spark, sf, per_namespace: bool) -> DataFrame:
+    """Windows that the stream gives out, and those it holds back until later rows come."""
     events = _event_stream(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
     out = new_dir(spark, "ticks")
-    ticks = monitors.live_throughput(V.op_log(events))
+    ticks = monitors.live_throughput(V.op_log(events), per_namespace)
     _finish(ticks.writeStream.format("parquet").option("path", out).outputMode("append"), spark, "ticks")
-    return spark.read.schema(ticks.schema).parquet(out).select(
-        scalars.whole_seconds(scalars.micros(F.col("window_start"))).alias("window_sec"), "namespace", "queries",
-        "errors")
+    log = V.op_log(V.events(spark, sf).withColumn("ts", F.col("ts").cast("timestamp")))
+    whole = spark.read.schema(ticks.schema).parquet(out).unionByName(monitors.last_throughput(log, per_namespace))
+    return whole.select(scalars.whole_seconds(scalars.micros(F.col("window_start"))).alias("window_sec"),
+                        *[c for c in ticks.columns if c != "window_start"])
+
+
+@query
+def stream_ticks(spark, sf):
+    """Operations of each namespace by second."""
+    return _ticks(spark, sf, True)
+
+
+@query
+def stream_ticks_global(spark, sf):
+    """Operations by second, added up from those of the namespaces."""
+    return _ticks(spark, sf, False)
 
 
 @query
@@ -398,9 +413,10 @@ def stream_status_changes(spark, sf):
 
 @query
 def stream_upsert(spark, sf):
+    """Changes in five micro-batches, mixed so that older ones come after newer ones."""
     source = new_dir(spark, "changes")
-    V.changes(spark, sf).write.parquet(source)
+    V.changes(spark, sf).repartitionByRange(5, F.xxhash64("id", "seq")).write.parquet(source)
     target = _stored(spark, sf)
-    stream = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
+    stream = spark.readStream.schema(spark.read.parquet(source).schema).option("maxFilesPerTrigger", 1).parquet(source)
     _finish(monitors.continuous_upsert(stream, target, "changes"), spark, "upsert")
     return flat(target.read().select("namespace", "id", "values"))

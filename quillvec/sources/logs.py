@@ -21,7 +21,8 @@ def _read(spark: SparkSession, schema: StructType, path: str, stream: bool, file
 
 
 def read_op_log(spark: SparkSession, path: str, stream: bool = False, files_per_batch: int | None = None) -> DataFrame:
-    return _read(spark, M.OP_LOG_SCHEMA, path, stream, files_per_batch)
+    """Rows of an operation log, whose files may lie in a folder for each batch."""
+    return _read(spark, M.OP_LOG_SCHEMA, path, stream, files_per_batch).select(*M.OP_LOG_SCHEMA.names)
 
 
 def read_status_events(spark: SparkSession, path: str, stream: bool = False,

@@ -25,12 +25,40 @@ def live_throughput(log: DataFrame, per_namespace: bool = True, tick: str = "1 s
                     delay: str = "10 seconds") -> DataFrame:
     """Successes and errors per tumbling window, in append mode: a window is given out once it is closed.
 
-    Quiet windows give no row; ``throughput_ticks`` fills them in when the output is read as a batch.
+    Totals of all namespaces are added up from theirs by a second aggregate on the windows, so a window with very many
+    rows is shared out first. Quiet windows give no row; ``throughput_ticks`` fills them in when the output is read
+    as a batch. Windows not yet closed when a stream ends come from ``last_throughput``.
     """
-    by = [F.window("ts", tick).alias("w"), *(["namespace"] if per_namespace else [])]
-    return log.withWatermark("ts", delay).groupBy(*by).agg(
-        F.count_if("success").alias("queries"), F.count_if(~F.col("success")).alias("errors")).select(
-        F.col("w.start").alias("window_start"), *(["namespace"] if per_namespace else []), "queries", "errors")
+    counts = _counts(log.withWatermark("ts", delay), tick)
+    if not per_namespace:
+        counts = counts.groupBy(F.window("w", tick).alias("w")).agg(
+            F.sum("queries").alias("queries"), F.sum("errors").alias("errors"))
+    return _windows(counts, per_namespace)
+
+
+def last_throughput(log: DataFrame, per_namespace: bool = True, tick: str = "1 second",
+                    delay: str = "10 seconds") -> DataFrame:
+    """The windows that ``live_throughput`` holds back after the last row of ``log``: those not over for ``delay``.
+
+    Together with what the stream gave out they are all windows of the log, each once.
+    """
+    # A watermark has milliseconds, and closes the windows that end at it.
+    closed = log.agg(F.date_trunc("millisecond", F.max("ts") - F.expr(f"INTERVAL {delay}")).alias("closed"))
+    counts = _counts(log.join(F.broadcast(closed), F.col("ts") >= F.col("closed") - F.expr(f"INTERVAL {tick}")), tick, "closed") \
+        .filter("w.end > closed").drop("closed")
+    if not per_namespace:
+        counts = counts.groupBy("w").agg(F.sum("queries").alias("queries"), F.sum("errors").alias("errors"))
+    return _windows(counts, per_namespace)
+
+
+def _counts(log: DataFrame, tick: str, *also: str) -> DataFrame:
+    return log.groupBy(F.window("ts", tick).alias("w"), "namespace", *also).agg(
+        F.count_if("success").alias("queries"), F.count_if(~F.col("success")).alias("errors"))
+
+
+def _windows(counts: DataFrame, per_namespace: bool) -> DataFrame:
+    return counts.select(F.col("w.start").alias("window_start"), *(["namespace"] if per_namespace else []), "queries",
+                         "errors")
 
 
 def status_monitor(events: DataFrame, terminal: tuple[str, ...] = M.IMPORT_TERMINAL) -> DataFrame:
@@ -48,8 +76,10 @@ def continuous_upsert(changes: DataFrame, collection: Collection, name: str,
                       op_log: str | None = None) -> DataStreamWriter:
     """Apply each micro-batch to a collection as one version; a batch replayed after a failure is skipped.
 
-    With ``op_log``, each batch adds a row to an operation log there, and a batch that cannot be applied counts
-    as an error with no rows while later batches go on. Without it, such a batch stops the stream.
+    Records keep their ``seq``, so the result doesn't depend on how the stream is cut into batches, nor on the order in
+    which changes arrive. With ``op_log``, each batch leaves one row in an operation log there, also if it runs more
+    than once, and a batch that cannot be applied counts as an error with no rows while later batches go on.
+    Without it, such a batch stops the stream. The log belongs to one stream.
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
         if op_log is None:
@@ -64,7 +94,8 @@ def continuous_upsert(changes: DataFrame, collection: Collection, name: str,
             success = False
         row = (name, batch_id, dt.datetime.fromtimestamp(begin), "upsert", None, rows, success,
                (time.time() - begin) * 1000 if success else 0.0)
-        spark = collection.spark
-        spark.createDataFrame([row], M.OP_LOG_SCHEMA).coalesce(1).write.mode("append").parquet(op_log)
+        # A folder for each batch, so that a batch that runs again replaces its row.
+        collection.spark.createDataFrame([row], M.OP_LOG_SCHEMA).coalesce(1).write.mode("overwrite") \
+            .parquet(f"{op_log}/batch={batch_id}")
 
     return changes.writeStream.foreachBatch(apply)

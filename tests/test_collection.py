@@ -49,6 +49,41 @@ def test_upsert_twice_is_upsert_once(spark, target, rows):
                         .select("namespace", "id", F.col("values")[0]))
 
 
+def test_older_changes_of_later_calls_do_nothing(spark, target, rows):
+    target.upsert(records(spark, ("a", "1", 2, 2), ("a", "2", 2, 2), ("b", "1", 2, 2)))
+    target.upsert(records(spark, ("a", "1", 1, 1), ("a", "2", 3, 3), ("a", "3", 1, 1), ("b", "1", 1, 1)))
+    want = [("a", "1", 2.0), ("a", "2", 3.0), ("a", "3", 1.0), ("b", "1", 2.0)]
+    assert content(rows, target) == want
+    target.upsert(records(spark, ("a", "2", 9, 2), ("b", "1", 9, 1)))
+    assert content(rows, target) == want
+    target.upsert(records(spark, ("a", "1", 5, 2), ("b", "1", 5, None)))  # an equal number, and none
+    assert content(rows, target) == [("a", "1", 5.0), ("a", "2", 3.0), ("a", "3", 1.0), ("b", "1", 5.0)]
+
+
+def test_changes_in_any_order_and_cut(spark, target, rows):
+    import random
+    rng = random.Random(4)
+    changes = [(f"n{rng.randint(0, 2)}", str(rng.randint(0, 9)), i, i) for i in range(60)]
+    want = {(n, k): v for n, k, v, _ in changes}
+    rng.shuffle(changes)
+    for first in range(0, 60, 12):
+        target.upsert(records(spark, *changes[first:first + 12]))
+    assert content(rows, target) == sorted((n, k, float(v)) for (n, k), v in want.items())
+
+
+def test_lost_race_is_merged_again(spark, target, rows, monkeypatch):
+    target.upsert(records(spark, ("a", "1", 1, 1)))
+    merge, other = C.Collection.merge, C.Collection(spark, target.root)
+    def late(self, *args):
+        monkeypatch.setattr(C.Collection, "merge", merge)
+        other.upsert(records(spark, ("a", "1", 3, 3), ("a", "2", 3, 3)))
+        return merge(self, *args)
+    monkeypatch.setattr(C.Collection, "merge", late)
+    target.upsert(records(spark, ("a", "1", 2, 2), ("a", "3", 2, 2)))
+    assert content(rows, target) == [("a", "1", 3.0), ("a", "2", 3.0), ("a", "3", 2.0)]
+    assert target.version().number == 3
+
+
 def test_only_replaced_namespaces_are_rewritten(spark, target, rows):
     target.upsert(records(spark, ("a", "1", 1, 1), ("b", "1", 2, 1), ("c", "1", 3, 1)))
     first = next(iter(target.version().live))

@@ -43,6 +43,19 @@ def test_ticks_with_a_late_row_and_a_restart(spark, tmp_path, rows):
     assert rows(run(ticks, out, state, spark)) == [(at(0), 1, 1), (at(1), 1, 0), (at(30), 2, 0)]
 
 
+def test_last_windows_complete_the_stream(spark, tmp_path, rows):
+    log = [op(1, 0.1), op(2, 0.9, False), op(3, 9, ns="b"), op(4, 19.0), op(5, 19.999, ns="b"), op(6, 20)]
+    add(spark, tmp_path / "log", M.OP_LOG_SCHEMA, log)
+    for per_namespace in (True, False):
+        ticks = monitors.live_throughput(read_op_log(spark, str(tmp_path / "log"), stream=True), per_namespace)
+        out = run(ticks, tmp_path / f"out{per_namespace}", tmp_path / f"state{per_namespace}", spark)
+        last = monitors.last_throughput(read_op_log(spark, str(tmp_path / "log")), per_namespace)
+        want = [(at(0), "a", 1, 1), (at(9), "b", 1, 0), (at(19), "a", 1, 0), (at(19), "b", 1, 0), (at(20), "a", 1, 0)]
+        if not per_namespace:
+            want = [(at(0), 1, 1), (at(9), 1, 0), (at(19), 2, 0), (at(20), 1, 0)]
+        assert out.count() == 2 and rows(out.unionByName(last)) == sorted(want, key=repr)
+
+
 def test_ticks_by_namespace(spark, tmp_path, rows):
     add(spark, tmp_path / "log", M.OP_LOG_SCHEMA, [op(1, 0), op(2, 0, ns="b"), op(3, 0, ns="b"), op(4, 20)])
     ticks = monitors.live_throughput(read_op_log(spark, str(tmp_path / "log"), stream=True))
@@ -101,6 +114,21 @@ def test_failing_batch_does_not_stop_the_others(spark, tmp_path, rows):
     assert rows(read_op_log(spark, log), "op_id", "n_rows", "success") == [(0, 1, True), (1, 0, False), (2, 2, True)]
 
 
+def test_changes_out_of_order_and_a_batch_that_runs_again(spark, tmp_path, rows):
+    target, log = Collection(spark, str(tmp_path / "c")), str(tmp_path / "log")
+    for seq in (3, 1, 5, 2, 4):
+        add(spark, tmp_path / "in", CHANGES, [change("n", "a", float(seq), seq), change("n", str(seq), 0.0, seq)])
+    upsert(spark, tmp_path, target, op_log=log)
+    want = [("1", [0.0]), ("2", [0.0]), ("3", [0.0]), ("4", [0.0]), ("5", [0.0]), ("a", [5.0])]
+    assert rows(target.read(), "id", "values") == want and target.version().number == 5
+    # The same input with lost progress: every batch was applied before.
+    stream = spark.readStream.schema(CHANGES).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    monitors.continuous_upsert(stream, target, "s", op_log=log).option("checkpointLocation", str(tmp_path / "anew")) \
+        .trigger(availableNow=True).start().awaitTermination()
+    assert rows(target.read(), "id", "values") == want and target.version().number == 5
+    assert rows(read_op_log(spark, log), "op_id", "n_rows", "success") == [(i, 2, True) for i in range(5)]
+
+
 def test_failing_batch_stops_a_stream_without_a_log(spark, tmp_path):
     add(spark, tmp_path / "in", CHANGES, [change("n", None, 1.0)])
     with pytest.raises(Exception):
