@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 REASONS = ("missing_id", "missing_values", "wrong_dimension", "bad_value")
 
 
-def reject_reasons(dimension: int, id_: str = "id", values: str = "values") -> Column:
+def reject_reasons(dimension: int | Column, id_: str = "id", values: str = "values") -> Column:
     """Codes of every broken rule, an empty array for a good record.
 
     ``array_contains`` runs inside generated code: it finds NaN and the infinities, and is NULL for a NULL element.

@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillvec import model as M
+from quillvec.functions.records import reject_reasons
 from quillvec.functions.scalars import from_token, to_token
-from quillvec.storage import child_names, hadoop_path, read_text, sized, write_once
+from quillvec.operators.generate import write_batches
+from quillvec.storage import checkpointed, child_names, hadoop_path, read_text, sized, write_once
 
 STORED = T.StructType([
     *M.RECORD_FIELDS,
@@ -241,6 +243,29 @@ class Collection:
                 if stream is not None and base.applied.get(stream, -1) >= batch:
                     return base
 
+    def upsert_batches(self, records: DataFrame, number: str, seq: str = "seq", size: int = M.BATCH_SIZE,
+                       dimension: int | None = None) -> tuple[Version, DataFrame]:
+        """Upsert in batches of ``size`` records, in the order of ``number``; a batch with a bad record fails alone.
+
+        Returns the version and, for each batch, ``batch, n_rows, n_bad, success``. A record is bad as in an import, or if
+        it has no namespace. All batches that are whole become one version; if none is, the version stays. Only
+        the numbers of failed batches are sent around, and records are moved once, for the numbering.
+        """
+        base = self.version()
+        known = base.dimension or dimension
+        # Without a known dimension any length will do.
+        length = F.lit(known) if known else F.size("values")
+        broken = F.size(reject_reasons(length)) > 0
+        placed = write_batches(records, number, size).withColumn("bad", broken | F.col("namespace").isNull())
+        batches = checkpointed(placed.groupBy("batch").agg(
+            F.count("*").alias("n_rows"), F.count_if("bad").alias("n_bad"))
+            .withColumn("success", F.col("n_bad") == 0))
+        if batches.filter("success").isEmpty():
+            return base, batches
+        failed = sized(batches.filter("NOT success").select("batch"))
+        whole = placed.join(failed, "batch", "left_anti").drop("bad", "batch", "position")
+        return self.upsert(whole, seq, dimension=dimension), batches
+
     def delete_namespace(self, namespace: str = M.DEFAULT_NAMESPACE) -> Version:
         """Drop one namespace; without a name, the default one."""
         token = M.DEFAULT_TOKEN if namespace == M.DEFAULT_NAMESPACE else namespace

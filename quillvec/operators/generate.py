@@ -74,23 +74,27 @@ def constant_records(namespaces: DataFrame, dimension: int = M.VECTOR_DIMENSION,
         F.lit('{"description": "Test vector for demonstration"}').alias("metadata"))
 
 
-def write_batches(records: DataFrame, id_col: str = "id", size: int = M.BATCH_SIZE) -> DataFrame:
-    """Number records densely in the order of ``id_col`` and cut them into batches of ``size``; only the last one can
-    be short. Records with the same id, or none, follow each other in any order.
+def positions(rows: DataFrame, *order: Column | str) -> DataFrame:
+    """Rows with ``position``, numbered densely from 0 in the given order; ties follow each other in any order.
 
-    Records are dealt out by ranges of the id and numbered inside a range, which is written before the numbers are
-    used; the only window without a key runs over the counts of the ranges, one row for each partition.
+    Rows are dealt out by ranges and numbered inside a range, which is written before the numbers are used; the only
+    window without a key runs over the counts of the ranges, one row for each partition.
     """
-    ordered = checkpointed(records.repartitionByRange(id_col).sortWithinPartitions(id_col)
+    ordered = checkpointed(rows.repartitionByRange(*order).sortWithinPartitions(*order)
                            .withColumn("place", F.monotonically_increasing_id()))
     # The upper bits of that number are the partition, the lower 33 the row in it.
     part, row = F.shiftright("place", 33), F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     shifts = ordered.groupBy(part.alias("part")).agg(F.count("*").alias("n")).select(
         "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift"))
-    position = (row + F.col("shift")).cast("long")
     return ordered.withColumn("part", part).join(F.broadcast(shifts), "part") \
-        .withColumn("position", position).withColumn("batch", batch_of(position)).drop("part", "place", "shift")
+        .withColumn("position", (row + F.col("shift")).cast("long")).drop("part", "place", "shift")
+
+
+def write_batches(records: DataFrame, id_col: str = "id", size: int = M.BATCH_SIZE) -> DataFrame:
+    """Number records densely in the order of ``id_col`` and cut them into batches of ``size``; only the last one can
+    be short. Records with the same id, or none, follow each other in any order."""
+    return positions(records, id_col).withColumn("batch", batch_of(F.col("position"), size))
 
 
 def batch_sizes(batches: DataFrame) -> DataFrame:

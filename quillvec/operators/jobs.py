@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quillvec import model as M
 from quillvec.functions.scalars import is_import_done, micros, percent_text
+from quillvec.operators.generate import positions
 from quillvec.storage import checkpointed, sized
 
 SLICE_ROWS = 1_000_000
@@ -128,6 +129,7 @@ def job_outcomes(events: DataFrame, is_done: Callable[[Column], Column] = is_imp
 
 
 def job_history(outcomes: DataFrame) -> DataFrame:
-    """Jobs, newest first."""
-    return outcomes.select("job_id", "status", "uri", "progress", "records_imported", "created_us", "finished_us",
-                           "error").orderBy(F.desc("created_us"), F.desc("job_id"))
+    """Jobs, newest first, and which place each has from 0 on."""
+    newest = positions(outcomes.select("job_id", "status", "uri", "progress", "records_imported", "created_us",
+                                       "finished_us", "error"), F.desc("created_us"), F.desc("job_id"))
+    return newest.orderBy("position")

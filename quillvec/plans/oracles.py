@@ -265,6 +265,19 @@ FROM checked WHERE reasons <> '' OR copy = 2""",
     "upsert_result": UPSERTED,
     "upsert_plan": UPSERTED,
 
+    "upsert_batches": f"""
+SELECT vec_id // {M.BATCH_SIZE} AS batch, count(*) AS n_rows,
+       count(*) FILTER (vec_id % 310 = 7 OR vec_id % 470 = 21) AS n_bad,
+       count(*) FILTER (vec_id % 310 = 7 OR vec_id % 470 = 21) = 0 AS success
+FROM (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS vec_id FROM embeddings) GROUP BY 1""",
+
+    "upsert_batches_result": f"""
+WITH placed AS (SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) - 1 AS position FROM embeddings),
+bad AS (SELECT DISTINCT position // {M.BATCH_SIZE} AS batch FROM placed
+        WHERE position % 310 = 7 OR position % 470 = 21)
+SELECT CASE WHEN label = 0 THEN '' ELSE 'ns-' || label END AS namespace, CAST(vec_id AS VARCHAR) AS id
+FROM placed WHERE position // {M.BATCH_SIZE} NOT IN (SELECT batch FROM bad)""",
+
     "delete_namespace_result": f"""
 WITH {VECTORS} {stats("SELECT * FROM vectors WHERE namespace NOT IN ('', 'ns-4')")}""",
 
@@ -402,7 +415,9 @@ WHERE place = 1 OR status IS DISTINCT FROM p_status OR uri IS DISTINCT FROM p_ur
 
     "job_history": f"""
 WITH {OUTCOMES}
-SELECT job_id, status, uri, progress, records_imported, created_us, finished_us, error FROM outcomes""",
+SELECT job_id, status, uri, progress, records_imported, created_us, finished_us, error,
+       row_number() OVER (ORDER BY created_us DESC, job_id DESC) - 1 AS position
+FROM outcomes""",
 
     "synthetic_vectors": f"""
 WITH made AS (

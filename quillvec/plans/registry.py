@@ -165,6 +165,23 @@ def upsert_result(spark, sf):
     return flat(target.read().select("namespace", "id", "values"))
 
 
+def _in_batches(spark, sf):
+    target = Collection(spark, new_dir(spark, "collection"))
+    return target, target.upsert_batches(V.partly_faulty(spark, sf), "number", seq="number", dimension=V.DIMENSION)
+
+
+@query
+def upsert_batches(spark, sf):
+    """Batches of 100 records, each refused as a whole if one of its records is bad."""
+    return _in_batches(spark, sf)[1][1]
+
+
+@query
+def upsert_batches_result(spark, sf):
+    """What is stored of batches without bad records."""
+    return _in_batches(spark, sf)[0].read().select("namespace", "id")
+
+
 @query
 def upsert_plan(spark, sf):
     """The same changes as a plain table operation."""

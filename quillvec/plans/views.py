@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillvec import model as M
+from quillvec.operators.generate import positions
 from quillvec.storage import child_names, hadoop_path
 
 DIMENSION = 64
@@ -39,6 +40,15 @@ def records(spark: SparkSession, sf: str) -> DataFrame:
         """concat('{"batch_id": ', vec_id DIV 100, '}') AS metadata""", "vec_id AS number")
 
 
+def partly_faulty(spark: SparkSession, sf: str) -> DataFrame:
+    """The records, numbered densely by id, a few without an id and a few with a NaN."""
+    placed = positions(records(spark, sf), "number").drop("number")
+    return placed.selectExpr(
+        "namespace", "CASE WHEN position % 310 <> 7 THEN id END AS id",
+        "CASE WHEN position % 470 = 21 THEN concat(array(double('NaN')), slice(values, 2, size(values) - 1)) "
+        "ELSE values END AS values", "sparse_values", "metadata", "position AS number")
+
+
 def raw_records(spark: SparkSession, sf: str) -> DataFrame:
     """The records with faults planted by number: missing ids and values, wrong lengths, NaN, NULL elements, repeats.
 

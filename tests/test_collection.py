@@ -71,6 +71,18 @@ def test_changes_in_any_order_and_cut(spark, target, rows):
     assert content(rows, target) == sorted((n, k, float(v)) for (n, k), v in want.items())
 
 
+def test_batches_with_a_bad_record_fail_alone(spark, target, rows):
+    given = [("n", str(i), i, i) for i in range(10)]
+    given[4] = ("n", None, 4, 4)
+    given[9] = (None, "9", 9, 9)
+    version, batches = target.upsert_batches(records(spark, *given), "seq", size=3)
+    assert rows(batches, "batch", "n_rows", "n_bad", "success") == [
+        (0, 3, 0, True), (1, 3, 1, False), (2, 3, 0, True), (3, 1, 1, False)]
+    assert version.number == 1 and [r[1] for r in content(rows, target)] == ["0", "1", "2", "6", "7", "8"]
+    version, batches = target.upsert_batches(records(spark, *given[4:5]), "seq", size=3)
+    assert version.number == 1 and batches.filter("success").count() == 0
+
+
 def test_lost_race_is_merged_again(spark, target, rows, monkeypatch):
     target.upsert(records(spark, ("a", "1", 1, 1)))
     merge, other = C.Collection.merge, C.Collection(spark, target.root)
