@@ -41,16 +41,22 @@ def calls_and_results(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     A message whose text is a JSON object with ``tool_calls`` (a list of ``id``, ``name``, ``arguments``) gives those
     calls, and one with ``tool_call_id`` and ``content`` is a result. Any other message of an assistant or a tool is the
     result of the turn before it, and any other message a call by its role, with its text as argument, named by
-    its turn. A NULL role counts as ``user``.
+    its turn. ``content`` beside ``tool_calls`` is such a message of its own, with that text; a list without calls and
+    without content leaves the message as it is. So every message gives at least one row. A NULL role counts as
+    ``user``.
     """
     json = F.try_parse_json("text")
     calls = F.try_variant_get(json, "$.tool_calls", "array<struct<id:string,name:string,arguments:variant>>")
     answered = F.try_variant_get(json, "$.tool_call_id", "string")
     rows = conversations.select("conv_id", "turn", F.coalesce("role", F.lit("user")).alias("role"), "text", *[
-        F.when(F.col("text").startswith("{"), x).alias(name) for x, name in (
-            (calls, "calls"), (answered, "answered"), (F.try_variant_get(json, "$.content", "variant"), "content"))])
+        F.when(F.col("text").rlike("^[ \\t\\n\\r]*\\{"), x).alias(name) for x, name in (
+            (calls, "listed"), (answered, "answered"), (F.try_variant_get(json, "$.content", "variant"), "content"),
+            (F.try_variant_get(json, "$.content", "string"), "said"))])
+    said = F.when(F.col("listed").isNotNull(), F.coalesce("said", F.to_json("content")))
+    rows = rows.withColumns({"said": said, "calls": F.when(F.size("listed") > 0, F.col("listed"))}) \
+        .withColumn("text", F.coalesce("said", "text"))
     reply = F.col("role").isin("assistant", "tool")
-    plain = rows.filter("calls IS NULL AND answered IS NULL")
+    plain = rows.filter("answered IS NULL AND (calls IS NULL OR said IS NOT NULL)")
     own = plain.filter(~reply).select(
         "conv_id", "turn", F.concat(F.lit("turn-"), F.col("turn").cast("string")).alias("call_id"),
         F.col("role").alias("name"), F.to_json(F.struct("text")).alias("arguments"))
@@ -60,7 +66,7 @@ def calls_and_results(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     replies = plain.filter(reply).select(
         "conv_id", "turn", F.concat(F.lit("turn-"), (F.col("turn") - 1).cast("string")).alias("call_id"),
         F.to_json(F.struct("text")).alias("content"))
-    given = rows.filter("calls IS NULL AND answered IS NOT NULL").select(
+    given = rows.filter("answered IS NOT NULL").select(
         "conv_id", "turn", F.col("answered").alias("call_id"), F.to_json("content").alias("content"))
     return own.unionByName(listed), replies.unionByName(given)
 

@@ -285,6 +285,25 @@ def test_calls_are_linked_checked_and_ordered(spark):
                             '"type":"result"}')
 
 
+def test_no_message_is_lost(spark):
+    call = {"id": "p", "name": "add", "arguments": {"a": 1}}
+    messages = [
+        (1, 1, "assistant", json.dumps({"tool_calls": [], "content": "hello"})),
+        (1, 3, "assistant", json.dumps({"tool_calls": [call], "content": "I will add"})),
+        (1, 5, "user", json.dumps({"tool_calls": []})), (1, 7, "assistant", json.dumps({"tool_calls": None, "content": 1})),
+        (1, 9, "tool", " \n" + json.dumps({"tool_call_id": "p", "content": {"x": 1}})),
+        (1, 11, "tool", json.dumps({"tool_call_id": "p", "content": 2, "tool_calls": [call]})),
+        (1, 13, "assistant", json.dumps({"tool_calls": [], "content": {"y": 2}})), (1, 15, "assistant", "{"), (1, 17, "user", "")]
+    table = spark.createDataFrame(messages, "conv_id long, turn long, role string, text string")
+    calls, results = chat.calls_and_results(table)
+    assert {(r.turn, r.call_id, r.arguments) for r in calls.collect()} == {
+        (3, "p", '{"a":1}'), (5, "turn-5", '{"text":"{\\"tool_calls\\": []}"}'), (11, "p", '{"a":1}'), (17, "turn-17", '{"text":""}')}
+    found = {(r.turn, r.call_id): json.loads(r.content) for r in results.collect()}
+    assert found == {(1, "turn-0"): {"text": "hello"}, (3, "turn-2"): {"text": "I will add"},
+                     (7, "turn-6"): {"text": messages[3][3]}, (9, "p"): {"x": 1}, (11, "p"): 2,
+                     (13, "turn-12"): {"text": '{"y":2}'}, (15, "turn-14"): {"text": "{"}}
+
+
 def test_odd_messages(spark):
     messages = [(None, 0, "user", "a"), (None, 1, "assistant", "b"), (3, None, "user", "c"), (3, None, "assistant", "d"),
                 (4, 0, None, None), (4, 0, "user", "{not json"), (5, 0, "user", "x"), (5, 0, "user", "x"),
