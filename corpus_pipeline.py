@@ -33,7 +33,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of similar documents the one with the smallest id; rows that share an id stay together."""
+    """Of each group of similar documents the one with the smallest id; rows that share an id stay together.
+
+    Rows without an id stay: no member of their group can be told from them."""
     ship_package(spark)
     groups = jaccard.similar_documents(docs, SHINGLE, PERCENT)
     surplus = groups.filter("component_id < doc_id").select("doc_id").distinct()
