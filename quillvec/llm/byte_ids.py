@@ -17,8 +17,8 @@ from tokenizers import Tokenizer
 
 from quillvec.llm.bpe import SHAPE, WHITE, byte_characters
 
-#: Pieces whose ids a worker remembers, twice: beyond, those not met since the last time are forgotten.
-REMEMBERED = 200_000
+#: Pieces whose ids a worker remembers; beyond, it starts anew.
+REMEMBERED = 400_000
 #: Latin letters and usual punctuation, as far as the pattern's classes and Python's agree on them.
 _ALIKE = "".join(c for c in map(chr, chain(range(0x20, 0x7F), range(0xA1, 0x180), range(0x2010, 0x2028), (0x20AC,)))
                  if bool(regex.match(r"\p{L}", c)) == c.isalpha() and bool(regex.match(r"\p{N}", c)) == c.isdecimal()
@@ -38,7 +38,6 @@ class ByteIds:
         names = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, names))) if special and names else None
         self.known: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -49,15 +48,12 @@ class ByteIds:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of many texts end to end, and where each starts."""
         if len(self.known) > REMEMBERED:
-            self.known, self.before = {}, self.known
+            self.known.clear()
         pieces = [_PIECES.findall(t) if _PLAIN.fullmatch(t) and not (self.special and self.special.search(t)) else None
                   for t in texts]
-        new = set(chain.from_iterable(filter(None, pieces))).difference(self.known)
-        again = new.intersection(self.before)
-        self.known.update(zip(again, map(self.before.__getitem__, again), strict=True))
-        fresh = list(new - again)
-        self.known.update(zip(fresh, self._whole(fresh), strict=True))
+        new = list(set(chain.from_iterable(filter(None, pieces))).difference(self.known))
         odd = [t for t, p in zip(texts, pieces, strict=True) if p is None]
+        self.known.update(zip(new, self._whole(new), strict=True))
         whole = iter(self._whole(odd))
         data = [next(whole) if p is None else b"".join(map(self.known.__getitem__, p)) for p in pieces]
         return np.frombuffer(b"".join(data), np.int32), np.r_[0, np.cumsum([len(d) // 4 for d in data], dtype=np.int64)]
