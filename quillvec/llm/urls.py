@@ -1,8 +1,9 @@
 """URL filter: rules first, then naive Bayes over words that a unigram model finds in concatenated names.
 
 1. The longest rule that fits a url decides it.
-2. Runs of letters in hosts and paths are tokens. Each distinct token is split once: its substrings are joined with the
-   word counts of all pages, and the most probable split is found from left to right (Viterbi).
+2. Runs of letters in hosts and paths are tokens. Each distinct token is split once: its substrings of the lengths that
+   words have are joined with the word counts of all pages, and the most probable split is found from left to right
+   (Viterbi). Words may have any length, and so may runs that are no words.
 3. Urls that a rule decided teach a multinomial naive Bayes model. Tokens are counted by class before they meet
    their words, so that a token in every url is one row.
 4. Urls without a rule, each distinct one once, get the sum of the weights of their words.
@@ -22,8 +23,6 @@ from quillvec.llm.tables import Scratch
 #: (host, start of the path, verdict)
 RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
          ("net", "/es/", "block"), ("net", "/fr/", "block"))
-#: Letters of the longest word that a name is split into; longer unknown runs stay whole.
-LONGEST = 12
 #: Stands for any run of digits.
 NUMBER = "0"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -60,9 +59,9 @@ def tokens_of(host: Column, path: Column) -> Column:
 
 
 def word_counts(html: DataFrame) -> DataFrame:
-    """``word, n``: runs of at most ``LONGEST`` letters outside the tags of all pages."""
+    """``word, n``: runs of letters outside the tags of all pages."""
     words = html.select(F.explode(F.split(F.lower("html"), "(?:<[^>]*>|[^a-z])+")).alias("word"))
-    return words.filter(F.length("word").between(1, LONGEST)).groupBy("word").agg(F.count("*").alias("n"))
+    return words.filter("word != ''").groupBy("word").agg(F.count("*").alias("n"))
 
 
 def segmented(tokens: DataFrame, counts: DataFrame) -> DataFrame:
@@ -72,9 +71,12 @@ def segmented(tokens: DataFrame, counts: DataFrame) -> DataFrame:
     each letter. Of equally good splits the one with the longer last word wins, from the right.
     """
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
-    pieces = tokens.selectExpr("token", "explode(sequence(1, length(token))) AS start").selectExpr(
-        "token", "start", f"explode(sequence(start, least(length(token), start + {LONGEST - 1}))) AS last").selectExpr(
-        "token", "start", "last", "substring(token, start, last - start + 1) AS word")
+    # Words of n different lengths have n * n / 2 letters at least, so the lengths of all words are a short list.
+    lengths = counts.agg(F.collect_set(F.length("word")).alias("lengths"))
+    pieces = tokens.join(F.broadcast(lengths)).selectExpr(
+        "token", "explode(filter(lengths, n -> n <= length(token))) AS size").selectExpr(
+        "token", "size", "explode(sequence(1, length(token) - size + 1)) AS start").selectExpr(
+        "token", "start", "start + size - 1 AS last", "substring(token, start, size) AS word")
     known = pieces.join(counts, "word").groupBy("token").agg(
         F.collect_list(F.struct("start", "last", "n")).alias("known"))
 
@@ -93,14 +95,20 @@ def segmented(tokens: DataFrame, counts: DataFrame) -> DataFrame:
 
 def best_split(token: str, counts: dict[tuple[int, int], int], total: int) -> list[str]:
     """``counts`` has how often the piece of ``token`` between two places occurs as a word."""
-    size = math.log(max(total, 1))
+    size, ten = math.log(max(total, 1)), math.log(10)
+    ending: dict[int, list[tuple[int, int]]] = {}
+    for (start, end), n in counts.items():
+        ending.setdefault(end, []).append((start, n))
     best, cut = [0.0], [0]
+    # A piece that is no word costs the same for each letter, so the best place for it to start is known from before.
+    unknown, lead = 0, 0.0
     for end in range(1, len(token) + 1):
-        score, start = max((best[s] + (math.log(counts[s, end]) if (s, end) in counts else
-                                       math.log(10) * (1 - (end - s))) - size, -s)
-                           for s in range(max(0, end - LONGEST), end))
+        score, start = max([(best[unknown] + ten * (1 - (end - unknown)) - size, -unknown),
+                            *((best[s] + math.log(n) - size, -s) for s, n in ending.get(end, ()))])
         best.append(score)
         cut.append(-start)
+        if score + end * ten > lead:
+            unknown, lead = end, score + end * ten
     out, end = [], len(token)
     while end:
         out.append(token[cut[end]:end])
