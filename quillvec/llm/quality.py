@@ -4,8 +4,9 @@ A text is cut into overlapping chunks that cover all of it. Filters over embedde
 each filter keeps its largest answer. The largest and the mean answer over all chunks of a text go into one
 probability, so neither the length of a text nor the place of a passage matters.
 
-The network is fitted on the driver to a sample of labelled rows that has a fixed size, with a few chunks of each.
-Scoring reads every byte of every text.
+The network is fitted on the driver to a sample of labelled rows that has a fixed size. Each of ``DRAWS`` draws holds
+other chunks of a text, spread over its whole length, and the network goes through the draws in turn for a fixed number of
+steps, however small the sample. Scoring reads every byte of every text.
 """
 
 from __future__ import annotations
@@ -24,9 +25,9 @@ CHUNK, HOP = 512, 384
 #: Bytes that a filter sees, and from one place of it to the next.
 WIDTH, STRIDE = 8, 4
 EMBEDDING, FILTERS = 8, 32
-#: Labelled rows that the network learns from at most, and chunks of each.
-SAMPLE_ROWS, SAMPLE_CHUNKS = 3000, 6
-EPOCHS, BATCH, RATE = 8, 64, 0.004
+#: Labelled rows that the network learns from at most, draws of chunks, and chunks of a text that a step reads.
+SAMPLE_ROWS, DRAWS, DRAW_CHUNKS = 3000, 8, 6
+STEPS, BATCH, RATE = 400, 64, 0.004
 #: Bytes of text scored at a time.
 PART = 1 << 19
 THRESHOLD = 0.7
@@ -110,37 +111,62 @@ class Network:
         return [embedding, filters, passed.sum(axis=0), pooled.T @ wrong, wrong.sum(keepdims=True)]
 
 
-def fit(samples: list[tuple[bytes, int]], seed: int = 5) -> Network:
-    """A network fitted to ``(chunks laid end to end, label)``, each row by the rarity of its label. The result
-    depends on nothing but the samples and their order. Without samples every text scores one half."""
+def fit(samples: list[tuple[list[bytes], int]], seed: int = 5) -> Network:
+    """A network fitted to ``(draws of chunks laid end to end, label)``, each row by the rarity of its label, and put
+    right for that at the end, so that scores are shares of good texts again. The result depends on nothing but the
+    samples and their order. Without samples every text scores one half."""
     network = Network(seed)
     if not samples:
         return network
     labels = np.array([label for _, label in samples], np.float32)
-    shares = np.bincount(labels.astype(int), minlength=2) / len(labels)
-    weights = np.array([0.5 / max(shares[int(x)], 0.02) for x in labels], np.float32)
-    rows = [np.frombuffer(raw, np.int16).reshape(-1, CHUNK) for raw, _ in samples]
+    shares = np.maximum(np.bincount(labels.astype(int), minlength=2) / len(labels), 0.02)
+    weights = (0.5 / shares[labels.astype(int)]).astype(np.float32)
     rng = np.random.default_rng(seed)
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in network.parts]
-    step = 0
-    for epoch in range(EPOCHS):
-        order = rng.permutation(len(rows))
-        for k in range(0, len(order), BATCH):
-            mine = order[k:k + BATCH]
-            first = np.cumsum([0, *[len(rows[i]) for i in mine[:-1]]])
-            found = network.gradients(np.concatenate([rows[i] for i in mine]), first, labels[mine], weights[mine])
-            step += 1
-            rate = RATE * (1 - epoch / EPOCHS)
-            for part, grad, (mean, square) in zip(network.parts, found, moments, strict=True):
-                mean += 0.1 * (grad - mean)
-                square += 0.01 * (grad * grad - square)
-                part -= rate * (mean / (1 - 0.9 ** step)) / (np.sqrt(square / (1 - 0.99 ** step)) + 1e-7)
+    order, turn = np.zeros(0, np.int64), -1
+    for step in range(1, STEPS + 1):
+        if not len(order):
+            order, turn = rng.permutation(len(samples)), turn + 1
+        mine, order = order[:BATCH], order[BATCH:]
+        rows = [np.frombuffer(samples[i][0][turn % len(samples[i][0])], np.uint8).reshape(-1, CHUNK + 2) for i in mine]
+        first = np.cumsum([0, *[len(r) for r in rows[:-1]]])
+        found = network.gradients(_padded(np.concatenate(rows)), first, labels[mine], weights[mine])
+        for part, grad, (mean, square) in zip(network.parts, found, moments, strict=True):
+            mean += 0.1 * (grad - mean)
+            square += 0.01 * (grad * grad - square)
+            part -= RATE * (1 - step / STEPS) * (mean / (1 - 0.9 ** step)) / (np.sqrt(square / (1 - 0.99 ** step)) + 1e-7)
+    network.bias += np.log(shares[1] / shares[0]).astype(np.float32)
     return network
 
 
-def training_sample(docs: DataFrame, labels: DataFrame) -> list[tuple[bytes, int]]:
-    """Chunks and label of at most ``SAMPLE_ROWS`` labelled rows outside the held-out quarter, the first by a hash of
-    their ids. A text gives at most ``SAMPLE_CHUNKS`` of its chunks, spread over its whole length."""
+def _packed(chunks: np.ndarray) -> np.ndarray:
+    """Chunks as bytes, each after the number of its bytes that are no padding."""
+    length = (chunks != PADDING).sum(axis=1)
+    return np.hstack([length[:, None] >> 8, length[:, None] & 255, np.where(chunks == PADDING, 0, chunks)]).astype(np.uint8)
+
+
+def _padded(rows: np.ndarray) -> np.ndarray:
+    length = rows[:, 0].astype(np.int64) << 8 | rows[:, 1]
+    return np.where(np.arange(CHUNK) < length[:, None], rows[:, 2:].astype(np.int16), np.int16(PADDING))
+
+
+def drawn(starts: np.ndarray, draw: int) -> np.ndarray:
+    """The chunks of one draw. Together the draws hold all chunks of a text with at most ``DRAWS * DRAW_CHUNKS``; of a longer
+    one each takes as many, from places between those of the others."""
+    if len(starts) <= DRAW_CHUNKS:
+        return starts
+    number = DRAWS * DRAW_CHUNKS
+    at = np.arange(draw, max(number, 1), DRAWS)
+    return starts[np.unique(at * len(starts) // number)]
+
+
+def training_sample(docs: DataFrame, labels: DataFrame) -> list[tuple[list[bytes], int]]:
+    """Draws of chunks and label of at most ``SAMPLE_ROWS`` labelled rows outside the held-out quarter, the first by a
+    hash of their ids.
+
+    A NULL text is an empty one. Rows without a label or an id have no part, and of several labels of one id the best
+    counts. Of repeated rows with one id all have a part, as far as ``SAMPLE_ROWS`` goes. Without labels the list is empty.
+    """
     chosen = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))) \
         .groupBy("doc_id").agg(F.max("quality").alias("label")) \
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
@@ -151,17 +177,16 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> list[tuple[bytes, int
             for text in text_column(batch).to_pylist():
                 data = np.frombuffer((text or "").encode(), np.uint8)
                 starts = chunk_starts(len(data))
-                if len(starts) > SAMPLE_CHUNKS:
-                    starts = starts[np.linspace(0, len(starts) - 1, SAMPLE_CHUNKS).astype(int)]
-                raws.append(chunks_of(data, starts, np.full(len(starts), len(data))).tobytes())
+                draws = [drawn(starts, k) for k in range(DRAWS if len(starts) > DRAW_CHUNKS else 1)]
+                raws.append([_packed(chunks_of(data, s, np.full(len(s), len(data)))).tobytes() for s in draws])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(batch.schema.get_field_index("doc_id")), batch.column(batch.schema.get_field_index("label")),
-                 pa.array(raws, pa.binary())], ["doc_id", "label", "chunks"])
+                 pa.array(raws, pa.list_(pa.binary()))], ["doc_id", "label", "chunks"])
 
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most SAMPLE_ROWS rows
     rows = texts.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("label"), "text") \
-        .mapInArrow(take, "doc_id long, label int, chunks binary").orderBy("doc_id", "chunks").limit(SAMPLE_ROWS)
-    return [(bytes(r["chunks"]), min(1, max(0, r["label"]))) for r in rows.collect()]
+        .mapInArrow(take, "doc_id long, label int, chunks array<binary>").orderBy("doc_id", "chunks").limit(SAMPLE_ROWS)
+    return [([bytes(c) for c in r["chunks"]], min(1, max(0, r["label"]))) for r in rows.collect()]
 
 
 def quality_scores(docs: DataFrame, network: Network) -> DataFrame:
