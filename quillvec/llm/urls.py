@@ -73,11 +73,14 @@ def segmented(tokens: DataFrame, counts: DataFrame) -> DataFrame:
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
     # Words of n different lengths have n * n / 2 letters at least, so the lengths of all words are a short list.
     lengths = counts.agg(F.collect_set(F.length("word")).alias("lengths"))
-    pieces = tokens.join(F.broadcast(lengths)).selectExpr(
-        "token", "explode(filter(lengths, n -> n <= length(token))) AS size").selectExpr(
-        "token", "size", "explode(sequence(1, length(token) - size + 1)) AS start").selectExpr(
-        "token", "start", "start + size - 1 AS last", "substring(token, start, size) AS word")
-    known = pieces.join(counts, "word").groupBy("token").agg(
+    # Pieces carry a digest in place of a long token, so a very long one isn't copied for each of them.
+    named = tokens.withColumn("name", F.expr("if(length(token) <= 64, token, sha2(token, 256))"))
+    pieces = named.join(F.broadcast(lengths)).selectExpr(  # one row
+        "name", "token", "explode(filter(lengths, n -> n <= length(token))) AS size").selectExpr("name", "size", """
+            explode(transform(sequence(1, length(token) - size + 1),
+                              i -> struct(i AS start, substring(token, i, size) AS word))) AS piece""") \
+        .selectExpr("name", "piece.start", "piece.start + size - 1 AS last", "piece.word")
+    known = pieces.join(counts, "word").groupBy("name").agg(
         F.collect_list(F.struct("start", "last", "n")).alias("known"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,7 +92,7 @@ def segmented(tokens: DataFrame, counts: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(words, pa.list_(pa.string()))],
                                              ["token", "words"])
 
-    return tokens.join(known, "token", "left").join(F.broadcast(total)).mapInArrow(  # one row
+    return named.join(known, "name", "left").join(F.broadcast(total)).mapInArrow(  # one row
         run, "token string, words array<string>")
 
 
