@@ -3,7 +3,8 @@
 A collection is a folder of segments, each a parquet directory partitioned by namespace, and one small commit
 file per version that says which namespaces of which segments are live. Commit files are created once and never
 changed, so a writer that loses a race fails, a job that dies leaves the last version as it was, and readers
-keep the version they opened. Deletes are commits only; an upsert rewrites only what it replaces.
+keep the version they opened. Deletes are commits only; an upsert rewrites only the files that hold replaced records,
+and its commit file names those that are gone.
 
 Records keep the sequence number of the change they come from, so the newest change of a record wins whatever the order
 in which changes are brought in.
@@ -51,6 +52,7 @@ class Version:
     dimension: int | None = None
     live: dict[str, list[str]] = field(default_factory=dict)  # segment -> namespace tokens
     applied: dict[str, int] = field(default_factory=dict)  # stream -> last batch
+    gone: dict[str, dict[str, list[str]]] = field(default_factory=dict)  # segment -> namespace token -> rewritten files
 
     def tokens(self) -> set[str]:
         return {t for tokens in self.live.values() for t in tokens}
@@ -75,9 +77,12 @@ class Collection:
         return f"{self.root}/commits/{number:010d}.json"
 
     def commit(self, base: Version, live: dict[str, list[str]], dimension: int | None = None,
-               applied: dict[str, int] | None = None) -> Version:
-        new = Version(base.number + 1, dimension or base.dimension,
-                      {s: sorted(t) for s, t in live.items() if t}, {**base.applied, **(applied or {})})
+               applied: dict[str, int] | None = None, gone: dict[str, dict[str, list[str]]] | None = None) -> Version:
+        live = {s: sorted(t) for s, t in live.items() if t}
+        gone = {s: {t: sorted(f) for t, f in found.items() if t in live.get(s, ())}
+                for s, found in (base.gone if gone is None else gone).items()}
+        new = Version(base.number + 1, dimension or base.dimension, live, {**base.applied, **(applied or {})},
+                      {s: found for s, found in gone.items() if found})
         try:
             write_once(self.spark, self._commit_path(new.number), json.dumps(new.__dict__).encode())
         except Exception as err:
@@ -137,8 +142,11 @@ class Collection:
 
     # -- reading ----------------------------------------------------------------------------------------------
 
-    def _live_rows(self, live: dict[str, list[str]]) -> DataFrame:
-        """Rows of the given namespaces of segments. Only their directories are listed and read."""
+    def _live_rows(self, live: dict[str, list[str]], gone: dict[str, dict[str, list[str]]] | None = None) -> DataFrame:
+        """Rows of the given namespaces of segments, without the files that are gone, and the ``place`` of their file.
+
+        Only the directories of these namespaces are listed, and files that are gone are not opened.
+        """
         paths = []
         for segment, tokens in live.items():
             folder = self.segment_path(segment, True)
@@ -148,15 +156,23 @@ class Collection:
                 paths.append(folder)
             else:
                 paths += [f"{folder}/namespace={self._names().escapePathName(t)}" for t in tokens]
-        return self._scan(paths).withColumnRenamed("namespace", "token")
+        rows = self._scan(paths).withColumnRenamed("namespace", "token")
+        if not paths:
+            return rows.withColumn("place", F.lit(None).cast("string"))
+        left_out = [f for s, tokens in live.items() for t in tokens for f in (gone or {}).get(s, {}).get(t, [])]
+        # Comparisons with the path alone are made where files are listed.
+        rows = rows.withColumn("place", F.substring_index("_metadata.file_path", "/segments/segment=", -1))
+        return rows.filter(~F.col("place").isin(left_out)) if left_out else rows
 
     def read(self, namespace: str | None = None, number: int | None = None) -> DataFrame:
         """Records of a version, of all namespaces or one."""
-        live = self.version(number).live
+        version = self.version(number)
+        live = version.live
         if namespace is not None:
             token = M.DEFAULT_TOKEN if namespace == M.DEFAULT_NAMESPACE else namespace
             live = {s: [token] for s, tokens in live.items() if token in tokens}
-        return self._live_rows(live).withColumn("namespace", from_token(F.col("token"))).select(*M.RECORD_COLUMNS)
+        return self._live_rows(live, version.gone).withColumn("namespace", from_token(F.col("token"))) \
+            .select(*M.RECORD_COLUMNS)
 
     def rejected(self, segment: str) -> DataFrame:
         path = self.segment_path(segment, False)
@@ -170,41 +186,49 @@ class Collection:
         """Commit a written segment over ``base``: its records replace those with the same namespace and id, unless
         those come from a change with a greater sequence number.
 
-        Only ids and sequence numbers are compared. A namespace of an older segment is rewritten if it holds a replaced
-        record, or if the namespace has come to lie in very many segments; else the segments stay side by side. The
-        new segment is written again only if some of its records are older than what the collection has.
+        Only ids and sequence numbers are compared. A file of an older segment is rewritten if it holds a replaced
+        record, and a namespace as a whole if it has come to lie in very many segments; else the segments stay side by
+        side. The new segment is written again only if some of its records are older than what the collection has.
         """
         touched = {s: sorted(set(t) & set(tokens)) for s, t in base.live.items()}
         touched = {s: t for s, t in touched.items() if t}
         live = {s: list(t) for s, t in base.live.items()}
+        gone = {s: {t: list(f) for t, f in found.items()} for s, found in base.gone.items()}
         if touched:
             keys = self._keys(segment, tokens)
-            met = self._live_rows(touched).select("segment", "token", "id", "seq").join(keys, ["token", "id"])
-            # One row for each segment and namespace.
-            hits = met.groupBy("segment", "token").agg(F.count_if(~_older()).alias("replaced"),
-                                                       F.count_if(_older()).alias("older")).collect()
-            if any(h.older for h in hits):
+            met = self._live_rows(touched, base.gone).select("segment", "token", "place", "id", "seq") \
+                .join(keys.withColumn("met", F.lit(True)), ["token", "id"], "left")
+            # One row for each file of the namespaces in question.
+            files = met.groupBy("segment", "token", "place").agg(
+                F.count_if(F.col("met") & ~_older()).alias("replaced"), F.count_if(_older()).alias("older")).collect()
+            if any(f.older for f in files):
                 late = met.filter(_older()).select("token", "id")
                 rest = self._live_rows({segment: tokens}).join(late, ["token", "id"], "left_anti")
                 segment, tokens = self._rewritten(rest)
                 keys = self._keys(segment, tokens)
-            replaced: dict[str, set[str]] = {}
-            for hit in hits:
-                if hit.replaced:
-                    replaced.setdefault(hit.segment, set()).add(hit.token)
             pieces = Counter(t for found in touched.values() for t in found)
+            rewritten: dict[str, dict[str, list[str]]] = {}
+            lying: dict[tuple[str, str], list] = {}
+            for f in files:
+                lying.setdefault((f.segment, f.token), []).append(f)
             for old, found in touched.items():
-                replaced.setdefault(old, set()).update(t for t in found if pieces[t] >= MOST_PIECES)
-            replaced = {s: t for s, t in replaced.items() if t}
-            if replaced:
-                rest = self._live_rows({s: sorted(t) for s, t in replaced.items()}) \
+                for t in found:
+                    mine = lying.get((old, t), [])
+                    hit = [f.place for f in mine if f.replaced]
+                    if len(hit) == len(mine) or pieces[t] >= MOST_PIECES:
+                        rewritten.setdefault(old, {})[t] = [f.place for f in mine]
+                        live[old].remove(t)
+                    elif hit:
+                        rewritten.setdefault(old, {})[t] = hit
+                        gone.setdefault(old, {}).setdefault(t, []).extend(hit)
+            if rewritten:
+                places = [p for found in rewritten.values() for hit in found.values() for p in hit]
+                rest = self._live_rows({s: sorted(t) for s, t in rewritten.items()}).filter(F.col("place").isin(places)) \
                     .join(keys.drop("new_seq"), ["token", "id"], "left_anti")
                 kept, found = self._rewritten(rest)
                 live[kept] = found
-                for old, gone in replaced.items():
-                    live[old] = [t for t in live[old] if t not in gone]
         live[segment] = tokens
-        return self.commit(base, live, dimension, applied)
+        return self.commit(base, live, dimension, applied, gone)
 
     def _keys(self, segment: str, tokens: list[str]) -> DataFrame:
         return sized(self._live_rows({segment: tokens}).select("token", "id", F.col("seq").alias("new_seq")))

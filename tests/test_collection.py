@@ -104,6 +104,33 @@ def test_only_replaced_namespaces_are_rewritten(spark, target, rows):
     assert content(rows, target) == [("a", "1", 1.0), ("a", "2", 4.0), ("b", "1", 5.0), ("c", "1", 3.0)]
 
 
+def test_only_files_with_replaced_records_are_rewritten(spark, target, rows, tmp_path):
+    given = [(n, str(i), i, 1) for n in ("a", "x y") for i in range(60)]
+    segment = target.new_segment()
+    whole = records(spark, *given).repartition(6, "id")
+    target.merge(target.version(), segment, target.write_segment(whole, segment))
+    want = {(n, i): float(v) for n, i, v, _ in given}
+    for round_, changed in enumerate((["7"], ["7", "8"], ["9"])):
+        target.upsert(records(spark, *[("x y", i, 100 + round_, 2) for i in changed]))
+        want.update({("x y", i): 100.0 + round_ for i in changed})
+        assert content(rows, target) == sorted(((*k, v) for k, v in want.items()), key=repr)
+    version = target.version()
+    assert version.live[segment] == ["a", "x y"] and list(version.gone[segment]) == ["x y"]
+    assert 1 <= len(version.gone[segment]["x y"]) <= 3 < len(list((tmp_path / "c").glob(
+        f"segments/segment={segment}/kept=true/namespace=x y/*.parquet")))
+    # What is gone is not opened, neither by readers nor by later upserts.
+    for place in version.gone[segment]["x y"]:
+        file = tmp_path / "c" / "segments" / f"segment={place.replace('%20', ' ')}"
+        assert file.exists()
+        (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
+        file.write_bytes(b"no longer a table")
+    target.upsert(records(spark, ("x y", "10", 7, 2), ("a", "10", 7, 2)))
+    want.update({("x y", "10"): 7.0, ("a", "10"): 7.0})
+    assert content(rows, target) == sorted(((*k, v) for k, v in want.items()), key=repr)
+    target.delete_namespace("x y")
+    assert "x y" not in target.version().gone.get(segment, {})
+
+
 def test_pieces_of_a_namespace_stay_few(spark, target, rows, monkeypatch):
     monkeypatch.setattr(C, "MOST_PIECES", 3)
     most = 0
