@@ -136,6 +136,11 @@ class Collection:
             return self.spark.createDataFrame([], PLACED)
         return self.spark.read.schema(PLACED).option("basePath", f"{self.root}/segments").parquet(*paths)
 
+    def stored_rows(self, segment: str) -> int:
+        """Records that were kept when a segment was written, counted from its footers."""
+        path = self.segment_path(segment, True)
+        return self._scan([path] if child_names(self.spark, path) else []).count()
+
     def segment_files(self, segment: str) -> DataFrame:
         """Source files of a segment, one row per record."""
         return self._scan([self.segment_path(segment)]).select("file")

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import io
 import re
+import uuid
 from dataclasses import dataclass
 from itertools import islice
 
 import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
-from py4j.protocol import Py4JError
+from py4j.protocol import Py4JError, Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -120,14 +122,41 @@ def judged(records: DataFrame, dimension: int) -> DataFrame:
     return rules.withColumn("kept", F.expr("size(reasons) = 0")).drop("row_index")
 
 
-def import_vectors(collection: Collection, prefix: str, dimension: int, error_mode: str = M.CONTINUE) -> ImportResult:
+def import_vectors(collection: Collection, prefix: str, dimension: int, error_mode: str = M.CONTINUE,
+                   jobs: str | None = None, job_id: str | None = None) -> ImportResult:
     """Load ``<prefix>/<namespace>/<file>.parquet`` into a collection.
 
-    CONTINUE loads the good records and leaves the others with the segment, see ``rejects``. ABORT commits
-    nothing if a record is bad, or if a file of the layout is hidden, empty or not read to its end; the layout is
-    looked at before anything is read. Without any file of the layout both modes fail. The input is read once, and
-    records are written by the tasks that read them: a file holds one namespace, so nothing has to be moved.
+    CONTINUE loads the good records and leaves the others with the segment, see ``rejects``; it reads the input once.
+    ABORT writes nothing if a record is bad, or if a file of the layout is hidden, empty or can't be read to its end: it
+    looks at the layout, then at the footers, then at all records, up to the first bad one, before it writes. Without any
+    file of the layout both modes fail. Records are written by the tasks that read them: a file holds one namespace, so
+    nothing has to be moved.
+
+    With ``jobs``, the states of the import are appended to a table of status events there, to be read by
+    ``sources.logs.read_status_events`` while it runs and afterwards. The last one holds what was imported, or the error.
     """
+    if jobs is None:
+        return _import(collection, prefix, dimension, error_mode)
+    job_id = job_id or uuid.uuid4().hex
+    _report(collection.spark, jobs, job_id, 0, "InProgress", prefix, 0.0, 0)
+    try:
+        result = _import(collection, prefix, dimension, error_mode)
+        loaded = collection.stored_rows(result.segment)
+    except Exception as err:
+        _report(collection.spark, jobs, job_id, 1, "Failed", prefix, 0.0, 0, str(err))
+        raise
+    _report(collection.spark, jobs, job_id, 1, "Completed", prefix, 100.0, loaded)
+    return result
+
+
+def _report(spark: SparkSession, jobs: str, job_id: str, seq: int, status: str, uri: str, percent: float, records: int,
+            error: str | None = None) -> None:
+    """Append one state of a job."""
+    row = (job_id, dt.datetime.now(), seq, status, uri, percent, records, error)
+    spark.createDataFrame([row], M.STATUS_EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(jobs)
+
+
+def _import(collection: Collection, prefix: str, dimension: int, error_mode: str) -> ImportResult:
     spark = collection.spark
     base = collection.version()
     if base.dimension not in (None, dimension):
@@ -139,18 +168,19 @@ def import_vectors(collection: Collection, prefix: str, dimension: int, error_mo
         unread = valid.filter(_hidden(F.col("file")) | (F.col("size") == 0)).first()
         if unread is not None:
             raise ImportAborted(f"{unread.rel} is hidden or empty")
+        bad = _unsound_files(spark, prefix).first()
+        if bad is not None:
+            raise ImportAborted(f"{bad.file} is rejected: {', '.join(bad.reasons)}")
     records = judged(read_import(spark, prefix, skip_corrupt=error_mode == M.CONTINUE), dimension)
-    segment = collection.new_segment()
-    tokens = collection.write_segment(records, segment)
     if error_mode == M.ABORT:
-        bad = collection.rejected(segment).first()
+        try:
+            bad = records.filter("NOT kept").select("file", "id", "reasons").first()
+        except (PySparkException, Py4JJavaError) as err:
+            raise ImportAborted(f"a file below {prefix} can't be read to its end: {err}") from err
         if bad is not None:
-            collection.drop_segment(segment)
             raise ImportAborted(f"{bad.file}: record {bad.id} is rejected: {', '.join(bad.reasons)}")
-        bad = rejected_files(collection, ImportResult(base, segment, prefix)).first()
-        if bad is not None:
-            collection.drop_segment(segment)
-            raise ImportAborted(f"{bad.file} is rejected: {', '.join(bad.reasons)}")
+    segment = collection.new_segment()
+    tokens = collection.write_segment(records, segment)
     version = collection.merge(base, segment, tokens, dimension)
     return ImportResult(version, segment, prefix)
 
@@ -167,31 +197,37 @@ def rejects(collection: Collection, result: ImportResult) -> DataFrame:
 
 
 def rejected_files(collection: Collection, result: ImportResult) -> DataFrame:
-    """Files of the layout that gave fewer rows than their footer says, or no rows without being empty.
+    """Files of the layout that gave fewer rows than their footer says, or no rows without being empty."""
+    return _unsound_files(collection.spark, result.prefix, collection.segment_files(result.segment))
+
+
+def _unsound_files(spark: SparkSession, prefix: str, rows: DataFrame | None = None) -> DataFrame:
+    """Files of the layout that can't be read, and those that gave fewer ``rows`` (their ``file``) than they have.
 
     Only files without any row are opened once more: small ones many at a time as a whole, since such a file holds
     nothing but its footer, and those with a long footer one by one through the reader of Spark.
     """
-    spark = collection.spark
-    listed = layout.classify(list_directory(spark, result.prefix), "").filter(F.col("class") == "valid") \
+    listed = layout.classify(list_directory(spark, prefix), "").filter(F.col("class") == "valid") \
         .select("namespace", F.col("rel").alias("file"), F.col("file").alias("name"), "size")
-    loaded = collection.segment_files(result.segment).groupBy("file").agg(F.count("*").alias("loaded"))
-    known = listed.join(footer_row_counts(spark, result.prefix), "file", "left").join(loaded, "file", "left") \
-        .fillna(0, ["n_rows", "loaded"])
+    known = listed.join(footer_row_counts(spark, prefix), "file", "left").fillna(0, ["n_rows"])
+    if rows is None:
+        known = known.withColumn("loaded", F.col("n_rows"))
+    else:
+        known = known.join(rows.groupBy("file").agg(F.count("*").alias("loaded")), "file", "left").fillna(0, ["loaded"])
     reason = F.when(_hidden(F.col("name")), "hidden_name").when(F.col("size") == 0, "empty_file") \
         .when(F.col("loaded") < F.col("n_rows"), "cut_short").when(F.col("n_rows") == 0, "unread")
     suspects = checkpointed(known.withColumn("reason", reason).filter(F.col("reason").isNotNull()))
     unread = suspects.filter(F.col("reason") == "unread")
     small = unread.filter(F.col("size") <= FOOTER_ONLY_BYTES)
     out = new_dir(spark, "opened")
-    files = (f"{result.prefix.rstrip('/')}/{r.file}" for r in small.select("file").toLocalIterator())
+    files = (f"{prefix.rstrip('/')}/{r.file}" for r in small.select("file").toLocalIterator())
     while paths := list(islice(files, OPENED_AT_ONCE)):
         _opened(spark, paths).write.mode("append").parquet(out)
     if exists(spark, out):
         valid = spark.read.schema(OPENED).parquet(out).filter("sound").select("file")
         suspects = suspects.join(valid, "file", "left_anti")
     sound = [r.file for r in unread.filter(F.col("size") > FOOTER_ONLY_BYTES).select("file").toLocalIterator()
-             if _reads_as_empty(spark, f"{result.prefix.rstrip('/')}/{r.file}")]
+             if _reads_as_empty(spark, f"{prefix.rstrip('/')}/{r.file}")]
     if sound:
         suspects = suspects.filter(~F.col("file").isin(sound))
     return suspects.selectExpr(

@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillvec import model as M
-from quillvec.operators import ingest
+from quillvec.operators import ingest, jobs
 from quillvec.operators.collection import Collection
 from quillvec.sources.imports import read_import, read_vector_file
+from quillvec.sources.logs import read_status_events
 
 NAMES = ["ns-1", "my ns", "tenant=1", "ü", "a+b", "a%20b", "_u", "007", "a%b"]
 
@@ -125,6 +126,37 @@ def test_abort_commits_nothing(spark, made):
     assert target.read().count() == 2
 
 
+def test_abort_leaves_nothing_on_disk(spark, made):
+    prefix, target = made
+    write(prefix / "a" / "1.parquet", ["x", "y"], [[1.0] * 3, None])
+    with pytest.raises(ingest.ImportAborted):
+        ingest.import_vectors(target, str(prefix), 3, M.ABORT)
+    write(prefix / "a" / "1.parquet", ["x", "x"])  # sound records, but one id
+    with pytest.raises(ingest.ImportAborted, match="repeated_id"):
+        ingest.import_vectors(target, str(prefix), 3, M.ABORT)
+    write(prefix / "a" / "1.parquet", ["x"])
+    (prefix / "a" / "2.parquet").write_bytes(b"PAR1 and so on PAR1")
+    with pytest.raises(ingest.ImportAborted, match="corrupt_file"):
+        ingest.import_vectors(target, str(prefix), 3, M.ABORT)
+    assert not (prefix.parent / "collection").exists()
+
+
+def test_imports_leave_job_records(spark, made, tmp_path):
+    prefix, target = made
+    jobs_table = str(tmp_path / "jobs")
+    write(prefix / "a" / "1.parquet", ["x", "y", None])
+    with pytest.raises(ingest.ImportAborted):
+        ingest.import_vectors(target, str(prefix), 3, M.ABORT, jobs_table, "first")
+    ingest.import_vectors(target, str(prefix), 3, M.CONTINUE, jobs_table, "second")
+    events = read_status_events(spark, jobs_table)
+    assert sorted((e.job_id, e.seq, e.status) for e in events.collect()) == [
+        ("first", 0, "InProgress"), ("first", 1, "Failed"), ("second", 0, "InProgress"), ("second", 1, "Completed")]
+    found = {j.job_id: j for j in jobs.job_outcomes(events).collect()}
+    assert "missing_id" in found["first"].error and found["first"].records_imported == 0
+    assert (found["second"].records_imported, found["second"].error, found["second"].uri) == (2, None, str(prefix))
+    assert all(j.finished_us >= j.created_us for j in found.values())
+
+
 def test_import_into_a_filled_collection(spark, made, rows):
     prefix, target = made
     write(prefix / "1" / "a" / "f.parquet", ["x", "y"], [[1.0] * 3, [2.0] * 3])
