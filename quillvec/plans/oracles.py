@@ -262,6 +262,21 @@ WITH {RAW}
 SELECT namespace, id, CASE WHEN reasons = '' THEN 'repeated_id' ELSE reasons END AS reasons
 FROM checked WHERE reasons <> '' OR copy = 2""",
 
+    "import_aborted": f"""
+WITH {RAW}, found AS (SELECT count(*) > 0 AS aborted FROM checked WHERE reasons <> '' OR copy = 2)
+SELECT 0::BIGINT AS files, aborted, 0::BIGINT AS version FROM found WHERE aborted""",
+
+    "import_jobs": f"""
+WITH {RAW}, good AS (SELECT count(*) AS n FROM (SELECT DISTINCT namespace, id FROM checked WHERE reasons = '')),
+bad AS (SELECT count(*) > 0 AS any_bad FROM checked WHERE reasons <> '' OR copy = 2),
+jobs AS (
+  SELECT 'all-abort' AS job_id, any_bad AS failed, n FROM good, bad
+  UNION ALL SELECT 'all-continue', false, n FROM good UNION ALL SELECT 'sound-abort', false, n FROM good)
+SELECT job_id, CASE WHEN failed THEN 'Failed' ELSE 'Completed' END AS status, true AS done,
+       CASE WHEN failed THEN '0.0%' ELSE '100.0%' END AS progress, CASE WHEN failed THEN 0 ELSE n END AS records_imported,
+       failed AS has_error, true AS has_times
+FROM jobs""",
+
     "upsert_result": UPSERTED,
     "upsert_plan": UPSERTED,
 
@@ -455,5 +470,6 @@ SELECT us // 1000000 AS window_sec, count(*) FILTER (success) AS queries, count(
 FROM op_log GROUP BY 1""",
 
     "stream_status_changes": STATUS_CHANGES,
+    "stream_backup_changes": STATUS_CHANGES.replace("'Completed'", "'Ready'"),
     "stream_upsert": UPSERTED,
 }

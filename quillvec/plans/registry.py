@@ -8,13 +8,15 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillvec import model as M
 from quillvec.functions import scalars, uris
+from quillvec.functions.records import reject_reasons
 from quillvec.operators import backup, collection, generate, ingest, jobs, layout, metrics, search
 from quillvec.operators.collection import Collection
 from quillvec.plans import views as V
 from quillvec.plans.shipping import ship_package
-from quillvec.sources.logs import BYTES_PER_BATCH
-from quillvec.sources.manifest import list_directory
+from quillvec.sources.logs import BYTES_PER_BATCH, read_status_events
+from quillvec.sources.manifest import EmptyListing, list_directory
 from quillvec.storage import checkpointed, new_dir
 from quillvec.streaming import monitors
 
@@ -22,6 +24,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 DIGITS = 6
 TICK_SECONDS = 60
+# Parts in which status events arrive; none of the given tables spans more than 31 days, so none is later than a week.
+SLICES, LATE_DAYS = 5, 7
 
 
 def query(fn: Query) -> Query:
@@ -149,6 +153,43 @@ def import_rejected(spark, sf):
     return ingest.rejects(target, result).select("namespace", "id", F.array_join("reasons", ",").alias("reasons"))
 
 
+@query
+def import_aborted(spark, sf):
+    """What an import of the faulty records leaves behind in ABORT mode: the version, and files on disk."""
+    prefix, root = new_dir(spark, "layout"), new_dir(spark, "collection")
+    V.write_import_layout(V.raw_records(spark, sf), prefix)
+    target = Collection(spark, root)
+    try:
+        ingest.import_vectors(target, prefix, V.DIMENSION, M.ABORT)
+        aborted = False
+    except ingest.ImportAborted:
+        aborted = True
+    try:
+        found = list_directory(spark, root)
+    except EmptyListing:
+        found = spark.createDataFrame([], M.MANIFEST_SCHEMA)
+    return found.agg(F.count("*").alias("files")).select(
+        "files", F.lit(aborted).alias("aborted"), F.lit(target.version().number).cast("long").alias("version"))
+
+
+@query
+def import_jobs(spark, sf):
+    """Job records of three imports: all records in either mode, and in ABORT mode those of them that are sound."""
+    log, raw = new_dir(spark, "jobs"), V.raw_records(spark, sf)
+    faulty, sound = new_dir(spark, "layout"), new_dir(spark, "layout")
+    V.write_import_layout(raw, faulty)
+    V.write_import_layout(raw.filter(F.size(reject_reasons(V.DIMENSION)) == 0).dropDuplicates(["namespace", "id"]), sound)
+    for job_id, prefix, mode in (("all-abort", faulty, M.ABORT), ("all-continue", faulty, M.CONTINUE),
+                                 ("sound-abort", sound, M.ABORT)):
+        try:
+            ingest.import_vectors(Collection(spark, new_dir(spark, "collection")), prefix, V.DIMENSION, mode, log, job_id)
+        except ingest.ImportAborted:
+            pass  # the job record tells
+    return jobs.job_outcomes(read_status_events(spark, log)).select(
+        "job_id", "status", "done", "progress", "records_imported", F.col("error").isNotNull().alias("has_error"),
+        (F.col("finished_us") >= F.col("created_us")).alias("has_times"))
+
+
 def _stored(spark, sf):
     target = Collection(spark, new_dir(spark, "collection"))
     target.upsert(V.records(spark, sf).drop("number").withColumn("seq", F.lit(0).cast("long")))
@@ -420,12 +461,31 @@ def stream_ticks_global(spark, sf):
     return _ticks(spark, sf, False)
 
 
+def _changes(spark, sf, view, terminal) -> DataFrame:
+    """Events in five parts, each with some that are older than others of the part before, and a run of the stream for
+    each part; then the states that the stream holds back until later events come."""
+    source, out, state = (new_dir(spark, name) for name in ("events", "changes", "changes-state"))
+    delay = f"{LATE_DAYS} days"
+    for part in V.arrivals(spark, sf, SLICES):
+        part.write.mode("append").parquet(source)
+        events = monitors.with_rocksdb(spark).readStream.schema(part.schema) \
+            .option("maxBytesPerTrigger", BYTES_PER_BATCH).parquet(source)
+        found = monitors.status_monitor(view(events), terminal, delay)
+        found.writeStream.format("parquet").option("path", out).option("checkpointLocation", state) \
+            .outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    last = monitors.last_changes(view(V.events(spark, sf)), terminal, delay)
+    return spark.read.schema(found.schema).parquet(out).unionByName(last)
+
+
 @query
 def stream_status_changes(spark, sf):
-    out = new_dir(spark, "changes")
-    found = monitors.status_monitor(V.status_events(_event_stream(spark, sf)))
-    _finish(found.writeStream.format("parquet").option("path", out).outputMode("append"), spark, "changes")
-    return spark.read.schema(found.schema).parquet(out)
+    return _changes(spark, sf, V.status_events, M.IMPORT_TERMINAL)
+
+
+@query
+def stream_backup_changes(spark, sf):
+    """The monitor of backups, with their own terminal states."""
+    return _changes(spark, sf, V.backup_events, M.BACKUP_TERMINAL)
 
 
 @query

@@ -98,6 +98,22 @@ def status_events(events: DataFrame) -> DataFrame:
         "CASE WHEN event_type = 'error' THEN props END AS error")
 
 
+def backup_events(events: DataFrame) -> DataFrame:
+    """The same events as states of backups, which end by being ready."""
+    return status_events(events).withColumn(
+        "status", F.when(F.col("status") == M.IMPORT_TERMINAL[0], M.BACKUP_TERMINAL[0]).otherwise(F.col("status")))
+
+
+def arrivals(spark: SparkSession, sf: str, slices: int) -> list[DataFrame]:
+    """Events in the order in which they arrive, cut into ``slices``: each up to the length of a slice late."""
+    all_ = events(spark, sf)
+    ends = all_.agg(F.min("ts").alias("from_ts"), F.max("ts").alias("to_ts"))  # one row
+    us = "timestampdiff(MICROSECOND, {}, {})".format
+    place = f"{us('from_ts', 'ts')} * {slices}D / {us('from_ts', 'to_ts')} + pmod(xxhash64(event_id), 1000) / 1001"
+    placed = all_.join(F.broadcast(ends), how="cross").withColumn("slice", F.expr(f"least(floor({place}), {slices - 1})"))
+    return [placed.filter(F.col("slice") == i).select(all_.columns) for i in range(slices)]
+
+
 def events(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events")
 

@@ -13,39 +13,92 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-STATE_SCHEMA = "status string, first_us bigint, done boolean"
+EVENT_SCHEMA = "us bigint, seq bigint, status string"
+STATE_SCHEMA = "status string, first_us bigint, done boolean, until_ms bigint"
+COLUMNS = ["us", "seq", "status"]
 
 
 class JobMonitor(StatefulProcessor):
-    """Per job: the last state, the time of the first event, and whether a terminal state was seen."""
+    """Per job: events the watermark has not passed yet, and of those before, the last state, the time of the first, and
+    whether a terminal one was among them.
 
-    def __init__(self, terminal: tuple[str, ...], reprint_seconds: int):
-        self.terminal, self.reprint = terminal, reprint_seconds
+    Events wait in a list until the watermark reaches them, and are then reported in the order of ``us, seq``, so it
+    doesn't matter in which micro-batches they came. A job that is done keeps no events, only the mark that it is done,
+    which goes as well once ``forget_ms`` have passed since its last event; without a number it stays.
+    """
+
+    def __init__(self, terminal: tuple[str, ...], reprint_seconds: int, forget_ms: int | None = None):
+        self.terminal, self.reprint, self.forget = terminal, reprint_seconds, forget_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", EVENT_SCHEMA)
         self.state = handle.getValueState("job", STATE_SCHEMA)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
-        seen = self.state.get() if self.state.exists() else None
-        if seen is not None and seen[2]:
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        if self.state.exists() and self.state.get()[2]:
+            return iter(())
+        first = None
+        for part in rows:
+            self.waiting.appendList(_tuples(part))
+            first = part["us"].min() if first is None else min(first, part["us"].min())
+        if first is not None:
+            self._wake(first)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        last, first, done, until = self.state.get() if self.state.exists() else (None, None, False, None)
+        if done:
+            if until is not None and expiredTimerInfo.getExpiryTimeInMs() >= until:
+                self.state.clear()
             return
-        events = pd.concat(list(rows)).sort_values(["us", "seq"])
-        last, first, done = seen if seen is not None else (None, int(events["us"].iloc[0]), False)
-        out = []
-        for us, seq, status in zip(events["us"], events["seq"], events["status"]):
-            status = None if pd.isna(status) else status
-            elapsed = (int(us) - first) // 1_000_000
-            if status != last or elapsed % self.reprint == 0:
-                out.append((key[0], int(seq), status, elapsed))
-            last, done = status, status in self.terminal
+        events = pd.DataFrame(list(self.waiting.get()), columns=COLUMNS).sort_values(["us", "seq"], ignore_index=True)
+        ripe = events["us"] <= timerValues.getCurrentWatermarkInMs() * 1000
+        events, later = events[ripe], events[~ripe]
+        if len(events):
+            first = int(events["us"].iloc[0]) if first is None else first
+            ended = events["status"].isin(self.terminal)
+            done = bool(ended.any())
             if done:
-                break
-        self.state.update((last, first, done))
-        if out:
-            yield pd.DataFrame(out, columns=["job_id", "seq", "status", "elapsed"])
+                events = events.iloc[:int(ended.to_numpy().argmax()) + 1]
+            yield from self._reported(key, events, last, first)
+            last = events["status"].iloc[-1]
+            if done and self.forget is not None:
+                until = max(int(events["us"].iloc[-1]) // 1000 + self.forget, timerValues.getCurrentWatermarkInMs() + 1)
+                self.handle.registerTimer(until)
+            self.state.update((None if pd.isna(last) else last, first, done, until))
+        if done:
+            self.waiting.clear()
+        elif len(later):
+            self.waiting.put(_tuples(later))
+            self._wake(later["us"].min())
+        else:
+            self.waiting.clear()
+
+    def _wake(self, us: int) -> None:
+        """A timer for the first whole millisecond that reaches ``us``. It is never the one that just fired, which Spark
+        deletes afterwards."""
+        self.handle.registerTimer(-(-int(us) // 1000))
+
+    def _reported(self, key, events: pd.DataFrame, last: str | None, first: int) -> Iterator[pd.DataFrame]:
+        """Changes of the state, and states at every ``reprint`` seconds, of which the first event is one."""
+        status = events["status"].astype(object).where(events["status"].notna(), None)
+        before = status.shift(1)
+        before.iloc[0] = last
+        elapsed = (events["us"] - first) // 1_000_000
+        changed = status.fillna("").ne(before.fillna("")) | status.isna().ne(before.isna())
+        out = pd.DataFrame({"job_id": key[0], "seq": events["seq"], "status": status, "elapsed": elapsed})
+        out = out[changed | (elapsed % self.reprint == 0)]
+        if len(out):
+            yield out
 
     def close(self) -> None:
         pass
 
 
+def _tuples(events: pd.DataFrame) -> list[tuple]:
+    status = events["status"].astype(object).where(events["status"].notna(), None)
+    return list(zip(events["us"].tolist(), events["seq"].tolist(), status.tolist()))
+
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

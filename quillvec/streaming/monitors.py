@@ -8,12 +8,13 @@ import time
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from quillvec import model as M
 from quillvec.functions.scalars import micros
+from quillvec.operators import jobs
 from quillvec.operators.collection import Collection, CommitConflict
 from quillvec.streaming.job_state import JobMonitor
 
@@ -61,15 +62,49 @@ def _windows(counts: DataFrame, per_namespace: bool) -> DataFrame:
                          "errors")
 
 
-def status_monitor(events: DataFrame, terminal: tuple[str, ...] = M.IMPORT_TERMINAL) -> DataFrame:
-    """Reported states of each job as they arrive, until its first terminal one. Needs the RocksDB state store.
+def status_monitor(events: DataFrame, terminal: tuple[str, ...] = M.IMPORT_TERMINAL, delay: str = "10 seconds",
+                   forget_seconds: int | None = None) -> DataFrame:
+    """Reported states of each job until its first terminal one. Needs the RocksDB state store, see ``with_rocksdb``.
 
-    Events of a job are put in order within a micro-batch; across batches they must arrive in order. The size
+    Events are taken in the order of ``ts, seq`` whatever micro-batch they come in, if it is within ``delay`` of the newest;
+    later ones are dropped. A state is given out once the watermark has passed it, and those not passed when a stream
+    ends come from ``last_changes``. Of a job that is done one flag stays, so that events after the end are known for what
+    they are; with ``forget_seconds`` it goes that long after the end. An event without a time is dropped. The size
     of a batch, which the log readers bound, also bounds what one job can bring to its task at a time.
     """
-    events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    return events.select("job_id", micros(F.col("ts")).alias("us"), "seq", "status").groupBy("job_id") \
-        .transformWithStateInPandas(JobMonitor(terminal, M.REPRINT_SECONDS), CHANGE_SCHEMA, "Append", "None")
+    forget = None if forget_seconds is None else forget_seconds * 1000
+    # A watermark needs a timestamp with a zone, and state times are those of the column's own clock.
+    timed = events.filter("ts IS NOT NULL").select(
+        "job_id", micros(F.col("ts")).alias("us"), "seq", "status") \
+        .withColumn("at", F.timestamp_micros("us")).withWatermark("at", delay)
+    return timed.groupBy("job_id").transformWithStateInPandas(
+        JobMonitor(terminal, M.REPRINT_SECONDS, forget), CHANGE_SCHEMA, "Append", "EventTime")
+
+
+def with_rocksdb(spark: SparkSession) -> SparkSession:
+    """A session like ``spark`` whose streams keep their state in RocksDB; ``spark`` itself stays as it is."""
+    session = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if name.startswith("spark.sql.") and spark.conf.isModifiable(name):
+            session.conf.set(name, value)
+    session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    return session
+
+
+def last_changes(events: DataFrame, terminal: tuple[str, ...] = M.IMPORT_TERMINAL, delay: str = "10 seconds") -> DataFrame:
+    """The states that ``status_monitor`` holds back after the last row of ``events``: those later than ``delay`` before it.
+
+    Together with what the stream gave out they are all of ``jobs.status_changes``, each once. Only jobs with such events
+    are looked at. ``seq`` tells the events of a job apart.
+    """
+    events, us = events.filter("ts IS NOT NULL"), micros(F.col("ts"))
+    # A watermark has milliseconds, and gives out the events that it reaches.
+    millis = F.expr(f"unix_millis(timestamp_millis(0) + INTERVAL {delay})")
+    closed = events.agg(((F.floor(F.max(us) / 1000) - millis) * 1000).alias("closed"))
+    late = events.join(F.broadcast(closed), us > F.col("closed")).select("job_id", "seq")
+    known = events.join(late, "job_id", "left_semi")
+    changes = jobs.status_changes(known, lambda status: F.coalesce(status.isin(*terminal), F.lit(False)))
+    return changes.join(late, ["job_id", "seq"], "left_semi")
 
 
 def continuous_upsert(changes: DataFrame, collection: Collection, name: str,

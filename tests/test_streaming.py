@@ -71,14 +71,56 @@ def test_job_monitor_over_several_batches(spark, tmp_path, rows):
         [event("a", 60, 9, "Failed"), event("c", 60, 10, None)],
     ]
     for batch in batches:  # one run and so one restart per batch
-        add(spark, path, M.STATUS_EVENT_SCHEMA, batch)
-        stream = monitors.status_monitor(read_status_events(spark, str(path), stream=True, files_per_batch=1))
-        got = run(stream, out, state, spark)
-    whole = jobs.status_changes(read_status_events(spark, str(path)))
-    assert rows(got) == rows(whole)
+        got = monitored(spark, path, out, state, batch)
+    log = read_status_events(spark, str(path))
+    got = got.unionByName(monitors.last_changes(log))
+    assert rows(got) == rows(jobs.status_changes(log))
     assert [r[1] for r in rows(got)] == [1, 4, 5, 7, 3, 10]
 
 
+def state_rows(spark, state, name):
+    return monitors.with_rocksdb(spark).read.format("statestore").option("stateVarName", name).load(str(state))
+
+
+def monitored(spark, path, out, state, batch, **options):
+    add(spark, path, M.STATUS_EVENT_SCHEMA, batch)
+    stream = read_status_events(monitors.with_rocksdb(spark), str(path), stream=True)
+    return run(monitors.status_monitor(stream, **options), out, state, spark)
+
+
+def test_job_monitor_takes_events_in_their_order(spark, tmp_path, rows):
+    """Events up to a minute late, in five micro-batches, some of a millisecond, against the batch form."""
+    import random
+    rng = random.Random(7)
+    made = [event(f"j{rng.randint(0, 3)}", rng.randint(0, 300_000) / 1000, i, rng.choice(["Pending", "Running", None]))
+            for i in range(400)]
+    made += [event(f"j{k}", 200 + k, 1000 + k, "Failed") for k in range(2)] + [event("j9", 300 + i / 1e6, 2000 + i, str(i)) for i in range(4)]
+    made.sort(key=lambda e: e[1] + dt.timedelta(seconds=rng.random() * 55))
+    path, out, state = (tmp_path / n for n in ("events", "out", "state"))
+    size = -(-len(made) // 5)
+    for first in range(0, len(made), size):
+        got = monitored(spark, path, out, state, made[first:first + size], delay="1 minute")
+    log = read_status_events(spark, str(path))
+    last = monitors.last_changes(log, delay="1 minute")
+    assert rows(got.unionByName(last.select(got.columns))) == rows(jobs.status_changes(log))
+    assert got.count() > 50 and last.count() > 3
+    # Jobs that are over keep one flag and no events.
+    waiting = {r.key.job_id for r in state_rows(spark, state, "waiting").collect()}
+    done = {r.key.job_id for r in state_rows(spark, state, "job").filter("value.done").collect()}
+    assert done == {"j0", "j1"} and waiting == {"j2", "j3", "j9"}
+
+
+def test_job_monitor_forgets_jobs_that_are_over(spark, tmp_path, rows):
+    path, out, state = (tmp_path / n for n in ("events", "out", "state"))
+    options = dict(delay="10 seconds", forget_seconds=60)
+    monitored(spark, path, out, state, [event("a", 0, 1, "Running"), event("a", 1, 2, "Failed"), event("b", 30, 3, "Running")], **options)
+    assert state_rows(spark, state, "job").count() == 1
+    monitored(spark, path, out, state, [event("a", 40, 4, "Running"), event("b", 90, 5, "Running")], **options)
+    assert {r.key.job_id for r in state_rows(spark, state, "job").collect()} == {"b"}
+    got = monitored(spark, path, out, state, [event("b", 200, 6, "Completed")], **options)
+    assert rows(got, "job_id", "seq", "status") == [("a", 1, "Running"), ("a", 2, "Failed"), ("b", 3, "Running"), ("b", 5, "Running")]
+
+
 CHANGES = ("namespace string, id string, values array<double>, "
            "sparse_values struct<indices: array<bigint>, values: array<double>>, metadata string, seq long")
 
