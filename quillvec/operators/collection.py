@@ -147,10 +147,10 @@ class Collection:
 
     # -- reading ----------------------------------------------------------------------------------------------
 
-    def _live_rows(self, live: dict[str, list[str]], gone: dict[str, dict[str, list[str]]] | None = None) -> DataFrame:
-        """Rows of the given namespaces of segments, without the files that are gone, and the ``place`` of their file.
-
-        Only the directories of these namespaces are listed, and files that are gone are not opened.
+    def _live_rows(self, live: dict[str, list[str]], gone: dict[str, dict[str, list[str]]] | None = None,
+                   placed: bool = False) -> DataFrame:
+        """Rows of the given namespaces of segments, without the files that are gone; if ``placed``, with the ``place``
+        of their file. Only the directories of these namespaces are listed, and files that are gone are not opened.
         """
         paths = []
         for segment, tokens in live.items():
@@ -163,11 +163,13 @@ class Collection:
                 paths += [f"{folder}/namespace={self._names().escapePathName(t)}" for t in tokens]
         rows = self._scan(paths).withColumnRenamed("namespace", "token")
         if not paths:
-            return rows.withColumn("place", F.lit(None).cast("string"))
+            return rows.withColumn("place", F.lit(None).cast("string")) if placed else rows
         left_out = [f for s, tokens in live.items() for t in tokens for f in (gone or {}).get(s, {}).get(t, [])]
-        # Comparisons with the path alone are made where files are listed.
-        rows = rows.withColumn("place", F.substring_index("_metadata.file_path", "/segments/segment=", -1))
-        return rows.filter(~F.col("place").isin(left_out)) if left_out else rows
+        # Comparisons with the path alone are made where files are listed. Its use costs the counts from footers alone.
+        place = F.substring_index("_metadata.file_path", "/segments/segment=", -1)
+        if placed:
+            rows = rows.withColumn("place", place)
+        return rows.filter(~(F.col("place") if placed else place).isin(left_out)) if left_out else rows
 
     def read(self, namespace: str | None = None, number: int | None = None) -> DataFrame:
         """Records of a version, of all namespaces or one."""
@@ -201,7 +203,7 @@ class Collection:
         gone = {s: {t: list(f) for t, f in found.items()} for s, found in base.gone.items()}
         if touched:
             keys = self._keys(segment, tokens)
-            met = self._live_rows(touched, base.gone).select("segment", "token", "place", "id", "seq") \
+            met = self._live_rows(touched, base.gone, True).select("segment", "token", "place", "id", "seq") \
                 .join(keys.withColumn("met", F.lit(True)), ["token", "id"], "left")
             # One row for each file of the namespaces in question.
             files = met.groupBy("segment", "token", "place").agg(
@@ -228,7 +230,8 @@ class Collection:
                         gone.setdefault(old, {}).setdefault(t, []).extend(hit)
             if rewritten:
                 places = [p for found in rewritten.values() for hit in found.values() for p in hit]
-                rest = self._live_rows({s: sorted(t) for s, t in rewritten.items()}).filter(F.col("place").isin(places)) \
+                rest = self._live_rows({s: sorted(t) for s, t in rewritten.items()}, placed=True) \
+                    .filter(F.col("place").isin(places)) \
                     .join(keys.drop("new_seq"), ["token", "id"], "left_anti")
                 kept, found = self._rewritten(rest)
                 live[kept] = found
