@@ -307,6 +307,8 @@ SELECT 'nightly' AS name, 'Backup of vectors' AS description, 'Ready' AS status,
        count(*) AS record_count, 'aws' AS cloud, 'us-east-1' AS region, count(*) > 0 AS has_size
 FROM embeddings""",
 
+    "backup_names": "SELECT event_id, 'vectors-backup-' || strftime(ts, '%Y%m%d-%H%M%S') AS name FROM events",
+
     "backup_rows": f"""
 WITH {VECTORS}, copied AS (SELECT *, '{{"batch_id": ' || (number // 100) || '}}' AS metadata FROM vectors)
 {flat('SELECT * FROM copied', 'namespace, id, metadata')}""",

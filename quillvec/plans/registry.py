@@ -276,6 +276,12 @@ def backup_rows(spark, sf):
     return flat(backup.read_backup(target, root, backup_id).select("namespace", "id", "values", "metadata"))
 
 
+@query
+def backup_names(spark, sf):
+    """The name that a backup taken at the time of each event would get."""
+    return V.events(spark, sf).select("event_id", scalars.backup_name(F.lit("vectors"), F.col("ts")).alias("name"))
+
+
 # -- layout and requests ------------------------------------------------------------------------------------------
 
 def _classes(spark, sf):
