@@ -94,6 +94,8 @@ class LocalTopK:
         self.qi = np.empty(0, np.int64)
         self.score = np.empty(0)
         self.ids = np.empty(0, object)
+        self.waiting: list[tuple[np.ndarray, ...]] = []
+        self.n_waiting = 0
 
     def add(self, matrix: np.ndarray, ids: np.ndarray, names: list[str], which: np.ndarray):
         """Take in rows, with the namespace of row i in ``names[which[i]]``; yields results early when many small
@@ -101,6 +103,9 @@ class LocalTopK:
         for start in range(0, len(matrix), self.row_block):
             part = slice(start, start + self.row_block)
             self._add_block(matrix[part], ids[part], names, which[part])
+            # Put in place only when there are as many as before, so that the sort of the state is paid by new entries.
+            if self.n_waiting >= min(len(self.score), FLUSH_ENTRIES):
+                self._settle()
             if len(self.score) > FLUSH_ENTRIES:
                 yield self.drain()
 
@@ -118,7 +123,13 @@ class LocalTopK:
         qi = np.concatenate([f[1] for f in found])
         score = self._exact(x, row, qi)
         keep = ~np.isnan(score)
-        self._merge(code[row[keep]], qi[keep], score[keep], ids[row[keep]])
+        self.waiting.append((code[row[keep]], qi[keep], score[keep], ids[row[keep]]))
+        self.n_waiting += len(self.waiting[-1][0])
+
+    def _settle(self) -> None:
+        if self.n_waiting:
+            self._merge(*map(np.concatenate, zip(*self.waiting)))
+        self.waiting, self.n_waiting = [], 0
 
     def _exact(self, x: np.ndarray, row: np.ndarray, qi: np.ndarray) -> np.ndarray:
         """Score of each pair, from sums of its own."""
@@ -219,6 +230,7 @@ class LocalTopK:
             np.concatenate(pair) for pair in zip(rest, (ns, qi, score, ids)))
 
     def drain(self) -> dict[str, np.ndarray]:
+        self._settle()
         names = np.array(list(self.codes), object)
         out = {"query": self.qi, "namespace": names[self.ns] if len(names) else self.ids,
                "id": self.ids, "score": self.score}

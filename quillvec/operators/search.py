@@ -7,14 +7,19 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillvec import model as M
-from quillvec.functions.scoring import METRICS, ROW_BLOCK, LocalTopK, as_matrix
-from quillvec.storage import new_dir, sized
+from quillvec.functions.scoring import FLUSH_ENTRIES, METRICS, ROW_BLOCK, LocalTopK, as_matrix
+from quillvec.storage import checkpointed, sized
 
 BROADCAST_BYTES = 128 * 1024 * 1024
+#: Queries that go to every task; each holds its k best of every namespace there.
+SENT_QUERIES = 4096
+#: Queries and vectors that meet in one task, and bytes of either as doubles.
+CELL_QUERIES, CELL_VECTORS, CELL_BYTES = 32_768, 131_072, 64 * 1024 * 1024
+MOST_TASKS = 4000
 MERGE_FAN_IN = 256
 
 
@@ -39,22 +44,17 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = M.TOP_K, metric: str
 
     ``vectors`` has ``namespace, id, values``; ``queries`` has ``qid, qv``. A query meets the vectors of its own length;
     a query or vector that is NULL or empty, or holds a NULL, NaN or infinite element, has no part in any result
-    and takes nothing from others. Vectors are scored where they are read, and only local winners move, so the size of a
-    namespace does not matter. Up to ``broadcast_bytes`` of queries go to every task; a larger set is taken in
-    blocks of that size, a scan of the vectors each, and the winners of a block are written before the next one.
+    and takes nothing from others. Up to ``SENT_QUERIES`` queries, of ``broadcast_bytes`` at most, go to every task: vectors
+    are scored where they are read, and only local winners move, so the size of a namespace does not matter. More
+    queries than that meet the vectors in cells, see ``_in_cells``.
     """
     spark, qid_type = vectors.sparkSession, _qid_type(queries)
-    known = queries.filter("size(qv) > 0").select("qid", F.col("qv").cast("array<double>").alias("qv"))
-    size = known.agg(F.coalesce(F.sum(F.size("qv").cast("long")), F.lit(0))).first()[0] * 8
-    blocks = max(1, math.ceil(size / max(1, broadcast_bytes)))
-    if blocks == 1:
+    known = _known(queries, "qid")
+    n, size = known.agg(F.count("*"), F.coalesce(F.sum(F.size("qv").cast("long")), F.lit(0)) * 8).first()
+    if n <= SENT_QUERIES and size <= broadcast_bytes:
         winners = _local(vectors, _by_length(known.toArrow()), qid_type, k, metric)
     else:
-        out = new_dir(spark, "winners")
-        for block in range(blocks):
-            mine = known.filter(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == block).toArrow()
-            _local(vectors, _by_length(mine), qid_type, k, metric).write.mode("append").parquet(out)
-        winners = spark.read.schema(_schema(qid_type)).parquet(out)
+        winners = _in_cells(vectors, known, F.lit(n), size / n, qid_type, k, metric)
     return _ranked(winners, k, spark.sparkContext.defaultParallelism)
 
 
@@ -70,6 +70,53 @@ def search_routed(vectors: DataFrame, queries: DataFrame, metric: str = "dot") -
         .filter("rank <= top_k").select("qid", "namespace", "id", "score", "rank")
 
 
+def _known(queries: DataFrame, *columns: str) -> DataFrame:
+    return queries.filter("size(qv) > 0").select(*columns, F.col("qv").cast("array<double>").alias("qv"))
+
+
+def _in_cells(vectors: DataFrame, known: DataFrame, n_queries: Column, query_bytes: float, qid_type: str, k: int,
+              metric: str) -> DataFrame:
+    """Winners of each cell: a block of queries against a part of a namespace.
+
+    Queries with a ``namespace`` meet that one, others all. A cell holds about ``CELL_QUERIES`` queries, or fewer long
+    ones, and ``CELL_VECTORS`` vectors, so a task's memory follows neither table; the number of cells follows the product
+    of both, as the work does. Only the k best of each query leave a cell.
+    """
+    _check(metric)
+    routed = "namespace" in known.columns
+    in_block = max(1, min(CELL_QUERIES, FLUSH_ENTRIES // k, int(CELL_BYTES // max(1, query_bytes))))
+    rows = _candidates(vectors)
+    sizes = rows.groupBy("namespace").agg(F.count("*").alias("n"), F.max(F.size("values")).alias("width"))
+    if routed:
+        sizes = sizes.join(known.groupBy("namespace").agg(F.count("*").alias("queries")), "namespace")
+    in_part = F.least(F.lit(CELL_VECTORS), F.greatest(F.lit(1), F.floor(F.lit(CELL_BYTES) / (8 * F.col("width")))))
+    sizes = checkpointed(sizes.filter("width > 0").select(
+        "namespace", F.ceil(n_queries / in_block).alias("blocks"), F.ceil(F.col("n") / in_part).alias("parts")))
+    cells = sizes.agg(F.coalesce(F.sum(F.col("blocks") * F.col("parts")), F.lit(0))).first()[0]
+    tasks = max(1, min(2 * cells, MOST_TASKS))
+
+    def dealt(rows: DataFrame, own: list[str], count: str, name: str, other_count: str, other: str) -> DataFrame:
+        """Each row in one piece of its own side, for every piece of the other."""
+        placed = rows.withColumn(name, F.pmod(F.xxhash64(*own), F.col(count))) \
+            .withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.col(other_count) - 1))).drop("blocks", "parts")
+        # Both sides come from the same table, and a cogroup takes no columns of one origin.
+        return placed.toDF(*placed.columns).repartition(tasks, "namespace", "block", "part")
+
+    met = known.join(sized(sizes), "namespace") if routed else known.crossJoin(sized(sizes))
+    left = dealt(met, ["qid", "qv"], "blocks", "block", "parts", "part")
+    right = dealt(rows.join(sized(sizes), "namespace"), ["id", "values"], "parts", "part", "blocks", "block")
+
+    def score(asked: pa.Table, table: pa.Table) -> pa.Table:
+        found = [_result(LocalTopK(np.empty((0, 1)), k, metric).drain(), asked["qid"].combine_chunks())]
+        for q, names in _by_length(asked):
+            top = LocalTopK(q, k, metric)
+            found += [_result(x, names) for x in (*_feed(top, table, q.shape[1]), top.drain())]
+        return pa.Table.from_batches(found)
+
+    cell = ["namespace", "block", "part"]
+    return left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInArrow(score, _schema(qid_type))
+
+
 def _by_length(table: pa.Table) -> list[tuple[np.ndarray, pa.Array]]:
     """Queries as one matrix for each length, with their names."""
     qids, column = table["qid"].combine_chunks(), table["qv"].combine_chunks()
@@ -81,6 +128,11 @@ def _by_length(table: pa.Table) -> list[tuple[np.ndarray, pa.Array]]:
     return out
 
 
+def _check(metric: str) -> None:
+    if metric not in METRICS:
+        raise ValueError(f"metric must be one of {METRICS}")
+
+
 def _qid_type(queries: DataFrame) -> str:
     return queries.schema["qid"].dataType.simpleString()
 
@@ -125,8 +177,7 @@ def _candidates(vectors: DataFrame) -> DataFrame:
 
 def _local(vectors: DataFrame, parts: list[tuple[np.ndarray, pa.Array]], qid_type: str, k: int,
            metric: str) -> DataFrame:
-    if metric not in METRICS:
-        raise ValueError(f"metric must be one of {METRICS}")
+    _check(metric)
     shared = vectors.sparkSession.sparkContext.broadcast(parts)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -184,3 +184,31 @@ def test_routed_queries(spark, data):
             if any(r[0] == i and r[1] == name and k and r[4] <= k for i, _, name, k in routed)]
     same(S.search_routed(v, q, "cosine").collect(), want)
     assert S.search_routed(v, q.limit(0)).count() == 0
+
+
+def winners_of(monkeypatch, make):
+    """How many rows the tasks send to the final ranking of a search, and its result."""
+    sent, ranked = [], S._ranked
+
+    def counted(winners, *args):
+        sent.append(winners.count())
+        return ranked(winners, *args)
+
+    monkeypatch.setattr(S, "_ranked", counted)
+    return make().collect(), sent[0]
+
+
+def test_many_queries_send_only_their_best(spark, monkeypatch):
+    """A task that holds more winners than it may send on keeps them until it has seen its rows."""
+    n, names, each, k = 12_000, 10, 200, 10
+    v = spark.range(0, n_rows := names * each, 1, 1).selectExpr(
+        f"concat('n', id % {names}) AS namespace", "string(id) AS id", "array(double(id), 1D) AS values")
+    q = spark.range(n).selectExpr("id AS qid", "array(double(id % 7 - 3), 0D) AS qv")
+    got, sent = winners_of(monkeypatch, lambda: S.search(v, q, k).filter("qid < 7"))
+    assert sent == n * names * k
+    want = []
+    for qid in range(7):
+        for name in range(names):
+            scored = sorted((-i * (qid - 3), str(i)) for i in range(name, n_rows, names))
+            want += [(qid, f"n{name}", i, -float(score), r + 1) for r, (score, i) in enumerate(scored[:k])]
+    assert sorted(map(tuple, got)) == sorted(want)
