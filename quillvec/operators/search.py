@@ -60,13 +60,17 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = M.TOP_K, metric: str
 
 def search_routed(vectors: DataFrame, queries: DataFrame, metric: str = "dot") -> DataFrame:
     """The best records of each query's own ``namespace``, as many as its own ``top_k``; both are columns of
-    ``queries`` beside ``qid, qv``. A NULL namespace or ``top_k`` gives nothing."""
+    ``queries`` beside ``qid, qv``. A NULL namespace or ``top_k`` gives nothing. A query meets the vectors of its own
+    namespace only."""
+    spark = vectors.sparkSession
     most = queries.agg(F.max("top_k")).first()[0]
     wanted = queries.select("qid", "namespace", "top_k")
     if not most or most < 1:
-        return vectors.sparkSession.createDataFrame([], _schema(_qid_type(queries)) + ", rank long")
-    named = vectors.join(sized(queries.select("namespace").distinct()), "namespace", "left_semi")
-    return search(named, queries.select("qid", "qv"), most, metric).join(wanted, ["qid", "namespace"]) \
+        return spark.createDataFrame([], _schema(_qid_type(queries)) + ", rank long")
+    known = _known(queries.filter("namespace IS NOT NULL AND top_k > 0"), "qid", "namespace")
+    mean = known.agg(F.coalesce(F.avg(F.size("qv")), F.lit(1.0)) * 8).first()[0]
+    winners = _in_cells(vectors, known, F.col("queries"), mean, _qid_type(queries), most, metric)
+    return _ranked(winners, most, spark.sparkContext.defaultParallelism).join(wanted, ["qid", "namespace"]) \
         .filter("rank <= top_k").select("qid", "namespace", "id", "score", "rank")
 
 

@@ -212,3 +212,12 @@ def test_many_queries_send_only_their_best(spark, monkeypatch):
             scored = sorted((-i * (qid - 3), str(i)) for i in range(name, n_rows, names))
             want += [(qid, f"n{name}", i, -float(score), r + 1) for r, (score, i) in enumerate(scored[:k])]
     assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_routed_queries_meet_their_own_namespace_only(spark, data, monkeypatch):
+    vectors, queries = data
+    v, _ = frames(spark, data)
+    q = spark.createDataFrame([(i, qv, ["s0", "s1", "hot"][i % 3], 2) for i, qv in queries],
+                              "qid long, qv array<double>, namespace string, top_k int")
+    got, sent = winners_of(monkeypatch, lambda: S.search_routed(v, q))
+    assert len(got) == sent == 2 * len(queries)
