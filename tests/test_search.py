@@ -221,3 +221,15 @@ def test_routed_queries_meet_their_own_namespace_only(spark, data, monkeypatch):
                               "qid long, qv array<double>, namespace string, top_k int")
     got, sent = winners_of(monkeypatch, lambda: S.search_routed(v, q))
     assert len(got) == sent == 2 * len(queries)
+
+
+def test_many_queries_of_one_namespace_do_not_go_to_every_task(spark, data, monkeypatch):
+    """Queries in any number are neither collected nor broadcast whole."""
+    v, _ = frames(spark, data)
+    q = spark.range(10_000).selectExpr("id AS qid", f"transform(sequence(1, {D}), x -> double(id % 9 - x)) AS qv")
+    collected, to_arrow = [], type(q).toArrow
+    monkeypatch.setattr(type(q), "toArrow", lambda df: collected.append(df) or to_arrow(df))
+    got = S.search_namespace(v, q, "s0", 3, "cosine").filter("qid < 9").collect()
+    assert not collected
+    vectors, few = data[0], [(r.qid, r.qv) for r in q.limit(9).collect()]
+    same(got, [r for r in brute(vectors, few, 3, "cosine") if r[1] == "s0"])
