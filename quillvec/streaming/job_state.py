@@ -7,15 +7,18 @@ package and its classes travel by value.
 from __future__ import annotations
 
 import sys
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import islice
 
-import pandas as pd
 from pyspark import cloudpickle
+from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 EVENT_SCHEMA = "us bigint, seq bigint, status string"
 STATE_SCHEMA = "status string, first_us bigint, done boolean, until_ms bigint"
-COLUMNS = ["us", "seq", "status"]
+#: Events of a job that are taken in at a time.
+AT_ONCE = 10_000
 
 
 class JobMonitor(StatefulProcessor):
@@ -35,43 +38,50 @@ class JobMonitor(StatefulProcessor):
         self.waiting = handle.getListState("waiting", EVENT_SCHEMA)
         self.state = handle.getValueState("job", STATE_SCHEMA)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        if self.state.exists() and self.state.get()[2]:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        rows, state = iter(rows), self.state.get()
+        if state is not None and state[2]:
             return iter(())
-        first = None
-        for part in rows:
-            self.waiting.appendList(_tuples(part))
-            first = part["us"].min() if first is None else min(first, part["us"].min())
+        first = end = None
+        while part := sorted(((r["us"], r["seq"], r["status"]) for r in islice(rows, AT_ONCE)), key=_place):
+            # What comes after the end of a job is never reported, so it need not wait.
+            end = min([*([end] if end else []), *[_place(e) for e in part if e[2] in self.terminal][:1]], default=None)
+            if kept := [e for e in part if end is None or _place(e) <= end]:
+                self.waiting.appendList(kept)
+            first = part[0][0] if first is None else min(first, part[0][0])
         if first is not None:
             self._wake(first)
         return iter(())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        last, first, done, until = self.state.get() if self.state.exists() else (None, None, False, None)
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        last, first, done, until = self.state.get() or (None, None, False, None)
         if done:
             if until is not None and expiredTimerInfo.getExpiryTimeInMs() >= until:
                 self.state.clear()
             return
-        events = pd.DataFrame(list(self.waiting.get()), columns=COLUMNS).sort_values(["us", "seq"], ignore_index=True)
-        ripe = events["us"] <= timerValues.getCurrentWatermarkInMs() * 1000
-        events, later = events[ripe], events[~ripe]
-        if len(events):
-            first = int(events["us"].iloc[0]) if first is None else first
-            ended = events["status"].isin(self.terminal)
-            done = bool(ended.any())
-            if done:
-                events = events.iloc[:int(ended.to_numpy().argmax()) + 1]
-            yield from self._reported(key, events, last, first)
-            last = events["status"].iloc[-1]
-            if done and self.forget is not None:
-                until = max(int(events["us"].iloc[-1]) // 1000 + self.forget, timerValues.getCurrentWatermarkInMs() + 1)
-                self.handle.registerTimer(until)
-            self.state.update((None if pd.isna(last) else last, first, done, until))
-        if done:
-            self.waiting.clear()
-        elif len(later):
-            self.waiting.put(_tuples(later))
-            self._wake(later["us"].min())
+        events = sorted(self.waiting.get(), key=_place)
+        watermark = timerValues.getCurrentWatermarkInMs()
+        ripe = bisect_right(events, watermark * 1000, key=lambda e: e[0])
+        if not ripe:
+            return  # another timer of this job came first, and left one for the next event
+        events, later = events[:ripe], events[ripe:]
+        first = events[0][0] if first is None else first
+        for us, seq, status in events:
+            elapsed = (us - first) // 1_000_000
+            # A change, or a state at every ``reprint`` seconds, of which the first event is one.
+            if status != last or elapsed % self.reprint == 0:
+                yield Row(job_id=key[0], seq=seq, status=status, elapsed=elapsed)
+            last = status
+            if status in self.terminal:
+                done = True
+                break
+        if done and self.forget is not None:
+            until = max(us // 1000 + self.forget, watermark + 1)
+            self.handle.registerTimer(until)
+        self.state.update((last, first, done, until))
+        if later and not done:
+            self.waiting.put(later)
+            self._wake(later[0][0])
         else:
             self.waiting.clear()
 
@@ -80,25 +90,14 @@ class JobMonitor(StatefulProcessor):
         deletes afterwards."""
         self.handle.registerTimer(-(-int(us) // 1000))
 
-    def _reported(self, key, events: pd.DataFrame, last: str | None, first: int) -> Iterator[pd.DataFrame]:
-        """Changes of the state, and states at every ``reprint`` seconds, of which the first event is one."""
-        status = events["status"].astype(object).where(events["status"].notna(), None)
-        before = status.shift(1)
-        before.iloc[0] = last
-        elapsed = (events["us"] - first) // 1_000_000
-        changed = status.fillna("").ne(before.fillna("")) | status.isna().ne(before.isna())
-        out = pd.DataFrame({"job_id": key[0], "seq": events["seq"], "status": status, "elapsed": elapsed})
-        out = out[changed | (elapsed % self.reprint == 0)]
-        if len(out):
-            yield out
-
     def close(self) -> None:
         pass
 
 
-def _tuples(events: pd.DataFrame) -> list[tuple]:
-    status = events["status"].astype(object).where(events["status"].notna(), None)
-    return list(zip(events["us"].tolist(), events["seq"].tolist(), status.tolist()))
+def _place(event: tuple) -> tuple:
+    """Where an event stands among those of its job; without ``seq`` it comes last in its time."""
+    us, seq, _ = event
+    return us, seq is None, seq or 0
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

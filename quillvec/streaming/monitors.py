@@ -77,7 +77,7 @@ def status_monitor(events: DataFrame, terminal: tuple[str, ...] = M.IMPORT_TERMI
     timed = events.filter("ts IS NOT NULL").select(
         "job_id", micros(F.col("ts")).alias("us"), "seq", "status") \
         .withColumn("at", F.timestamp_micros("us")).withWatermark("at", delay)
-    return timed.groupBy("job_id").transformWithStateInPandas(
+    return timed.groupBy("job_id").transformWithState(
         JobMonitor(terminal, M.REPRINT_SECONDS, forget), CHANGE_SCHEMA, "Append", "EventTime")
 
 

@@ -121,6 +121,18 @@ def test_job_monitor_forgets_jobs_that_are_over(spark, tmp_path, rows):
     assert rows(got, "job_id", "seq", "status") == [("a", 1, "Running"), ("a", 2, "Failed"), ("b", 3, "Running"), ("b", 5, "Running")]
 
 
+def test_events_after_the_end_of_a_job_do_not_wait(spark, tmp_path, rows):
+    path, out, state = (tmp_path / n for n in ("events", "out", "state"))
+    batch = [event("a", 5, 9, "Failed"), event("a", 0, 1, "Running"), *[event("a", 6 + i, 10 + i, "Running") for i in range(20)],
+             event("a", 5, 9, None), event("b", 1, 40, "Pending")]
+    got = monitored(spark, path, out, state, batch, delay="1 minute")
+    assert got.count() == 0
+    waiting = [r.key.job_id for r in state_rows(spark, state, "waiting").collect()]
+    assert sorted(waiting) == ["a", "a", "a", "b"]  # a start, an end and what shares its place
+    got = monitored(spark, path, out, state, [event("c", 90, 50, "Running"), event("a", 31, 51, "Completed")], delay="1 minute")
+    assert rows(got, "job_id", "seq", "status") == [("a", 1, "Running"), ("a", 9, "Failed"), ("b", 40, "Pending")]
+
+
 CHANGES = ("namespace string, id string, values array<double>, "
            "sparse_values struct<indices: array<bigint>, values: array<double>>, metadata string, seq long")
 
