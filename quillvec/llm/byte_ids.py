@@ -36,8 +36,12 @@ class ByteIds:
         self.tokenizer = Tokenizer.from_str(file.decode())
         self.tokenizer.encode_special_tokens = not special
         names = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(map(re.escape, names))) if special and names else None
+        self.added = re.compile("|".join(map(re.escape, names))) if names else None
+        self.special = self.added if special else None
         self.known: dict[str, bytes] = {}
+        vocabulary, space = self.tokenizer.get_vocab(), byte_characters()[ord(" ")]
+        self.spaced = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.spaced[[i for name, i in vocabulary.items() if name[:1] == space]] = True
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -45,6 +49,19 @@ class ByteIds:
         data = np.fromiter(chain.from_iterable(found), np.int32).tobytes()
         return list(map(data.__getitem__, map(slice, [0, *ends[:-1]], ends)))
 
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces of a space and something else. Laid end to end the library cuts them as they are, and only the first
+        token of each starts with a space, so that one call for all tells them apart."""
+        line = "".join(pieces)
+        if not pieces or (self.added and self.added.search(line)):
+            return self._whole(pieces)
+        ids = np.array(self.tokenizer.encode_batch_fast([line], add_special_tokens=False)[0].ids, np.int32)
+        starts = np.flatnonzero(self.spaced[ids])
+        if len(starts) != len(pieces) or starts[:1].any():
+            return self._whole(pieces)
+        data, ends = ids.tobytes(), [*(4 * starts[1:]).tolist(), 4 * len(ids)]
+        return list(map(data.__getitem__, map(slice, [0, *ends[:-1]], ends)))
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of many texts end to end, and where each starts."""
         if len(self.known) > REMEMBERED:
@@ -53,7 +70,10 @@ class ByteIds:
                   for t in texts]
         new = list(set(chain.from_iterable(filter(None, pieces))).difference(self.known))
         odd = [t for t, p in zip(texts, pieces, strict=True) if p is None]
-        self.known.update(zip(new, self._whole(new), strict=True))
+        spaced = [p for p in new if p[0] == " " and not p[-1].isspace()]
+        others = [p for p in new if p[0] != " " or p[-1].isspace()]
+        self.known.update(zip(spaced, self._pieces(spaced), strict=True))
+        self.known.update(zip(others, self._whole(others), strict=True))
         whole = iter(self._whole(odd))
         data = [next(whole) if p is None else b"".join(map(self.known.__getitem__, p)) for p in pieces]
         return np.frombuffer(b"".join(data), np.int32), np.r_[0, np.cumsum([len(d) // 4 for d in data], dtype=np.int64)]

@@ -130,3 +130,25 @@ def test_remembered_pieces_give_the_same_ids():
     table = mine.token_bytes()
     assert all(b"".join(table[i] for i in ids[a:b].tolist()) == t.encode()
                for t, a, b in zip(texts, at, at[1:], strict=False))
+
+
+def test_new_pieces_go_to_the_library_in_one_text():
+    with open(BYTE_BPE, "rb") as f:
+        file = f.read()
+    plain, mine = Tokenizer.from_str(file.decode()), byte_ids.ByteIds(file, True)
+    letters = str.maketrans("0123456789", "abcdefghij")
+    texts = ["", "One two, two (three) 'four' it's 1234 _x\n\nfive  six ", " ".join("w" + str(i * 7919).translate(letters) for i in range(500)), "No space"]
+
+    class Counting:
+        sent = 0
+
+        def encode_batch_fast(self, some, **options):
+            self.sent += len(some)
+            return plain.encode_batch_fast(some, **options)
+
+    mine.tokenizer = Counting()
+    ids, at = mine.encode(texts)
+    for text, lo, hi in zip(texts, at.tolist()[:-1], at.tolist()[1:], strict=True):
+        assert ids[lo:hi].tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert mine.tokenizer.sent < 100  # of over 500 pieces
+    assert mine.encode([])[1].tolist() == [0] and mine.encode(["One"])[0].tolist() == plain.encode("One").ids
