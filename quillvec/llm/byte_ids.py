@@ -9,23 +9,66 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
+import pyarrow as pa
 import regex
 from tokenizers import Tokenizer
 
-from quillvec.llm.bpe import SHAPE, WHITE, byte_characters
+from quillvec.llm.bpe import byte_characters
 
 #: Pieces whose ids a worker remembers; beyond, it starts anew.
-REMEMBERED = 400_000
-#: Latin letters and usual punctuation, as far as the pattern's classes and Python's agree on them.
-_ALIKE = "".join(c for c in map(chr, chain(range(0x20, 0x7F), range(0xA1, 0x180), range(0x2010, 0x2028), (0x20AC,)))
-                 if bool(regex.match(r"\p{L}", c)) == c.isalpha() and bool(regex.match(r"\p{N}", c)) == c.isdecimal()
-                 and c.isalnum() == (c.isalpha() or c.isdecimal()))
-_PLAIN = re.compile(f"[\t\n\x0b\x0c\r{re.escape(_ALIKE)}]*")
-_PIECES = re.compile(SHAPE.replace("LETTER", r"[^\W\d_]").replace("NUMBER", r"\d").replace("OTHER", r"(?:[^\s\w]|_)")
-                     .replace(r"[^\s", f"[^{WHITE}").replace(r"\s", f"[{WHITE}]").replace(r"\S", f"[^{WHITE}]"))
+REMEMBERED = 800_000
+LETTER, NUMBER, OTHER, WHITE, END, ODD = range(6)
+#: Kinds of Latin letters and usual punctuation, as far as the pattern's classes and Python's agree on them.
+_KINDS = np.full(0x20AE, ODD, np.uint8)
+for _c in map(chr, chain(range(0x20, 0x7F), range(0xA1, 0x180), range(0x2010, 0x2028), (0x20AC,))):
+    if bool(regex.match(r"\p{L}", _c)) == _c.isalpha() and bool(regex.match(r"\p{N}", _c)) == _c.isdecimal() \
+            and _c.isalnum() == (_c.isalpha() or _c.isdecimal()):
+        _KINDS[ord(_c)] = LETTER if _c.isalpha() else NUMBER if _c.isdecimal() else OTHER
+_KINDS[[ord(_c) for _c in "\t\n\x0b\x0c\r "]] = WHITE
+#: What a worker remembers for the end of a text, which has no ids.
+_NOTHING = bytes(4)
+
+
+def _kinds(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of texts end to end, with one more behind each; their kinds; and where the ends are."""
+    codes = np.frombuffer("\0".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    ends = np.cumsum([len(t) + 1 for t in texts], dtype=np.int64) - 1
+    kind = _KINDS[np.minimum(codes, len(_KINDS) - 1)]
+    kind[ends] = END
+    return codes, kind, ends
+
+
+def _starts(codes: np.ndarray, kind: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Where ``bpe.SHAPE`` begins a piece, in texts without odd characters; each end is a piece too."""
+    dark = kind < WHITE
+    start = np.ones(len(kind), bool)
+    start[1:] = kind[1:] != kind[:-1]
+    start[ends] = True
+    start[1:] &= ~(dark[1:] & (codes[:-1] == ord(" ")))  # a space goes with what follows
+    start[:-1] |= (kind[:-1] == WHITE) & dark[1:]  # the last of several blanks is left to it
+    at = np.flatnonzero(start & (codes == ord("'")))
+    first, second = codes[at + 1], codes[np.minimum(at + 2, len(codes) - 1)]
+    short = np.isin(first, [ord(c) for c in "stmd"])
+    long = np.isin(first, [ord("r"), ord("v")]) & (second == ord("e")) | (first == ord("l")) & (second == ord("l"))
+    start[at[short | long] + 1] = False
+    start[np.r_[at[short] + 2, at[long] + 3]] = True
+    return np.flatnonzero(start)
+
+
+class Numbers(dict):
+    """Numbers of pieces in the order in which they were first asked for; ``new`` holds those without ids."""
+
+    def __init__(self):
+        super().__init__({_NOTHING: 0})
+        self.new: list[bytes] = []
+
+    def __missing__(self, piece: bytes) -> int:
+        self.new.append(piece)
+        self[piece] = number = len(self)
+        return number
 
 
 class ByteIds:
@@ -38,18 +81,22 @@ class ByteIds:
         names = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, names))) if names else None
         self.special = self.added if special else None
-        self.known: dict[str, bytes] = {}
+        self._forget()
         vocabulary, space = self.tokenizer.get_vocab(), byte_characters()[ord(" ")]
         self.spaced = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self.spaced[[i for name, i in vocabulary.items() if name[:1] == space]] = True
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
+    def _forget(self) -> None:
+        self.known = Numbers()
+        #: Ids of all pieces end to end; where those of each number start, and how many there are.
+        self.ids, self.starts, self.sizes = np.empty(0, np.int32), np.zeros(1, np.int64), np.zeros(1, np.int64)
+
+    def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids end to end, and how many each text has."""
         found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        ends = (4 * np.cumsum([len(f) for f in found])).tolist()
-        data = np.fromiter(chain.from_iterable(found), np.int32).tobytes()
-        return list(map(data.__getitem__, map(slice, [0, *ends[:-1]], ends)))
+        return np.fromiter(chain.from_iterable(found), np.int32), np.array([len(f) for f in found], np.int64)
 
-    def _pieces(self, pieces: list[str]) -> list[bytes]:
+    def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of pieces of a space and something else. Laid end to end the library cuts them as they are, and only the first
         token of each starts with a space, so that one call for all tells them apart."""
         line = "".join(pieces)
@@ -59,24 +106,56 @@ class ByteIds:
         starts = np.flatnonzero(self.spaced[ids])
         if len(starts) != len(pieces) or starts[:1].any():
             return self._whole(pieces)
-        data, ends = ids.tobytes(), [*(4 * starts[1:]).tolist(), 4 * len(ids)]
-        return list(map(data.__getitem__, map(slice, [0, *ends[:-1]], ends)))
+        return ids, np.diff(starts, append=len(ids))
+
+    def _learn(self) -> None:
+        """Ids of the pieces that got a number since the last call."""
+        new, self.known.new = [p.decode("utf-32-le") for p in self.known.new], []
+        joined = np.fromiter((p[0] == " " and not p[-1].isspace() for p in new), bool, len(new))
+        sizes = np.empty(len(new), np.int64)
+        (ids, sizes[joined]), (others, sizes[~joined]) = (
+            self._pieces(list(compress(new, joined))), self._whole(list(compress(new, ~joined))))
+        order = np.r_[np.flatnonzero(joined), np.flatnonzero(~joined)]
+        starts = np.empty(len(new), np.int64)
+        starts[order] = len(self.ids) + np.cumsum(sizes[order]) - sizes[order]
+        self.ids = np.concatenate([self.ids, ids, others])
+        self.starts, self.sizes = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes])
+
+    def _numbers(self, codes: np.ndarray, kind: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of all pieces, those of ends among them, and how many each text has."""
+        at = _starts(codes, kind, ends)
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(at), [
+            None, pa.py_buffer(4 * np.r_[at, len(codes)].astype(np.int64)), pa.py_buffer(codes)]).dictionary_encode()
+        distinct = pieces.dictionary.to_pylist()
+        numbers = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+        if self.known.new:
+            self._learn()
+        return numbers[pieces.indices.to_numpy()], np.diff(np.flatnonzero(kind[at] == END), prepend=-1)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of many texts end to end, and where each starts."""
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        pieces = [_PIECES.findall(t) if _PLAIN.fullmatch(t) and not (self.special and self.special.search(t)) else None
-                  for t in texts]
-        new = list(set(chain.from_iterable(filter(None, pieces))).difference(self.known))
-        odd = [t for t, p in zip(texts, pieces, strict=True) if p is None]
-        spaced = [p for p in new if p[0] == " " and not p[-1].isspace()]
-        others = [p for p in new if p[0] != " " or p[-1].isspace()]
-        self.known.update(zip(spaced, self._pieces(spaced), strict=True))
-        self.known.update(zip(others, self._whole(others), strict=True))
-        whole = iter(self._whole(odd))
-        data = [next(whole) if p is None else b"".join(map(self.known.__getitem__, p)) for p in pieces]
-        return np.frombuffer(b"".join(data), np.int32), np.r_[0, np.cumsum([len(d) // 4 for d in data], dtype=np.int64)]
+            self._forget()
+        codes, kind, ends = _kinds(texts)
+        odd = np.array([bool(self.special and self.special.search(t)) for t in texts], bool)
+        odd[np.searchsorted(ends, np.flatnonzero(kind == ODD))] = True
+        if odd.any():
+            codes, kind, ends = _kinds(list(compress(texts, ~odd)))
+        counts = np.ones(len(texts), np.int64)
+        plain, counts[~odd] = self._numbers(codes, kind, ends)
+        number, whole = np.empty(counts.sum(), np.int64), np.repeat(odd, counts)
+        number[~whole] = plain
+        ids, starts, sizes = self.ids, self.starts, self.sizes
+        if odd.any():
+            # Numbers for this call only.
+            number[whole] = len(sizes) + np.arange(np.count_nonzero(odd))
+            more, n = self._whole(list(compress(texts, odd)))
+            starts = np.concatenate([starts, len(ids) + np.cumsum(n) - n])
+            ids, sizes = np.concatenate([ids, more]), np.concatenate([sizes, n])
+        n = sizes[number]
+        ends = np.r_[0, np.cumsum(n)]
+        found = ids[np.repeat(starts[number] - ends[:-1], n) + np.arange(ends[-1])]
+        return found, ends[np.r_[0, np.cumsum(counts)]]
 
     def token_bytes(self) -> list[bytes]:
         """The bytes that each id stands for."""

@@ -7,12 +7,14 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from conftest import SMALL
 from plain import empty_documents, odd_documents
 from quillvec.llm import byte_ids, packing
+from quillvec.llm.bpe import SHAPE
 from quillvec.llm.queries import BYTE_BPE, QUERIES
 
 
@@ -152,3 +154,32 @@ def test_new_pieces_go_to_the_library_in_one_text():
         assert ids[lo:hi].tolist() == plain.encode(text, add_special_tokens=False).ids
     assert mine.tokenizer.sent < 100  # of over 500 pieces
     assert mine.encode([])[1].tolist() == [0] and mine.encode(["One"])[0].tolist() == plain.encode("One").ids
+
+
+def test_equal_pieces_are_looked_up_once_a_batch():
+    with open(BYTE_BPE, "rb") as f:
+        mine = byte_ids.ByteIds(f.read(), True)
+
+    class Counting(byte_ids.Numbers):
+        asked = 0
+
+        def __getitem__(self, piece):
+            self.asked += 1
+            return super().__getitem__(piece) if piece in self else self.__missing__(piece)
+
+    mine.known = Counting()
+    texts = ["one two three's one", " two", "", "one two\n"] * 500
+    ids, at = mine.encode(texts)
+    plain = Tokenizer.from_file(BYTE_BPE)
+    assert [ids[a:b].tolist() for a, b in zip(at[:5], at[1:5], strict=False)] == [plain.encode(t).ids for t in texts[:4]]
+    assert mine.known.asked < 10  # of 4,500 pieces
+
+
+def test_pieces_are_cut_as_by_the_pattern():
+    pattern = regex.compile(SHAPE.replace("LETTER", r"\p{L}").replace("NUMBER", r"\p{N}").replace("OTHER", r"[^\s\p{L}\p{N}]"))
+    rng = random.Random(5)
+    some = ["'", " ", "s", "t", "re", "ve", "m", "ll", "d", "l", "S", "\n", "\t", "1", "-", "_", "é", "“"]
+    texts = ["", "'", " ", "it's 's", "'s't", "  a", "\n\na ", *["".join(rng.choices(some, k=rng.randint(0, 20))) for _ in range(2000)]]
+    codes, kind, ends = byte_ids._kinds(texts)
+    cut = np.split(codes, byte_ids._starts(codes, kind, ends)[1:])
+    assert ["".join(map(chr, p)) for p in cut] == [p for t in texts for p in [*pattern.findall(t), "\0"]]
