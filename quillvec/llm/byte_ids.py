@@ -28,8 +28,8 @@ for _c in map(chr, chain(range(0x20, 0x7F), range(0xA1, 0x180), range(0x2010, 0x
             and _c.isalnum() == (_c.isalpha() or _c.isdecimal()):
         _KINDS[ord(_c)] = LETTER if _c.isalpha() else NUMBER if _c.isdecimal() else OTHER
 _KINDS[[ord(_c) for _c in "\t\n\x0b\x0c\r "]] = WHITE
-#: What a worker remembers for the end of a text, which has no ids.
-_NOTHING = bytes(4)
+#: The piece at the end of a text, which has no ids.
+_NOTHING = bytes(2)
 
 
 def _kinds(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -58,17 +58,24 @@ def _starts(codes: np.ndarray, kind: np.ndarray, ends: np.ndarray) -> np.ndarray
     return np.flatnonzero(start)
 
 
-class Numbers(dict):
-    """Numbers of pieces in the order in which they were first asked for; ``new`` holds those without ids."""
+class Numbers:
+    """Numbers of pieces, in the order in which they were first seen. Pieces have two bytes for each character."""
 
     def __init__(self):
-        super().__init__({_NOTHING: 0})
-        self.new: list[bytes] = []
+        self.pieces = pa.array([_NOTHING], pa.large_binary())
 
-    def __missing__(self, piece: bytes) -> int:
-        self.new.append(piece)
-        self[piece] = number = len(self)
-        return number
+    def __len__(self) -> int:
+        return len(self.pieces)
+
+    def of(self, pieces: pa.Array) -> tuple[np.ndarray, pa.Array]:
+        """The number of each piece, and those pieces that had none before."""
+        before = len(self)
+        if not len(pieces):
+            return np.zeros(0, np.int32), pieces
+        # With those already numbered in front, Arrow's dictionary goes on where it ended.
+        found = pa.chunked_array([self.pieces, pieces]).dictionary_encode().chunk(1)
+        self.pieces = found.dictionary
+        return found.indices.to_numpy(), self.pieces[before:]
 
 
 class ByteIds:
@@ -108,10 +115,13 @@ class ByteIds:
             return self._whole(pieces)
         return ids, np.diff(starts, append=len(ids))
 
-    def _learn(self) -> None:
-        """Ids of the pieces that got a number since the last call."""
-        new, self.known.new = [p.decode("utf-32-le") for p in self.known.new], []
-        joined = np.fromiter((p[0] == " " and not p[-1].isspace() for p in new), bool, len(new))
+    def _learn(self, pieces: pa.Array) -> None:
+        """Ids of pieces that just got their numbers."""
+        at = np.frombuffer(pieces.buffers()[1], np.int64, len(pieces) + 1, 8 * pieces.offset) // 2
+        codes = np.frombuffer(pieces.buffers()[2], np.uint16)[at[0]:at[-1]]
+        at, line = at - at[0], codes.tobytes().decode("utf-16-le")
+        new = [line[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+        joined = (codes[at[:-1]] == ord(" ")) & (_KINDS[codes[at[1:] - 1]] != WHITE)
         sizes = np.empty(len(new), np.int64)
         (ids, sizes[joined]), (others, sizes[~joined]) = (
             self._pieces(list(compress(new, joined))), self._whole(list(compress(new, ~joined))))
@@ -124,13 +134,12 @@ class ByteIds:
     def _numbers(self, codes: np.ndarray, kind: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of all pieces, those of ends among them, and how many each text has."""
         at = _starts(codes, kind, ends)
-        pieces = pa.Array.from_buffers(pa.large_binary(), len(at), [
-            None, pa.py_buffer(4 * np.r_[at, len(codes)].astype(np.int64)), pa.py_buffer(codes)]).dictionary_encode()
-        distinct = pieces.dictionary.to_pylist()
-        numbers = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
-        if self.known.new:
-            self._learn()
-        return numbers[pieces.indices.to_numpy()], np.diff(np.flatnonzero(kind[at] == END), prepend=-1)
+        codes = codes.astype(np.uint16)  # characters beyond are odd
+        number, new = self.known.of(pa.Array.from_buffers(pa.large_binary(), len(at), [
+            None, pa.py_buffer(2 * np.r_[at, len(codes)].astype(np.int64)), pa.py_buffer(codes)]))
+        if len(new):
+            self._learn(new)
+        return number, np.diff(np.flatnonzero(kind[at] == END), prepend=-1)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of many texts end to end, and where each starts."""
@@ -154,8 +163,9 @@ class ByteIds:
             ids, sizes = np.concatenate([ids, more]), np.concatenate([sizes, n])
         n = sizes[number]
         ends = np.r_[0, np.cumsum(n)]
-        found = ids[np.repeat(starts[number] - ends[:-1], n) + np.arange(ends[-1])]
-        return found, ends[np.r_[0, np.cumsum(counts)]]
+        place = np.arange(ends[-1])
+        place += np.repeat(starts[number] - ends[:-1], n)
+        return ids[place], ends[np.r_[0, np.cumsum(counts)]]
 
     def token_bytes(self) -> list[bytes]:
         """The bytes that each id stands for."""

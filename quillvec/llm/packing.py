@@ -33,6 +33,8 @@ from quillvec.llm.words import text_column, text_slices
 from quillvec.storage import sized
 
 LENGTH = 1024
+#: Bytes of text encoded at a time; the more, the fewer different pieces there are to each byte.
+SLICE = 1 << 23
 #: The id behind each document.
 END = 0
 #: Parts (tasks that wrote ids) whose places are sent to all; each has at most LENGTH numbers.
@@ -252,8 +254,11 @@ def pack(docs: DataFrame, path: str, length: int = LENGTH, end: int = END, carry
         found = directions.value
         for batch in batches:
             column = {n: batch.column(batch.schema.get_field_index(n)) for n in batch.schema.names}
-            flat, n = column["ids"].flatten().to_numpy(), column["n"].to_numpy()
-            ends = np.cumsum(n)
+            n = column["n"].to_numpy()
+            if not len(n):
+                continue
+            ends, raw = np.cumsum(n), b"".join(column["ids"].to_pylist())
+            flat = np.frombuffer(raw, f"<u{len(raw) // ends[-1]}").astype("<u4")
             out: list[tuple[int, int, int, int, int]] = []
             for i, (size, place, sequence) in enumerate(zip(
                     n.tolist(), column["place"].to_pylist(), column["sequence"].to_pylist(), strict=True)):
@@ -262,18 +267,15 @@ def pack(docs: DataFrame, path: str, length: int = LENGTH, end: int = END, carry
                 if rest:
                     out += [(i, whole * length + start, part, wholes + to, at)
                             for start, part, to, at in found.of(rest, place)]
-            if not out:
-                continue
             doc, start, size, sequence, offset = (np.array(x) for x in zip(*out, strict=True))
             lo = (ends - n)[doc] + start
-            raw = flat.astype("<i4").tobytes()
-            crc = [zlib.crc32(raw[4 * a:4 * b]) for a, b in zip(lo.tolist(), (lo + size).tolist(), strict=True)]
+            crc = [zlib.crc32(flat[a:b]) for a, b in zip(lo.tolist(), (lo + size).tolist(), strict=True)]
             columns = [column["row"].take(pa.array(doc)), start, size, np.array(crc, np.int64), n[doc], sequence, offset]
             names = ["row", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
             if ids:
                 # Pieces of a document needn't come in order of their ids.
                 place = np.repeat(lo - (np.cumsum(size) - size), size) + np.arange(size.sum())
-                columns.append(pa.ListArray.from_arrays(np.r_[0, np.cumsum(size)].astype(np.int32), flat[place]))
+                columns.append(pa.ListArray.from_arrays(np.r_[0, np.cumsum(size)].astype(np.int32), flat[place].view(np.int32)))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in columns], names)
 
@@ -287,7 +289,9 @@ def pack(docs: DataFrame, path: str, length: int = LENGTH, end: int = END, carry
 
 def _encoded(docs: DataFrame, path: str, length: int, end: int, carry: tuple[str, ...]) -> DataFrame:
     """``row, ids, n``, and where it lies: the ``part`` that wrote it, ``place`` among documents of the same remaining
-    length there, and the number of whole sequences there before it."""
+    length there, and the number of whole sequences there before it.
+
+    ``ids`` are bytes, equally many for each id, since the JVM takes an array apart number by number."""
     with open(path, "rb") as f:
         file = docs.sparkSession.sparkContext.broadcast(f.read())  # a vocabulary has a fixed size
     source = docs.select(F.struct(*carry).alias("row"), "text")
@@ -296,9 +300,11 @@ def _encoded(docs: DataFrame, path: str, length: int, end: int, carry: tuple[str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = byte_ids(file.value, True)
         part, places, sequence = TaskContext.get().partitionId(), [0] * length, 0
+        filler = end % 2**32
+        width = np.min_scalar_type(max(len(tool.spaced) - 1, filler)).itemsize
         for batch in batches:
             texts = text_column(batch)
-            for first, after, *_ in text_slices(texts):
+            for first, after, *_ in text_slices(texts, SLICE):
                 ids, at = tool.encode([t or "" for t in texts.slice(first, after - first).to_pylist()])
                 n = np.diff(at) + 1
                 where, before = [], []
@@ -309,12 +315,14 @@ def _encoded(docs: DataFrame, path: str, length: int, end: int, carry: tuple[str
                     places[rest] += 1
                     sequence += whole
                 ends = np.cumsum(n)
-                laid = np.full(ends[-1], end, np.int32)
-                laid[np.arange(at[-1]) + np.repeat(np.arange(len(n)), np.diff(at))] = ids
+                laid, text = np.full(ends[-1], filler, f"<u{width}"), np.ones(ends[-1], bool)
+                text[ends - 1] = False
+                laid[text] = ids
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(batch.schema.get_field_index("row")).slice(first, after - first),
-                     pa.ListArray.from_arrays(np.r_[0, ends].astype(np.int32), laid), pa.array(n),
+                     pa.Array.from_buffers(pa.binary(), len(n), [
+                         None, pa.py_buffer((width * np.r_[0, ends]).astype(np.int32)), pa.py_buffer(laid)]), pa.array(n),
                      pa.array(np.full(len(n), part, np.int32)), pa.array(where, pa.int64()), pa.array(before, pa.int64())],
                     ["row", "ids", "n", "part", "place", "sequence"])
 
-    return source.mapInArrow(run, f"row {row}, ids array<int>, n long, part int, place long, sequence long")
+    return source.mapInArrow(run, f"row {row}, ids binary, n long, part int, place long, sequence long")

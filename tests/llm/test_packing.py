@@ -183,3 +183,43 @@ def test_pieces_are_cut_as_by_the_pattern():
     codes, kind, ends = byte_ids._kinds(texts)
     cut = np.split(codes, byte_ids._starts(codes, kind, ends)[1:])
     assert ["".join(map(chr, p)) for p in cut] == [p for t in texts for p in [*pattern.findall(t), "\0"]]
+
+
+def test_known_pieces_take_little_memory_and_stay_known():
+    with open(BYTE_BPE, "rb") as f:
+        mine = byte_ids.ByteIds(f.read(), True)
+    letters = str.maketrans("0123456789", "abcdefghij")
+    texts = [" ".join("word" + str(i * 7919).translate(letters) for i in range(k, k + 1000)) for k in range(0, 100_000, 1000)]
+    ids, at = mine.encode(texts)
+    assert len(mine.known) > 100_000
+    # An object for each piece, in a dictionary of Python's, takes about 200 bytes.
+    assert mine.known.pieces.nbytes < 40 * len(mine.known)
+
+    class Counting:
+        sent = 0
+
+        def encode_batch_fast(self, some, **options):
+            self.sent += len(some)
+            return plain.encode_batch_fast(some, **options)
+
+    plain, mine.tokenizer = mine.tokenizer, Counting()
+    again, places = mine.encode(["", *reversed(texts)])
+    assert mine.tokenizer.sent == 0
+    assert [again[a:b].tolist() for a, b in zip(places[1:-1], places[2:], strict=True)] \
+        == [ids[a:b].tolist() for a, b in reversed(list(zip(at[:-1], at[1:], strict=True)))]
+    assert ids[:at[1]].tolist() == plain.encode(texts[0]).ids
+
+
+@pytest.mark.parametrize("end, width", [(0, 2), (50_256, 2), (70_000, 4), (-1, 4)])
+def test_ids_are_kept_as_bytes(spark, end, width):
+    docs = spark.createDataFrame([(1, "one two " * 800), (2, None), (3, "three"), (None, "caf\u00e9 \u4e2d")],
+                                 "doc_id long, text string")
+    encoded = packing._encoded(docs, BYTE_BPE, 1024, end, ("doc_id",))
+    assert dict(encoded.dtypes)["ids"] == "binary"
+    assert all(len(r.ids) == width * r.n for r in encoded.collect())
+    tool, found = Tokenizer.from_file(BYTE_BPE), defaultdict(list)
+    for r in packing.pack(docs, BYTE_BPE, end=end).collect():
+        assert zlib.crc32(np.array(r.ids, np.int32).tobytes()) == r.ids_crc32
+        found[r.doc_id].append((r.start, r.ids))
+    for r in docs.collect():
+        assert sum((x for _, x in sorted(found[r.doc_id])), []) == [*tool.encode(r.text or "").ids, end]
