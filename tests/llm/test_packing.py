@@ -192,7 +192,7 @@ def test_known_pieces_take_little_memory_and_stay_known():
     texts = [" ".join("word" + str(i * 7919).translate(letters) for i in range(k, k + 1000)) for k in range(0, 100_000, 1000)]
     ids, at = mine.encode(texts)
     assert len(mine.known) > 100_000
-    # An object for each piece, in a dictionary of Python's, takes about 200 bytes.
+    # Objects in a dictionary of Python's take several times as much.
     assert mine.known.pieces.nbytes < 40 * len(mine.known)
 
     class Counting:
