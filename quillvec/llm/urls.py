@@ -59,8 +59,12 @@ def tokens_of(host: Column, path: Column) -> Column:
 
 
 def word_counts(html: DataFrame) -> DataFrame:
-    """``word, n``: runs of letters outside the tags of all pages."""
-    words = html.select(F.explode(F.split(F.lower("html"), "(?:<[^>]*>|[^a-z])+")).alias("word"))
+    """``word, n``: runs of letters outside the tags of all pages.
+
+    What lies between two words may be long: repeated by ``++`` it takes a loop, by ``+`` a deeper stack for each tag
+    or character.
+    """
+    words = html.select(F.explode(F.split(F.lower("html"), "(?:<[^>]*>|[^a-z])++")).alias("word"))
     return words.filter("word != ''").groupBy("word").agg(F.count("*").alias("n"))
 
 
