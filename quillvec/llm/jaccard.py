@@ -1,9 +1,11 @@
 """Similarity join on word n-grams by prefix trees, and the components of its links.
 
 1. A document's set of shingles is hashed; equal sets are one class from here on.
-2. With shingles ordered by hash, two similar sets share several of their first ones. Counts of those first
-   shingles show which are shared, and a set with too few shared ones has no partner. Of the others the rarest
-   shared ones suffice: similar sets have one of them in common. Sets tied by such shingles form a cluster.
+2. The range of hashes is cut into parts, more for larger sets. Each shingle that only one of two sets has spoils one
+   part, and of similar sets these are few, so that they agree on many whole parts. Counts of the parts show which are
+   shared, and a set with too few shared ones has no partner; common passages alone don't give it enough. Of the others
+   the rarest shared ones suffice: similar sets have one of them in common. Sets tied by such parts form a cluster.
+   Where parts can't be sure to do, as in some small sets, the first shingles in the order of hashes stand in for them.
 3. Each set travels to the task of its cluster once. There a prefix tree holds the sets in one order, and all sets
    descend it together, with overlaps counted once for shared paths and subtrees left by the bound on what remains.
    A cluster beyond ``BLOCK_ITEMS`` is cut into blocks, and each pair of blocks has a tree of its own.
@@ -12,7 +14,10 @@
 
 from __future__ import annotations
 
+import math
+from bisect import bisect_right
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +28,7 @@ from pyspark.sql import functions as F
 from quillvec.llm.components import connected_components
 from quillvec.llm.prefix_tree import PrefixTree, forest
 from quillvec.llm.tables import Scratch, arrays, signed, spread
-from quillvec.llm.words import Words, grams, text_column, text_slices
+from quillvec.llm.words import Words, grams, mix, text_column, text_slices
 
 SHINGLE = 3
 PERCENT = 90
@@ -48,7 +53,7 @@ def similar_documents(docs: DataFrame, shingle: int = SHINGLE, percent: int = PE
     sets = scratch.keep(_sets(docs, shingle, percent), "sets")
     classes = scratch.keep(sets.filter("n > 0").groupBy("c1", "c2").agg(
         F.min("id").alias("node"), F.min("n").alias("n")), "classes")
-    tied = _tied(sets, classes, percent, scratch)
+    tied = _tied(sets, classes, scratch)
     cluster = connected_components(tied, scratch, "clusters")
     component = connected_components(_links(docs, classes, cluster, shingle, percent), scratch, "links")
     by_class = classes.join(component, "node", "left").select(
@@ -81,8 +86,62 @@ def prefix_length(n, percent: int):
     return n - -(-n * percent // 100) + shared_at_least(n, percent)
 
 
+def most_apart(n, percent: int):
+    """Shingles that only one of two similar sets has, at most, if one of them has ``n``."""
+    return n * (100 - percent) // percent
+
+
+@lru_cache
+def levels(percent: int) -> tuple[list[int], list[int], int]:
+    """Smallest set of each level, its number of parts, and how many shingles a part must have to be a mark.
+
+    A part of the smallest sets of a level has ``mean`` shingles, and there are 9 parts for 4 shingles that may differ.
+    Below 86 percent a mark would be a single shingle, as first shingles are, and there are no levels.
+    """
+    mean = percent / (100 - percent) * 4 / 9 if percent < 100 else 0
+    least, below = 0, math.exp(-mean)
+    while below <= 0.25:  # of parts with so few shingles or less
+        least += 1
+        below += math.exp(-mean) * mean ** least / math.factorial(least)
+    if least < 2:
+        return [], [], 0
+    first = [-(-percent // (100 - percent))]
+    while first[-1] < 2**31:
+        first.append(first[-1] * 3 // 2 + 1)
+    return first, [math.ceil(n / mean) for n in first], least
+
+
+def marks(s: np.ndarray, percent: int) -> list[tuple[int, int, np.ndarray]]:
+    """``(level, need, items)`` of a sorted set: a similar set of the same level has ``need`` of the items as well.
+
+    A set has the marks of its own level and, since the larger one of two decides, of that of the largest similar set.
+    A mark is a part with enough shingles, by all of them. Each shingle that only one of two sets has spoils the part it
+    falls into, so similar sets share all marks of either one but as many as shingles are apart. Each of the two may drop
+    its ``need - 1`` most frequent shared marks: the rarest mark that both have stays with both.
+    Level 0 holds first shingles; they count for two sets that both have some, which are those where the parts of a
+    level are fewer than those that may be spoilt. A set that is similar to equal ones only has none.
+    """
+    n = len(s)
+    apart = most_apart(n, percent)
+    if not apart:
+        return []
+    first, parts, least = levels(percent)
+    own, largest = (bisect_right(first, m) for m in (n, n * 100 // percent))
+    out, sure = [], own > 0
+    for level in range(own, largest + 1) if sure else ():
+        part = (s >> np.uint64(32)) * np.uint64(parts[level - 1]) >> np.uint64(32)
+        start = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+        full = np.diff(np.r_[start, n]) >= least
+        need = int(full.sum()) - apart
+        sure &= need > 0
+        out.append((level, max(1, need), mix(np.add.reduceat(s, start)[full] ^ mix(np.array([level], np.uint64)))))
+    if not sure:
+        out.append((0, max(1, -(-n * percent // 100) * (100 - percent) // 200), s[:prefix_length(n, percent)]))
+    return out
+
+
 def _sets(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Per document: size, hash of the whole set in two halves, and the first shingles in the order of hashes."""
+    """Per document: size, hash of the whole set in two halves, and its marks; ``kind`` is level and need in one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -91,30 +150,34 @@ def _sets(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
                 found = _shingles(data, offsets, shingle)
                 n = np.array([len(s) for s in found], np.int32)
                 digest = np.frombuffer(b"".join(xxhash.xxh3_128_digest(s.tobytes()) for s in found), np.int64)
-                heads = [s[:prefix_length(len(s), percent)] if len(s) else s for s in found]
-                ends = np.r_[0, np.cumsum([len(h) for h in heads])].astype(np.int32)
-                prefix = pa.ListArray.from_arrays(ends, signed(np.concatenate(heads)))
+                each = [marks(s, percent) for s in found]
+                flat = [m for own in each for m in own]
+                items = pa.ListArray.from_arrays(
+                    np.r_[0, np.cumsum([len(m[2]) for m in flat])].astype(np.int32),
+                    signed(np.concatenate([np.zeros(0, np.uint64), *(m[2] for m in flat)])))
+                kinds = pa.array([level << 32 | need for level, need, _ in flat], pa.int64())
+                own = pa.ListArray.from_arrays(np.r_[0, np.cumsum([len(m) for m in each])].astype(np.int32),
+                                               pa.StructArray.from_arrays([kinds, items], ["kind", "items"]))
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(first, after - first), n, digest[0::2].copy(), digest[1::2].copy(), prefix],
-                    ["doc_id", "n", "c1", "c2", "prefix"])
+                    [ids.slice(first, after - first), n, digest[0::2].copy(), digest[1::2].copy(), own],
+                    ["doc_id", "n", "c1", "c2", "marks"])
 
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, n int, c1 long, c2 long, prefix array<long>")
+        run, "doc_id long, n int, c1 long, c2 long, marks array<struct<kind:long,items:array<long>>>")
     nameless = F.lit(NAMELESS) + F.col("c1").bitwiseAND(F.lit(NAMELESS - 1))
     return out.withColumn("id", F.coalesce("doc_id", nameless))
 
 
-def _tied(sets: DataFrame, classes: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+def _tied(sets: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
     """Pairs ``a, b`` of classes, by node, such that similar ones are connected."""
     firsts = sets.join(classes.select("c1", "c2", F.col("node").alias("id")), ["c1", "c2", "id"]) \
-        .dropDuplicates(["c1", "c2"]).select(F.col("id").alias("node"), "n", F.explode("prefix").alias("item"))
+        .dropDuplicates(["c1", "c2"]).select(F.col("id").alias("node"), F.explode("marks").alias("marks")) \
+        .select("node", "marks.kind", F.explode("marks.items").alias("item"))
     firsts = scratch.keep(firsts, "firsts")
     counts = scratch.keep(firsts.groupBy("item").agg(F.count("*").alias("holders")).filter("holders > 1"), "counts")
-    # The least that a set shares with a similar one, which can be smaller, down to percent of its size.
-    least = f"greatest(1, int(ceil(n * {percent} / 100)) * {100 - percent} div 200)"
-    shared = firsts.join(counts, "item").groupBy("node", "n").agg(
+    shared = firsts.join(counts, "item").groupBy("node", "kind").agg(
         F.sort_array(F.collect_list(F.struct("holders", "item"))).alias("items")).selectExpr(
-        "node", f"slice(items, 1, greatest(0, size(items) - {least} + 1)) AS items")
+        "node", "slice(items, 1, greatest(0, size(items) - int(kind & 4294967295) + 1)) AS items")
     rare = scratch.keep(shared.selectExpr("node AS a", "explode(items.item) AS item"), "rare")
     hubs = scratch.keep(rare.groupBy("item").agg(F.min("a").alias("b")), "hubs")
     scratch.drop("firsts", "counts")

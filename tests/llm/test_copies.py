@@ -1,5 +1,8 @@
 """Similarity join, passages and repeated strings against plain versions."""
 
+import random
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -116,6 +119,53 @@ def test_clusters_in_blocks(docs, texts, monkeypatch):
     assert by_text(got) == by_text(components(texts))
 
 
+def test_common_passages_tie_no_documents(spark, monkeypatch):
+    """Each document shares one half with the one before and the other half with the next; only copies are tied."""
+    passages = [" ".join(f"p{i}w{j}" for j in range(100)) for i in range(201)]
+    rows = [(i, f"{passages[i]} {passages[i + 1]}") for i in range(200)]
+    rows += [(1000 + i, f"{rows[i][1]} x{i}") for i in range(0, 200, 10)]
+    edges, found = {}, jaccard.connected_components
+
+    def counted(df, scratch, name):
+        edges[name] = df.filter("a <> b").distinct().count()
+        return found(df, scratch, name)
+    monkeypatch.setattr(jaccard, "connected_components", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in jaccard.similar_documents(docs).collect()]
+    assert by_text(got) == by_text(components(rows))
+    assert edges == {"clusters": 20, "links": 20}
+
+
+@pytest.mark.parametrize("percent", [86, 90, 95])
+def test_near_copies_of_all_sizes(spark, percent):
+    rng = random.Random(percent)
+    rows = []
+    for n in [*range(1, 60), *range(60, 400, 17)]:
+        words = [f"w{rng.randrange(40)}" for _ in range(n)]
+        for k in range(4):
+            at, copy = rng.randrange(n), words[:]
+            copy[at:at + k // 2] = [f"x{rng.randrange(9)}" for _ in range(rng.randrange(k + 1))]
+            rows.append((len(rows), " ".join(copy)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in jaccard.similar_documents(docs, 3, percent).collect()]
+    assert by_text(got) == by_text(components(rows, 3, percent))
+    assert 0 < sum(c < i for i, _, c in got) < len(rows) / 2
+
+
+@pytest.mark.parametrize("percent", [60, 80, 86, 90, 97])
+def test_similar_sets_share_the_marks_they_need(percent):
+    rng = np.random.default_rng(percent)
+    for _ in range(1000):
+        n = int(np.exp(rng.uniform(0, 7)))
+        a = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+        gone = int(rng.integers(0, n * (100 - percent) // 100 + 1))
+        new = int(rng.integers(0, max(0, 100 * (n - gone) // percent - n) + 1))
+        b = np.unique(np.r_[rng.choice(a, n - gone, replace=False), rng.integers(0, 2**64, new, dtype=np.uint64)])
+        of_a, of_b = ({level: (need, set(items.tolist())) for level, need, items in jaccard.marks(s, percent)} for s in (a, b))
+        assert gone + new == 0 or any(len(of_a[k][1] & of_b[k][1]) >= max(of_a[k][0], of_b[k][0])
+                                      for k in of_a.keys() & of_b.keys())
+
+
 @pytest.mark.parametrize("operator", [phrases.removed_passages, suffixes.without_repeats, jaccard.similar_documents])
 def test_no_documents(spark, operator):
     assert operator(empty_documents(spark)).collect() == []
